@@ -1,0 +1,33 @@
+"""Run every registered query against its DuckDB oracle: python tests/run_oracles.py [sf_dir] [name...]"""
+import os
+import sys
+import time
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+import __spark_entry__ as E  # noqa: E402
+from compare import compare, duck  # noqa: E402
+from sparkmart.session import build_session  # noqa: E402
+
+sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+names = sys.argv[2:]
+spark = build_session("local[8]", shuffle_partitions=8)
+con = duck(sf)
+qs, oracles = E.queries(), E.oracle_sql()
+bad = 0
+for name, fn in qs.items():
+    if names and name not in names:
+        continue
+    t = time.time()
+    try:
+        df = fn(spark, sf)
+        if name in oracles:
+            ok, msg = compare(df, con, oracles[name])
+        else:
+            ok, msg = True, f"rows-only: {df.count()} rows"
+    except Exception as e:  # report and continue
+        ok, msg = False, f"error {type(e).__name__}: {str(e)[:400]}"
+    bad += not ok
+    print(f"{'OK ' if ok else 'BAD'} {name:32s} {time.time()-t:6.2f}s {msg}", flush=True)
+print("failures:", bad)
