@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmart.plans import batch_fact, roles
+from sparkmart.plans import analytics, batch_fact, etl, models, roles, tasks
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -74,6 +74,204 @@ _ORDERS_SQL = """
 """
 
 
+
+# ------------------------------------------------------------ analytic SQL
+
+def q_grade_report(spark, sf):
+    return analytics.grade_report(roles.students(spark, sf), roles.grades(spark))
+
+
+def q_extent_distance(spark, sf):
+    return analytics.extent_distance(roles.station(spark, sf))
+
+
+def q_top_competitors(spark, sf):
+    return analytics.top_competitors(roles.ship_submissions(spark, sf),
+                                     roles.supplier_hackers(spark, sf),
+                                     roles.part_challenges(spark, sf), roles.difficulty(spark))
+
+
+def q_cheapest_per_group(spark, sf):
+    return analytics.cheapest_per_group(roles.wands(spark, sf), roles.wand_properties(spark, sf))
+
+
+def q_contest_leaderboard(spark, sf):
+    r = analytics.contest_leaderboard(roles.order_submissions(spark, sf),
+                                      roles.customer_hackers(spark, sf), min_total=1_000_000)
+    return r.withColumn("total_score", F.round("total_score", 2))
+
+
+_GRADES_SQL = """g AS (SELECT CAST(i AS INTEGER) AS grade,
+        CAST(i - 1 AS DOUBLE) * CAST(1000.0 AS DOUBLE) AS min_mark,
+        CAST(i - 1 AS DOUBLE) * CAST(1000.0 AS DOUBLE) + CAST(999.99 AS DOUBLE) AS max_mark
+      FROM range(1, 11) t(i))"""
+_FULL_SCORES_SQL = "d(difficulty_level, score) AS (VALUES " + ", ".join(
+    f"('{k}', {v})" for k, v in roles.FULL_SCORES) + ")"
+
+# ------------------------------------------------------------ layered models
+
+def _to_double(df, *cols):
+    return df.withColumns({c: F.col(c).cast("double") for c in cols})
+
+
+def q_stg_payment(spark, sf):
+    return _to_double(models.stg_payment(roles.payment(spark, sf)), "amount", "amount_usd")
+
+
+def _mart_base(spark, sf):
+    stg = models.stg_payment(roles.settled_payment(spark, sf))
+    return models.int_customer_payment(stg, roles.model_customer(spark, sf))
+
+
+def q_int_customer_payment(spark, sf):
+    return _to_double(_mart_base(spark, sf), "total_amount")
+
+
+def _mart(spark, sf):
+    return models.mart_customer_revenue(_mart_base(spark, sf), high=300_000, medium=100_000)
+
+
+def q_mart_customer_revenue(spark, sf):
+    return _to_double(_mart(spark, sf), "total_amount")
+
+
+def q_quality_checks(spark, sf):
+    from sparkmart.operators.quality import run_checks, unique
+    stg = models.stg_payment(roles.payment(spark, sf))
+    lineitem = spark.read.parquet(f"{sf}/lineitem.parquet")
+    return run_checks(models.model_checks(stg, _mart(spark, sf)),
+                      unique(lineitem, ["l_orderkey", "l_linenumber"]))
+
+
+_PAYMENT_SQL = """pay_all AS (SELECT o_orderkey AS payment_id, o_custkey AS customer_id,
+        CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS staff_id, o_orderkey AS rental_id,
+        CAST(o_totalprice AS DECIMAL(12,2)) AS amount, o_orderdate AS payment_date,
+        o_orderstatus AS status FROM orders),
+  stg AS (SELECT payment_id, customer_id, staff_id, rental_id, amount, amount * 1.0 AS amount_usd,
+        CAST(payment_date AS DATE) AS payment_date FROM pay_all),
+  settled AS (SELECT * FROM stg WHERE payment_id IN (SELECT payment_id FROM pay_all
+        WHERE status = 'F' AND payment_date >= TIMESTAMP '2000-06-01')),
+  base AS (SELECT c.c_custkey AS customer_id, c.c_name AS first_name, c.c_mktsegment AS last_name,
+        SUM(p.amount) AS total_amount, COUNT(p.payment_id) AS total_transactions
+        FROM customer c LEFT JOIN settled p ON c.c_custkey = p.customer_id GROUP BY 1, 2, 3),
+  mart AS (SELECT customer_id, upper(first_name || ' ' || last_name) AS nama_lengkap,
+        total_amount, total_transactions,
+        CASE WHEN total_amount > 300000 THEN 'HIGH'
+             WHEN total_amount BETWEEN 100000 AND 300000 THEN 'MEDIUM' ELSE 'LOW' END
+        AS kategori_customer FROM base)
+"""
+
+# ------------------------------------------------------------ incremental ETL
+
+def _as_of(df):
+    return etl.latest_value(df, "updated_at")
+
+
+def q_incremental_extract(spark, sf):
+    o = roles.etl_orders(spark, sf)
+    return etl.changed_since(o, _as_of(o), days=1)
+
+
+def q_product_supplier_extract(spark, sf):
+    p = roles.etl_products(spark, sf)
+    return etl.product_supplier_extract(p, roles.etl_suppliers(spark, sf), _as_of(p), days=1)
+
+
+def _all_products(spark, sf):
+    """Full reload: every product with its supplier (no date window)."""
+    p = roles.etl_products(spark, sf)
+    return etl.product_supplier_extract(p, roles.etl_suppliers(spark, sf), "0001-01-01", days=0)
+
+
+def q_transform_products(spark, sf):
+    return etl.transform_products(_all_products(spark, sf))
+
+
+def q_transform_customers(spark, sf):
+    return etl.transform_customers(roles.etl_customers(spark, sf))
+
+
+def q_transform_orders(spark, sf):
+    return etl.transform_orders(roles.etl_orders(spark, sf))
+
+
+def q_negative_amounts(spark, sf):
+    return etl.negative_amounts(roles.accounts(spark, sf))
+
+
+def q_upsert_orders(spark, sf):
+    o = roles.etl_orders(spark, sf)
+    as_of = _as_of(o)
+    target = etl.unchanged_before(o, as_of, days=90)
+    updates = etl.transform_orders(etl.changed_since(o, as_of, days=180))
+    return etl.load_dimension(target, updates, "id", ["updated_at"])
+
+
+def q_upsert_customers(spark, sf):
+    c = roles.etl_customers(spark, sf)
+    as_of = _as_of(c)
+    target = etl.unchanged_before(c, as_of, days=365)
+    updates = etl.transform_customers(etl.changed_since(c, as_of, days=730))
+    return etl.load_dimension(target, updates, "id", ["updated_at"])
+
+
+def q_upsert_products(spark, sf):
+    p = _all_products(spark, sf)
+    as_of = _as_of(p)
+    target = etl.unchanged_before(p, as_of, days=365) \
+        .withColumn("margin_pct", F.lit(None).cast("double"))
+    updates = etl.transform_products(etl.changed_since(p, as_of, days=730))
+    return etl.load_dimension(target, updates, "id", ["updated_at"])
+
+
+def q_price_with_tax(spark, sf):
+    return tasks.transform_task(roles.priced_items(spark, sf))
+
+
+_ETL_SQL = """eo AS (SELECT o_orderkey AS id, o_custkey AS customer_id, CAST(o_orderdate AS DATE) AS order_date,
+        o_orderstatus AS status, o_totalprice AS total_amount, o_orderdate AS updated_at FROM orders),
+  eo_t AS (SELECT id, customer_id, order_date, lower(coalesce(status, '')) AS status,
+        CASE WHEN coalesce(total_amount, 0) < 0 THEN 0 ELSE coalesce(total_amount, 0) END AS total_amount,
+        updated_at FROM eo),
+  last_order AS (SELECT o_custkey, max(o_orderdate) AS updated_at FROM orders GROUP BY 1),
+  ec AS (SELECT c_custkey AS id, c_name AS name,
+        lower(replace(c_name, '#', '.')) || '@example.com' AS email,
+        CAST(c_nationkey AS VARCHAR) || ' ' || substr(lpad(CAST(c_custkey AS VARCHAR), 8, '0'), 1, 4)
+          || '.' || substr(lpad(CAST(c_custkey AS VARCHAR), 8, '0'), 5, 4) AS phone,
+        lower(substr(c_mktsegment, 1, 2)) AS state, updated_at
+        FROM customer LEFT JOIN last_order ON c_custkey = o_custkey),
+  ec_t AS (SELECT id, name, email,
+        CASE WHEN length(regexp_replace(phone, '\D', '', 'g')) = 10 THEN
+          '(' || substr(regexp_replace(phone, '\D', '', 'g'), 1, 3) || ') '
+          || substr(regexp_replace(phone, '\D', '', 'g'), 4, 3) || '-'
+          || substr(regexp_replace(phone, '\D', '', 'g'), 7, 4) ELSE phone END AS phone,
+        upper(state) AS state, updated_at FROM ec),
+  ship AS (SELECT l_partkey, min(l_suppkey) AS supplier_id, max(l_shipdate) AS updated_at
+        FROM lineitem GROUP BY 1),
+  ep AS (SELECT p_partkey AS id, p_name AS product_name, lower(p_type) || ' ' || p_name AS category,
+        p_retailprice AS price, p_retailprice * (100 - p_size) / 100 AS cost, supplier_id, updated_at
+        FROM part LEFT JOIN ship ON p_partkey = l_partkey),
+  eps AS (SELECT p.id, product_name, category, price, cost, updated_at, s_name AS supplier_name
+        FROM ep p JOIN supplier s ON p.supplier_id = s.s_suppkey),
+  eps_t AS (SELECT id, product_name,
+        list_aggr(list_transform(string_split(category, ' '),
+                  lambda x: upper(x[1]) || lower(x[2:])), 'string_agg', ' ') AS category,
+        price, cost, updated_at, supplier_name, (price - cost) / nullif(price, 0) * 100 AS margin_pct
+        FROM eps)
+"""
+
+
+def _upsert_sql(src, src_t, older_days, window_days, target_cols=None):
+    target_cols = target_cols or f"{src}.*"
+    return f"""
+  cut AS (SELECT CAST(max(updated_at) AS DATE) AS d FROM {src}),
+  tgt AS (SELECT {target_cols} FROM {src}, cut WHERE updated_at < CAST(cut.d - INTERVAL {older_days} DAY AS TIMESTAMP)),
+  upd AS (SELECT {src_t}.* FROM {src_t}, cut WHERE updated_at >= CAST(cut.d - INTERVAL {window_days} DAY AS TIMESTAMP)),
+  lst AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY updated_at DESC) AS rn FROM upd) WHERE rn = 1)
+SELECT * FROM tgt WHERE NOT EXISTS (SELECT 1 FROM lst WHERE lst.id = tgt.id)
+UNION ALL SELECT * FROM lst"""
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the transaction fact built from the sf0.001 tables."""
     return q_fact_transactions(spark, SMOKE_DIR)
@@ -87,6 +285,25 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fact_preview": q_fact_preview,
         "row_count_audit": q_row_count_audit,
         "fact_roundtrip": q_fact_roundtrip,
+        "grade_report": q_grade_report,
+        "extent_distance": q_extent_distance,
+        "top_competitors": q_top_competitors,
+        "cheapest_per_group": q_cheapest_per_group,
+        "contest_leaderboard": q_contest_leaderboard,
+        "stg_payment": q_stg_payment,
+        "int_customer_payment": q_int_customer_payment,
+        "mart_customer_revenue": q_mart_customer_revenue,
+        "quality_checks": q_quality_checks,
+        "incremental_extract": q_incremental_extract,
+        "product_supplier_extract": q_product_supplier_extract,
+        "transform_products": q_transform_products,
+        "transform_customers": q_transform_customers,
+        "transform_orders": q_transform_orders,
+        "negative_amounts": q_negative_amounts,
+        "upsert_orders": q_upsert_orders,
+        "upsert_customers": q_upsert_customers,
+        "upsert_products": q_upsert_products,
+        "price_with_tax": q_price_with_tax,
     }
 
 
@@ -103,4 +320,62 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT 'order_items', count(*) FROM ci
             UNION ALL SELECT 'joined', count(*) FROM fact""",
         "fact_roundtrip": w + "SELECT * FROM fact",
+        "grade_report": "WITH " + _GRADES_SQL + """
+            SELECT CASE WHEN g.grade > 7 THEN s.c_name END AS name, g.grade, s.c_acctbal AS marks
+            FROM customer s LEFT JOIN g ON s.c_acctbal BETWEEN g.min_mark AND g.max_mark
+            ORDER BY g.grade DESC, s.c_name, g.grade""",
+        "extent_distance": """SELECT ROUND(ABS(min(p_retailprice) - max(p_retailprice))
+            + ABS(min(CAST(p_size AS DOUBLE)) - max(CAST(p_size AS DOUBLE))), 4) AS distance FROM part""",
+        "top_competitors": "WITH " + _FULL_SCORES_SQL + """
+            SELECT ha.s_suppkey AS hacker_id, ha.s_name AS name
+            FROM lineitem sub JOIN supplier ha ON ha.s_suppkey = sub.l_suppkey
+            JOIN part ch ON ch.p_partkey = sub.l_partkey
+            JOIN d ON d.difficulty_level = ch.p_type
+            WHERE CAST(trunc(sub.l_quantity) AS INTEGER) = d.score
+            GROUP BY ha.s_suppkey, ha.s_name HAVING count(sub.l_suppkey) > 1
+            ORDER BY count(sub.l_suppkey) DESC, hacker_id""",
+        "cheapest_per_group": """WITH w AS (
+              SELECT l_orderkey AS id, p_size AS age, CAST(trunc(l_quantity) AS INTEGER) AS power,
+                     l_extendedprice AS coins_needed,
+                     MIN(l_extendedprice) OVER (PARTITION BY p_size, CAST(trunc(l_quantity) AS INTEGER)) AS coins_min
+              FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_type <> 'PROMO')
+            SELECT id, age, coins_needed, power FROM w WHERE coins_needed = coins_min
+            ORDER BY power DESC, age DESC""",
+        "contest_leaderboard": """WITH m AS (
+              SELECT c_custkey AS hacker_id, o_orderpriority AS challenge_id, c_name AS name,
+                     MAX(o_totalprice) AS score
+              FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY 1, 2, 3)
+            SELECT hacker_id, name, ROUND(SUM(score), 2) AS total_score FROM m
+            GROUP BY 1, 2 HAVING SUM(score) > 1000000 ORDER BY SUM(score) DESC, hacker_id""",
+        "stg_payment": "WITH " + _PAYMENT_SQL + """SELECT payment_id, customer_id, staff_id, rental_id,
+            CAST(amount AS DOUBLE) AS amount, CAST(amount_usd AS DOUBLE) AS amount_usd, payment_date FROM stg""",
+        "int_customer_payment": "WITH " + _PAYMENT_SQL + """SELECT customer_id, first_name, last_name,
+            CAST(total_amount AS DOUBLE) AS total_amount, total_transactions FROM base""",
+        "mart_customer_revenue": "WITH " + _PAYMENT_SQL + """SELECT customer_id, nama_lengkap,
+            CAST(total_amount AS DOUBLE) AS total_amount, total_transactions, kategori_customer FROM mart""",
+        "quality_checks": "WITH " + _PAYMENT_SQL + """
+            SELECT 'not_null(payment_id)' AS check_name,
+                   CAST(count(*) FILTER (WHERE payment_id IS NULL) AS BIGINT) AS failures FROM stg
+            UNION ALL SELECT 'unique(payment_id)', (SELECT count(*) FROM (SELECT payment_id FROM stg
+                   WHERE payment_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1))
+            UNION ALL SELECT 'accepted_values(kategori_customer)', (SELECT count(DISTINCT kategori_customer)
+                   FROM mart WHERE kategori_customer NOT IN ('HIGH', 'MEDIUM', 'LOW'))
+            UNION ALL SELECT 'unique(l_orderkey,l_linenumber)', (SELECT count(*) FROM (
+                   SELECT l_orderkey, l_linenumber FROM lineitem
+                   WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL
+                   GROUP BY 1, 2 HAVING count(*) > 1))""",
+        "incremental_extract": "WITH " + _ETL_SQL + """SELECT * FROM eo WHERE updated_at >=
+            CAST(CAST((SELECT max(updated_at) FROM eo) AS DATE) - INTERVAL 1 DAY AS TIMESTAMP)""",
+        "product_supplier_extract": "WITH " + _ETL_SQL + """SELECT * FROM eps WHERE updated_at >=
+            CAST(CAST((SELECT max(updated_at) FROM ep) AS DATE) - INTERVAL 1 DAY AS TIMESTAMP)""",
+        "transform_products": "WITH " + _ETL_SQL + "SELECT * FROM eps_t",
+        "transform_customers": "WITH " + _ETL_SQL + "SELECT * FROM ec_t",
+        "transform_orders": "WITH " + _ETL_SQL + "SELECT * FROM eo_t",
+        "negative_amounts": "SELECT c_custkey AS id, c_acctbal AS total_amount FROM customer WHERE c_acctbal < 0",
+        "upsert_orders": "WITH " + _ETL_SQL + "," + _upsert_sql("eo", "eo_t", 90, 180),
+        "upsert_customers": "WITH " + _ETL_SQL + "," + _upsert_sql("ec", "ec_t", 365, 730),
+        "upsert_products": "WITH " + _ETL_SQL + "," + _upsert_sql(
+            "eps", "eps_t", 365, 730, "eps.*, CAST(NULL AS DOUBLE) AS margin_pct"),
+        "price_with_tax": """SELECT upper(p_name) AS name, p_retailprice AS price,
+            p_retailprice * CAST(1.1 AS DOUBLE) AS price_with_tax FROM part""",
     }

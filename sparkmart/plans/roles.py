@@ -50,3 +50,158 @@ def csv_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.col("l_partkey").cast("string").alias("product_id"),
                      qty.alias("quantity"),
                      F.col("l_extendedprice").cast("string").alias("price"))
+
+
+# ---- analytic queries --------------------------------------------------------
+
+def students(spark, sf_dir):
+    return load(spark, sf_dir, "customer").select(
+        F.col("c_name").alias("name"), F.col("c_acctbal").alias("marks"))
+
+
+def grades(spark, bands: int = 10, width: float = 1000.0):
+    """Grade g covers [width*(g-1), width*(g-1) + width - 0.01], g = 1..bands."""
+    return spark.range(1, bands + 1).select(
+        F.col("id").cast("int").alias("grade"),
+        ((F.col("id") - 1) * F.lit(width)).cast("double").alias("min_mark"),
+        ((F.col("id") - 1) * F.lit(width) + F.lit(width - 0.01)).cast("double").alias("max_mark"))
+
+
+def station(spark, sf_dir):
+    return load(spark, sf_dir, "part").select(
+        F.col("p_retailprice").alias("lat_n"), F.col("p_size").cast("double").alias("long_w"))
+
+
+def ship_submissions(spark, sf_dir):
+    return load(spark, sf_dir, "lineitem").select(
+        F.col("l_suppkey").alias("hacker_id"), F.col("l_partkey").alias("challenge_id"),
+        F.col("l_quantity").cast("int").alias("score"))
+
+
+def supplier_hackers(spark, sf_dir):
+    return load(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("hacker_id"), F.col("s_name").alias("name"))
+
+
+def part_challenges(spark, sf_dir):
+    return load(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("challenge_id"), F.col("p_type").alias("difficulty_level"))
+
+
+# fixed values: the full score of each difficulty level (part type)
+FULL_SCORES = [("ECONOMY", 10), ("LARGE", 20), ("MEDIUM", 30), ("PROMO", 40),
+               ("SMALL", 45), ("STANDARD", 50)]
+
+
+def difficulty(spark):
+    return spark.createDataFrame(FULL_SCORES, "difficulty_level string, score int")
+
+
+def wands(spark, sf_dir):
+    return load(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("id"), F.col("l_partkey").alias("code"),
+        F.col("l_extendedprice").alias("coins_needed"),
+        F.col("l_quantity").cast("int").alias("power"))
+
+
+def wand_properties(spark, sf_dir):
+    return load(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("code"), F.col("p_size").alias("age"),
+        F.when(F.col("p_type") == "PROMO", 1).otherwise(0).alias("is_evil"))
+
+
+def order_submissions(spark, sf_dir):
+    return load(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("hacker_id"), F.col("o_orderpriority").alias("challenge_id"),
+        F.col("o_totalprice").alias("score"))
+
+
+def customer_hackers(spark, sf_dir):
+    return load(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("hacker_id"), F.col("c_name").alias("name"))
+
+
+# ---- layered models ------------------------------------------------------------
+
+def payment(spark, sf_dir):
+    return load(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("payment_id"), F.col("o_custkey").alias("customer_id"),
+        F.substring("o_orderpriority", 1, 1).cast("int").alias("staff_id"),
+        F.col("o_orderkey").alias("rental_id"),
+        F.col("o_totalprice").cast("decimal(12,2)").alias("amount"),
+        F.col("o_orderdate").alias("payment_date"),
+        F.col("o_orderstatus").alias("status"))
+
+
+SETTLED_SINCE = "2000-06-01"
+
+
+def settled_payment(spark, sf_dir):
+    """Payments of fulfilled orders in the reporting period."""
+    p = payment(spark, sf_dir)
+    return p.filter((F.col("status") == "F") &
+                    (F.col("payment_date") >= F.lit(SETTLED_SINCE).cast("timestamp_ntz")))
+
+
+def model_customer(spark, sf_dir):
+    return load(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("first_name"),
+        F.col("c_mktsegment").alias("last_name"))
+
+
+# ---- incremental ETL -----------------------------------------------------------
+
+def etl_orders(spark, sf_dir):
+    o = load(spark, sf_dir, "orders")
+    return o.select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("customer_id"),
+                    F.col("o_orderdate").cast("date").alias("order_date"),
+                    F.col("o_orderstatus").alias("status"),
+                    F.col("o_totalprice").alias("total_amount"),
+                    F.col("o_orderdate").alias("updated_at"))
+
+
+def etl_customers(spark, sf_dir):
+    """Customers; updated_at = date of their latest order (aggregated before the join)."""
+    c = load(spark, sf_dir, "customer")
+    last = load(spark, sf_dir, "orders").groupBy("o_custkey").agg(
+        F.max("o_orderdate").alias("updated_at"))
+    key = F.lpad(F.col("c_custkey").cast("string"), 8, "0")
+    return (c.join(last, c["c_custkey"] == last["o_custkey"], "left")
+            .select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
+                    F.concat(F.lower(F.regexp_replace("c_name", "#", ".")),
+                             F.lit("@example.com")).alias("email"),
+                    F.concat(F.col("c_nationkey").cast("string"), F.lit(" "),
+                             F.substring(key, 1, 4), F.lit("."),
+                             F.substring(key, 5, 4)).alias("phone"),
+                    F.lower(F.substring("c_mktsegment", 1, 2)).alias("state"),
+                    "updated_at"))
+
+
+def etl_products(spark, sf_dir):
+    """Parts; supplier = lowest supplier key that shipped the part, updated_at =
+    its latest shipment (one aggregate over lineitem); cost = price less p_size percent."""
+    p = load(spark, sf_dir, "part")
+    ship = load(spark, sf_dir, "lineitem").groupBy("l_partkey").agg(
+        F.min("l_suppkey").alias("supplier_id"), F.max("l_shipdate").alias("updated_at"))
+    return (p.join(ship, p["p_partkey"] == ship["l_partkey"], "left")
+            .select(F.col("p_partkey").alias("id"), F.col("p_name").alias("product_name"),
+                    F.concat(F.lower("p_type"), F.lit(" "), F.col("p_name")).alias("category"),
+                    F.col("p_retailprice").alias("price"),
+                    (F.col("p_retailprice") * (F.lit(100) - F.col("p_size")) / F.lit(100))
+                    .alias("cost"),
+                    "supplier_id", "updated_at"))
+
+
+def etl_suppliers(spark, sf_dir):
+    return load(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("id"), F.col("s_name").alias("supplier_name"))
+
+
+def accounts(spark, sf_dir):
+    return load(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("total_amount"))
+
+
+def priced_items(spark, sf_dir):
+    return load(spark, sf_dir, "part").select(
+        F.col("p_name").alias("name"), F.col("p_retailprice").alias("price"))
