@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmart.plans import analytics, batch_fact, etl, models, roles, tasks
+from sparkmart.plans import activity, analytics, batch_fact, etl, models, roles, tasks, transactions
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -272,6 +272,184 @@ SELECT * FROM tgt WHERE NOT EXISTS (SELECT 1 FROM lst WHERE lst.id = tgt.id)
 UNION ALL SELECT * FROM lst"""
 
 
+# ------------------------------------------------------------ event streams
+
+# the event feed is judged with these rule parameters (values run 0..490)
+EVENT_SOURCES = ("click", "view", "purchase")
+EVENT_MAX_AMOUNT = 300
+
+
+def _ntz(df, *cols):
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in cols})
+
+
+def _event_rules():
+    return transactions.transaction_rules(EVENT_SOURCES, 1, EVENT_MAX_AMOUNT)
+
+
+def _parsed(spark, sf):
+    feed = roles.transactions_feed(spark.read.parquet(f"{sf}/events.parquet"))
+    return transactions.flag_late(transactions.parse_events(feed))
+
+
+def q_parse_events(spark, sf):
+    return _ntz(_parsed(spark, sf).drop("is_late"), "kafka_ts", "event_time")
+
+
+def q_late_events(spark, sf):
+    return _ntz(_parsed(spark, sf).select("user_id", "timestamp", "event_time", "kafka_ts",
+                                          "kafka_offset", "is_late"), "kafka_ts", "event_time")
+
+
+def q_validate_events(spark, sf):
+    v = transactions.validate(_parsed(spark, sf), _event_rules())
+    return _ntz(v.select(*transactions.OUTPUT_COLUMNS), "event_time")
+
+
+def q_dedup_events(spark, sf):
+    return _ntz(transactions.dedup_batch(_parsed(spark, sf)).drop("is_late"),
+                "kafka_ts", "event_time")
+
+
+def _pipeline(spark, sf):
+    feed = roles.transactions_feed(spark.read.parquet(f"{sf}/events.parquet"))
+    return transactions.batch_pipeline(feed, _event_rules())
+
+
+def q_valid_events(spark, sf):
+    return _ntz(transactions.split(_pipeline(spark, sf))[0], "event_time")
+
+
+def q_dlq_events(spark, sf):
+    return _ntz(transactions.split(_pipeline(spark, sf))[1], "event_time")
+
+
+def q_window_counts(spark, sf):
+    valid = transactions.split(_pipeline(spark, sf))[0]
+    return _ntz(transactions.flat_windows(transactions.window_counts(valid)),
+                "window_start", "window_end")
+
+
+def _event_stream(spark, sf):
+    """The events file replayed through the streaming file source."""
+    schema = spark.read.parquet(f"{sf}/events.parquet").schema
+    return (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+            .option("maxFilesPerTrigger", 1).parquet(sf))
+
+
+def _run(query):
+    query.awaitTermination()
+    if query.exception():
+        raise RuntimeError(str(query.exception()))
+
+
+def q_stream_dedup(spark, sf):
+    from sparkmart.session import scratch_dir
+    out, ck = scratch_dir(spark, "stream_dedup_out"), scratch_dir(spark, "stream_dedup_ck")
+    feed = roles.transactions_feed(_event_stream(spark, sf))
+    rows = transactions.dedup_stream(transactions.parse_events(feed)) \
+        .select("user_id", "amount", "timestamp", "source", "event_time")
+    _run(rows.writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", ck).trigger(availableNow=True).start())
+    return _ntz(spark.read.parquet(out), "event_time")
+
+
+def _stream_records(spark, sf, valid):
+    from sparkmart.session import scratch_dir
+    from sparkmart.streaming import transactions as ST
+    out, ck = scratch_dir(spark, "stream_out"), scratch_dir(spark, "stream_ck")
+    v = ST.validated_stream(roles.transactions_feed(_event_stream(spark, sf)), _event_rules())
+    _run(ST.start_record_sink(v, valid, out, ck, trigger="availableNow"))
+    return _ntz(spark.read.parquet(out), "event_time")
+
+
+def q_stream_valid(spark, sf):
+    return _stream_records(spark, sf, True)
+
+
+def q_stream_dlq(spark, sf):
+    return _stream_records(spark, sf, False)
+
+
+def q_stream_window_counts(spark, sf):
+    from sparkmart.session import scratch_dir
+    from sparkmart.streaming import transactions as ST
+    out, ck = scratch_dir(spark, "report_out"), scratch_dir(spark, "report_ck")
+    v = ST.validated_stream(roles.transactions_feed(_event_stream(spark, sf)), _event_rules())
+    q, _ = ST.start_window_report(v, out, ck, trigger="availableNow")
+    _run(q)
+    return _ntz(spark.read.parquet(out).select("window_start", "window_end", "running_total"),
+                "window_start", "window_end")
+
+
+def _activity(spark, sf):
+    feed = roles.activity_feed(spark.read.parquet(f"{sf}/events.parquet"))
+    return activity.parse_activity(feed)
+
+
+def q_key_event_counts(spark, sf):
+    return activity.key_event_counts(_activity(spark, sf))
+
+
+def q_key_running_count(spark, sf):
+    return activity.key_running_count(_activity(spark, sf)).select("key", "offset", "running_count")
+
+
+def q_key_partition_assignment(spark, sf):
+    return _activity(spark, sf).select("key", "partition").distinct()
+
+
+def q_key_event_counts_stream(spark, sf):
+    from sparkmart.session import scratch_dir
+    from sparkmart.streaming import activity as SA
+    out, ck = scratch_dir(spark, "keys_out"), scratch_dir(spark, "keys_ck")
+    _run(SA.start_key_counts(roles.activity_feed(_event_stream(spark, sf)), out, ck,
+                             trigger="availableNow"))
+    return SA.read_key_counts(spark, out)
+
+
+_EVENTS_SQL = """feed AS (
+    SELECT e.event_id, e.ts, e.user_id AS uid, e.event_type, e.value, c.copy
+    FROM events e JOIN (SELECT 0 AS copy UNION ALL SELECT 1 AS copy) c
+      ON c.copy = 0 OR e.event_id % 53 = 0),
+  parsed AS (
+    SELECT CASE WHEN event_id % 101 = 0 OR event_id % 17 = 0 THEN NULL
+                ELSE 'U' || CAST(uid AS VARCHAR) END AS user_id,
+           CASE WHEN event_id % 101 = 0 OR event_id % 19 = 0 THEN NULL
+                ELSE CAST(floor(value) AS BIGINT) END AS amount,
+           CASE WHEN event_id % 101 = 0 THEN NULL WHEN event_id % 31 = 0 THEN 'INVALID_DATE'
+                ELSE strftime(ts, '%Y-%m-%dT%H:%M:%SZ') END AS timestamp,
+           CASE WHEN event_id % 101 = 0 THEN NULL ELSE event_type END AS source,
+           date_trunc('second', ts) + to_minutes(CAST(event_id % 7 AS BIGINT)) AS kafka_ts,
+           0 AS kafka_partition,
+           event_id * 2 + copy AS kafka_offset,
+           CASE WHEN event_id % 101 = 0 OR event_id % 31 = 0 THEN NULL
+                ELSE date_trunc('second', ts) END AS event_time
+    FROM feed),
+  late AS (SELECT *, CASE WHEN event_time IS NOT NULL AND
+                  floor(epoch(kafka_ts)) - floor(epoch(event_time)) > 180 THEN true ELSE false END AS is_late
+           FROM parsed),
+  dd AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY user_id, timestamp
+           ORDER BY kafka_ts, kafka_partition, kafka_offset) AS rn FROM late) WHERE rn = 1)
+"""
+
+
+def _validated_sql(src):
+    return f"""SELECT *, error_reason IS NULL AS is_valid FROM (
+    SELECT user_id, amount, timestamp, source, event_time,
+      CASE WHEN user_id IS NULL THEN 'missing_user_id'
+           WHEN amount IS NULL THEN 'missing_amount'
+           WHEN timestamp IS NULL OR event_time IS NULL THEN 'invalid_timestamp'
+           WHEN amount < 1 OR amount > {EVENT_MAX_AMOUNT} THEN 'amount_out_of_range'
+           WHEN NOT (source IN ({", ".join(f"'{x}'" for x in EVENT_SOURCES)})) THEN 'unknown_source'
+           WHEN is_late THEN 'late_event' END AS error_reason
+    FROM {src})"""
+
+
+_ACTIVITY_SQL = """act AS (SELECT 'user_' || CAST(user_id AS VARCHAR) AS key, event_id AS "offset" FROM events)
+"""
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the transaction fact built from the sf0.001 tables."""
     return q_fact_transactions(spark, SMOKE_DIR)
@@ -304,6 +482,21 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "upsert_customers": q_upsert_customers,
         "upsert_products": q_upsert_products,
         "price_with_tax": q_price_with_tax,
+        "parse_events": q_parse_events,
+        "late_events": q_late_events,
+        "validate_events": q_validate_events,
+        "dedup_events": q_dedup_events,
+        "valid_events": q_valid_events,
+        "dlq_events": q_dlq_events,
+        "window_counts": q_window_counts,
+        "stream_dedup": q_stream_dedup,
+        "stream_valid": q_stream_valid,
+        "stream_dlq": q_stream_dlq,
+        "stream_window_counts": q_stream_window_counts,
+        "key_event_counts": q_key_event_counts,
+        "key_running_count": q_key_running_count,
+        "key_partition_assignment": q_key_partition_assignment,
+        "key_event_counts_stream": q_key_event_counts_stream,
     }
 
 
@@ -378,4 +571,29 @@ def oracle_sql() -> dict[str, str]:
             "eps", "eps_t", 365, 730, "eps.*, CAST(NULL AS DOUBLE) AS margin_pct"),
         "price_with_tax": """SELECT upper(p_name) AS name, p_retailprice AS price,
             p_retailprice * CAST(1.1 AS DOUBLE) AS price_with_tax FROM part""",
+        "parse_events": "WITH " + _EVENTS_SQL + "SELECT * FROM parsed",
+        "late_events": "WITH " + _EVENTS_SQL + """SELECT user_id, timestamp, event_time, kafka_ts,
+            kafka_offset, is_late FROM late""",
+        "validate_events": "WITH " + _EVENTS_SQL + _validated_sql("late"),
+        "dedup_events": "WITH " + _EVENTS_SQL + "SELECT * EXCLUDE (is_late) FROM dd",
+        "valid_events": "WITH " + _EVENTS_SQL + "SELECT * FROM (" + _validated_sql("dd") + ") WHERE is_valid",
+        "dlq_events": "WITH " + _EVENTS_SQL + "SELECT * FROM (" + _validated_sql("dd") + ") WHERE NOT is_valid",
+        "window_counts": "WITH " + _EVENTS_SQL + """, v AS (""" + _validated_sql("dd") + """)
+            SELECT date_trunc('minute', event_time) AS window_start,
+                   date_trunc('minute', event_time) + INTERVAL 1 MINUTE AS window_end,
+                   count(*) AS running_total FROM v WHERE is_valid GROUP BY 1, 2""",
+        "stream_dedup": "WITH " + _EVENTS_SQL + """SELECT user_id, amount, timestamp, source, event_time
+            FROM dd""",
+        "stream_valid": "WITH " + _EVENTS_SQL + "SELECT * FROM (" + _validated_sql("dd") + ") WHERE is_valid",
+        "stream_dlq": "WITH " + _EVENTS_SQL + "SELECT * FROM (" + _validated_sql("dd") + ") WHERE NOT is_valid",
+        "stream_window_counts": "WITH " + _EVENTS_SQL + """, v AS (""" + _validated_sql("dd") + """)
+            SELECT date_trunc('minute', event_time) AS window_start,
+                   date_trunc('minute', event_time) + INTERVAL 1 MINUTE AS window_end,
+                   count(*) AS running_total FROM v WHERE is_valid GROUP BY 1, 2""",
+        "key_event_counts": "WITH " + _ACTIVITY_SQL + "SELECT key, count(*) AS event_count FROM act GROUP BY key",
+        "key_running_count": "WITH " + _ACTIVITY_SQL + """SELECT key, "offset", count(*) OVER (
+            PARTITION BY key ORDER BY "offset" RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+            AS running_count FROM act""",
+        "key_event_counts_stream": "WITH " + _ACTIVITY_SQL + """SELECT key, count(*) AS event_count
+            FROM act GROUP BY key""",
     }

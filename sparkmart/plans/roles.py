@@ -205,3 +205,60 @@ def accounts(spark, sf_dir):
 def priced_items(spark, sf_dir):
     return load(spark, sf_dir, "part").select(
         F.col("p_name").alias("name"), F.col("p_retailprice").alias("price"))
+
+
+# ---- event streams -------------------------------------------------------------
+
+def _json_text(c):
+    return F.when(c.isNull(), F.lit("null")).otherwise(F.concat(F.lit('"'), c, F.lit('"')))
+
+
+def transactions_feed(events: DataFrame) -> DataFrame:
+    """``events`` as messages of the transaction topic (works on a stream too).
+
+    user_id 'U<n>', amount = whole part of value, ISO timestamp text, source =
+    event_type; record time = event second + (event_id mod 7) minutes, so lags
+    of 0..6 minutes occur (3 minutes is exactly on time).  Injected faults:
+    NULL user, amount sent as text, unparseable time, junk message, and
+    messages delivered twice (same record time, next offset).
+    """
+    k = lambda n: (F.col("event_id") % F.lit(n)) == 0
+    amount = F.floor("value").cast("long").cast("string")
+    body = F.concat(
+        F.lit('{"user_id":'),
+        _json_text(F.when(k(EVENT_USER_NULL), F.lit(None).cast("string"))
+                   .otherwise(F.concat(F.lit("U"), F.col("user_id").cast("string")))),
+        F.lit(',"amount":'),
+        F.when(k(EVENT_AMOUNT_TEXT), _json_text(amount)).otherwise(amount),
+        F.lit(',"timestamp":'),
+        _json_text(F.when(k(EVENT_TIME_BAD), F.lit("INVALID_DATE"))
+                   .otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"))),
+        F.lit(',"source":'), _json_text(F.col("event_type")), F.lit("}"))
+    copies = F.when(k(EVENT_REDELIVERED), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return events.select(
+        F.lit(None).cast("string").alias("key"),
+        F.when(k(EVENT_JUNK), F.lit("not json")).otherwise(body).alias("value"),
+        F.lit("transactions").alias("topic"),
+        F.lit(0).alias("partition"),
+        F.col("event_id"),
+        F.timestamp_seconds(F.col("ts").cast("timestamp").cast("long") +
+                            (F.col("event_id") % F.lit(EVENT_LAG_STEPS)) * 60).alias("timestamp"),
+        F.explode(copies).alias("copy")) \
+        .select("key", "value", "topic", "partition",
+                (F.col("event_id") * 2 + F.col("copy")).alias("offset"), "timestamp")
+
+
+def activity_feed(events: DataFrame, partitions: int = 3) -> DataFrame:
+    """``events`` as keyed activity messages: key 'user_<n>', value JSON with
+    epoch seconds, action and whole amount; partition chosen from the key;
+    offset = event_id."""
+    from sparkmart.functions.partition import key_partition
+    key = F.concat(F.lit("user_"), F.col("user_id").cast("string"))
+    value = F.to_json(F.struct(F.col("ts").cast("timestamp").cast("long").alias("timestamp"),
+                               F.col("event_type").alias("action"),
+                               F.floor("value").cast("int").alias("amount")))
+    return events.select(key.alias("key"), value.alias("value"),
+                         F.lit("events_topic").alias("topic"),
+                         key_partition(key, partitions).alias("partition"),
+                         F.col("event_id").alias("offset"),
+                         F.col("ts").cast("timestamp").alias("timestamp"))
