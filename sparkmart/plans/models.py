@@ -2,6 +2,8 @@
 column tests declared on them."""
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +17,7 @@ CATEGORIES = ("HIGH", "MEDIUM", "LOW")
 def stg_payment(payment: DataFrame) -> DataFrame:
     """Projection, ``amount * 1.0`` (decimal stays decimal) and the date part."""
     return payment.select("payment_id", "customer_id", "staff_id", "rental_id", "amount",
-                          (F.col("amount") * F.lit(1.0)).alias("amount_usd"),
+                          (F.col("amount") * F.lit(Decimal("1.0"))).alias("amount_usd"),
                           F.col("payment_date").cast("date").alias("payment_date"))
 
 

@@ -1,0 +1,23 @@
+import os
+import sys
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from sparkmart.session import build_session
+    s = build_session("local[4]", app="sparkmart-tests", shuffle_partitions=4)
+    yield s
+    s.stop()
+
+
+def rows(df, *cols):
+    """Collected rows as plain tuples, sorted (None first)."""
+    cols = cols or df.columns
+    out = [tuple(r[c] for c in cols) for r in df.collect()]
+    return sorted(out, key=lambda t: tuple((x is not None, x) for x in t))

@@ -1,0 +1,23 @@
+import pytest
+
+from conftest import rows
+from sparkmart.plans import tasks as T
+
+
+def test_price_with_tax_golden(spark):
+    df = spark.createDataFrame([("apple", 10), ("banana", 5)], "name string, price int")
+    got = [tuple(r) for r in T.transform_task(df).collect()]
+    assert [(n, p) for n, p, _ in got] == [("APPLE", 10), ("BANANA", 5)]
+    assert [round(x, 10) for _, _, x in got] == [11.0, 5.5]
+
+
+def test_empty_in_empty_out_and_guards(spark, tmp_path):
+    empty = spark.createDataFrame([], "name string, price int")
+    assert T.price_with_tax(empty).count() == 0
+    with pytest.raises(ValueError):
+        T.transform_task(empty)
+    with pytest.raises(ValueError):
+        T.load_task(T.price_with_tax(empty), str(tmp_path / "out"))
+    df = spark.createDataFrame([("apple", 10)], "name string, price int")
+    path = T.load_task(T.price_with_tax(df), str(tmp_path / "ok"))
+    assert rows(spark.read.parquet(path), "name") == [("APPLE",)]
