@@ -94,17 +94,44 @@ def dedup_batch(df: DataFrame, keys: Sequence[str] = DEDUP_KEYS,
     """
     if not keep_null_keys:
         return first_per_key(df, keys, order)
+    nk = _null_key(keys)
+    return first_per_key(df.filter(~nk), keys, order).unionByName(df.filter(nk))
+
+
+def _null_key(keys: Sequence[str]) -> Column:
     has_null = F.lit(False)
     for k in keys:
         has_null = has_null | F.col(k).isNull()
-    return first_per_key(df.filter(~has_null), keys, order).unionByName(df.filter(has_null))
+    return has_null
 
 
-def dedup_stream(df: DataFrame, keys: Sequence[str] = DEDUP_KEYS) -> DataFrame:
+def dedup_stream(df: DataFrame, keys: Sequence[str] = DEDUP_KEYS,
+                 keep_null_keys: bool = False) -> DataFrame:
     """Streaming duplicate removal on the key, applied *before* the watermark so
     rows behind the watermark still reach validation (and the DLQ).  As in the
-    original job the key has no event-time column, so the state is unbounded."""
-    return df.dropDuplicates(list(keys))
+    original job the key has no event-time column, so the state is unbounded.
+
+    With ``keep_null_keys`` rows with a NULL key part bypass the dedup (junk
+    messages no longer collapse into one)."""
+    if not keep_null_keys:
+        return df.dropDuplicates(list(keys))
+    nk = _null_key(keys)
+    return df.filter(~nk).dropDuplicates(list(keys)).unionByName(df.filter(nk))
+
+
+def dedup_stream_bounded(df: DataFrame, keys: Sequence[str] = DEDUP_KEYS,
+                         watermark: str = WATERMARK, rules=None) -> DataFrame:
+    """Bounded-state variant: rows that already fail a rule (late ones
+    included) are split off without state; only the rest is deduplicated with
+    ``dropDuplicatesWithinWatermark``, whose state expires with the watermark.
+    Trade-off: dead-letter rows are not deduplicated."""
+    rules = rules if rules is not None else transaction_rules()
+    flagged = df.withColumn("__reason", first_match(rules))
+    bad = flagged.filter(F.col("__reason").isNotNull()).drop("__reason")
+    good = (flagged.filter(F.col("__reason").isNull()).drop("__reason")
+            .withWatermark("event_time", watermark)
+            .dropDuplicatesWithinWatermark(list(keys)))
+    return good.unionByName(bad)
 
 
 def split(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
