@@ -29,6 +29,10 @@ def build_session(master: str = "local[*]", app: str = "sparkmart",
         # runtime broadcast only after the shuffle stage measured the real size
         .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "32MB")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # streaming state (dedup keys, window counts) off-heap, with changelog checkpoints
+        .config("spark.sql.streaming.stateStore.providerClass",
+                "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+        .config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
         .config("spark.driver.memory", "8g")
     )
     for k, v in (extra or {}).items():
