@@ -392,7 +392,8 @@ def q_key_event_counts(spark, sf):
 
 
 def q_key_running_count(spark, sf):
-    return activity.key_running_count(_activity(spark, sf)).select("key", "offset", "running_count")
+    return activity.key_running_count(_activity(spark, sf)) \
+        .select("key", "partition", "offset", "running_count")
 
 
 def q_key_partition_assignment(spark, sf):
@@ -449,6 +450,29 @@ def _validated_sql(src):
 _ACTIVITY_SQL = """act AS (SELECT 'user_' || CAST(user_id AS VARCHAR) AS key, event_id AS "offset" FROM events)
 """
 
+# CRC-32 (reflected polynomial 0xEDB88320) of each distinct key, in SQL: a
+# 256-entry table generated bit by bit, then a byte-by-byte fold (ASCII keys).
+_KEY_PARTITION_SQL = """WITH RECURSIVE
+  crc_bits(n, c, k) AS (
+    SELECT CAST(i AS BIGINT), CAST(i AS UBIGINT), 0 FROM range(256) r(i)
+    UNION ALL
+    SELECT n, CASE WHEN c & CAST(1 AS UBIGINT) = 1
+                   THEN xor(CAST(3988292384 AS UBIGINT), c >> 1) ELSE c >> 1 END, k + 1
+    FROM crc_bits WHERE k < 8),
+  crc_table AS (SELECT n, c FROM crc_bits WHERE k = 8),
+  """ + _ACTIVITY_SQL + """,
+  act_keys AS (SELECT DISTINCT key FROM act),
+  fold(key, i, crc) AS (
+    SELECT key, 0, CAST(4294967295 AS UBIGINT) FROM act_keys
+    UNION ALL
+    SELECT f.key, f.i + 1, xor(t.c, f.crc >> 8)
+    FROM fold f JOIN crc_table t ON t.n = CAST(xor(f.crc,
+        CAST(ascii(substr(f.key, f.i + 1, 1)) AS UBIGINT)) & CAST(255 AS UBIGINT) AS BIGINT)
+    WHERE f.i < length(f.key)),
+  key_part AS (SELECT key, CAST(xor(crc, CAST(4294967295 AS UBIGINT)) % 3 AS INTEGER) AS partition
+               FROM fold WHERE i = length(key))
+"""
+
 
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the transaction fact built from the sf0.001 tables."""
@@ -591,9 +615,11 @@ def oracle_sql() -> dict[str, str]:
                    date_trunc('minute', event_time) + INTERVAL 1 MINUTE AS window_end,
                    count(*) AS running_total FROM v WHERE is_valid GROUP BY 1, 2""",
         "key_event_counts": "WITH " + _ACTIVITY_SQL + "SELECT key, count(*) AS event_count FROM act GROUP BY key",
-        "key_running_count": "WITH " + _ACTIVITY_SQL + """SELECT key, "offset", count(*) OVER (
-            PARTITION BY key ORDER BY "offset" RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
-            AS running_count FROM act""",
+        "key_running_count": _KEY_PARTITION_SQL + """SELECT a.key, kp.partition, a."offset",
+            count(*) OVER (PARTITION BY a.key ORDER BY kp.partition, a."offset"
+                           RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running_count
+            FROM act a JOIN key_part kp ON a.key = kp.key""",
+        "key_partition_assignment": _KEY_PARTITION_SQL + "SELECT key, partition FROM key_part",
         "key_event_counts_stream": "WITH " + _ACTIVITY_SQL + """SELECT key, count(*) AS event_count
             FROM act GROUP BY key""",
     }
