@@ -106,17 +106,30 @@ def _null_key(keys: Sequence[str]) -> Column:
 
 
 def dedup_stream(df: DataFrame, keys: Sequence[str] = DEDUP_KEYS,
-                 keep_null_keys: bool = False) -> DataFrame:
+                 keep_null_keys: bool = False, spread_null_keys: int = 0) -> DataFrame:
     """Streaming duplicate removal on the key, applied *before* the watermark so
     rows behind the watermark still reach validation (and the DLQ).  As in the
     original job the key has no event-time column, so the state is unbounded.
 
-    With ``keep_null_keys`` rows with a NULL key part bypass the dedup (junk
-    messages no longer collapse into one)."""
-    if not keep_null_keys:
+    Rows with a NULL key part (junk messages: all of them share one key) are
+    the likely hot key.  ``keep_null_keys`` lets them bypass the dedup (junk
+    no longer collapses into one).  ``spread_null_keys=S`` keeps the original
+    result but removes the hot task: NULL-key rows are first deduplicated per
+    (key, salt) over S salts taken from a hash of partition and offset
+    (deterministic under replay), then per key, so the last step sees at most
+    S rows of a key ever.  Both options split the input into two branches,
+    which reads each micro-batch twice.
+    """
+    if not keep_null_keys and spread_null_keys <= 0:
         return df.dropDuplicates(list(keys))
     nk = _null_key(keys)
-    return df.filter(~nk).dropDuplicates(list(keys)).unionByName(df.filter(nk))
+    nulls = df.filter(nk)
+    if not keep_null_keys:
+        ids = [c for c in ("kafka_partition", "kafka_offset") if c in df.columns] or df.columns
+        salt = F.pmod(F.xxhash64(*ids), F.lit(spread_null_keys))
+        nulls = (nulls.withColumn("__salt", salt).dropDuplicates([*keys, "__salt"])
+                 .drop("__salt").dropDuplicates(list(keys)))
+    return df.filter(~nk).dropDuplicates(list(keys)).unionByName(nulls)
 
 
 def dedup_stream_bounded(df: DataFrame, keys: Sequence[str] = DEDUP_KEYS,
