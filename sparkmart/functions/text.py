@@ -13,10 +13,10 @@ def format_phone(c) -> Column:
     """Keep digits only; exactly ten digits become ``(XXX) XXX-XXXX``.
 
     Any other length keeps the original text (not the stripped digits).
-    NULL stays NULL.
+    NULL stays NULL.  ``(?U)`` makes ``\\d`` Unicode-aware, as Python's is.
     """
-    digits = F.regexp_replace(_c(c), r"\D", "")
-    pretty = F.regexp_replace(digits, r"^(\d{3})(\d{3})(\d{4})$", "($1) $2-$3")
+    digits = F.regexp_replace(_c(c), r"(?U)\D", "")
+    pretty = F.regexp_replace(digits, r"(?U)^(\d{3})(\d{3})(\d{4})$", "($1) $2-$3")
     return F.when(F.length(digits) == 10, pretty).otherwise(_c(c))
 
 

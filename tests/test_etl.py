@@ -64,3 +64,12 @@ def test_versioned_write(spark, tmp_path):
     p1 = write_version(df, str(tmp_path), "1")
     p2 = write_version(spark.read.parquet(p1).union(df), str(tmp_path), "2")
     assert spark.read.parquet(p2).count() == 2 and spark.read.parquet(p1).count() == 1
+
+
+def test_phone_unicode_digits_like_python(spark):
+    import re
+    phone = "٥٥٥-123-4567"  # Arabic-Indic fives
+    digits = re.sub(r"\D", "", phone)
+    expect = f"({digits[:3]}) {digits[3:6]}-{digits[6:]}" if len(digits) == 10 else phone
+    df = spark.createDataFrame([(1, phone, "ca")], "id int, phone string, state string")
+    assert E.transform_customers(df).first()["phone"] == expect
