@@ -36,17 +36,23 @@ def top_competitors(submissions: DataFrame, hackers: DataFrame, challenges: Data
     desc then id.  Counts submissions, not distinct challenges.
 
     The full score is attached to each challenge first (the difficulty table is
-    broadcast only after its size is checked), submissions keep only full-score
-    rows through an equi-join on (challenge_id, score), counts are aggregated
+    broadcast only after its size is checked), submissions whose score is no
+    full score at all are dropped map-side (semi-join with the broadcast score
+    set), the rest keep only full-score rows through an equi-join on
+    (challenge_id, score), counts are aggregated
     per hacker before the name is joined, so the name join sees one row per
     hacker.  Re-grouping by (hacker_id, name) keeps the SQL result exact even
     if a hacker id appears twice in ``hackers``.
     """
-    diff, _ = broadcast_if_small(difficulty.select("difficulty_level", "score"), 10_000)
+    diff, small = broadcast_if_small(difficulty.select("difficulty_level", "score"), 10_000)
     full = (challenges.select("challenge_id", "difficulty_level")
             .join(diff, "difficulty_level").select("challenge_id", "score"))
-    hits = submissions.select("hacker_id", "challenge_id", "score") \
-        .join(full, ["challenge_id", "score"])
+    subs = submissions.select("hacker_id", "challenge_id", "score")
+    if small:
+        # a submission can only be a full score if its score is one of the full
+        # scores: a map-side semi-join drops the rest before the big shuffle
+        subs = subs.join(F.broadcast(difficulty.select("score").distinct()), "score", "left_semi")
+    hits = subs.join(full, ["challenge_id", "score"])
     per_hacker = hits.groupBy("hacker_id").agg(F.count("hacker_id").alias("n"))
     named = (per_hacker.join(hackers.select("hacker_id", "name"), "hacker_id")
              .groupBy("hacker_id", "name").agg(F.sum("n").alias("n"))
