@@ -64,3 +64,15 @@ def materialize_table(spark: SparkSession, df: DataFrame, name: str, path: str)
     t = spark.read.parquet(path)
     t.createOrReplaceTempView(name)
     return t
+
+
+def build(spark: SparkSession, payment: DataFrame, customer: DataFrame, table_root: str,
+          high: float = 100, medium: float = 50) -> tuple[DataFrame, DataFrame]:
+    """All layers: staging as a view, intermediate and mart as tables under
+    ``table_root``, then the declared tests.  Returns (mart, checks)."""
+    stg = materialize_view(stg_payment(payment), "stg_payment")
+    inter = materialize_table(spark, int_customer_payment(stg, customer), "int_customer_payment",
+                              f"{table_root}/int_customer_payment")
+    mart = materialize_table(spark, mart_customer_revenue(inter, high, medium),
+                             "mart_customer_revenue", f"{table_root}/mart_customer_revenue")
+    return mart, model_checks(stg, mart)

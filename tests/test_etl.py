@@ -73,3 +73,28 @@ def test_phone_unicode_digits_like_python(spark):
     expect = f"({digits[:3]}) {digits[3:6]}-{digits[6:]}" if len(digits) == 10 else phone
     df = spark.createDataFrame([(1, phone, "ca")], "id int, phone string, state string")
     assert E.transform_customers(df).first()["phone"] == expect
+
+
+def test_incremental_load_all_entities(spark):
+    t_old, t_new = dt.datetime(2024, 3, 1), dt.datetime(2024, 3, 10, 9)
+    cust = spark.createDataFrame([(1, "a", "a@x", "5551234567", "ca", t_new), (2, "b", "b@x", "1", "ny", t_old)],
+                                 "id int, name string, email string, phone string, state string, updated_at timestamp")
+    prod = spark.createDataFrame([(7, "p", "big TOYS", 10.0, 5.0, 1, t_new)],
+                                 "id int, product_name string, category string, price double, cost double, "
+                                 "supplier_id int, updated_at timestamp")
+    sup = spark.createDataFrame([(1, "acme")], "id int, supplier_name string")
+    orders = spark.createDataFrame([(5, 1, dt.date(2024, 3, 10), "NEW", -3.0, t_new)],
+                                   "id int, customer_id int, order_date date, status string, "
+                                   "total_amount double, updated_at timestamp")
+    targets = {
+        "dim_customers": cust.filter("id = 2"),
+        "dim_products": spark.createDataFrame([], "id int, product_name string, category string, price double, "
+                                                  "cost double, updated_at timestamp, supplier_name string, "
+                                                  "margin_pct double"),
+        "fact_orders": orders.limit(0),
+    }
+    out = E.incremental_load(cust, prod, sup, orders, targets, as_of=dt.date(2024, 3, 10))
+    assert rows(out["dim_customers"], "id", "phone", "state") == [(1, "(555) 123-4567", "CA"), (2, "1", "ny")]
+    assert rows(out["dim_products"], "id", "category", "supplier_name", "margin_pct") == \
+        [(7, "Big Toys", "acme", 50.0)]
+    assert rows(out["fact_orders"], "id", "status", "total_amount") == [(5, "new", 0.0)]

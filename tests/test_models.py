@@ -68,3 +68,12 @@ def test_require_rows(spark):
     from sparkmart.operators.quality import require_rows
     with pytest.raises(ValueError):
         require_rows(spark.createDataFrame([], "x int"), "empty")
+
+
+def test_build_all_layers(spark, tmp_path):
+    t = dt.datetime(2024, 1, 2)
+    pay = _payment(spark, [(1, 1, 1, 1, Decimal("60"), t), (2, 2, 1, 2, Decimal("5"), t)])
+    mart, checks = M.build(spark, pay, _customers(spark), str(tmp_path))
+    assert rows(mart, "customer_id", "kategori_customer")[:2] == [(1, "MEDIUM"), (2, "LOW")]
+    assert rows(checks, "failures") == [(0,), (0,), (0,)]
+    assert spark.table("mart_customer_revenue").count() == 6
