@@ -25,9 +25,12 @@ def range_left_join(left: DataFrame, value_col: str, bands: DataFrame, lo_col: s
 
     if bucket_width is None:
         # one aggregate row: the mean band width sets the bucket size, so a
-        # band covers about two buckets on average
-        w = bands.agg(F.avg(hi - lo).alias("w")).first()["w"]
-        bucket_width = float(w) if w and w > 0 else 1.0
+        # band covers about two buckets on average; the widest band covers at
+        # most 4096 buckets (a wider bucket only adds candidates that the
+        # BETWEEN test then rejects, the result stays exact)
+        st = bands.agg(F.avg(hi - lo).alias("avg"), F.max(hi - lo).alias("max")).first()
+        w = max(float(st["avg"] or 0.0), float(st["max"] or 0.0) / 4096)
+        bucket_width = w if w > 0 else 1.0
     width = F.lit(bucket_width)
     spread = (bands
               .withColumn("__bucket", F.explode(F.sequence(

@@ -87,3 +87,12 @@ def test_contest_leaderboard(spark):
     ], "hacker_id int, challenge_id int, score int")
     got = [tuple(r) for r in A.contest_leaderboard(subs, hackers).collect()]
     assert got == [(1, "a", 35), (2, "b", 35)]
+
+
+def test_range_join_one_very_wide_band(spark):
+    from sparkmart.operators.range_join import range_left_join
+    left = spark.createDataFrame([(1, 5.0), (2, 5e11), (3, -1.0)], "id int, v double")
+    bands = spark.createDataFrame([(0, 0.0, 1e12)] + [(i, float(i), i + 0.5) for i in range(1, 400)],
+                                  "b int, lo double, hi double")
+    got = rows(range_left_join(left, "v", bands, "lo", "hi", nested_loop_max_rows=0), "id", "b")
+    assert got == [(1, 0), (1, 5), (2, 0), (3, None)]
