@@ -26,7 +26,9 @@ def build_session(master: str = "local[*]", app: str = "sparkmart",
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        # runtime broadcast only after the shuffle stage measured the real size
+        # no broadcast from compile-time size estimates; explicit hints come after
+        # a row-count check, and AQE broadcasts only after measuring a shuffle stage
+        .config("spark.sql.autoBroadcastJoinThreshold", "-1")
         .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "32MB")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         # streaming state (dedup keys, window counts) off-heap, with changelog checkpoints
