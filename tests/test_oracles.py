@@ -34,3 +34,15 @@ def test_entry_smoke(spark):
 
 def test_every_query_has_an_oracle():
     assert set(E.queries()) == set(ORACLES)
+
+
+@pytest.mark.parametrize("stream,batch", [("stream_dedup", "dedup_events"),
+                                          ("stream_valid", "valid_events"),
+                                          ("stream_dlq", "dlq_events"),
+                                          ("stream_window_counts", "window_counts"),
+                                          ("key_event_counts_stream", "key_event_counts")])
+def test_stream_equals_batch(spark, stream, batch):
+    from compare import rows_of_spark
+    s = E.queries()[stream](spark, SF)
+    b = E.queries()[batch](spark, SF).select(*s.columns)
+    assert rows_of_spark(s) == rows_of_spark(b)
