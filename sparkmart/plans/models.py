@@ -11,6 +11,7 @@ from sparkmart.functions.rules import band
 from sparkmart.functions.text import full_name
 from sparkmart.operators.quality import accepted_values, not_null, run_checks, unique
 
+# fixed values: the customer categories and their accepted-values test
 CATEGORIES = ("HIGH", "MEDIUM", "LOW")
 
 

@@ -54,6 +54,8 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="sparkmart-ckpt-"))
         base = spark.sparkContext.getCheckpointDir()
     return f"{base.rstrip('/')}/sparkmart/{name}/{uuid.uuid4().hex}"
