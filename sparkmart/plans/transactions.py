@@ -66,14 +66,13 @@ def transaction_rules(valid_sources: Sequence[str] = VALID_SOURCES,
     unknown = ~c("source").isin(list(valid_sources))
     if strict_null_source:
         unknown = unknown | c("source").isNull()
-    return [
-        ("missing_user_id", c("user_id").isNull()),
-        ("missing_amount", c("amount").isNull()),
-        ("invalid_timestamp", c("timestamp").isNull() | c("event_time").isNull()),
-        ("amount_out_of_range", (c("amount") < min_amount) | (c("amount") > max_amount)),
-        ("unknown_source", unknown),
-        ("late_event", c("is_late")),
-    ]
+    tests = [c("user_id").isNull(),
+             c("amount").isNull(),
+             c("timestamp").isNull() | c("event_time").isNull(),
+             (c("amount") < min_amount) | (c("amount") > max_amount),
+             unknown,
+             c("is_late")]
+    return list(zip(REASONS, tests))
 
 
 def validate(df: DataFrame, rules: list[tuple[str, Column]] | None = None) -> DataFrame:
