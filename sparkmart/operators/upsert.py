@@ -20,16 +20,17 @@ from sparkmart.operators.sizing import is_small
 
 def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str],
            order_cols: Sequence[str], broadcast_keys_max: int = 2_000_000) -> DataFrame:
-    """``broadcast_keys_max``: when the distinct update keys are proven to be at
-    most this many (one bounded check over the updates), they are broadcast and
-    the anti-join runs map-side, so the (large) target is never shuffled.
-    Otherwise both sides shuffle on the key (sort-merge anti-join)."""
+    """``broadcast_keys_max``: when the update rows (hence their distinct keys)
+    are proven to be at most this many, the keys are broadcast and the
+    anti-join runs map-side, so the (large) target is never shuffled.  The
+    check reads at most ``broadcast_keys_max + 1`` update rows.  Otherwise
+    both sides shuffle on the key (sort-merge anti-join)."""
     missing = set(target.columns) ^ set(updates.columns)
     if missing:
         raise ValueError(f"target and updates differ in columns: {sorted(missing)}")
     latest = last_per_key(updates.select(*target.columns), keys, order_cols)
     update_keys = latest.select(*keys)
-    if broadcast_keys_max > 0 and is_small(update_keys, broadcast_keys_max):
+    if broadcast_keys_max > 0 and is_small(updates, broadcast_keys_max):
         update_keys = F.broadcast(update_keys)
     kept = target.join(update_keys, list(keys), "left_anti")
     return kept.unionByName(latest)

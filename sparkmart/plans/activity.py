@@ -22,7 +22,10 @@ def parse_activity(kafka: DataFrame) -> DataFrame:
     """Record metadata (partition, offset, key) plus the decoded value; the
     epoch-seconds field becomes ``event_time``."""
     d = F.from_json(F.col("value").cast("string"), ACTIVITY_SCHEMA)
-    return kafka.select(F.col("partition"), F.col("offset"),
+    have = set(kafka.columns)
+    part = F.col("partition") if "partition" in have else F.lit(None).cast("int")
+    off = F.col("offset") if "offset" in have else F.lit(None).cast("long")
+    return kafka.select(part.alias("partition"), off.alias("offset"),
                         F.col("key").cast("string").alias("key"), d.alias("d")) \
         .select("partition", "offset", "key", "d.*") \
         .withColumn("event_time", F.timestamp_seconds("timestamp"))

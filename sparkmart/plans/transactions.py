@@ -38,10 +38,17 @@ def parse_events(kafka: DataFrame, schema: StructType = TRANSACTION_SCHEMA,
                  keep_raw: bool = False) -> DataFrame:
     """JSON value -> typed columns (bad fields NULL, junk all NULL), record time
     as ``kafka_ts``, ``event_time`` parsed from the ISO text (bad -> NULL).
-    Partition and offset are kept for a deterministic batch dedup."""
+    Partition and offset are kept for a deterministic batch dedup.  Inputs
+    without these record columns (plain JSON text) get NULLs there."""
     raw = F.col("value").cast("string")
-    cols = [F.from_json(raw, schema).alias("d"), F.col("timestamp").alias("kafka_ts"),
-            F.col("partition").alias("kafka_partition"), F.col("offset").alias("kafka_offset")]
+    have = set(kafka.columns)
+
+    def meta(name, typ):
+        return F.col(name) if name in have else F.lit(None).cast(typ)
+
+    cols = [F.from_json(raw, schema).alias("d"), meta("timestamp", "timestamp").alias("kafka_ts"),
+            meta("partition", "int").alias("kafka_partition"),
+            meta("offset", "long").alias("kafka_offset")]
     if keep_raw:
         cols.append(raw.alias("raw_value"))
     meta = ["kafka_ts", "kafka_partition", "kafka_offset"] + (["raw_value"] if keep_raw else [])
