@@ -228,7 +228,7 @@ def q_price_with_tax(spark, sf):
     return tasks.transform_task(roles.priced_items(spark, sf))
 
 
-_ETL_SQL = """eo AS (SELECT o_orderkey AS id, o_custkey AS customer_id, CAST(o_orderdate AS DATE) AS order_date,
+_ETL_SQL = r"""eo AS (SELECT o_orderkey AS id, o_custkey AS customer_id, CAST(o_orderdate AS DATE) AS order_date,
         o_orderstatus AS status, o_totalprice AS total_amount, o_orderdate AS updated_at FROM orders),
   eo_t AS (SELECT id, customer_id, order_date, lower(coalesce(status, '')) AS status,
         CASE WHEN coalesce(total_amount, 0) < 0 THEN 0 ELSE coalesce(total_amount, 0) END AS total_amount,
@@ -479,8 +479,33 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_fact_transactions(spark, SMOKE_DIR)
 
 
+def _comparable(df: DataFrame) -> DataFrame:
+    """Engine-neutral output types for the cross-engine check: DATE and
+    session-local TIMESTAMP become TIMESTAMP_NTZ, DECIMAL becomes DOUBLE.  The
+    library functions themselves keep the original types."""
+    from pyspark.sql.types import DateType, DecimalType, TimestampType
+    casts = {}
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (DateType, TimestampType)):
+            casts[f.name] = F.col(f.name).cast("timestamp_ntz")
+        elif isinstance(f.dataType, DecimalType):
+            casts[f.name] = F.col(f.name).cast("double")
+    return df.withColumns(casts) if casts else df
+
+
+def _wrap(fn):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return _comparable(fn(spark, sf_dir))
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    return {name: _wrap(fn) for name, fn in _QUERIES.items()}
+
+
+_QUERIES = {
         "fact_transactions": q_fact_transactions,
         "clean_orders": _clean_orders,
         "clean_order_items": _clean_items,
@@ -521,10 +546,25 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "key_running_count": q_key_running_count,
         "key_partition_assignment": q_key_partition_assignment,
         "key_event_counts_stream": q_key_event_counts_stream,
-    }
+}
+
+
+def _ts(sql: str, *cols: str) -> str:
+    """DATE columns of an oracle result as TIMESTAMP (see ``_comparable``)."""
+    rep = ", ".join(f"CAST({c} AS TIMESTAMP) AS {c}" for c in cols)
+    return f"SELECT * REPLACE ({rep}) FROM ({sql}) AS q"
 
 
 def oracle_sql() -> dict[str, str]:
+    sql = _oracle_sql()
+    for name in ("fact_transactions", "clean_orders", "fact_preview", "fact_roundtrip",
+                 "incremental_extract", "transform_orders", "upsert_orders"):
+        sql[name] = _ts(sql[name], "order_date")
+    sql["stg_payment"] = _ts(sql["stg_payment"], "payment_date")
+    return sql
+
+
+def _oracle_sql() -> dict[str, str]:
     w = "WITH " + _ORDERS_SQL
     return {
         "fact_transactions": w + "SELECT * FROM fact",
