@@ -7,8 +7,12 @@ rounded on both sides.
 """
 from __future__ import annotations
 
+import os
+import sys
 from collections.abc import Callable
 
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
