@@ -12,7 +12,12 @@ from sparkmart.session import build_session  # noqa: E402
 
 sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
 names = sys.argv[2:]
-spark = build_session("local[8]", shuffle_partitions=8)
+if os.environ.get("PLAIN_SESSION"):
+    from pyspark.sql import SparkSession
+    spark = (SparkSession.builder.master("local[*]")
+             .config("spark.sql.shuffle.partitions", "8").getOrCreate())
+else:
+    spark = build_session("local[8]", shuffle_partitions=8)
 con = duck(sf)
 qs, oracles = E.queries(), E.oracle_sql()
 bad = 0
