@@ -50,3 +50,13 @@ def keyed_json(df: DataFrame, key: str, value_cols) -> DataFrame:
     """Producer side: key text + JSON of the value columns (for a Kafka sink)."""
     return df.select(F.col(key).cast("string").alias("key"),
                      F.to_json(F.struct(*value_cols)).alias("value"))
+
+
+def order_like_log(df: DataFrame, partitions: int = PARTITIONS, key: str = "key") -> DataFrame:
+    """Rows laid out the way the log holds them: all rows of a key in one task
+    (hash of the log partition), ordered by (partition, offset) inside it, so a
+    per-partition consumer sees each key's events in order.  Computes the
+    partition from the key when the column is absent."""
+    if "partition" not in df.columns:
+        df = assign_partitions(df, key, partitions)
+    return df.repartition(partitions, "partition").sortWithinPartitions("partition", "offset")

@@ -73,3 +73,17 @@ def test_keyed_json(spark):
     df = spark.createDataFrame([("user_1", 5, "login")], "k string, amount int, action string")
     r = A.keyed_json(df, "k", ["action", "amount"]).first()
     assert r["key"] == "user_1" and json.loads(r["value"]) == {"action": "login", "amount": 5}
+
+
+def test_order_like_log(spark):
+    df = spark.createDataFrame([(f"user_{i % 5}", i) for i in range(200)], "key string, offset long")
+    out = A.order_like_log(df, 3)
+    per_task = out.rdd.glom().collect()
+    seen = {}
+    for t, part in enumerate(per_task):
+        offsets = {}
+        for r in part:
+            assert seen.setdefault(r["key"], t) == t          # a key lives in one task
+            assert offsets.get(r["key"], -1) < r["offset"]     # in offset order
+            offsets[r["key"]] = r["offset"]
+    assert sum(len(p) for p in per_task) == 200
