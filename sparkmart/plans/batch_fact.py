@@ -65,8 +65,8 @@ def run(spark: SparkSession, orders_csv: str, items_csv: str, out_path: str,
     write job instead of re-running the plan per count."""
     from pyspark.sql import Observation
 
-    orders_raw = read_csv_strings(spark, orders_csv, ORDER_COLUMNS)
-    items_raw = read_csv_strings(spark, items_csv, ITEM_COLUMNS)
+    orders_raw = read_csv_strings(spark, orders_csv)
+    items_raw = read_csv_strings(spark, items_csv)
     o_obs, i_obs, f_obs = Observation("orders"), Observation("items"), Observation("fact")
     orders = clean_orders(orders_raw, key_type).observe(o_obs, F.count(F.lit(1)).alias("rows"))
     items = clean_order_items(items_raw, key_type).observe(i_obs, F.count(F.lit(1)).alias("rows"))

@@ -7,16 +7,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
 
-def read_csv_strings(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
-    """CSV with a header, every column read as text (no schema inference pass).
-
-    Typing happens later with ``try_cast`` so a bad cell becomes NULL instead of
-    failing the job.  Declaring the schema avoids the extra full read that
-    ``inferSchema`` costs on large inputs.
+def read_csv_strings(spark: SparkSession, path: str,
+                     columns: Sequence[str] | None = None) -> DataFrame:
+    """CSV with a header, every column read as text; no inference pass.
+
+    Without ``columns`` the names come from the header (only the first line is
+    read for them); with ``columns`` that schema is declared up front.  Typing
+    happens later with ``try_cast`` so a bad cell becomes NULL instead of
+    failing the job.
     """
+    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
+    if columns is None:
+        return reader.option("inferSchema", False).csv(path)
     schema = StructType([StructField(c, StringType(), True) for c in columns])
-    return (spark.read.schema(schema).option("header", True)
-            .option("mode", "PERMISSIVE").csv(path))
+    return reader.schema(schema).csv(path)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
