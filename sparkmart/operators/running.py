@@ -7,9 +7,10 @@ divided by a block size):
 
 1. rows per (key, block): a partial aggregate, one row per block;
 2. rows in earlier blocks of the same key: a window over that small table;
-3. the count inside the block: a window over (key, block), at most one block
-   of rows per task;
-4. the two added together after an equi-join on (key, block).
+3. those prefix rows are added to the data as one marker row per block, and a
+   single windowed sum over (key, block) — at most one block of rows per task
+   — gives prefix + rows so far.  The large input is shuffled once, and NULL
+   keys group together as in PARTITION BY.
 
 Peers (rows equal on the ordering) get the same count, as with the default
 RANGE frame of SQL.
@@ -30,15 +31,12 @@ def running_count(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str],
     per_block = b.groupBy(*keys, *names).agg(F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy(*keys).orderBy(*names) \
         .rowsBetween(Window.unboundedPreceding, -1)
-    prefix = per_block.select(
-        *[F.col(k).alias(f"__k_{k}") for k in keys],
-        *[F.col(n).alias(f"__p{n}") for n in names],
-        F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
-
-    inside = Window.partitionBy(*keys, *names).orderBy(*order_cols)
-    ranked = b.withColumn("__inside", F.count(F.lit(1)).over(inside))
-    cond = [ranked[k].eqNullSafe(prefix[f"__k_{k}"]) for k in keys] + \
-           [ranked[n] == prefix[f"__p{n}"] for n in names]
-    return (ranked.join(prefix, cond, "inner")
-            .select(*[ranked[c] for c in df.columns],
-                    (F.col("__before") + F.col("__inside")).alias(out)))
+    prefix = per_block.select(*keys, *names,
+                              F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__w"),
+                              F.lit(0).alias("__marker"))
+    data = b.select("*", F.lit(1).cast("bigint").alias("__w"), F.lit(1).alias("__marker"))
+    both = data.unionByName(prefix, allowMissingColumns=True)
+    upto = Window.partitionBy(*keys, *names).orderBy("__marker", *order_cols)
+    return (both.withColumn(out, F.sum("__w").over(upto))
+            .filter(F.col("__marker") == 1)
+            .select(*df.columns, out))
