@@ -59,3 +59,27 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="sparkmart-ckpt-"))
         base = spark.sparkContext.getCheckpointDir()
     return f"{base.rstrip('/')}/sparkmart/{name}/{uuid.uuid4().hex}"
+
+
+def sizing_conf(input_bytes: int, executors: int, cores_per_executor: int,
+                target_partition_bytes: int = 200 << 20) -> dict[str, str]:
+    """Settings for a cluster run sized from the input volume.
+
+    About ``target_partition_bytes`` per shuffle partition (AQE coalesces
+    small ones and splits skewed ones), at least two waves of tasks over all
+    cores, and scan splits of 256 MB so a task's input and its sort buffers
+    fit in executor memory instead of spilling.
+    """
+    cores = max(1, executors * cores_per_executor)
+    shuffle = max(2 * cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    }

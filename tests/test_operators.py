@@ -37,3 +37,10 @@ def test_upsert_rejects_column_mismatch(spark):
     b = spark.createDataFrame([(1,)], "id int")
     with pytest.raises(ValueError):
         upsert(a, b, ["id"], ["id"])
+
+
+def test_sizing_conf_for_100tb():
+    from sparkmart.session import sizing_conf
+    c = sizing_conf(100 * 2**40, executors=1000, cores_per_executor=8)
+    assert int(c["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (200 << 20)
+    assert int(sizing_conf(10 << 20, 2, 4)["spark.sql.shuffle.partitions"]) == 16
