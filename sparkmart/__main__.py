@@ -1,4 +1,5 @@
-"""Run a whole job: ``spark-submit -m sparkmart <job> ...`` or ``python -m sparkmart <job> ...``.
+"""Run a whole job: ``python -m sparkmart <job> ...`` or
+``spark-submit --py-files <repo>.zip sparkmart/__main__.py <job> ...``.
 
 Jobs:
   batch-fact     --orders CSV --items CSV --out DIR
@@ -13,10 +14,14 @@ from __future__ import annotations
 
 import argparse
 import json
+import os
 import sys
 
 from pyspark.sql import SparkSession
 
+if __package__ in (None, ""):  # run as a script: make the package importable
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 
 def _session(local: bool) -> SparkSession:
     if local:
