@@ -13,6 +13,16 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+def _driver_memory() -> str:
+    """Up to 60% of physical memory, at most 8 GB (local mode: the driver is the executor)."""
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+    except (ValueError, OSError, AttributeError):
+        return "4g"
+    mb = max(1024, min(8192, int(total * 0.6) >> 20))
+    return f"{mb}m"
+
+
 def build_session(master: str = "local[*]", app: str = "sparkmart",
                   shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:
@@ -35,7 +45,7 @@ def build_session(master: str = "local[*]", app: str = "sparkmart",
         .config("spark.sql.streaming.stateStore.providerClass",
                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
         .config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
-        .config("spark.driver.memory", "8g")
+        .config("spark.driver.memory", _driver_memory())
     )
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
