@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkmart.functions.rules import masked
-from sparkmart.operators.group_extreme import rows_at_group_min
 from sparkmart.operators.range_join import range_left_join
 from sparkmart.operators.sizing import broadcast_if_small
 
@@ -60,13 +59,45 @@ def top_competitors(submissions: DataFrame, hackers: DataFrame, challenges: Data
     return named.orderBy(F.col("n").desc(), F.col("hacker_id").asc()).select("hacker_id", "name")
 
 
-def cheapest_per_group(wands: DataFrame, props: DataFrame) -> DataFrame:
+def cheapest_per_group(wands: DataFrame, props: DataFrame,
+                       broadcast_max_rows: int = 1_000_000) -> DataFrame:
     """Non-evil wands at the minimum coins of their (age, power); ties kept;
-    sorted by power desc, age desc."""
-    w = (wands.select("id", "code", "coins_needed", "power")
-         .join(props.filter(F.col("is_evil") == 0).select("code", "age"), "code")
-         .select("id", "age", "power", "coins_needed"))
-    best = rows_at_group_min(w, ["age", "power"], "coins_needed")
+    sorted by power desc, age desc.
+
+    The wand table (the large one) is never shuffled whole:
+
+    1. partial ``min(coins)`` per (code, power) on the wands; only that reduced
+       table moves;
+    2. the non-evil properties attach the age; ``min`` per (age, power);
+    3. "winners" are the (code, power) groups whose own minimum is their
+       (age, power) minimum: a wand is in the answer exactly when its (code,
+       power, coins) matches a winner (its group minimum can be no lower than
+       the (age, power) minimum, and it equals it iff the wand holds it);
+    4. the winners (about one per group) are checkpointed to the shared
+       folder, their row count proven, and broadcast, so the wands are matched
+       map-side.  Above ``broadcast_max_rows`` the match is a shuffled join.
+    """
+    from sparkmart.operators.sizing import is_small
+    from sparkmart.session import ensure_checkpoint_dir
+
+    w = wands.select("id", "code", "coins_needed", "power")
+    good = props.filter(F.col("is_evil") == 0).select("code", "age")
+    per_code = (w.groupBy("code", "power").agg(F.min("coins_needed").alias("c1"))
+                .join(good, "code"))
+    per_group = per_code.groupBy("age", "power").agg(F.min("c1").alias("cmin")) \
+        .select(F.col("age").alias("g_age"), F.col("power").alias("g_power"), "cmin")
+    winners = (per_code.join(per_group, per_code["age"].eqNullSafe(per_group["g_age"]) &
+                             per_code["power"].eqNullSafe(per_group["g_power"]))
+               .filter(F.col("c1") == F.col("cmin"))
+               .select(F.col("code").alias("w_code"), F.col("power").alias("w_power"),
+                       F.col("cmin").alias("w_coins"), F.col("age")))
+    ensure_checkpoint_dir(wands.sparkSession)
+    winners = winners.checkpoint(eager=True)
+    if is_small(winners, broadcast_max_rows):
+        winners = F.broadcast(winners)
+    best = w.join(winners, (w["code"] == winners["w_code"]) &
+                  w["power"].eqNullSafe(winners["w_power"]) &
+                  (w["coins_needed"] == winners["w_coins"]))
     return (best.orderBy(F.col("power").desc(), F.col("age").desc())
             .select("id", "age", "coins_needed", "power"))
 

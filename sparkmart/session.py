@@ -93,3 +93,19 @@ def sizing_conf(input_bytes: int, executors: int, cores_per_executor: int,
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     }
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The reliable-checkpoint folder: the session's ``spark.checkpoint.dir``
+    (a temporary folder only for local runs where it is unset)."""
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+        base = tempfile.mkdtemp(prefix="sparkmart-ckpt-")
+    sc.setCheckpointDir(base)
+    return sc.getCheckpointDir()

@@ -67,3 +67,17 @@ def test_first_per_key_equals_row_number(spark, data):
     ref = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy("o"))) \
         .filter("rn = 1").drop("rn")
     assert rows(first_per_key(df, ["k"], ["o"])) == rows(ref)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 30), st.integers(0, 4), st.one_of(st.none(), st.integers(0, 6)),
+                          small_int), min_size=1, max_size=40),
+       st.lists(st.tuples(st.integers(0, 4), small_int, st.integers(0, 1)), min_size=1, max_size=8))
+def test_cheapest_per_group_equals_window(spark, wands, props):
+    from sparkmart.plans.analytics import cheapest_per_group
+    w = spark.createDataFrame(wands, "id int, code int, coins_needed int, power int")
+    p = spark.createDataFrame(props, "code int, age int, is_evil int")
+    j = w.join(p.filter("is_evil = 0"), "code")
+    ref = (j.withColumn("m", F.min("coins_needed").over(Window.partitionBy("age", "power")))
+           .filter(F.col("coins_needed") == F.col("m")).select("id", "age", "coins_needed", "power"))
+    assert rows(cheapest_per_group(w, p, broadcast_max_rows=5)) == rows(ref)
