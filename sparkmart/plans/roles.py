@@ -13,14 +13,15 @@ from pyspark.sql import functions as F
 
 from sparkmart.sources.tables import load
 
-# fixed values of the fault injection: key divisors for each kind of bad cell
+# parameters of the fault injection (ours): one in n keys gets each kind of bad cell
 ORDER_USER_NULL, ORDER_USER_TEXT, ORDER_DATE_BAD = 97, 89, 83
 ITEM_QTY_ZERO, ITEM_QTY_FRACTION, ITEM_QTY_TEXT, ITEM_QTY_NULL, ITEM_QTY_NEG = 101, 103, 107, 109, 113
 EVENT_USER_NULL, EVENT_AMOUNT_TEXT, EVENT_TIME_BAD, EVENT_JUNK, EVENT_REDELIVERED = 17, 19, 31, 101, 53
 EVENT_LAG_STEPS = 7  # record time = event time + (event_id mod 7) minutes
 
 
-def _k(c: str, n: int):
+def _every(c: str, n: int):
+    """True for one key in ``n`` (the key is a multiple of n)."""
     return (F.col(c) % F.lit(n)) == 0
 
 
@@ -30,21 +31,21 @@ def csv_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = load(spark, sf_dir, "orders")
     return o.select(
         F.col("o_orderkey").cast("string").alias("order_id"),
-        F.when(_k("o_orderkey", ORDER_USER_NULL), F.lit(None).cast("string"))
-         .when(_k("o_orderkey", ORDER_USER_TEXT), F.lit("x"))
+        F.when(_every("o_orderkey", ORDER_USER_NULL), F.lit(None).cast("string"))
+         .when(_every("o_orderkey", ORDER_USER_TEXT), F.lit("x"))
          .otherwise(F.col("o_custkey").cast("string")).alias("user_id"),
-        F.when(_k("o_orderkey", ORDER_DATE_BAD), F.date_format("o_orderdate", "dd/MM/yyyy"))
+        F.when(_every("o_orderkey", ORDER_DATE_BAD), F.date_format("o_orderdate", "dd/MM/yyyy"))
          .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("order_date"),
         F.col("o_totalprice").cast("string").alias("total_amount"))
 
 
 def csv_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = load(spark, sf_dir, "lineitem")
-    qty = (F.when(_k("l_orderkey", ITEM_QTY_ZERO), F.lit("0"))
-           .when(_k("l_orderkey", ITEM_QTY_FRACTION), F.lit("2.5"))
-           .when(_k("l_orderkey", ITEM_QTY_TEXT), F.lit("x"))
-           .when(_k("l_orderkey", ITEM_QTY_NULL), F.lit(None).cast("string"))
-           .when(_k("l_orderkey", ITEM_QTY_NEG), F.lit("-1"))
+    qty = (F.when(_every("l_orderkey", ITEM_QTY_ZERO), F.lit("0"))
+           .when(_every("l_orderkey", ITEM_QTY_FRACTION), F.lit("2.5"))
+           .when(_every("l_orderkey", ITEM_QTY_TEXT), F.lit("x"))
+           .when(_every("l_orderkey", ITEM_QTY_NULL), F.lit(None).cast("string"))
+           .when(_every("l_orderkey", ITEM_QTY_NEG), F.lit("-1"))
            .otherwise(F.col("l_quantity").cast("string")))
     return li.select(F.col("l_orderkey").cast("string").alias("order_id"),
                      F.col("l_partkey").cast("string").alias("product_id"),
@@ -222,7 +223,9 @@ def transactions_feed(events: DataFrame) -> DataFrame:
     NULL user, amount sent as text, unparseable time, junk message, and
     messages delivered twice (same record time, next offset).
     """
-    k = lambda n: (F.col("event_id") % F.lit(n)) == 0
+    def k(n):
+        return _every("event_id", n)
+
     amount = F.floor("value").cast("long").cast("string")
     body = F.concat(
         F.lit('{"user_id":'),
