@@ -19,3 +19,46 @@ def test_batch_fact_job_from_the_command_line():
     assert out.returncode == 0, out.stderr[-2000:]
     assert '{"orders": 2, "order_items": 2, "joined": 2}' in out.stdout
     assert "31.5" in out.stdout and "-1" in out.stdout
+
+
+def test_analytics_job_from_the_command_line(spark):
+    d = tempfile.mkdtemp(prefix="cli-")
+    spark.createDataFrame([(1.0, 5.0), (4.0, 1.0)], "lat_n double, long_w double") \
+        .write.parquet(f"{d}/station")
+    out = subprocess.run(
+        [sys.executable, "-m", "sparkmart", "--local", "analytics", "--tables", d,
+         "--query", "extent_distance", "--out", f"{d}/result"],
+        cwd=ROOT, capture_output=True, text=True, timeout=600)
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert spark.read.parquet(f"{d}/result").first()["distance"] == 7.0
+
+
+def test_load_job_writes_new_versions(spark):
+    import datetime as dt
+    import json
+    d = tempfile.mkdtemp(prefix="cli-")
+    t_new = dt.datetime(2024, 3, 10, 9)
+    cust = spark.createDataFrame([(1, "a", "a@x", "5551234567", "ca", t_new)],
+                                 "id int, name string, email string, phone string, state string, updated_at timestamp")
+    prod = spark.createDataFrame([(7, "p", "toys", 10.0, 5.0, 1, t_new)],
+                                 "id int, product_name string, category string, price double, cost double, "
+                                 "supplier_id int, updated_at timestamp")
+    sup = spark.createDataFrame([(1, "acme")], "id int, supplier_name string")
+    orders = spark.createDataFrame([(5, 1, dt.date(2024, 3, 10), "NEW", 3.0, t_new)],
+                                   "id int, customer_id int, order_date date, status string, "
+                                   "total_amount double, updated_at timestamp")
+    for name, df in {"customers": cust, "products": prod, "suppliers": sup, "orders": orders}.items():
+        df.write.parquet(f"{d}/src/{name}")
+    cust.limit(0).write.parquet(f"{d}/tgt/dim_customers")
+    orders.limit(0).write.parquet(f"{d}/tgt/fact_orders")
+    spark.createDataFrame([], "id int, product_name string, category string, price double, cost double, "
+                              "updated_at timestamp, supplier_name string, margin_pct double") \
+        .write.parquet(f"{d}/tgt/dim_products")
+    out = subprocess.run(
+        [sys.executable, "-m", "sparkmart", "--local", "load", "--source", f"{d}/src",
+         "--target", f"{d}/tgt", "--out", f"{d}/out", "--as-of", "2024-03-10"],
+        cwd=ROOT, capture_output=True, text=True, timeout=600)
+    assert out.returncode == 0, out.stderr[-2000:]
+    paths = json.loads(out.stdout.strip().splitlines()[-1])
+    assert spark.read.parquet(paths["fact_orders"]).first()["status"] == "new"
+    assert spark.read.parquet(paths["dim_customers"]).first()["phone"] == "(555) 123-4567"
