@@ -62,12 +62,9 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = spark.sparkContext.getCheckpointDir()
+        base = ensure_checkpoint_dir(spark)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="sparkmart-ckpt-"))
-        base = spark.sparkContext.getCheckpointDir()
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     return f"{base.rstrip('/')}/sparkmart/{name}/{uuid.uuid4().hex}"
 
 
@@ -98,7 +95,10 @@ def sizing_conf(input_bytes: int, executors: int, cores_per_executor: int,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The reliable-checkpoint folder: the session's ``spark.checkpoint.dir``
     (a temporary folder only for local runs where it is unset)."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server uses spark.checkpoint.dir itself
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     current = sc.getCheckpointDir()
     if current:
         return current
