@@ -315,21 +315,21 @@ def q_dedup_events(spark, sf):
                 "kafka_ts", "event_time")
 
 
-def _pipeline(spark, sf):
+def _validated_events(spark, sf):
     feed = roles.transactions_feed(spark.read.parquet(f"{sf}/events.parquet"))
-    return transactions.batch_pipeline(feed, _event_rules())
+    return transactions.validate_batch(feed, _event_rules())
 
 
 def q_valid_events(spark, sf):
-    return _ntz(transactions.split(_pipeline(spark, sf))[0], "event_time")
+    return _ntz(transactions.split(_validated_events(spark, sf))[0], "event_time")
 
 
 def q_dlq_events(spark, sf):
-    return _ntz(transactions.split(_pipeline(spark, sf))[1], "event_time")
+    return _ntz(transactions.split(_validated_events(spark, sf))[1], "event_time")
 
 
 def q_window_counts(spark, sf):
-    valid = transactions.split(_pipeline(spark, sf))[0]
+    valid = transactions.split(_validated_events(spark, sf))[0]
     return _ntz(transactions.flat_windows(transactions.window_counts(valid)),
                 "window_start", "window_end")
 

@@ -169,7 +169,7 @@ def flat_windows(counts: DataFrame) -> DataFrame:
                          F.col("window.end").alias("window_end"), "running_total")
 
 
-def batch_pipeline(kafka: DataFrame, rules=None, late_seconds: int = LATE_AFTER_SECONDS) -> DataFrame:
+def validate_batch(kafka: DataFrame, rules=None, late_seconds: int = LATE_AFTER_SECONDS) -> DataFrame:
     """The whole chain on a bounded input: parse, flag late, dedup, validate."""
     parsed = flag_late(parse_events(kafka), late_seconds)
     return validate(dedup_batch(parsed), rules).select(*OUTPUT_COLUMNS)
