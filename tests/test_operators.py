@@ -44,3 +44,11 @@ def test_sizing_conf_for_100tb():
     c = sizing_conf(100 * 2**40, executors=1000, cores_per_executor=8)
     assert int(c["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (200 << 20)
     assert int(sizing_conf(10 << 20, 2, 4)["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_pick_is_deterministic_on_ties(spark):
+    data = [(1, f"v{i}", 5) for i in range(50)]
+    a = spark.createDataFrame(data, "k int, v string, o int").repartition(7)
+    b = spark.createDataFrame(list(reversed(data)), "k int, v string, o int").repartition(3)
+    assert rows(last_per_key(a, ["k"], ["o"])) == rows(last_per_key(b, ["k"], ["o"]))
+    assert rows(first_per_key(a, ["k"], ["o"])) == rows(first_per_key(b, ["k"], ["o"]))
