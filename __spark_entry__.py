@@ -347,14 +347,40 @@ def _run(query):
         raise RuntimeError(str(query.exception()))
 
 
+class _stream_partitions:
+    """While a registered stream query starts, one shuffle partition per core.
+
+    A streaming query fixes the partition count of its state stores when it
+    first starts; the replay of one table needs no more than the cores of
+    this machine (a 200-partition default only adds state-store commits).
+    The session value is restored afterwards; results do not depend on it.
+    """
+
+    def __init__(self, spark):
+        self.spark = spark
+
+    def __enter__(self):
+        key = "spark.sql.shuffle.partitions"
+        self.old = self.spark.conf.get(key)
+        cores = os.cpu_count() or 8
+        if int(self.old) > cores:
+            self.spark.conf.set(key, str(cores))
+        return self
+
+    def __exit__(self, *exc):
+        self.spark.conf.set("spark.sql.shuffle.partitions", self.old)
+        return False
+
+
 def q_stream_dedup(spark, sf):
     from sparkmart.session import scratch_dir
     out, ck = scratch_dir(spark, "stream_dedup_out"), scratch_dir(spark, "stream_dedup_ck")
     feed = roles.transactions_feed(_event_stream(spark, sf))
     rows = transactions.dedup_stream(transactions.parse_events(feed)) \
         .select("user_id", "amount", "timestamp", "source", "event_time")
-    _run(rows.writeStream.format("parquet").option("path", out)
-         .option("checkpointLocation", ck).trigger(availableNow=True).start())
+    with _stream_partitions(spark):
+        _run(rows.writeStream.format("parquet").option("path", out)
+             .option("checkpointLocation", ck).trigger(availableNow=True).start())
     return _ntz(spark.read.parquet(out), "event_time")
 
 
@@ -363,7 +389,8 @@ def _stream_records(spark, sf, valid):
     from sparkmart.streaming import transactions as ST
     out, ck = scratch_dir(spark, "stream_out"), scratch_dir(spark, "stream_ck")
     v = ST.validated_stream(roles.transactions_feed(_event_stream(spark, sf)), _event_rules())
-    _run(ST.start_record_sink(v, valid, out, ck, trigger="availableNow"))
+    with _stream_partitions(spark):
+        _run(ST.start_record_sink(v, valid, out, ck, trigger="availableNow"))
     return _ntz(spark.read.parquet(out), "event_time")
 
 
@@ -380,8 +407,9 @@ def q_stream_window_counts(spark, sf):
     from sparkmart.streaming import transactions as ST
     out, ck = scratch_dir(spark, "report_out"), scratch_dir(spark, "report_ck")
     v = ST.validated_stream(roles.transactions_feed(_event_stream(spark, sf)), _event_rules())
-    q, _ = ST.start_window_report(v, out, ck, trigger="availableNow")
-    _run(q)
+    with _stream_partitions(spark):
+        q, _ = ST.start_window_report(v, out, ck, trigger="availableNow")
+        _run(q)
     return _ntz(spark.read.parquet(out).select("window_start", "window_end", "running_total"),
                 "window_start", "window_end")
 
@@ -408,8 +436,9 @@ def q_key_event_counts_stream(spark, sf):
     from sparkmart.session import scratch_dir
     from sparkmart.streaming import activity as SA
     out, ck = scratch_dir(spark, "keys_out"), scratch_dir(spark, "keys_ck")
-    _run(SA.start_key_counts(roles.activity_feed(_event_stream(spark, sf)), out, ck,
-                             trigger="availableNow"))
+    with _stream_partitions(spark):
+        _run(SA.start_key_counts(roles.activity_feed(_event_stream(spark, sf)), out, ck,
+                                 trigger="availableNow"))
     return SA.read_key_counts(spark, out)
 
 
