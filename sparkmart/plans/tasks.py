@@ -1,11 +1,20 @@
 """The small extract/transform/load task chain."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkmart.operators.quality import require_rows
 
+# fixed values: the sample records of the extract step
+SAMPLE_RECORDS = [{"name": "apple", "price": 10}, {"name": "banana", "price": 5}]
+
+
+def extract_task(spark: SparkSession, records=None) -> DataFrame:
+    """In-memory records (list of dicts) as a DataFrame with an explicit schema."""
+    data = SAMPLE_RECORDS if records is None else records
+    return spark.createDataFrame([(r["name"], r["price"]) for r in data], "name string, price int")
+
 
 def price_with_tax(df: DataFrame, rate: float = 1.1) -> DataFrame:
     """Upper-case name, keep price, add price * rate.  Empty in, empty out."""

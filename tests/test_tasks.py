@@ -21,3 +21,11 @@ def test_empty_in_empty_out_and_guards(spark, tmp_path):
     df = spark.createDataFrame([("apple", 10)], "name string, price int")
     path = T.load_task(T.price_with_tax(df), str(tmp_path / "ok"))
     assert rows(spark.read.parquet(path), "name") == [("APPLE",)]
+
+
+def test_extract_transform_load_chain(spark, tmp_path):
+    out = T.load_task(T.transform_task(T.extract_task(spark)), str(tmp_path / "loaded"))
+    got = rows(spark.read.parquet(out), "name", "price")
+    assert got == [("APPLE", 10), ("BANANA", 5)]
+    with pytest.raises(ValueError):
+        T.transform_task(T.extract_task(spark, records=[]))
