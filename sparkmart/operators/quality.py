@@ -30,6 +30,20 @@ def unique(df: DataFrame, cols: str | Sequence[str], name: str | None = None) ->
     return _row(dup, name or f"unique({','.join(cols)})", F.count(F.lit(1)))
 
 
+def key_checks(df: DataFrame, col: str) -> DataFrame:
+    """not_null and unique of one column from a single aggregation: rows per
+    value (partial counts), where the NULL group's size is the not_null
+    result and the non-NULL groups above one the unique result."""
+    per_value = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+    both = per_value.agg(
+        F.coalesce(F.sum(F.when(F.col(col).isNull(), F.col("n"))), F.lit(0)).cast("bigint").alias("nn"),
+        F.count_if(F.col(col).isNotNull() & (F.col("n") > 1)).cast("bigint").alias("uq"))
+    return both.select(F.explode(F.array(
+        F.struct(F.lit(f"not_null({col})").alias("check_name"), F.col("nn").alias("failures")),
+        F.struct(F.lit(f"unique({col})").alias("check_name"), F.col("uq").alias("failures")))
+    ).alias("c")).select("c.check_name", "c.failures")
+
+
 def accepted_values(df: DataFrame, col: str, values: Sequence, name: str | None = None) -> DataFrame:
     bad = df.filter(~F.col(col).isin(list(values))).select(col).distinct()
     return _row(bad, name or f"accepted_values({col})", F.count(F.lit(1)))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sparkmart.functions.rules import band
 from sparkmart.functions.text import full_name
-from sparkmart.operators.quality import accepted_values, not_null, run_checks, unique
+from sparkmart.operators.quality import accepted_values, key_checks, run_checks
 
 # fixed values: the customer categories and their accepted-values test
 CATEGORIES = ("HIGH", "MEDIUM", "LOW")
@@ -49,7 +49,7 @@ def mart_customer_revenue(base: DataFrame, high: float = 100, medium: float = 50
 
 def model_checks(stg: DataFrame, mart: DataFrame) -> DataFrame:
     """The declared tests: not_null + unique on payment_id, accepted values on the category."""
-    return run_checks(not_null(stg, "payment_id"), unique(stg, "payment_id"),
+    return run_checks(key_checks(stg, "payment_id"),
                       accepted_values(mart, "kategori_customer", CATEGORIES))
 
 

@@ -77,3 +77,9 @@ def test_build_all_layers(spark, tmp_path):
     assert rows(mart, "customer_id", "kategori_customer")[:2] == [(1, "MEDIUM"), (2, "LOW")]
     assert rows(checks, "failures") == [(0,), (0,), (0,)]
     assert spark.table("mart_customer_revenue").count() == 6
+
+
+def test_key_checks_equal_separate_checks(spark):
+    from sparkmart.operators.quality import key_checks, not_null, run_checks, unique
+    df = spark.createDataFrame([(1,), (1,), (2,), (None,), (None,), (3,), (3,), (3,)], "k int")
+    assert rows(key_checks(df, "k")) == rows(run_checks(not_null(df, "k"), unique(df, "k")))
