@@ -283,8 +283,14 @@ EVENT_SOURCES = ("click", "view", "purchase")
 EVENT_MAX_AMOUNT = 300
 
 
+def _utc_wall_clock(c):
+    """An instant (TIMESTAMP) as its UTC wall-clock time (TIMESTAMP_NTZ),
+    whatever the session time zone."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col(c).cast("timestamp_ntz"))
+
+
 def _ntz(df, *cols):
-    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in cols})
+    return df.withColumns({c: _utc_wall_clock(c) for c in cols})
 
 
 def _event_rules():
@@ -513,14 +519,17 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def _comparable(df: DataFrame) -> DataFrame:
-    """Engine-neutral output types for the cross-engine check: DATE and
-    session-local TIMESTAMP become TIMESTAMP_NTZ, DECIMAL becomes DOUBLE.  The
+    """Engine-neutral output types for the cross-engine check: DATE becomes
+    TIMESTAMP_NTZ (midnight), an instant (TIMESTAMP) its UTC wall-clock time,
+    DECIMAL becomes DOUBLE.  The
     library functions themselves keep the original types."""
     from pyspark.sql.types import DateType, DecimalType, TimestampType
     casts = {}
     for f in df.schema.fields:
-        if isinstance(f.dataType, (DateType, TimestampType)):
+        if isinstance(f.dataType, DateType):
             casts[f.name] = F.col(f.name).cast("timestamp_ntz")
+        elif isinstance(f.dataType, TimestampType):
+            casts[f.name] = _utc_wall_clock(f.name)
         elif isinstance(f.dataType, DecimalType):
             casts[f.name] = F.col(f.name).cast("double")
     return df.withColumns(casts) if casts else df

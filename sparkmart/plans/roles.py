@@ -210,6 +210,12 @@ def priced_items(spark, sf_dir):
 
 # ---- event streams -------------------------------------------------------------
 
+def _epoch_seconds_utc(c: str):
+    """Whole seconds since 1970-01-01 of a wall-clock (TIMESTAMP_NTZ) value read
+    as UTC, independent of the session time zone."""
+    return F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(c))
+
+
 def _json_text(c):
     return F.when(c.isNull(), F.lit("null")).otherwise(F.concat(F.lit('"'), c, F.lit('"')))
 
@@ -244,7 +250,7 @@ def transactions_feed(events: DataFrame) -> DataFrame:
         F.lit("transactions").alias("topic"),
         F.lit(0).alias("partition"),
         F.col("event_id"),
-        F.timestamp_seconds(F.col("ts").cast("timestamp").cast("long") +
+        F.timestamp_seconds(_epoch_seconds_utc("ts") +
                             (F.col("event_id") % F.lit(EVENT_LAG_STEPS)) * 60).alias("timestamp"),
         F.explode(copies).alias("copy")) \
         .select("key", "value", "topic", "partition",
@@ -257,11 +263,11 @@ def activity_feed(events: DataFrame, partitions: int = 3) -> DataFrame:
     offset = event_id."""
     from sparkmart.functions.partition import key_partition
     key = F.concat(F.lit("user_"), F.col("user_id").cast("string"))
-    value = F.to_json(F.struct(F.col("ts").cast("timestamp").cast("long").alias("timestamp"),
+    value = F.to_json(F.struct(_epoch_seconds_utc("ts").alias("timestamp"),
                                F.col("event_type").alias("action"),
                                F.floor("value").cast("int").alias("amount")))
     return events.select(key.alias("key"), value.alias("value"),
                          F.lit("events_topic").alias("topic"),
                          key_partition(key, partitions).alias("partition"),
                          F.col("event_id").alias("offset"),
-                         F.col("ts").cast("timestamp").alias("timestamp"))
+                         F.timestamp_seconds(_epoch_seconds_utc("ts")).alias("timestamp"))
