@@ -184,7 +184,7 @@ def q_product_supplier_extract(spark, sf):
 def _all_products(spark, sf):
     """Full reload: every product with its supplier (no date window)."""
     p = roles.etl_products(spark, sf)
-    return etl.product_supplier_extract(p, roles.etl_suppliers(spark, sf), "0001-01-01", days=0)
+    return etl.product_supplier_extract(p, roles.etl_suppliers(spark, sf), days=None)
 
 
 def q_transform_products(spark, sf):

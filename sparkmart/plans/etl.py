@@ -35,9 +35,10 @@ def latest_value(df: DataFrame, col: str = "updated_at"):
 
 
 def product_supplier_extract(products: DataFrame, suppliers: DataFrame, as_of=None,
-                             days: int = 1) -> DataFrame:
-    """Changed products with their supplier name; products without a supplier drop."""
-    p = changed_since(products, as_of, days)
+                             days: int | None = 1) -> DataFrame:
+    """Changed products with their supplier name; products without a supplier drop.
+    ``days=None`` extracts every product (a full reload)."""
+    p = products if days is None else changed_since(products, as_of, days)
     s = suppliers.select(F.col("id").alias("__sid"), "supplier_name")
     return (p.join(s, p["supplier_id"] == s["__sid"], "inner")
             .select("id", "product_name", "category", "price", "cost", "updated_at",
