@@ -30,10 +30,10 @@ def clean_orders(orders: DataFrame, key_type: str = "int") -> DataFrame:
 def clean_order_items(items: DataFrame, key_type: str = "int") -> DataFrame:
     """Keep positive quantities ('2.5' counts as 2, text and NULL drop), type the rest."""
     return (items
-            .filter(lenient_int("quantity") > 0)
+            .withColumn("quantity", lenient_int("quantity"))
+            .filter(F.col("quantity") > 0)
             .withColumns({"order_id": try_int("order_id", key_type),
                           "product_id": try_int("product_id", key_type),
-                          "quantity": lenient_int("quantity"),
                           "price": try_double("price")}))
 
 
