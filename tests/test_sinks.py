@@ -25,7 +25,7 @@ def test_window_report_skips_empty_batches_and_replays_idempotently(spark, tmp_p
     empty = spark.createDataFrame([], "window struct<start:timestamp,end:timestamp>, running_total long")
     rep = WindowReport(str(tmp_path / "r"))
     rep(empty, 0)
-    assert rep.summaries == [] and not (tmp_path / "r").exists()
+    assert not rep.summaries and not (tmp_path / "r").exists()
     t = dt.datetime(2024, 1, 1)
     batch = spark.createDataFrame([((t, t + dt.timedelta(minutes=1)), 4)],
                                   "window struct<start:timestamp,end:timestamp>, running_total long")
