@@ -81,3 +81,59 @@ def test_cheapest_per_group_equals_window(spark, wands, props):
     ref = (j.withColumn("m", F.min("coins_needed").over(Window.partitionBy("age", "power")))
            .filter(F.col("coins_needed") == F.col("m")).select("id", "age", "coins_needed", "power"))
     assert rows(cheapest_per_group(w, p, broadcast_max_rows=5)) == rows(ref)
+
+
+@settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(0, 4),                       # user
+                          st.integers(-50, 400),                   # amount
+                          st.sampled_from(["mobile", "web", "pos", "atm", None]),
+                          st.integers(0, 300),                     # lag seconds
+                          st.booleans()),                          # delivered twice
+                min_size=5, max_size=40),
+       st.integers(1, 4))
+def test_stream_equals_batch_on_random_feeds(spark, msgs, files):
+    import datetime as dt
+    import json
+    import os
+    import tempfile
+
+    from events_fixture import SCHEMA, T0, iso
+    from sparkmart.plans import transactions as T
+    from sparkmart.streaming import transactions as ST
+
+    rows_in, off = [], 0
+    for i, (user, amount, source, lag, twice) in enumerate(msgs):
+        record = T0 + dt.timedelta(seconds=20 * i)                # record time only increases
+        body = json.dumps({"user_id": f"U{user}", "amount": amount,
+                           "timestamp": iso(record - dt.timedelta(seconds=lag)), "source": source})
+        for _ in range(2 if twice else 1):
+            rows_in.append((None, body, "transactions", 0, off, record))
+            off += 1
+    root = tempfile.mkdtemp(prefix="prop-stream-")
+    size = -(-len(rows_in) // files)
+    for f in range(files):
+        part = rows_in[f * size:(f + 1) * size]
+        if part:
+            spark.createDataFrame(part, SCHEMA).coalesce(1).write.parquet(f"{root}/in/p{f:02d}")
+    src = lambda: (spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1)
+                   .option("recursiveFileLookup", "true").parquet(f"{root}/in"))
+    ST.start_split_sink(ST.validated_stream(src()), f"{root}/v", f"{root}/d", f"{root}/ck1",
+                        "availableNow").awaitTermination()
+    q, _ = ST.start_window_report(ST.validated_stream(src()), f"{root}/w", f"{root}/ck2",
+                                  trigger="availableNow")
+    q.awaitTermination()
+
+    batch = T.validate_batch(spark.createDataFrame(rows_in, SCHEMA))
+    valid, dlq = T.split(batch)
+    cols = list(T.OUTPUT_COLUMNS)
+    def read(p):
+        return spark.read.parquet(p).select(*cols) if os.path.exists(p) else None
+
+    got_v, got_d = read(f"{root}/v"), read(f"{root}/d")
+    assert (rows(got_v) if got_v is not None else []) == rows(valid)
+    assert (rows(got_d) if got_d is not None else []) == rows(dlq)
+    expect_w = dict(rows(T.flat_windows(T.window_counts(valid)), "window_start", "running_total"))
+    if expect_w:
+        w = spark.read.parquet(f"{root}/w")
+        last = w.groupBy("window_start").agg(F.max_by("running_total", "batch_id").alias("n"))
+        assert dict(rows(last)) == expect_w
