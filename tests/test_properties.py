@@ -137,3 +137,14 @@ def test_stream_equals_batch_on_random_feeds(spark, msgs, files):
         w = spark.read.parquet(f"{root}/w")
         last = w.groupBy("window_start").agg(F.max_by("running_total", "batch_id").alias("n"))
         assert dict(rows(last)) == expect_w
+
+
+@SETTINGS
+@given(st.lists(st.tuples(small_int, st.integers(0, 9)), max_size=15),
+       st.lists(st.tuples(small_int, st.integers(0, 9), st.integers(0, 3)), max_size=15))
+def test_upsert_broadcast_and_shuffled_paths_agree(spark, target, updates):
+    t = spark.createDataFrame([(k, v, -1) for k, v in target], "id int, v int, seq int")
+    u = spark.createDataFrame(updates, "id int, v int, seq int")
+    a = upsert(t, u, ["id"], ["seq"], broadcast_keys_max=1000)
+    b = upsert(t, u, ["id"], ["seq"], broadcast_keys_max=0)
+    assert rows(a) == rows(b)
