@@ -1,10 +1,12 @@
 """Left outer range join: ``left.v BETWEEN right.lo AND right.hi``.
 
 Spark has no range-join strategy; a non-equi condition plans as a nested loop.
-That is fine when the band table is tiny and broadcast.  For larger band
+That is fine when the band table is tiny and broadcast (every left row is
+compared with every band, so only a handful of bands).  For larger band
 tables the bands are spread over fixed-width buckets of the value domain, and
 each left row joins only the bands of its own bucket through an equi-join on
-the bucket number (broadcast or shuffled, chosen by size).  Every left row has
+the bucket number: broadcast when the bucket table is proven small, else
+shuffled on the bucket.  Every left row has
 exactly one bucket and every band appears once per bucket, so the result is
 the same multiset as the nested loop, unmatched rows included.
 """
@@ -13,12 +15,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkmart.operators.sizing import is_small
+from sparkmart.operators.sizing import broadcast_if_small, is_small
 
 
 def range_left_join(left: DataFrame, value_col: str, bands: DataFrame, lo_col: str,
-                    hi_col: str, nested_loop_max_rows: int = 256,
-                    bucket_width: float | None = None) -> DataFrame:
+                    hi_col: str, nested_loop_max_rows: int = 16,
+                    bucket_width: float | None = None,
+                    broadcast_max_rows: int = 1_000_000) -> DataFrame:
     v, lo, hi = F.col(value_col), F.col(lo_col), F.col(hi_col)
     if is_small(bands, nested_loop_max_rows):
         return left.join(F.broadcast(bands), v.between(lo, hi), "left")
@@ -36,6 +39,7 @@ def range_left_join(left: DataFrame, value_col: str, bands: DataFrame, lo_col: s
               .withColumn("__bucket", F.explode(F.sequence(
                   F.floor(lo / width), F.floor(hi / width))))
               .filter(lo <= hi))
+    spread, _ = broadcast_if_small(spread, broadcast_max_rows)
     keyed = left.withColumn("__bucket", F.floor(v / width))
     joined = keyed.join(spread, (keyed["__bucket"] == spread["__bucket"]) &
                         v.between(lo, hi), "left")
