@@ -9,6 +9,7 @@ Sub-packages:
   plans      the workloads themselves, DataFrame in / DataFrame out
   streaming  Structured Streaming runners over the same plan functions
 """
-from sparkmart.session import build_session, scratch_dir
+from sparkmart.session import build_session, scratch_dir, sizing_conf
 
-__all__ = ["build_session", "scratch_dir"]
+__version__ = "0.1.0"
+__all__ = ["build_session", "scratch_dir", "sizing_conf", "__version__"]
