@@ -42,3 +42,12 @@ def test_batch_folder_sink(spark, tmp_path):
     sink(df, 0)
     sink(df, 0)
     assert spark.read.parquet(str(tmp_path / "k")).count() == 1
+
+
+def test_window_report_can_print(spark, tmp_path, capsys):
+    t = dt.datetime(2024, 1, 1)
+    batch = spark.createDataFrame([((t, t + dt.timedelta(minutes=1)), 4)],
+                                  "window struct<start:timestamp,end:timestamp>, running_total long")
+    WindowReport(str(tmp_path / "r"), show=True)(batch, 3)
+    out = capsys.readouterr().out
+    assert "batch 3: 1 windows, 4 transactions" in out and "running_total" in out
