@@ -32,7 +32,8 @@ def transaction_app(spark: SparkSession, servers: str, checkpoint_root: str, rep
                                   topic_dlq, f"{checkpoint_root}/dlq"),
     }
     qs["report"], _ = ST.start_window_report(validated(), report_path,
-                                             f"{checkpoint_root}/report", trigger=trigger)
+                                             f"{checkpoint_root}/report", trigger=trigger,
+                                             show=True)
     return qs
 
 
