@@ -15,9 +15,13 @@ from sparkmart.streaming.transactions import _trigger
 
 
 def start_key_counts(source: DataFrame, path: str, checkpoint: str,
-                     trigger: str | None = "5 seconds") -> StreamingQuery:
+                     trigger: str | None = "5 seconds", mode: str = "update") -> StreamingQuery:
+    """``mode="update"`` writes the keys changed in a micro-batch (output
+    proportional to activity); ``"complete"`` writes the whole per-key map
+    each time, as the original consumer printed it (output grows with the
+    number of keys)."""
     counts = A.key_event_counts(A.parse_activity(source))
-    w = (counts.writeStream.outputMode("update").foreachBatch(BatchFolderSink(path))
+    w = (counts.writeStream.outputMode(mode).foreachBatch(BatchFolderSink(path))
          .option("checkpointLocation", checkpoint))
     return _trigger(w, trigger).start()
 

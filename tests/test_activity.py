@@ -87,3 +87,19 @@ def test_order_like_log(spark):
             assert offsets.get(r["key"], -1) < r["offset"]     # in offset order
             offsets[r["key"]] = r["offset"]
     assert sum(len(p) for p in per_task) == 200
+
+
+def test_key_counts_complete_mode_writes_the_full_map(spark):
+    root = tempfile.mkdtemp(prefix="keys-")
+    msgs = _messages(30)
+    for i in range(2):
+        spark.createDataFrame(msgs[i * 15:(i + 1) * 15], SCHEMA).coalesce(1).write.parquet(f"{root}/in/p{i}")
+    src = (spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1)
+           .option("recursiveFileLookup", "true").parquet(f"{root}/in"))
+    SA.start_key_counts(src, f"{root}/out", f"{root}/ck", "availableNow", mode="complete").awaitTermination()
+    out = spark.read.parquet(f"{root}/out")
+    last = out.filter(F.col("batch_id") == out.agg(F.max("batch_id")).first()[0])
+    expect = {}
+    for m in msgs:
+        expect[m[0]] = expect.get(m[0], 0) + 1
+    assert dict(rows(last.select("key", "event_count"))) == expect
