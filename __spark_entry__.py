@@ -375,8 +375,11 @@ class _stream_partitions:
         key = "spark.sql.shuffle.partitions"
         self.old = self.spark.conf.get(key)
         cores = os.cpu_count() or 8
-        if int(self.old) > cores:
-            self.spark.conf.set(key, str(cores))
+        try:
+            if int(self.old) > cores:
+                self.spark.conf.set(key, str(cores))
+        except (TypeError, ValueError):
+            pass
         return self
 
     def __exit__(self, *exc):
