@@ -360,12 +360,15 @@ def _run(query):
 
 
 class _stream_partitions:
-    """While a registered stream query starts, one shuffle partition per core.
+    """While a registered stream replay runs: one shuffle partition per core
+    and no trailing no-data micro-batch.
 
     A streaming query fixes the partition count of its state stores when it
     first starts; the replay of one table needs no more than the cores of
     this machine (a 200-partition default only adds state-store commits).
-    The session value is restored afterwards; results do not depend on it.
+    The no-data batch after the replay would only evict state: nothing these
+    outputs show.  The session values are restored afterwards; results do not
+    depend on them.
     """
 
     def __init__(self, spark):
@@ -374,6 +377,8 @@ class _stream_partitions:
     def __enter__(self):
         key = "spark.sql.shuffle.partitions"
         self.old = self.spark.conf.get(key)
+        self.old_nodata = self.spark.conf.get("spark.sql.streaming.noDataMicroBatches.enabled")
+        self.spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
         cores = os.cpu_count() or 8
         try:
             if int(self.old) > cores:
@@ -384,6 +389,7 @@ class _stream_partitions:
 
     def __exit__(self, *exc):
         self.spark.conf.set("spark.sql.shuffle.partitions", self.old)
+        self.spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", self.old_nodata)
         return False
 
 
