@@ -1,3 +1,3 @@
-from sparkmart.sinks.files import write_parquet
+from sparkmart.sinks.files import write_parquet, write_version
 
-__all__ = ["write_parquet"]
+__all__ = ["write_parquet", "write_version"]
