@@ -52,3 +52,8 @@ def test_pick_is_deterministic_on_ties(spark):
     b = spark.createDataFrame(list(reversed(data)), "k int, v string, o int").repartition(3)
     assert rows(last_per_key(a, ["k"], ["o"])) == rows(last_per_key(b, ["k"], ["o"]))
     assert rows(first_per_key(a, ["k"], ["o"])) == rows(first_per_key(b, ["k"], ["o"]))
+
+
+def test_pick_with_a_map_column(spark):
+    df = spark.createDataFrame([(1, {"a": 1}, 2), (1, {"b": 2}, 3)], "k int, m map<string,int>, o int")
+    assert last_per_key(df, ["k"], ["o"]).first()["m"] == {"b": 2}
