@@ -65,3 +65,56 @@ def row_counts(**stages: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, [
         d.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("stage"), "rows")
         for n, d in stages.items()])
+
+
+def checks_from_spec(tables: dict[str, DataFrame], spec: dict) -> DataFrame:
+    """Column tests declared per model, run as Spark aggregates.
+
+    ``spec`` mirrors a model schema file::
+
+        {"models": [{"name": "stg_payment",
+                     "columns": [{"name": "payment_id", "tests": ["not_null", "unique"]}]},
+                    {"name": "mart_customer_revenue",
+                     "columns": [{"name": "kategori_customer", "tests": [
+                         {"accepted_values": {"values": ["HIGH", "MEDIUM", "LOW"]}}]}]}]}
+
+    ``accepted_values`` also takes ``{"arguments": {"values": [...]}}``.  Each
+    check row is named ``<model>.<test>(<column>)``; not_null and unique of
+    the same column share one aggregation.
+    """
+    out = []
+    for model in spec.get("models", []):
+        df, prefix = tables[model["name"]], model["name"] + "."
+        checks = []
+        for column in model.get("columns", []):
+            col, tests = column["name"], column.get("tests", [])
+            names = {t for t in tests if isinstance(t, str)}
+            unknown = names - {"not_null", "unique"}
+            if unknown:
+                raise ValueError(f"unsupported tests on {model['name']}.{col}: {sorted(unknown)}")
+            if {"not_null", "unique"} <= names:
+                checks.append(key_checks(df, col))
+            elif "not_null" in names:
+                checks.append(not_null(df, col))
+            elif "unique" in names:
+                checks.append(unique(df, col))
+            for t in tests:
+                if isinstance(t, dict) and "accepted_values" in t:
+                    args = t["accepted_values"] or {}
+                    values = args.get("values") or args.get("arguments", {}).get("values", [])
+                    checks.append(accepted_values(df, col, values))
+        out += [c.select(F.concat(F.lit(prefix), F.col("check_name")).alias("check_name"),
+                         "failures") for c in checks]
+    if not out:
+        raise ValueError("the spec declares no tests")
+    return run_checks(*out)
+
+
+def load_spec(path: str) -> dict:
+    """Read a YAML schema file (needs PyYAML)."""
+    try:
+        import yaml
+    except ImportError as e:  # pragma: no cover
+        raise RuntimeError("PyYAML is needed to read a schema file") from e
+    with open(path) as f:
+        return yaml.safe_load(f)

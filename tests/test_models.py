@@ -83,3 +83,32 @@ def test_key_checks_equal_separate_checks(spark):
     from sparkmart.operators.quality import key_checks, not_null, run_checks, unique
     df = spark.createDataFrame([(1,), (1,), (2,), (None,), (None,), (3,), (3,), (3,)], "k int")
     assert rows(key_checks(df, "k")) == rows(run_checks(not_null(df, "k"), unique(df, "k")))
+
+
+def test_checks_from_a_schema_file(spark, tmp_path):
+    from sparkmart.operators.quality import checks_from_spec, load_spec
+    path = tmp_path / "schema.yml"
+    path.write_text("""
+version: 2
+models:
+  - name: stg_payment
+    columns:
+      - name: payment_id
+        tests:
+          - not_null
+          - unique
+  - name: mart_customer_revenue
+    columns:
+      - name: kategori_customer
+        tests:
+          - accepted_values:
+              arguments:
+                values: ['HIGH', 'MEDIUM', 'LOW']
+""")
+    t = dt.datetime(2024, 1, 2)
+    stg = M.stg_payment(_payment(spark, [(1, 1, 1, 1, Decimal("1"), t), (1, 2, 1, 1, Decimal("2"), t)]))
+    mart = spark.createDataFrame([("HIGH",), ("VIP",)], "kategori_customer string")
+    got = dict(rows(checks_from_spec({"stg_payment": stg, "mart_customer_revenue": mart},
+                                     load_spec(str(path)))))
+    assert got == {"stg_payment.not_null(payment_id)": 0, "stg_payment.unique(payment_id)": 1,
+                   "mart_customer_revenue.accepted_values(kategori_customer)": 1}
