@@ -6,6 +6,7 @@ Jobs:
   analytics      --tables DIR --query NAME [--out DIR]   (Parquet tables named as in the queries)
   load           --source DIR --target DIR --out DIR [--as-of YYYY-MM-DD]
   models         --payment PARQUET --customer PARQUET --out DIR [--high N --medium N]
+                 [--schema YAML]
   transactions   --servers HOST:PORT --checkpoint DIR --report DIR   (needs the Kafka package)
   activity       --servers HOST:PORT --checkpoint DIR --counts DIR   (needs the Kafka package)
 
@@ -66,6 +67,7 @@ def main(argv: list[str] | None = None) -> int:
     m.add_argument("--out", required=True)
     m.add_argument("--high", type=float, default=100)
     m.add_argument("--medium", type=float, default=50)
+    m.add_argument("--schema", help="schema file with the column tests (YAML)")
     t = sub.add_parser("transactions")
     t.add_argument("--servers", required=True)
     t.add_argument("--checkpoint", required=True)
@@ -109,6 +111,11 @@ def main(argv: list[str] | None = None) -> int:
         mart, checks = models.build(spark, spark.read.parquet(args.payment),
                                     spark.read.parquet(args.customer), args.out,
                                     args.high, args.medium)
+        if args.schema:
+            from sparkmart.operators.quality import checks_from_spec, load_spec
+            layers = {n: spark.table(n) for n in
+                      ("stg_payment", "int_customer_payment", "mart_customer_revenue")}
+            checks = checks_from_spec(layers, load_spec(args.schema))
         checks.show(truncate=False)
         failed = checks.filter("failures > 0").count()
         return 1 if failed else 0

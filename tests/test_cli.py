@@ -62,3 +62,23 @@ def test_load_job_writes_new_versions(spark):
     paths = json.loads(out.stdout.strip().splitlines()[-1])
     assert spark.read.parquet(paths["fact_orders"]).first()["status"] == "new"
     assert spark.read.parquet(paths["dim_customers"]).first()["phone"] == "(555) 123-4567"
+
+
+def test_models_job_with_a_schema_file(spark):
+    import datetime as dt
+    from decimal import Decimal
+    d = tempfile.mkdtemp(prefix="cli-")
+    spark.createDataFrame([(1, 1, 1, 1, Decimal("60.00"), dt.datetime(2024, 1, 2))],
+                          "payment_id int, customer_id int, staff_id int, rental_id int, "
+                          "amount decimal(5,2), payment_date timestamp").write.parquet(f"{d}/payment")
+    spark.createDataFrame([(1, "ann", "lee")], "customer_id int, first_name string, last_name string") \
+        .write.parquet(f"{d}/customer")
+    with open(f"{d}/schema.yml", "w") as f:
+        f.write("models:\n  - name: stg_payment\n    columns:\n      - name: payment_id\n"
+                "        tests: [not_null, unique]\n")
+    out = subprocess.run(
+        [sys.executable, "-m", "sparkmart", "--local", "models", "--payment", f"{d}/payment",
+         "--customer", f"{d}/customer", "--out", f"{d}/tables", "--schema", f"{d}/schema.yml"],
+        cwd=ROOT, capture_output=True, text=True, timeout=600)
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert "stg_payment.unique(payment_id)" in out.stdout
