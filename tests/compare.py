@@ -37,8 +37,14 @@ def _norm(v):
 def duck(sf_dir: str):
     con = duckdb.connect()
     con.execute("SET TimeZone='UTC'")
+    import os
     for t in VIEWS:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+        path = f"{sf_dir}/{t}.parquet"
+        if os.path.isdir(path):
+            path = f"{path}/*.parquet"
+        elif not os.path.exists(path):
+            continue
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{path}')")
     return con
 
 
