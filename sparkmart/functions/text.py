@@ -5,6 +5,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# fixed values: ten digits are shown as (XXX) XXX-XXXX
+PHONE_DIGITS = 10
+PHONE_PATTERN, PHONE_FORMAT = r"(?U)^(\d{3})(\d{3})(\d{4})$", "($1) $2-$3"
+
+
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -16,8 +21,8 @@ def format_phone(c) -> Column:
     NULL stays NULL.  ``(?U)`` makes ``\\d`` Unicode-aware, as Python's is.
     """
     digits = F.regexp_replace(_c(c), r"(?U)\D", "")
-    pretty = F.regexp_replace(digits, r"(?U)^(\d{3})(\d{3})(\d{4})$", "($1) $2-$3")
-    return F.when(F.length(digits) == 10, pretty).otherwise(_c(c))
+    pretty = F.regexp_replace(digits, PHONE_PATTERN, PHONE_FORMAT)
+    return F.when(F.length(digits) == PHONE_DIGITS, pretty).otherwise(_c(c))
 
 
 def title_case(c) -> Column:

@@ -9,8 +9,16 @@ from sparkmart.functions.rules import masked
 from sparkmart.operators.range_join import range_left_join
 from sparkmart.operators.sizing import broadcast_if_small
 
+# fixed values: names shown above grade 7, the extent rounded to 4 digits,
+# more than 1 full score to be listed, totals above 0 on the leaderboard
+SHOW_NAME_ABOVE_GRADE = 7
+EXTENT_DIGITS = 4
+MIN_FULL_SCORES = 1
+MIN_TOTAL_SCORE = 0
 
-def grade_report(students: DataFrame, grades: DataFrame, show_name_above: int = 7) -> DataFrame:
+
+def grade_report(students: DataFrame, grades: DataFrame,
+                 show_name_above: int = SHOW_NAME_ABOVE_GRADE) -> DataFrame:
     """students(name, marks) LEFT JOIN grades(grade, min_mark, max_mark) on
     marks BETWEEN min_mark AND max_mark.  The name is shown only for grades
     above ``show_name_above``; sorted by grade desc, then the unmasked name."""
@@ -21,7 +29,7 @@ def grade_report(students: DataFrame, grades: DataFrame, show_name_above: int =
                     "grade", "marks"))
 
 
-def extent_distance(station: DataFrame, digits: int = 4) -> DataFrame:
+def extent_distance(station: DataFrame, digits: int = EXTENT_DIGITS) -> DataFrame:
     """|min lat - max lat| + |min long - max long|, rounded; one row (NULL when empty)."""
     e = station.agg(F.min("lat_n").alias("a"), F.min("long_w").alias("b"),
                     F.max("lat_n").alias("c"), F.max("long_w").alias("d"))
@@ -30,7 +38,7 @@ def extent_distance(station: DataFrame, digits: int = 4) -> DataFrame:
 
 
 def top_competitors(submissions: DataFrame, hackers: DataFrame, challenges: DataFrame,
-                    difficulty: DataFrame, min_full_scores: int = 1) -> DataFrame:
+                    difficulty: DataFrame, min_full_scores: int = MIN_FULL_SCORES) -> DataFrame:
     """Hackers with more than ``min_full_scores`` full-score submissions, by count
     desc then id.  Counts submissions, not distinct challenges.
 
@@ -103,7 +111,7 @@ def cheapest_per_group(wands: DataFrame, props: DataFrame,
 
 
 def contest_leaderboard(submissions: DataFrame, hackers: DataFrame,
-                        min_total: float = 0) -> DataFrame:
+                        min_total: float = MIN_TOTAL_SCORE) -> DataFrame:
     """Sum over challenges of the best score per challenge; totals above
     ``min_total``; by total desc, then id.
 

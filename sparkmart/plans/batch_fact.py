@@ -8,6 +8,9 @@ from sparkmart.functions.casting import lenient_int, parse_date, try_double, try
 from sparkmart.operators.quality import row_counts
 from sparkmart.sources.files import read_csv_strings
 
+# fixed values: date pattern of order_date, the stand-in for a missing user
+DATE_PATTERN = "yyyy-MM-dd"
+MISSING_USER = "-1"
 ORDER_COLUMNS = ("order_id", "user_id", "order_date", "total_amount")
 ITEM_COLUMNS = ("order_id", "product_id", "quantity", "price")
 FACT_COLUMNS = ("order_id", "customer_id", "order_date", "product_id", "quantity",
@@ -19,11 +22,11 @@ def clean_orders(orders: DataFrame, key_type: str = "int") -> DataFrame:
     unparseable text still ends NULL), type the columns, user_id -> customer_id."""
     if "total_amount" in orders.columns:
         orders = orders.drop("total_amount")
-    orders = orders.fillna({"user_id": "-1"})
+    orders = orders.fillna({"user_id": MISSING_USER})
     return (orders
             .withColumns({"order_id": try_int("order_id", key_type),
                           "user_id": try_int("user_id", key_type),
-                          "order_date": parse_date("order_date", "yyyy-MM-dd")})
+                          "order_date": parse_date("order_date", DATE_PATTERN)})
             .withColumnRenamed("user_id", "customer_id"))
 
 

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from sparkmart.functions.text import format_phone, title_case
 from sparkmart.operators.upsert import upsert
 
+# fixed values: rows changed since one day before the run date are extracted
+CHANGED_DAYS = 1
+
 
 def _bound(df: DataFrame, col: str, as_of, days: int) -> Column:
     """``as_of - days`` as midnight, typed like the column so the predicate
@@ -24,7 +27,8 @@ def _bound(df: DataFrame, col: str, as_of, days: int) -> Column:
     return F.date_sub(day, days).cast(df.schema[col].dataType)
 
 
-def changed_since(df: DataFrame, as_of=None, days: int = 1, col: str = "updated_at") -> DataFrame:
+def changed_since(df: DataFrame, as_of=None, days: int = CHANGED_DAYS,
+                  col: str = "updated_at") -> DataFrame:
     """Rows with ``col >= as_of - days`` (inclusive; NULL never passes)."""
     return df.filter(F.col(col) >= _bound(df, col, as_of, days))
 
@@ -35,7 +39,7 @@ def latest_value(df: DataFrame, col: str = "updated_at"):
 
 
 def product_supplier_extract(products: DataFrame, suppliers: DataFrame, as_of=None,
-                             days: int | None = 1) -> DataFrame:
+                             days: int | None = CHANGED_DAYS) -> DataFrame:
     """Changed products with their supplier name; products without a supplier drop.
     ``days=None`` extracts every product (a full reload)."""
     p = products if days is None else changed_since(products, as_of, days)
@@ -85,7 +89,7 @@ def unchanged_before(df: DataFrame, as_of=None, days: int = 1, col: str = "updat
 
 def incremental_load(customers: DataFrame, products: DataFrame, suppliers: DataFrame,
                      orders: DataFrame, targets: dict[str, DataFrame], as_of=None,
-                     days: int = 1) -> dict[str, DataFrame]:
+                     days: int = CHANGED_DAYS) -> dict[str, DataFrame]:
     """The three extract -> transform -> upsert chains in one call.
 
     ``targets`` holds the current ``dim_customers``, ``dim_products`` and

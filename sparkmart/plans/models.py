@@ -11,8 +11,11 @@ from sparkmart.functions.rules import band
 from sparkmart.functions.text import full_name
 from sparkmart.operators.quality import accepted_values, key_checks, run_checks
 
-# fixed values: the customer categories and their accepted-values test
+# fixed values: customer categories (also the accepted-values test), their
+# thresholds (above 100 HIGH, 50 to 100 MEDIUM) and the mart's column names
 CATEGORIES = ("HIGH", "MEDIUM", "LOW")
+HIGH_ABOVE, MEDIUM_FROM = 100, 50
+FULL_NAME_COLUMN, CATEGORY_COLUMN = "nama_lengkap", "kategori_customer"
 
 
 def stg_payment(payment: DataFrame) -> DataFrame:
@@ -39,18 +42,19 @@ def int_customer_payment(stg: DataFrame, customer: DataFrame) -> DataFrame:
         F.coalesce(F.sum("total_transactions"), F.lit(0)).cast("bigint").alias("total_transactions"))
 
 
-def mart_customer_revenue(base: DataFrame, high: float = 100, medium: float = 50) -> DataFrame:
+def mart_customer_revenue(base: DataFrame, high: float = HIGH_ABOVE,
+                          medium: float = MEDIUM_FROM) -> DataFrame:
     return base.select(
         "customer_id",
-        full_name("first_name", "last_name").alias("nama_lengkap"),
+        full_name("first_name", "last_name").alias(FULL_NAME_COLUMN),
         "total_amount", "total_transactions",
-        band("total_amount", high, medium, CATEGORIES).alias("kategori_customer"))
+        band("total_amount", high, medium, CATEGORIES).alias(CATEGORY_COLUMN))
 
 
 def model_checks(stg: DataFrame, mart: DataFrame) -> DataFrame:
     """The declared tests: not_null + unique on payment_id, accepted values on the category."""
     return run_checks(key_checks(stg, "payment_id"),
-                      accepted_values(mart, "kategori_customer", CATEGORIES))
+                      accepted_values(mart, CATEGORY_COLUMN, CATEGORIES))
 
 
 def materialize_view(df: DataFrame, name: str) -> DataFrame:
@@ -68,7 +72,7 @@ def materialize_table(spark: SparkSession, df: DataFrame, name: str, path: str)
 
 
 def build(spark: SparkSession, payment: DataFrame, customer: DataFrame, table_root: str,
-          high: float = 100, medium: float = 50) -> tuple[DataFrame, DataFrame]:
+          high: float = HIGH_ABOVE, medium: float = MEDIUM_FROM) -> tuple[DataFrame, DataFrame]:
     """All layers: staging as a view, intermediate and mart as tables under
     ``table_root``, then the declared tests.  Returns (mart, checks)."""
     stg = materialize_view(stg_payment(payment), "stg_payment")

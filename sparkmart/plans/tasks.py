@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from sparkmart.operators.quality import require_rows
 
-# fixed values: the sample records of the extract step
+# fixed values: the sample records of the extract step and the tax factor
 SAMPLE_RECORDS = [{"name": "apple", "price": 10}, {"name": "banana", "price": 5}]
+TAX_RATE = 1.1
 
 
 def extract_task(spark: SparkSession, records=None) -> DataFrame:
@@ -16,7 +17,7 @@ def extract_task(spark: SparkSession, records=None) -> DataFrame:
     return spark.createDataFrame([(r["name"], r["price"]) for r in data], "name string, price int")
 
 
-def price_with_tax(df: DataFrame, rate: float = 1.1) -> DataFrame:
+def price_with_tax(df: DataFrame, rate: float = TAX_RATE) -> DataFrame:
     """Upper-case name, keep price, add price * rate.  Empty in, empty out."""
     return df.select(F.upper("name").alias("name"), "price",
                      (F.col("price") * F.lit(rate)).alias("price_with_tax"))
