@@ -89,7 +89,7 @@ def part_challenges(spark, sf_dir):
         F.col("p_partkey").alias("challenge_id"), F.col("p_type").alias("difficulty_level"))
 
 
-# fixed values: the full score of each difficulty level (part type)
+# parameters (ours): the full score of each difficulty level (part type)
 FULL_SCORES = [("ECONOMY", 10), ("LARGE", 20), ("MEDIUM", 30), ("PROMO", 40),
                ("SMALL", 45), ("STANDARD", 50)]
 
