@@ -1,0 +1,79 @@
+"""Sharding: the law, gapless slots, movement, and the flow against a walk."""
+import random
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from sparkmart.llm.hash_ring import capacities, flow, ring, shard_rows
+from sparkmart.llm.queries import QUERIES
+
+
+def test_query(spark, sf):
+    rows = QUERIES["op5_ring_shards"](spark, sf).collect()
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    assert sorted(r.doc_id for r in rows) == sorted(docs)
+    by = {s: [] for s in range(40)}
+    for r in rows:
+        raw = (docs[r.doc_id] or "").encode()
+        assert (r.size, r.text_crc32, r.law, r.grown_shard) == (len(raw) + 16, zlib.crc32(raw), "rows", None)
+        by[r.shard].append(r.slot)
+    assert all(sorted(v) == list(range(len(v))) for v in by.values())
+    assert max(map(len, by.values())) - min(map(len, by.values())) <= 1
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_flow_is_the_clockwise_walk(seed):
+    rng = random.Random(seed)
+    shards, arcs = rng.randint(1, 6), rng.randint(6, 20)
+    owners = [a % shards if a < shards else rng.randrange(shards) for a in range(arcs)]
+    counts = [rng.randint(0, 30) for _ in owners]
+    room = capacities(sum(counts), shards, rng.choice([0.0, 0.1]))
+    left, want, rest = list(room), {}, []
+    for a, n in enumerate(counts):      # home first, row by row
+        for i in range(n):
+            if left[owners[a]]:
+                left[owners[a]] -= 1
+                want[a, i] = owners[a]
+            else:
+                rest.append((a, i))
+    got = {}
+    for a, lo, hi, s in flow(counts, owners, list(room)):
+        for i in range(lo, hi):
+            assert (a, i) not in got
+            got[a, i] = s
+    assert set(got) == {(a, i) for a, n in enumerate(counts) for i in range(n)}
+    assert all(got[k] == s for k, s in want.items())
+    load = [sum(s == x for x in got.values()) for s in range(shards)]
+    assert all(n <= r for n, r in zip(load, room))
+
+
+def test_limited_movement(spark):
+    df = spark.range(20000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
+    a = {r.doc_id: r.shard for r in shard_rows(df, 20, slack=0.15).collect()}
+    b = {r.doc_id: r.shard for r in shard_rows(df, 21, slack=0.15).collect()}
+    assert sum(a[k] != b[k] for k in a) < 0.2 * len(a)  # a fresh assignment would move 95%
+    for got, n in ((a, 20), (b, 21)):
+        load = [0] * n
+        for s in got.values():
+            load[s] += 1
+        assert max(load) <= 1.15 * 20000 / n + 1
+
+
+def test_ring_places_do_not_depend_on_the_shard_count():
+    assert set(ring(5, 16)) <= set(ring(6, 16))
+
+
+def test_edges(spark):
+    schema = T.StructType([T.StructField(c, t) for c, t in (("doc_id", T.LongType()), ("text", T.StringType()),
+                                                            ("shard", T.StringType()), ("_h", T.StringType()))])
+    rows = [(None, None, "a", None)] * 50 + [(7, "é", None, "b")] * 50 + [(8, "", None, None)]
+    got = shard_rows(spark.createDataFrame(rows, schema), 4).collect()
+    load = {}
+    for r in got:
+        load.setdefault(r.shard, []).append(r.slot)
+    assert sorted(map(len, load.values())) == [25, 25, 25, 26]
+    assert all(sorted(v) == list(range(len(v))) for v in load.values())
+    assert {(r.size, r.text_crc32) for r in got} == {(16, 0), (18, zlib.crc32("é".encode()))}
+    assert shard_rows(spark.createDataFrame([], schema), 4).collect() == []
