@@ -18,6 +18,7 @@ empty result; other columns are not read.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkmart.llm.common import literal_table, positioned
+from sparkmart.llm.common import CHUNK_BYTES, literal_table, positioned, slices
 
 #: chunk -> ids cached per Python worker (about 100 MB when full; emptied then)
 CACHE_ENTRIES = 800_000
@@ -40,6 +41,10 @@ CACHE_CHUNK = 64
 PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,]?)")
 
 
+def as_ids(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class ChunkEncoder:
     """Ids of a text as little-endian 32-bit bytes.
 
@@ -54,19 +59,20 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
         self.tok = Tokenizer.from_file(path)
-        self.byte_level = ByteLevel(add_prefix_space=False, use_regex=False)
+        level = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.spelled = {c: "".join(p for p, _ in level.pre_tokenize_str(chr(c))) for c in range(0xC0, 0x100)}
         self.known: dict[bytes, bytes] = {}
         # fixed by the vocabulary file: is it of the kind that PLAIN speaks of?
         self.fast = all(self._whole(w) == self._word(w.lower()) for w in ("The", "Écoutönß", "zx"))
         self.marks = {m: self._whole(m) for m in (".", ",")}
 
     def _whole(self, text: str) -> bytes:
-        return np.asarray(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return as_ids(self.tok.encode(text, add_special_tokens=False).ids)
 
     def _word(self, word: str) -> bytes:
         if not word.isascii():
-            word = "".join(p for p, _ in self.byte_level.pre_tokenize_str(word))
-        return np.asarray([t.id for t in self.tok.model.tokenize(word)], "<u4").tobytes()
+            word = word.translate(self.spelled)
+        return as_ids([t.id for t in self.tok.model.tokenize(word)])
 
     def get(self, chunk: bytes) -> bytes:
         known = self.known
@@ -91,13 +97,25 @@ class ChunkEncoder:
             known[chunk] = got
         return got
 
-    def __call__(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        known, get = self.known, self.get
-        if len(known) > CACHE_ENTRIES:
-            known.clear()
-        return b"".join([known.get(c) or get(c) for c in text.encode("utf-8").split()])
+    def __call__(self, texts) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ends): the ids of an Arrow array of texts one after another,
+        and where each text's end.  Each distinct chunk is looked up once."""
+        import pyarrow.compute as pc
+        if len(self.known) > CACHE_ENTRIES:
+            self.known.clear()
+        words = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        coded = words.flatten().dictionary_encode()
+        parts = [self.get(w.encode("utf-8")) for w in coded.dictionary.to_pylist()]
+        stock = np.frombuffer(b"".join(parts), "<u4")
+        count = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+        first = np.cumsum(count) - count
+        at = coded.indices.to_numpy()
+        n = count[at]
+        ends = np.cumsum(n)
+        total = int(ends[-1]) if len(ends) else 0
+        ids = stock[np.repeat(first[at] - (ends - n), n) + np.arange(total)]
+        offsets = words.offsets.to_numpy() - words.offsets[0].as_py()
+        return ids, np.concatenate(([0], ends))[offsets[1:]]
 
 
 _ENCODERS: dict[str, ChunkEncoder] = {}
@@ -118,22 +136,26 @@ def token_pieces(df: DataFrame, tokenizer: str, capacity: int = 2048, *, key: st
     out = T.StructType([T.StructField(key, kind), T.StructField("piece", T.IntegerType()),
                         T.StructField("start", T.LongType()), T.StructField("length", T.LongType()),
                         T.StructField("ids_crc32", T.LongType())])
-    end = np.asarray([end_id], "<u4").tobytes()
+    end = as_ids([end_id])
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
+        import pyarrow.compute as pc
         enc = encoder(tokenizer)
         for b in batches:
             at, piece, start, length, crc = [], [], [], [], []
-            for i, t in enumerate(b.column(1)):
-                ids = enc(t.as_py()) + end
-                for p, lo in enumerate(range(0, len(ids), 4 * capacity)):
-                    part = ids[lo:lo + 4 * capacity]
-                    at.append(i)
-                    piece.append(p)
-                    start.append(lo // 4)
-                    length.append(len(part) // 4)
-                    crc.append(zlib.crc32(part))
+            sizes = pc.fill_null(pc.binary_length(b.column(1)), 0).to_pylist()
+            for first, last in slices(sizes, 4 * CHUNK_BYTES):
+                all_ids, ends = enc(b.column(1).slice(first, last - first))
+                for i, (lo, hi) in enumerate(zip([0, *ends[:-1]], ends), first):
+                    ids = all_ids[lo:hi].tobytes() + end
+                    for p, lo in enumerate(range(0, len(ids), 4 * capacity)):
+                        part = ids[lo:lo + 4 * capacity]
+                        at.append(i)
+                        piece.append(p)
+                        start.append(lo // 4)
+                        length.append(len(part) // 4)
+                        crc.append(zlib.crc32(part))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0).take(pa.array(at, pa.int64())), pa.array(piece, pa.int32()),
                  pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())],
