@@ -561,8 +561,14 @@ def _wrap(fn):
     return run
 
 
+try:  # the training-data subpackage can be left out
+    from sparkmart.llm.queries import ORACLES as _MORE_ORACLES, QUERIES as _MORE
+except ImportError:
+    _MORE, _MORE_ORACLES = {}, {}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: _wrap(fn) for name, fn in _QUERIES.items()}
+    return {name: _wrap(fn) for name, fn in _QUERIES.items()} | _MORE
 
 
 _QUERIES = {
@@ -621,7 +627,7 @@ def oracle_sql() -> dict[str, str]:
                  "incremental_extract", "transform_orders", "upsert_orders"):
         sql[name] = _ts(sql[name], "order_date")
     sql["stg_payment"] = _ts(sql["stg_payment"], "payment_date")
-    return sql
+    return sql | _MORE_ORACLES
 
 
 def _oracle_sql() -> dict[str, str]:
