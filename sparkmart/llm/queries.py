@@ -22,11 +22,19 @@ def op5_ring_shards(spark, sf):
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op7_random_battery(spark, sf):
+    from sparkmart.llm.random_battery import scan
+    got = scan(_read(spark, sf, "documents"))
+    return got.select("doc_id", "n_assign", "n_access", "n_hex",
+                      F.sha2(F.array_join("base", ","), 256).alias("base_sha256"),
+                      F.array_join("spans", ",").alias("spans"))
+
+
 def op8_best_fit(spark, sf):
     from sparkmart.llm.best_fit import pack, token_pieces
     return pack(token_pieces(_read(spark, sf, "documents"), tokenizer_path(), 2048), 2048)
 
 
-QUERIES = {f.__name__: f for f in (op5_ring_shards, op8_best_fit)}
+QUERIES = {f.__name__: f for f in (op5_ring_shards, op7_random_battery, op8_best_fit)}
 
 ORACLES: dict[str, str] = {}
