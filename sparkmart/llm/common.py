@@ -97,24 +97,50 @@ def seeds(n: int, seed: int) -> np.ndarray:
     return r.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-class WordHashes:
-    """64-bit hashes of byte words, from a cache that is emptied when full."""
-
-    def __init__(self, most: int = 400_000):
-        import xxhash
-        self.most, self.known, self.h = most, {}, xxhash.xxh3_64_intdigest
-
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        known, h = self.known, self.h
-        if len(known) > self.most:
-            known.clear()
-        try:
-            return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-        except KeyError:
-            for w in set(words):
-                if w not in known:
-                    known[w] = h(w)
-            return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True          # fixed: \x20 and \x09-\x0D part words
+_BYTE = np.random.Generator(np.random.PCG64(11)).integers(0, 1 << 64, 256, dtype=np.uint64) | np.uint64(1)
+_FOLD = _BYTE.copy()
+_FOLD[65:91] = _BYTE[97:123]                    # A-Z hash like a-z
+_BASE = 0x9E3779B97F4A7C15 | 1
+_POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers 0..n-1 of a fixed odd base modulo 2**64, and their inverses."""
+    if len(_POWERS[0]) < n:
+        for i, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            p = np.full(n, base, np.uint64)
+            p[0] = 1
+            _POWERS[i] = np.cumprod(p, dtype=np.uint64)
+    return _POWERS[0][:n], _POWERS[1][:n]
+
+
+def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of values[start:end] for each span: equal content, equal hash, wherever it stands."""
+    up, down = powers(len(values) + 1)
+    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values * up[:-1], dtype=np.uint64)))
+    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64) * _M2)
+
+
+def word_spans(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words ``[^\\x20\\x09-\\x0D]+`` in bytes."""
+    gap = np.ones(len(raw) + 2, np.int8)
+    gap[1:-1] = _SPACE[np.frombuffer(raw, np.uint8)]
+    step = np.diff(gap)
+    return np.flatnonzero(step == -1), np.flatnonzero(step == 1)
+
+
+def word_hashes(raw: bytes, fold: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, start, end) of each word; ``fold``: A-Z count as a-z."""
+    starts, ends = word_spans(raw)
+    if not len(starts):
+        return np.empty(0, np.uint64), starts, ends
+    kind, data, parts = _FOLD if fold else _BYTE, np.frombuffer(raw, np.uint8), []
+    for lo, hi in slices(ends - starts + 1):      # bounded arrays for very long texts
+        a, b = starts[lo], ends[hi - 1]
+        parts.append(span_hashes(kind[data[a:b]], starts[lo:hi] - a, ends[lo:hi] - a))
+    return np.concatenate(parts), starts, ends
 
 
 def grams(h: np.ndarray, n: int) -> np.ndarray:

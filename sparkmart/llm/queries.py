@@ -15,6 +15,24 @@ def tokenizer_path() -> str:
     return path("word_bpe_49k.json")
 
 
+def _removed() :
+    return F.aggregate("spans", F.lit(0).cast("long"), lambda t, s: t + s["end"] - s["start"])
+
+
+def op4_fm_substring(spark, sf):
+    from sparkmart.llm.fm_substring import dedup_words
+    got = dedup_words(_read(spark, sf, "documents"), 50)
+    return got.select("doc_id", F.col("n_units").alias("n_words"), _removed().alias("n_removed"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op10_suffix_levels(spark, sf):
+    from sparkmart.llm.suffix_levels import dedup_bytes
+    got = dedup_bytes(_read(spark, sf, "documents"), 100)
+    return got.select("doc_id", F.col("n_units").alias("n_bytes"), _removed().alias("n_removed"),
+                      F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_ring_shards(spark, sf):
     from sparkmart.llm.hash_ring import shard_rows
     got = shard_rows(_read(spark, sf, "documents"), 40)
@@ -35,6 +53,7 @@ def op8_best_fit(spark, sf):
     return pack(token_pieces(_read(spark, sf, "documents"), tokenizer_path(), 2048), 2048)
 
 
-QUERIES = {f.__name__: f for f in (op5_ring_shards, op7_random_battery, op8_best_fit)}
+QUERIES = {f.__name__: f for f in (
+    op4_fm_substring, op5_ring_shards, op7_random_battery, op8_best_fit, op10_suffix_levels)}
 
 ORACLES: dict[str, str] = {}
