@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkmart.llm.common import CHUNK_BYTES, literal_table, positioned, slices
+from sparkmart.llm.common import CHUNK_BYTES, literal_table, positioned, slices, table
 
 #: chunk -> ids cached per Python worker (about 100 MB when full; emptied then)
 CACHE_ENTRIES = 800_000
@@ -213,8 +213,9 @@ def best_fit_steps(counts: dict[int, int], capacity: int) -> list[dict]:
 def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
     """``pieces`` plus ``sequence_id`` and ``offset`` (place in the sequence)."""
     spark = pieces.sparkSession
+    pieces = table(pieces, "pieces")  # a range sort reads its input twice: tokenise once
     order = ["length", "ids_crc32", *[c for c in pieces.columns if c not in ("length", "ids_crc32")], "_tie"]
-    rows = positioned(pieces.withColumn("_tie", F.monotonically_increasing_id()), order, "pieces")
+    rows = positioned(pieces.withColumn("_tie", F.monotonically_increasing_id()), order, "sorted_pieces")
     counts = {r[0]: r[1] for r in rows.groupBy("length").count().collect()}  # at most `capacity` numbers
     first, total = {}, 0
     for size in sorted(counts):
