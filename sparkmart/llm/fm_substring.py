@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 
 from sparkmart.llm.common import word_hashes
-from sparkmart.llm.windows import Unit, apply_cuts, removed_spans
+from sparkmart.llm.windows import Unit, remove_repeats
 
 
 class Bits:
@@ -167,6 +167,4 @@ def smaller_key(unit: Unit, rows):
 def dedup_words(df: DataFrame, k: int = 50, *, key: str = "doc_id", text: str = "text", **sizes) -> DataFrame:
     """A row per row of ``df``: key, ``n_units`` (words), ``spans`` (maximal
     removed runs, in words) and ``kept`` (the remaining words, one space between)."""
-    unit = Unit("words", k, min(6, k), False)
-    cuts = removed_spans(df, unit, smaller_key, key=key, text=text, **sizes)
-    return apply_cuts(df, cuts, unit, key=key, text=text)
+    return remove_repeats(df, Unit("words", k, min(6, k), False), smaller_key, key=key, text=text, **sizes)

@@ -26,6 +26,12 @@ def op4_fm_substring(spark, sf):
                       F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op9_crf_langid(spark, sf):
+    from sparkmart.llm.crf_langid import held_out, identify
+    got = identify(_read(spark, sf, "documents"))
+    return got.select("doc_id", held_out().alias("held_out"), F.col("lang").alias("lang_pred"), "score")
+
+
 def op10_suffix_levels(spark, sf):
     from sparkmart.llm.suffix_levels import dedup_bytes
     got = dedup_bytes(_read(spark, sf, "documents"), 100)
@@ -54,6 +60,7 @@ def op8_best_fit(spark, sf):
 
 
 QUERIES = {f.__name__: f for f in (
-    op4_fm_substring, op5_ring_shards, op7_random_battery, op8_best_fit, op10_suffix_levels)}
+    op4_fm_substring, op5_ring_shards, op7_random_battery, op8_best_fit, op9_crf_langid,
+    op10_suffix_levels)}
 
 ORACLES: dict[str, str] = {}

@@ -7,8 +7,9 @@ Frame of the two substring-dedup operators; each brings its own index.
    segments of windows with one anchor, and equal windows have equal anchors:
    only segments under the same anchor can share a window.
 2. Anchors that occur once need nothing more.  Of the others, segments of
-   equal content form a class (hot passages and copies become one class); all
-   but a class's first members are removed whole.
+   equal content form a class; all but a class's first members are removed
+   whole.  Tasks already settle the later members among their own rows, so a
+   passage that a third of the documents share sends a row or so per task.
 3. Where an anchor has several classes, the classes' first members are sent,
    with their content, to shards by anchor, and a shard's index tells which of
    their windows stand earlier in another.  An anchor with more than
@@ -16,9 +17,9 @@ Frame of the two substring-dedup operators; each brings its own index.
    one by their own hash, which is exact and combines before the shuffle.
 4. The removed spans return to their documents.
 
-Content hashes have 64 bits under a 64-bit anchor.  Documents are told apart
-by key and text hash, in that order; a null key stands before all others, and
-rows that repeat a key and a text are the same document.
+Content hashes have 64 bits under a 64-bit anchor.  A null key stands before
+all others.  Rows that repeat a key and a text are the same document; rows that
+repeat a key with another text are told apart, and ordered, by text hash.
 """
 from __future__ import annotations
 
@@ -26,7 +27,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkmart.llm.common import grams, mix, runs, sliding_min, span_hashes, table, word_hashes, _BYTE
@@ -93,17 +94,30 @@ def segments(values: np.ndarray, unit: Unit) -> Iterator[tuple[np.ndarray, ...]]
         yield anchor.view(np.int64), content.view(np.int64), start + at, n, twice
 
 
-def _source(df: DataFrame, key: str, text: str) -> DataFrame:
+def _source(df: DataFrame, key: str, text: str, unique: bool) -> DataFrame:
+    """The rows as _key, d (key, nulls first), v (text hash; 0 where keys are unique: it
+    would only widen the rows), t."""
     t = F.coalesce(F.col(text).cast("string"), F.lit(""))
     return df.select(F.col(key).alias("_key"), F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63))).alias("d"),
-                     F.xxhash64(t).alias("v"), t.alias("t"))
+                     (F.lit(0).cast("long") if unique else F.xxhash64(t)).alias("v"), t.alias("t"))
+
+
+def keys_are_unique(df: DataFrame, key: str) -> bool:
+    k = F.col(key).cast("long")
+    return df.groupBy(k.alias("k")).count().where("count > 1").limit(1).count() == 0
+
+
+#: rows of segments that a task gathers before it settles repeats among them
+FLUSH = 500_000
 
 
 def _all_segments(src: DataFrame, unit: Unit) -> DataFrame:
+    """Segments as a, c, d, v, s, n, f (the anchor stands there twice), w (settled: removed
+    whole, as its content stands earlier in the task; its anchor is then a number of its own)."""
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
+        out, rows = [], 0
         for b in batches:
-            out, rows = [], 0
             for d, v, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
                 raw = t.as_buffer().to_pybytes()
                 if len(raw) < unit.k:
@@ -111,19 +125,29 @@ def _all_segments(src: DataFrame, unit: Unit) -> DataFrame:
                 for part in segments(unit.values(raw)[0], unit):
                     out.append((*part, np.full(len(part[0]), d), np.full(len(part[0]), v)))
                     rows += len(part[0])
-                if rows > 200_000:
-                    yield pack(out, pa)
+                if rows > FLUSH:
+                    yield settle(out, pa)
                     out, rows = [], 0
-            if out:
-                yield pack(out, pa)
+        if out:
+            yield settle(out, pa)
 
-    def pack(out, pa):
+    def settle(out, pa):
         a, c, s, n, f, d, v = (np.concatenate(x) for x in zip(*out))
-        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(c), pa.array(d, pa.int64()), pa.array(v, pa.int64()),
-                                           pa.array(s, pa.int64()), pa.array(n, pa.int64()), pa.array(f)],
-                                          names=["a", "c", "d", "v", "s", "n", "f"])
+        order = np.lexsort((s, v, d, c, a))
+        a, c, s, n, f, d, v = (x[order] for x in (a, c, s, n, f, d, v))
+        head = np.concatenate(([True], (a[1:] != a[:-1]) | (c[1:] != c[:-1])))
+        lead = np.flatnonzero(head)[np.cumsum(head) - 1]
+        w = d > d[lead]
+        if unit.inside:
+            w |= (d == d[lead]) & ((v > v[lead]) | (v == v[lead]) & (s > s[lead]))
+        # a decided row needs no meeting place: spread it
+        a = np.where(w, mix((d * 1_000_003 + s).astype(np.uint64)).view(np.int64), a)
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(np.where(w, 0, c)), pa.array(d, pa.int64()),
+                                           pa.array(v, pa.int64()), pa.array(s, pa.int32()), pa.array(n, pa.int32()),
+                                           pa.array(f), pa.array(w)], names=["a", "c", "d", "v", "s", "n", "f", "w"])
 
-    return src.select("d", "v", "t").mapInArrow(run, "a long, c long, d long, v long, s long, n long, f boolean")
+    return src.select("d", "v", "t").mapInArrow(
+        run, "a long, c long, d long, v long, s int, n int, f boolean, w boolean")
 
 
 def _with_keys(src: DataFrame, lists: DataFrame, how: str = "inner") -> DataFrame:
@@ -191,26 +215,23 @@ def _hot(src: DataFrame, wanted: DataFrame, unit: Unit) -> DataFrame:
     return got.select("a", "c", F.col("o").alias("lo"), (F.col("o") + unit.k).alias("hi"))
 
 
-def removed_spans(df: DataFrame, unit: Unit, index: Callable, *, key: str, text: str,
+def removed_spans(df: DataFrame, unit: Unit, index: Callable, *, key: str, text: str, unique: bool,
                   shard_windows: int = SHARD_WINDOWS, hot_classes: int = HOT_CLASSES) -> DataFrame:
-    """Per document with something to remove: d, v, ``cuts`` (array of (lo, hi) in
+    """``unique``: no key stands twice.  Per document with something to remove: d, v, ``cuts`` (array of (lo, hi) in
     units, may overlap).  ``index(unit, rows)`` gets a shard's rows, a pandas frame
     with a, c, d, v, s, n, body in order of (d, v, s), and yields (row, lo, hi)."""
-    src = _source(df, key, text)
+    src = _source(df, key, text, unique)
     rows = _all_segments(src, unit)
-    stats = rows.groupBy("a").agg(F.count(F.lit(1)).alias("m"), F.min("d").alias("d0"), F.max("d").alias("d1"),
-                                  F.min("c").alias("c0"), F.max("c").alias("c1"), F.max("f").alias("f"))
-    again = (F.col("m") > 1) | F.col("f") if unit.inside else F.col("d0") < F.col("d1")
-    mixed = (F.col("c0") < F.col("c1")) | F.col("f")
-    stats = stats.where(again).select("a", mixed.alias("mixed"))
-    found = table(rows.join(stats, "a").select("a", "c", "d", "v", "s", "n", "mixed"), "segments")
-    first = found.groupBy("a", "c").agg(F.min(F.struct("d", "v", "s")).alias("first"))
+    # one exchange by anchor and one sort; all that is asked of anchors and classes in one go
+    by_class, by_anchor = Window.partitionBy("a", "c").orderBy("d", "v", "s"), Window.partitionBy("a")
     me = F.struct("d", "v", "s")
+    rows = rows.withColumn("first", F.first(me).over(by_class)) \
+        .withColumns({"mixed": (F.min("c").over(by_anchor) < F.max("c").over(by_anchor)) | F.max("f").over(by_anchor)})
     later = (F.col("first") < me) if unit.inside else (F.col("first.d") < F.col("d"))
-    members = table(found.join(first, ["a", "c"]).select("a", "c", "d", "v", "s", "n", "mixed", later.alias("whole"),
-                                                         (me == F.col("first")).alias("lead"))
-                    .where(F.col("whole") | F.col("mixed")), "members")
-    leads = members.where("lead").dropDuplicates(["a", "c"])
+    rows = rows.withColumn("whole", F.col("w") | later).where(F.col("whole") | F.col("mixed"))
+    # a settled row's anchor is random: should it meet another there, "mixed" is only checked in vain
+    members = table(rows.select("a", "c", "d", "v", "s", "n", "whole", (me == F.col("first")).alias("lead")), "members")
+    leads = members.where("lead AND NOT whole").dropDuplicates(["a", "c"])
     per = leads.groupBy("a").agg(F.count(F.lit(1)).alias("classes"))
     hot = per.where(F.col("classes") > hot_classes).select("a")
     total = leads.agg(F.sum("n")).first()[0] or 0
@@ -237,6 +258,13 @@ def removed_spans(df: DataFrame, unit: Unit, index: Callable, *, key: str, text:
     return table(cuts, "cuts")
 
 
+def remove_repeats(df: DataFrame, unit: Unit, index: Callable, *, key: str, text: str, **sizes) -> DataFrame:
+    """``removed_spans`` and ``apply_cuts``."""
+    unique = keys_are_unique(df, key)
+    cuts = removed_spans(df, unit, index, key=key, text=text, unique=unique, **sizes)
+    return apply_cuts(df, cuts, unit, key=key, text=text, unique=unique)
+
+
 def merged(cuts: list[dict] | None) -> list[tuple[int, int]]:
     """Overlapping or touching spans joined, in order."""
     out: list[tuple[int, int]] = []
@@ -248,9 +276,9 @@ def merged(cuts: list[dict] | None) -> list[tuple[int, int]]:
     return out
 
 
-def apply_cuts(df: DataFrame, cuts: DataFrame, unit: Unit, *, key: str, text: str) -> DataFrame:
+def apply_cuts(df: DataFrame, cuts: DataFrame, unit: Unit, *, key: str, text: str, unique: bool) -> DataFrame:
     """A row per row of ``df``: key, ``n_units``, ``spans`` (removed, in units), ``kept`` (bytes)."""
-    src = _source(df, key, text)
+    src = _source(df, key, text, unique)
     kind = df.schema[key].dataType.simpleString()
 
     def run(batches: Iterator) -> Iterator:
