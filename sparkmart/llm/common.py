@@ -8,7 +8,10 @@ step since the last written table.
 from __future__ import annotations
 
 import json
+import tempfile
+import zipfile
 from collections.abc import Iterator, Sequence
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +23,24 @@ from sparkmart.session import scratch_dir
 CHUNK_BYTES = 1 << 20
 
 
+_SHIPPED: dict[str, str] = {}
+
+
+def ship(spark: SparkSession) -> None:
+    """The package's source to the executors' Python, once per application.
+    Spark's own file distribution carries the zip; workers need no shared path."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent.parent
+    path = Path(tempfile.mkdtemp(prefix="sparkmart-src-")) / "sparkmart_src.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    sc.addPyFile(str(path))
+    _SHIPPED[sc.applicationId] = str(path)
+
+
 def table(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read back (cuts lineage)."""
     spark = df.sparkSession
