@@ -20,6 +20,12 @@ def op2_minhash_forest(spark, sf):
     return near_duplicates(_read(spark, sf, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op3_edit_decontam(spark, sf):
+    from sparkmart.llm.edit_decontam import contaminated
+    got = contaminated(_read(spark, sf, "documents"), _read(spark, sf, "benchmark"))
+    return got.select("doc_id", "item_id", "distance", "n_chars")
+
+
 def _removed() :
     return F.aggregate("spans", F.lit(0).cast("long"), lambda t, s: t + s["end"] - s["start"])
 
@@ -73,7 +79,7 @@ def _shipped(f):
 
 
 QUERIES = {f.__name__: _shipped(f) for f in (
-    op2_minhash_forest, op4_fm_substring, op5_ring_shards, op7_random_battery, op8_best_fit, op9_crf_langid,
+    op2_minhash_forest, op3_edit_decontam, op4_fm_substring, op5_ring_shards, op7_random_battery, op8_best_fit, op9_crf_langid,
     op10_suffix_levels)}
 
 ORACLES: dict[str, str] = {}
