@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from sparkmart.llm.common import grams, mix, runs, sliding_min, span_hashes, table, word_hashes, _BYTE
 
 #: units of a document handled at a time, and windows of a segment at most
-SLICE, SEGMENT = 1 << 19, 256
+SLICE, SEGMENT = 1 << 19, 256   # a segment's windows fit 10 bits
 #: windows per shard (memory bound of an index task), classes of an anchor that go to one shard
 SHARD_WINDOWS, HOT_CLASSES = 250_000, 20_000
 #: document keys that are broadcast at most (16 bytes each); beyond, a shuffle join
@@ -112,8 +112,9 @@ FLUSH = 500_000
 
 
 def _all_segments(src: DataFrame, unit: Unit) -> DataFrame:
-    """Segments as a, c, d, v, s, n, f (the anchor stands there twice), w (settled: removed
-    whole, as its content stands earlier in the task; its anchor is then a number of its own)."""
+    """Segments as a, c, d, v and p: start * 4096 + windows * 4 + f * 2 + w, where f: the
+    anchor stands there twice, w: settled (removed whole, as its content stands earlier in
+    the task; its anchor is then a number of its own)."""
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
         out, rows = [], 0
@@ -134,27 +135,25 @@ def _all_segments(src: DataFrame, unit: Unit) -> DataFrame:
     def settle(out, pa):
         a, c, s, n, f, d, v = (np.concatenate(x) for x in zip(*out))
         order = np.lexsort((s, v, d, c, a))
-        a, c, s, n, f, d, v = (x[order] for x in (a, c, s, n, f, d, v))
-        head = np.concatenate(([True], (a[1:] != a[:-1]) | (c[1:] != c[:-1])))
-        lead = np.flatnonzero(head)[np.cumsum(head) - 1]
+        head = np.concatenate(([True], (a[order][1:] != a[order][:-1]) | (c[order][1:] != c[order][:-1])))
+        lead = np.empty(len(a), np.int64)
+        lead[order] = order[np.flatnonzero(head)[np.cumsum(head) - 1]]
         w = d > d[lead]
         if unit.inside:
             w |= (d == d[lead]) & ((v > v[lead]) | (v == v[lead]) & (s > s[lead]))
-        # a decided row needs no meeting place: spread it
+        # a settled row needs no meeting place: spread it
         a = np.where(w, mix((d * 1_000_003 + s).astype(np.uint64)).view(np.int64), a)
+        p = s * 4096 + n * 4 + f * 2 + w
         return pa.RecordBatch.from_arrays([pa.array(a), pa.array(np.where(w, 0, c)), pa.array(d, pa.int64()),
-                                           pa.array(v, pa.int64()), pa.array(s, pa.int32()), pa.array(n, pa.int32()),
-                                           pa.array(f), pa.array(w)], names=["a", "c", "d", "v", "s", "n", "f", "w"])
+                                           pa.array(v, pa.int64()), pa.array(p)], names=["a", "c", "d", "v", "p"])
 
-    return src.select("d", "v", "t").mapInArrow(
-        run, "a long, c long, d long, v long, s int, n int, f boolean, w boolean")
+    return src.select("d", "v", "t").mapInArrow(run, "a long, c long, d long, v long, p long")
 
 
 def _with_keys(src: DataFrame, lists: DataFrame, how: str = "inner") -> DataFrame:
     """``src`` joined to per-document ``lists``.  While few documents are
     listed, their keys go to the scan first, so that only their texts move."""
-    n = lists.count()
-    if n > BROADCAST_KEYS:
+    if lists.count() > BROADCAST_KEYS:
         return src.join(lists, ["d", "v"], how)
     keys = F.broadcast(lists.select("d", "v"))
     got = src.join(keys, ["d", "v"], "left_semi").join(lists, ["d", "v"])
@@ -188,7 +187,7 @@ def _bodies(src: DataFrame, wanted: DataFrame, unit: Unit) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols[:6]] + [pa.array(cols[6], pa.binary())],
                                           names=["a", "c", "d", "v", "s", "n", "body"])
 
-    lists = wanted.groupBy("d", "v").agg(F.collect_list(F.struct("s", "n", "a", "c")).alias("w"))  # one document's
+    lists = table(wanted.groupBy("d", "v").agg(F.collect_list(F.struct("s", "n", "a", "c")).alias("w")), "wanted")
     return _with_keys(src, lists).select("d", "v", "t", "w").mapInArrow(
         run, "a long, c long, d long, v long, s long, n long, body binary")
 
@@ -222,21 +221,25 @@ def removed_spans(df: DataFrame, unit: Unit, index: Callable, *, key: str, text:
     with a, c, d, v, s, n, body in order of (d, v, s), and yields (row, lo, hi)."""
     src = _source(df, key, text, unique)
     rows = _all_segments(src, unit)
-    # one exchange by anchor and one sort; all that is asked of anchors and classes in one go
-    by_class, by_anchor = Window.partitionBy("a", "c").orderBy("d", "v", "s"), Window.partitionBy("a")
-    me = F.struct("d", "v", "s")
-    rows = rows.withColumn("first", F.first(me).over(by_class)) \
-        .withColumns({"mixed": (F.min("c").over(by_anchor) < F.max("c").over(by_anchor)) | F.max("f").over(by_anchor)})
-    later = (F.col("first") < me) if unit.inside else (F.col("first.d") < F.col("d"))
-    rows = rows.withColumn("whole", F.col("w") | later).where(F.col("whole") | F.col("mixed"))
-    # a settled row's anchor is random: should it meet another there, "mixed" is only checked in vain
-    members = table(rows.select("a", "c", "d", "v", "s", "n", "whole", (me == F.col("first")).alias("lead")), "members")
-    leads = members.where("lead AND NOT whole").dropDuplicates(["a", "c"])
-    per = leads.groupBy("a").agg(F.count(F.lit(1)).alias("classes"))
-    hot = per.where(F.col("classes") > hot_classes).select("a")
-    total = leads.agg(F.sum("n")).first()[0] or 0
-    shards = max(1, -(-total // shard_windows))
-    cool = _bodies(src, leads.join(hot, "a", "left_anti"), unit) \
+    # one exchange by anchor and one sort answer all that is asked of anchors and classes
+    place = F.col("d"), F.col("v"), F.col("p")
+    by_class, by_anchor = Window.partitionBy("a", "c").orderBy(*place), Window.partitionBy("a")
+    rows = rows.withColumns({"r": F.rank().over(by_class), "d0": F.first("d").over(by_class)})
+    rows = rows.withColumns({"m": F.count(F.when(F.col("r") == 1, 1)).over(by_anchor),
+                             "f": F.max(F.col("p").bitwiseAND(2)).over(by_anchor) > 0})
+    settled = F.col("p").bitwiseAND(1) == 1
+    later = ((F.col("r") > 1) if unit.inside else (F.col("d") > F.col("d0"))) | settled
+    # a settled row's anchor is random: should it meet another there, that one is checked in vain
+    rows = rows.withColumn("whole", later).where(F.col("whole") | (F.col("m") > 1) | F.col("f"))
+    name = lambda c: F.when(~F.col("whole"), F.col(c)).alias(c)
+    members = table(rows.select(
+        name("a"), name("c"), name("r"), name("m"), "d", "v", "whole", F.shiftright("p", 12).alias("s"),
+        F.shiftright("p", 2).bitwiseAND(1023).alias("n")), "members")
+    leads = members.where("r = 1")
+    most, total = leads.agg(F.max("m"), F.sum("n")).first()
+    shards = max(1, -(-(total or 0) // shard_windows))
+    hot, leads = leads.where(F.col("m") > hot_classes), leads.where(F.col("m") <= hot_classes)
+    cool = _bodies(src, leads, unit) \
         .withColumn("shard", F.pmod(F.xxhash64("a"), F.lit(shards)))
 
     def run(pdf):
@@ -249,8 +252,8 @@ def removed_spans(df: DataFrame, unit: Unit, index: Callable, *, key: str, text:
                              "hi": np.concatenate([g[2] for g in got]) if got else row})
 
     part = cool.groupBy("shard").applyInPandas(run, "a long, c long, lo long, hi long")
-    if hot.limit(1).count():
-        part = part.unionByName(_hot(src, leads.join(hot, "a", "left_semi"), unit))
+    if (most or 0) > hot_classes:
+        part = part.unionByName(_hot(src, hot, unit))
     part = part.join(members.where(~F.col("whole")), ["a", "c"]) \
         .select("d", "v", (F.col("s") + F.col("lo")).alias("lo"), (F.col("s") + F.col("hi")).alias("hi"))
     whole = members.where("whole").select("d", "v", F.col("s").alias("lo"), (F.col("s") + F.col("n") + unit.k - 1).alias("hi"))
