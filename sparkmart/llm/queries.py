@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+
 
 def _read(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
@@ -62,6 +64,16 @@ def op5_ring_shards(spark, sf):
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op6_chat_hmm(spark, sf):
+    from sparkmart.llm.chat_hmm import as_transcripts, parse, train
+    from sparkmart.llm.common import table
+    raw = table(as_transcripts(_read(spark, sf, "conversations")), "transcripts")
+    named = raw.select(F.struct("conv_id", "part").alias("id"), "text")
+    got = parse(named, train(raw), key="id")
+    return got.select("id.conv_id", "id.part", F.size("turns").alias("n_turns"),
+                      F.array_join(F.transform("turns", lambda t: t["role"]), ",").alias("roles"), "rendered")
+
+
 def op7_random_battery(spark, sf):
     from sparkmart.llm.random_battery import scan
     got = scan(_read(spark, sf, "documents"))
@@ -84,7 +96,8 @@ def _shipped(f):
 
 
 QUERIES = {f.__name__: _shipped(f) for f in (
-    op1_hash_forest, op2_minhash_forest, op3_edit_decontam, op4_fm_substring, op5_ring_shards, op7_random_battery, op8_best_fit, op9_crf_langid,
+    op1_hash_forest, op2_minhash_forest, op3_edit_decontam, op4_fm_substring, op5_ring_shards, op6_chat_hmm, op7_random_battery, op8_best_fit, op9_crf_langid,
     op10_suffix_levels)}
+QUERIES["pipeline"] = corpus_pipeline.run
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
