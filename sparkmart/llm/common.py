@@ -49,6 +49,15 @@ def table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: rows of a few numbers each that are broadcast at most
+BROADCAST_ROWS = 2_000_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """``df``, of narrow rows, marked for broadcast if its counted rows are few enough."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def literal_table(spark: SparkSession, rows: Sequence[dict], schema: str) -> DataFrame:
     """A small table from the driver as one JSON literal: no RDD, no Arrow.
     For tables bounded by parameters only."""
