@@ -46,8 +46,19 @@ def q_fact_preview(spark, sf):
 
 
 def q_row_count_audit(spark, sf):
-    o, i = _clean_orders(spark, sf), _clean_items(spark, sf)
-    return batch_fact.audit(o, i, batch_fact.build_fact(o, i))
+    return batch_fact.audit(_clean_orders(spark, sf), _clean_items(spark, sf))
+
+
+def q_fact_from_csv(spark, sf):
+    """The fact from CSV files, written from the tables and read as text."""
+    from sparkmart.session import scratch_dir
+    from sparkmart.sources.files import read_csv_strings
+    paths = []
+    for name, df in (("orders", roles.csv_orders(spark, sf)), ("items", roles.csv_order_items(spark, sf))):
+        paths.append(scratch_dir(spark, f"csv_{name}"))
+        df.write.option("header", True).csv(paths[-1])
+    return batch_fact.build_fact(batch_fact.clean_orders(read_csv_strings(spark, paths[0]), key_type="bigint"),
+                                 batch_fact.clean_order_items(read_csv_strings(spark, paths[1]), key_type="bigint"))
 
 
 def q_fact_roundtrip(spark, sf):
@@ -57,14 +68,18 @@ def q_fact_roundtrip(spark, sf):
 
 
 _ORDERS_SQL = """
-  co AS (
-    SELECT TRY_CAST(CAST(o_orderkey AS VARCHAR) AS BIGINT) AS order_id,
-           TRY_CAST(COALESCE(CASE WHEN o_orderkey % 97 = 0 THEN NULL
-                                  WHEN o_orderkey % 89 = 0 THEN 'x'
-                                  ELSE CAST(o_custkey AS VARCHAR) END, '-1') AS BIGINT) AS customer_id,
-           CAST(try_strptime(CASE WHEN o_orderkey % 83 = 0 THEN strftime(o_orderdate, '%d/%m/%Y')
-                                  ELSE strftime(o_orderdate, '%Y-%m-%d') END, '%Y-%m-%d') AS DATE) AS order_date
+  ro AS (
+    SELECT CASE WHEN o_orderkey % 71 = 0 THEN o_orderkey || '.0' ELSE CAST(o_orderkey AS VARCHAR) END AS id,
+           CASE WHEN o_orderkey % 97 = 0 THEN '-1' WHEN o_orderkey % 89 = 0 THEN 'x'
+                WHEN o_orderkey % 79 = 0 THEN o_custkey || '.0' ELSE CAST(o_custkey AS VARCHAR) END AS usr,
+           CASE WHEN o_orderkey % 83 = 0 THEN strftime(o_orderdate, '%d/%m/%Y')
+                ELSE strftime(o_orderdate, '%Y-%m-%d') END AS day
     FROM orders),
+  co AS (
+    SELECT CAST(TRY_CAST(id AS DECIMAL(38, 6)) AS BIGINT) AS order_id,
+           CAST(TRY_CAST(usr AS DECIMAL(38, 6)) AS BIGINT) AS customer_id,
+           CAST(try_strptime(day, '%Y-%m-%d') AS DATE) AS order_date
+    FROM ro),
   ri AS (
     SELECT l_orderkey, l_partkey, l_extendedprice,
            CASE WHEN l_orderkey % 101 = 0 THEN '0' WHEN l_orderkey % 103 = 0 THEN '2.5'
@@ -129,7 +144,7 @@ def q_stg_payment(spark, sf):
 
 
 def _mart_base(spark, sf):
-    stg = models.stg_payment(roles.settled_payment(spark, sf))
+    stg = models.stg_payment(roles.named_payment(spark, sf))
     return models.int_customer_payment(stg, roles.model_customer(spark, sf))
 
 
@@ -138,7 +153,7 @@ def q_int_customer_payment(spark, sf):
 
 
 def _mart(spark, sf):
-    return models.mart_customer_revenue(_mart_base(spark, sf), high=300_000, medium=100_000)
+    return models.mart_customer_revenue(_mart_base(spark, sf), high=2_000_000, medium=1_000_000)
 
 
 def q_mart_customer_revenue(spark, sf):
@@ -159,15 +174,14 @@ _PAYMENT_SQL = """pay_all AS (SELECT o_orderkey AS payment_id, o_custkey AS cust
         o_orderstatus AS status FROM orders),
   stg AS (SELECT payment_id, customer_id, staff_id, rental_id, amount, amount * 1.0 AS amount_usd,
         CAST(payment_date AS DATE) AS payment_date FROM pay_all),
-  settled AS (SELECT * FROM stg WHERE payment_id IN (SELECT payment_id FROM pay_all
-        WHERE status = 'F' AND payment_date >= TIMESTAMP '2000-06-01')),
+  named AS (SELECT * REPLACE (CASE WHEN customer_id % 7 = 0 THEN NULL ELSE customer_id END AS customer_id) FROM stg),
   base AS (SELECT c.c_custkey AS customer_id, c.c_name AS first_name, c.c_mktsegment AS last_name,
         SUM(p.amount) AS total_amount, COUNT(p.payment_id) AS total_transactions
-        FROM customer c LEFT JOIN settled p ON c.c_custkey = p.customer_id GROUP BY 1, 2, 3),
+        FROM customer c LEFT JOIN named p ON c.c_custkey = p.customer_id GROUP BY 1, 2, 3),
   mart AS (SELECT customer_id, upper(first_name || ' ' || last_name) AS nama_lengkap,
         total_amount, total_transactions,
-        CASE WHEN total_amount > 300000 THEN 'HIGH'
-             WHEN total_amount BETWEEN 100000 AND 300000 THEN 'MEDIUM' ELSE 'LOW' END
+        CASE WHEN total_amount > 2000000 THEN 'HIGH'
+             WHEN total_amount BETWEEN 1000000 AND 2000000 THEN 'MEDIUM' ELSE 'LOW' END
         AS kategori_customer FROM base)
 """
 
@@ -183,7 +197,9 @@ def q_incremental_extract(spark, sf):
 
 
 def q_product_supplier_extract(spark, sf):
-    p = roles.etl_products(spark, sf)
+    from sparkmart.sinks.files import write_parquet
+    # the parts' dates come from an aggregate: computed once, used for the newest date and the rows
+    p = spark.read.parquet(write_parquet(roles.etl_products(spark, sf), spark, "products"))
     return etl.product_supplier_extract(p, roles.etl_suppliers(spark, sf), _as_of(p), days=1)
 
 
@@ -275,7 +291,8 @@ def _upsert_sql(src, src_t, older_days, window_days, target_cols=None):
     target_cols = target_cols or f"{src}.*"
     return f"""
   cut AS (SELECT CAST(max(updated_at) AS DATE) AS d FROM {src}),
-  tgt AS (SELECT {target_cols} FROM {src}, cut WHERE updated_at < CAST(cut.d - INTERVAL {older_days} DAY AS TIMESTAMP)),
+  tgt AS (SELECT {target_cols} FROM {src}, cut WHERE updated_at IS NULL
+    OR updated_at < CAST(cut.d - INTERVAL {older_days} DAY AS TIMESTAMP)),
   upd AS (SELECT {src_t}.* FROM {src_t}, cut WHERE updated_at >= CAST(cut.d - INTERVAL {window_days} DAY AS TIMESTAMP)),
   lst AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY updated_at DESC) AS rn FROM upd) WHERE rn = 1)
 SELECT * FROM tgt WHERE NOT EXISTS (SELECT 1 FROM lst WHERE lst.id = tgt.id)
@@ -362,60 +379,23 @@ def _run(query):
         raise RuntimeError(str(query.exception()))
 
 
-class _stream_partitions:
-    """While a registered stream replay runs: one shuffle partition per core
-    and no trailing no-data micro-batch.
-
-    A streaming query fixes the partition count of its state stores when it
-    first starts; the replay of one table needs no more than the cores of
-    this machine (a 200-partition default only adds state-store commits).
-    The no-data batch after the replay would only evict state: nothing these
-    outputs show.  The session values are restored afterwards; results do not
-    depend on them.
-    """
-
-    def __init__(self, spark):
-        self.spark = spark
-
-    def __enter__(self):
-        key = "spark.sql.shuffle.partitions"
-        self.old = self.spark.conf.get(key)
-        self.old_nodata = self.spark.conf.get("spark.sql.streaming.noDataMicroBatches.enabled")
-        self.spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
-        cores = os.cpu_count() or 8
-        try:
-            if int(self.old) > cores:
-                self.spark.conf.set(key, str(cores))
-        except (TypeError, ValueError):
-            pass
-        return self
-
-    def __exit__(self, *exc):
-        self.spark.conf.set("spark.sql.shuffle.partitions", self.old)
-        self.spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", self.old_nodata)
-        return False
+def _first_records(spark, sf):
+    """The replayed stream's first record of each key, whatever the files and batches."""
+    from sparkmart.session import scratch_dir
+    from sparkmart.streaming import transactions as ST
+    out, ck = scratch_dir(spark, "first_out"), scratch_dir(spark, "first_ck")
+    feed = transactions.flag_late(transactions.parse_events(roles.transactions_feed(_event_stream(spark, sf))))
+    _run(ST.start_first_records(feed, out, ck, trigger="availableNow"))
+    return ST.read_first_records(spark, out)
 
 
 def q_stream_dedup(spark, sf):
-    from sparkmart.session import scratch_dir
-    out, ck = scratch_dir(spark, "stream_dedup_out"), scratch_dir(spark, "stream_dedup_ck")
-    feed = roles.transactions_feed(_event_stream(spark, sf))
-    rows = transactions.dedup_stream(transactions.parse_events(feed)) \
-        .select("user_id", "amount", "timestamp", "source", "event_time")
-    with _stream_partitions(spark):
-        _run(rows.writeStream.format("parquet").option("path", out)
-             .option("checkpointLocation", ck).trigger(availableNow=True).start())
-    return _ntz(spark.read.parquet(out), "event_time")
+    return _ntz(_first_records(spark, sf).select("user_id", "amount", "timestamp", "source", "event_time"), "event_time")
 
 
 def _stream_records(spark, sf, valid):
-    from sparkmart.session import scratch_dir
-    from sparkmart.streaming import transactions as ST
-    out, ck = scratch_dir(spark, "stream_out"), scratch_dir(spark, "stream_ck")
-    v = ST.validated_stream(roles.transactions_feed(_event_stream(spark, sf)), _event_rules())
-    with _stream_partitions(spark):
-        _run(ST.start_record_sink(v, valid, out, ck, trigger="availableNow"))
-    return _ntz(spark.read.parquet(out), "event_time")
+    rows = transactions.validate(_first_records(spark, sf), _event_rules()).select(*transactions.OUTPUT_COLUMNS)
+    return _ntz(transactions.split(rows)[0 if valid else 1], "event_time")
 
 
 def q_stream_valid(spark, sf):
@@ -426,16 +406,24 @@ def q_stream_dlq(spark, sf):
     return _stream_records(spark, sf, False)
 
 
-def q_stream_window_counts(spark, sf):
+def _window_report(spark, sf):
     from sparkmart.session import scratch_dir
     from sparkmart.streaming import transactions as ST
     out, ck = scratch_dir(spark, "report_out"), scratch_dir(spark, "report_ck")
     v = ST.validated_stream(roles.transactions_feed(_event_stream(spark, sf)), _event_rules())
-    with _stream_partitions(spark):
-        q, _ = ST.start_window_report(v, out, ck, trigger="availableNow")
-        _run(q)
-    return _ntz(spark.read.parquet(out).select("window_start", "window_end", "running_total"),
-                "window_start", "window_end")
+    q, _ = ST.start_window_report(v, out, ck, trigger="availableNow")
+    _run(q)
+    return out
+
+
+def q_stream_window_counts(spark, sf):
+    from sparkmart.streaming.sinks import read_windows
+    return _ntz(read_windows(spark, _window_report(spark, sf)), "window_start", "window_end")
+
+
+def q_stream_batch_totals(spark, sf):
+    from sparkmart.streaming.sinks import read_totals
+    return read_totals(spark, _window_report(spark, sf)).select("batch_id", "windows", "total")
 
 
 def _activity(spark, sf):
@@ -460,9 +448,7 @@ def q_key_event_counts_stream(spark, sf):
     from sparkmart.session import scratch_dir
     from sparkmart.streaming import activity as SA
     out, ck = scratch_dir(spark, "keys_out"), scratch_dir(spark, "keys_ck")
-    with _stream_partitions(spark):
-        _run(SA.start_key_counts(roles.activity_feed(_event_stream(spark, sf)), out, ck,
-                                 trigger="availableNow"))
+    _run(SA.start_key_counts(roles.activity_feed(_event_stream(spark, sf)), out, ck, trigger="availableNow"))
     return SA.read_key_counts(spark, out)
 
 
@@ -578,6 +564,7 @@ _QUERIES = {
         "fact_preview": q_fact_preview,
         "row_count_audit": q_row_count_audit,
         "fact_roundtrip": q_fact_roundtrip,
+        "fact_from_csv": q_fact_from_csv,
         "grade_report": q_grade_report,
         "extent_distance": q_extent_distance,
         "top_competitors": q_top_competitors,
@@ -608,6 +595,228 @@ _QUERIES = {
         "stream_valid": q_stream_valid,
         "stream_dlq": q_stream_dlq,
         "stream_window_counts": q_stream_window_counts,
+        "stream_batch_totals": q_stream_batch_totals,
+        "key_event_counts": q_key_event_counts,
+        "key_running_count": q_key_running_count,
+        "key_partition_assignment": q_key_partition_assignment,
+        "key_event_counts_stream": q_key_event_counts_stream,
+}
+
+
+def _ts(sql: str, *cols: str) -> str:
+    """DATE columns of an oracle result as TIMESTAMP (see ``_comparable``)."""
+    rep = ", ".join(f"CAST({c} AS TIMESTAMP) AS {c}" for c in cols)
+    return f"SELECT * REPLACE ({rep}) FROM ({sql}) AS q"
+
+
+def oracle_sql() -> dict[str, str]:
+    sql = _oracle_sql()
+    for name in ("fact_transactions", "clean_orders", "fact_preview", "fact_roundtrip", "fact_from_csv",
+                 "incremental_extract", "transform_orders", "upsert_orders"):
+        sql[name] = _ts(sql[name], "order_date")
+    sql["stg_payment"] = _ts(sql["stg_payment"], "payment_date")
+    return sql | _MORE_ORACLES
+
+
+def _oracle_sql() -> dict[str, str]:
+    w = "WITH " + _ORDERS_SQL
+    return {
+        "fact_transactions": w + "SELECT * FROM fact",
+        "clean_orders": w + "SELECT * FROM co",
+        "clean_order_items": w + "SELECT * FROM ci",
+        "fact_preview": w + """SELECT * FROM fact ORDER BY order_id NULLS FIRST,
+            customer_id NULLS FIRST, order_date NULLS FIRST, product_id NULLS FIRST,
+            quantity NULLS FIRST, price NULLS FIRST, gmv NULLS FIRST LIMIT 5""",
+        "row_count_audit": w + """SELECT 'orders' AS stage, count(*) AS rows FROM co
+            UNION ALL SELECT 'order_items', count(*) FROM ci
+            UNION ALL SELECT 'joined', count(*) FROM fact""",
+        "fact_roundtrip": w + "SELECT * FROM fact",
+        "fact_from_csv": w + "SELECT * FROM fact",
+        "grade_report": "WITH " + _GRADES_SQL + """, hit AS (
+              SELECT c_custkey, grade FROM customer, g WHERE c_acctbal >= min_mark AND c_acctbal <= max_mark)
+            SELECT if(hit.grade > 7, c_name, NULL) AS name, hit.grade, c_acctbal AS marks
+            FROM customer LEFT JOIN hit USING (c_custkey)""",
+        "extent_distance": q_extent_distance,
+        "top_competitors": q_top_competitors,
+        "cheapest_per_group": q_cheapest_per_group,
+        "contest_leaderboard": q_contest_leaderboard,
+        "stg_payment": q_stg_payment,
+        "int_customer_payment": q_int_customer_payment,
+        "mart_customer_revenue": q_mart_customer_revenue,
+        "quality_checks": q_quality_checks,
+        "incremental_extract": q_incremental_extract,
+        "product_supplier_extract": q_product_supplier_extract,
+        "transform_products": q_transform_products,
+        "transform_customers": q_transform_customers,
+        "transform_orders": q_transform_orders,
+        "negative_amounts": q_negative_amounts,
+        "upsert_orders": q_upsert_orders,
+        "upsert_customers": q_upsert_customers,
+        "upsert_products": q_upsert_products,
+        "price_with_tax": q_price_with_tax,
+        "parse_events": q_parse_events,
+        "late_events": q_late_events,
+        "validate_events": q_validate_events,
+        "dedup_events": q_dedup_events,
+        "valid_events": q_valid_events,
+        "dlq_events": q_dlq_events,
+        "window_counts": q_window_counts,
+        "stream_dedup": q_stream_dedup,
+        "stream_valid": q_stream_valid,
+        "stream_dlq": q_stream_dlq,
+        "stream_window_counts": q_stream_window_counts,
+        "stream_batch_totals": q_stream_batch_totals,
+        "key_event_counts": q_key_event_counts,
+        "key_running_count": q_key_running_count,
+        "key_partition_assignment": q_key_partition_assignment,
+        "key_event_counts_stream": q_key_event_counts_stream,
+}
+
+
+def _ts(sql: str, *cols: str) -> str:
+    """DATE columns of an oracle result as TIMESTAMP (see ``_comparable``)."""
+    rep = ", ".join(f"CAST({c} AS TIMESTAMP) AS {c}" for c in cols)
+    return f"SELECT * REPLACE ({rep}) FROM ({sql}) AS q"
+
+
+def oracle_sql() -> dict[str, str]:
+    sql = _oracle_sql()
+    for name in ("fact_transactions", "clean_orders", "fact_preview", "fact_roundtrip", "fact_from_csv",
+                 "incremental_extract", "transform_orders", "upsert_orders"):
+        sql[name] = _ts(sql[name], "order_date")
+    sql["stg_payment"] = _ts(sql["stg_payment"], "payment_date")
+    return sql | _MORE_ORACLES
+
+
+def _oracle_sql() -> dict[str, str]:
+    w = "WITH " + _ORDERS_SQL
+    return {
+        "fact_transactions": w + "SELECT * FROM fact",
+        "clean_orders": w + "SELECT * FROM co",
+        "clean_order_items": w + "SELECT * FROM ci",
+        "fact_preview": w + """SELECT * FROM fact ORDER BY order_id NULLS FIRST,
+            customer_id NULLS FIRST, order_date NULLS FIRST, product_id NULLS FIRST,
+            quantity NULLS FIRST, price NULLS FIRST, gmv NULLS FIRST LIMIT 5""",
+        "row_count_audit": w + """SELECT 'orders' AS stage, count(*) AS rows FROM co
+            UNION ALL SELECT 'order_items', count(*) FROM ci
+            UNION ALL SELECT 'joined', count(*) FROM fact""",
+        "fact_roundtrip": w + "SELECT * FROM fact",
+        "fact_from_csv": w + "SELECT * FROM fact",
+        "grade_report": "WITH " + _GRADES_SQL + """
+            SELECT CASE WHEN g.grade > 7 THEN s.c_name END AS name, g.grade, s.c_acctbal AS marks
+            FROM customer s LEFT JOIN g ON s.c_acctbal BETWEEN g.min_mark AND g.max_mark
+            ORDER BY g.grade DESC, s.c_name, g.grade""",
+        "extent_distance": """SELECT ROUND(ABS(min(p_retailprice) - max(p_retailprice))
+            + ABS(min(CAST(p_size AS DOUBLE)) - max(CAST(p_size AS DOUBLE))), 4) AS distance FROM part""",
+        "top_competitors": "WITH " + _FULL_SCORES_SQL + """, wins AS (
+              SELECT l_suppkey, count(*) AS n FROM lineitem
+              WHERE EXISTS (SELECT 1 FROM part, d WHERE p_partkey = l_partkey AND p_type = difficulty_level
+                            AND score = CAST(trunc(l_quantity) AS INTEGER)) GROUP BY l_suppkey)
+            SELECT s_suppkey AS hacker_id, s_name AS name FROM supplier, wins
+            WHERE s_suppkey = l_suppkey AND n >= 2""",
+        "cheapest_per_group": """WITH usable AS (
+              SELECT l_orderkey, l_extendedprice, p_size, CAST(trunc(l_quantity) AS INTEGER) AS strength
+              FROM lineitem JOIN part ON p_partkey = l_partkey AND p_type != 'PROMO'),
+            least AS (SELECT p_size, strength, min(l_extendedprice) AS price FROM usable GROUP BY ALL)
+            SELECT l_orderkey AS id, p_size AS age, price AS coins_needed, strength AS power
+            FROM usable JOIN least USING (p_size, strength) WHERE l_extendedprice = price""",
+        "contest_leaderboard": q_contest_leaderboard,
+        "stg_payment": q_stg_payment,
+        "int_customer_payment": q_int_customer_payment,
+        "mart_customer_revenue": q_mart_customer_revenue,
+        "quality_checks": q_quality_checks,
+        "incremental_extract": q_incremental_extract,
+        "product_supplier_extract": q_product_supplier_extract,
+        "transform_products": q_transform_products,
+        "transform_customers": q_transform_customers,
+        "transform_orders": q_transform_orders,
+        "negative_amounts": q_negative_amounts,
+        "upsert_orders": q_upsert_orders,
+        "upsert_customers": q_upsert_customers,
+        "upsert_products": q_upsert_products,
+        "price_with_tax": q_price_with_tax,
+        "parse_events": q_parse_events,
+        "late_events": q_late_events,
+        "validate_events": q_validate_events,
+        "dedup_events": q_dedup_events,
+        "valid_events": q_valid_events,
+        "dlq_events": q_dlq_events,
+        "window_counts": q_window_counts,
+        "stream_dedup": q_stream_dedup,
+        "stream_valid": q_stream_valid,
+        "stream_dlq": q_stream_dlq,
+        "stream_window_counts": q_stream_window_counts,
+        "stream_batch_totals": q_stream_batch_totals,
+        "key_event_counts": q_key_event_counts,
+        "key_running_count": q_key_running_count,
+        "key_partition_assignment": q_key_partition_assignment,
+        "key_event_counts_stream": q_key_event_counts_stream,
+}
+
+
+def _ts(sql: str, *cols: str) -> str:
+    """DATE columns of an oracle result as TIMESTAMP (see ``_comparable``)."""
+    rep = ", ".join(f"CAST({c} AS TIMESTAMP) AS {c}" for c in cols)
+    return f"SELECT * REPLACE ({rep}) FROM ({sql}) AS q"
+
+
+def oracle_sql() -> dict[str, str]:
+    sql = _oracle_sql()
+    for name in ("fact_transactions", "clean_orders", "fact_preview", "fact_roundtrip", "fact_from_csv",
+                 "incremental_extract", "transform_orders", "upsert_orders"):
+        sql[name] = _ts(sql[name], "order_date")
+    sql["stg_payment"] = _ts(sql["stg_payment"], "payment_date")
+    return sql | _MORE_ORACLES
+
+
+def _oracle_sql() -> dict[str, str]:
+    w = "WITH " + _ORDERS_SQL
+    return {
+        "fact_transactions": w + "SELECT * FROM fact",
+        "clean_orders": w + "SELECT * FROM co",
+        "clean_order_items": w + "SELECT * FROM ci",
+        "fact_preview": w + """SELECT * FROM fact ORDER BY order_id NULLS FIRST,
+            customer_id NULLS FIRST, order_date NULLS FIRST, product_id NULLS FIRST,
+            quantity NULLS FIRST, price NULLS FIRST, gmv NULLS FIRST LIMIT 5""",
+        "row_count_audit": w + """SELECT 'orders' AS stage, count(*) AS rows FROM co
+            UNION ALL SELECT 'order_items', count(*) FROM ci
+            UNION ALL SELECT 'joined', count(*) FROM fact""",
+        "fact_roundtrip": w + "SELECT * FROM fact",
+        "fact_from_csv": w + "SELECT * FROM fact",
+        "grade_report": "WITH " + _GRADES_SQL + """, hit AS (
+              SELECT c_custkey, grade FROM customer, g WHERE c_acctbal >= min_mark AND c_acctbal <= max_mark)
+            SELECT if(hit.grade > 7, c_name, NULL) AS name, hit.grade, c_acctbal AS marks
+            FROM customer LEFT JOIN hit USING (c_custkey)""",
+        "extent_distance": q_extent_distance,
+        "top_competitors": q_top_competitors,
+        "cheapest_per_group": q_cheapest_per_group,
+        "contest_leaderboard": q_contest_leaderboard,
+        "stg_payment": q_stg_payment,
+        "int_customer_payment": q_int_customer_payment,
+        "mart_customer_revenue": q_mart_customer_revenue,
+        "quality_checks": q_quality_checks,
+        "incremental_extract": q_incremental_extract,
+        "product_supplier_extract": q_product_supplier_extract,
+        "transform_products": q_transform_products,
+        "transform_customers": q_transform_customers,
+        "transform_orders": q_transform_orders,
+        "negative_amounts": q_negative_amounts,
+        "upsert_orders": q_upsert_orders,
+        "upsert_customers": q_upsert_customers,
+        "upsert_products": q_upsert_products,
+        "price_with_tax": q_price_with_tax,
+        "parse_events": q_parse_events,
+        "late_events": q_late_events,
+        "validate_events": q_validate_events,
+        "dedup_events": q_dedup_events,
+        "valid_events": q_valid_events,
+        "dlq_events": q_dlq_events,
+        "window_counts": q_window_counts,
+        "stream_dedup": q_stream_dedup,
+        "stream_valid": q_stream_valid,
+        "stream_dlq": q_stream_dlq,
+        "stream_window_counts": q_stream_window_counts,
+        "stream_batch_totals": q_stream_batch_totals,
         "key_event_counts": q_key_event_counts,
         "key_running_count": q_key_running_count,
         "key_partition_assignment": q_key_partition_assignment,
@@ -623,7 +832,7 @@ def _ts(sql: str, *cols: str) -> str:
 
 def oracle_sql() -> dict[str, str]:
     sql = _oracle_sql()
-    for name in ("fact_transactions", "clean_orders", "fact_preview", "fact_roundtrip",
+    for name in ("fact_transactions", "clean_orders", "fact_preview", "fact_roundtrip", "fact_from_csv",
                  "incremental_extract", "transform_orders", "upsert_orders"):
         sql[name] = _ts(sql[name], "order_date")
     sql["stg_payment"] = _ts(sql["stg_payment"], "payment_date")
@@ -643,6 +852,7 @@ def _oracle_sql() -> dict[str, str]:
             UNION ALL SELECT 'order_items', count(*) FROM ci
             UNION ALL SELECT 'joined', count(*) FROM fact""",
         "fact_roundtrip": w + "SELECT * FROM fact",
+        "fact_from_csv": w + "SELECT * FROM fact",
         "grade_report": "WITH " + _GRADES_SQL + """
             SELECT CASE WHEN g.grade > 7 THEN s.c_name END AS name, g.grade, s.c_acctbal AS marks
             FROM customer s LEFT JOIN g ON s.c_acctbal BETWEEN g.min_mark AND g.max_mark
@@ -720,6 +930,9 @@ def _oracle_sql() -> dict[str, str]:
             SELECT date_trunc('minute', event_time) AS window_start,
                    date_trunc('minute', event_time) + INTERVAL 1 MINUTE AS window_end,
                    count(*) AS running_total FROM v WHERE is_valid GROUP BY 1, 2""",
+        "stream_batch_totals": "WITH " + _EVENTS_SQL + """, v AS (""" + _validated_sql("dd") + """),
+            w AS (SELECT count(*) AS n FROM v WHERE is_valid GROUP BY date_trunc('minute', event_time))
+            SELECT CAST(0 AS BIGINT) AS batch_id, count(*) AS windows, CAST(sum(n) AS BIGINT) AS total FROM w""",
         "key_event_counts": "WITH " + _ACTIVITY_SQL + "SELECT key, count(*) AS event_count FROM act GROUP BY key",
         "key_running_count": _KEY_PARTITION_SQL + """SELECT a.key, kp.partition, a."offset",
             count(*) OVER (PARTITION BY a.key ORDER BY kp.partition, a."offset"

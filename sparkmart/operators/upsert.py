@@ -5,7 +5,7 @@ plan: the last update per key (a partial aggregate, safe for hot keys), then
 ``target LEFT ANTI JOIN updates`` plus the updates.  A NULL in an update
 overwrites; there is no per-column coalesce.  An empty update returns the
 target unchanged.  The caller writes the result to a new location and swaps
-(``sinks.versioned``); a path is never read and overwritten in one job.
+(``sinks.files.write_version``); a path is never read and overwritten in one job.
 """
 from __future__ import annotations
 
@@ -16,21 +16,23 @@ from pyspark.sql import functions as F
 
 from sparkmart.operators.per_key import last_per_key
 from sparkmart.operators.sizing import is_small
+from sparkmart.sinks.files import write_parquet
 
 
 def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str],
            order_cols: Sequence[str], broadcast_keys_max: int = 2_000_000) -> DataFrame:
-    """``broadcast_keys_max``: when the update rows (hence their distinct keys)
-    are proven to be at most this many, the keys are broadcast and the
-    anti-join runs map-side, so the (large) target is never shuffled.  The
-    check reads at most ``broadcast_keys_max + 1`` update rows.  Otherwise
-    both sides shuffle on the key (sort-merge anti-join)."""
+    """The last update per key is written once to the shared folder; its row
+    count, read from there, decides whether the keys are broadcast (at most
+    ``broadcast_keys_max``: the anti-join runs map-side and the large target is
+    never shuffled) or both sides shuffle on the key."""
     missing = set(target.columns) ^ set(updates.columns)
     if missing:
         raise ValueError(f"target and updates differ in columns: {sorted(missing)}")
-    latest = last_per_key(updates.select(*target.columns), keys, order_cols)
+    spark = target.sparkSession
+    latest = spark.read.parquet(write_parquet(
+        last_per_key(updates.select(*target.columns), keys, order_cols), spark, "updates"))
     update_keys = latest.select(*keys)
-    if broadcast_keys_max > 0 and is_small(updates, broadcast_keys_max):
+    if broadcast_keys_max > 0 and is_small(update_keys, broadcast_keys_max):
         update_keys = F.broadcast(update_keys)
     kept = target.join(update_keys, list(keys), "left_anti")
     return kept.unionByName(latest)

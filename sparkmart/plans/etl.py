@@ -83,8 +83,8 @@ def load_dimension(target: DataFrame, updates: DataFrame, key: str = "id",
 
 
 def unchanged_before(df: DataFrame, as_of=None, days: int = 1, col: str = "updated_at") -> DataFrame:
-    """Rows with ``col < as_of - days`` (the state of a table as of that day)."""
-    return df.filter(F.col(col) < _bound(df, col, as_of, days))
+    """Rows with ``col < as_of - days``, or without a date (the state of a table as of that day)."""
+    return df.filter(F.col(col).isNull() | (F.col(col) < _bound(df, col, as_of, days)))
 
 
 def incremental_load(customers: DataFrame, products: DataFrame, suppliers: DataFrame,

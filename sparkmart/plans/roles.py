@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from sparkmart.sources.tables import load
 
 # parameters of the fault injection (ours): one in n keys gets each kind of bad cell
-ORDER_USER_NULL, ORDER_USER_TEXT, ORDER_DATE_BAD = 97, 89, 83
+ORDER_USER_NULL, ORDER_USER_TEXT, ORDER_DATE_BAD, ORDER_USER_POINT, ORDER_ID_POINT = 97, 89, 83, 79, 71
 ITEM_QTY_ZERO, ITEM_QTY_FRACTION, ITEM_QTY_TEXT, ITEM_QTY_NULL, ITEM_QTY_NEG = 101, 103, 107, 109, 113
 EVENT_USER_NULL, EVENT_AMOUNT_TEXT, EVENT_TIME_BAD, EVENT_JUNK, EVENT_REDELIVERED = 17, 19, 31, 101, 53
 EVENT_LAG_STEPS = 7  # record time = event time + (event_id mod 7) minutes
@@ -25,14 +25,21 @@ def _every(c: str, n: int):
     return (F.col(c) % F.lit(n)) == 0
 
 
+def _with_point(c: str):
+    """A key as text, for one key in ORDER_ID_POINT as '12.0' (a column that once held a missing value)."""
+    text = F.col(c).cast("string")
+    return F.when(_every(c, ORDER_ID_POINT), F.concat(text, F.lit(".0"))).otherwise(text)
+
+
 # ---- batch fact (CSV text) -------------------------------------------------
 
 def csv_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = load(spark, sf_dir, "orders")
     return o.select(
-        F.col("o_orderkey").cast("string").alias("order_id"),
+        _with_point("o_orderkey").alias("order_id"),
         F.when(_every("o_orderkey", ORDER_USER_NULL), F.lit(None).cast("string"))
          .when(_every("o_orderkey", ORDER_USER_TEXT), F.lit("x"))
+         .when(_every("o_orderkey", ORDER_USER_POINT), F.concat(F.col("o_custkey").cast("string"), F.lit(".0")))
          .otherwise(F.col("o_custkey").cast("string")).alias("user_id"),
         F.when(_every("o_orderkey", ORDER_DATE_BAD), F.date_format("o_orderdate", "dd/MM/yyyy"))
          .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("order_date"),
@@ -47,7 +54,7 @@ def csv_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
            .when(_every("l_orderkey", ITEM_QTY_NULL), F.lit(None).cast("string"))
            .when(_every("l_orderkey", ITEM_QTY_NEG), F.lit("-1"))
            .otherwise(F.col("l_quantity").cast("string")))
-    return li.select(F.col("l_orderkey").cast("string").alias("order_id"),
+    return li.select(_with_point("l_orderkey").alias("order_id"),
                      F.col("l_partkey").cast("string").alias("product_id"),
                      qty.alias("quantity"),
                      F.col("l_extendedprice").cast("string").alias("price"))
@@ -134,14 +141,13 @@ def payment(spark, sf_dir):
         F.col("o_orderstatus").alias("status"))
 
 
-SETTLED_SINCE = "2000-06-01"
+PAYMENT_UNNAMED = 7  # parameter (ours): the customers of every 7th key are not named in payments
 
 
-def settled_payment(spark, sf_dir):
-    """Payments of fulfilled orders in the reporting period."""
+def named_payment(spark, sf_dir):
+    """All payments; those of every 7th customer key name no customer."""
     p = payment(spark, sf_dir)
-    return p.filter((F.col("status") == "F") &
-                    (F.col("payment_date") >= F.lit(SETTLED_SINCE).cast("timestamp_ntz")))
+    return p.withColumn("customer_id", F.when(~_every("customer_id", PAYMENT_UNNAMED), F.col("customer_id")))
 
 
 def model_customer(spark, sf_dir):

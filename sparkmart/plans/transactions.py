@@ -154,8 +154,7 @@ def dedup_stream_bounded(df: DataFrame, keys: Sequence[str] = DEDUP_KEYS,
 
 
 def split(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return (validated.filter(F.col("is_valid") == True),  # noqa: E712
-            validated.filter(F.col("is_valid") == False))  # noqa: E712
+    return validated.filter(F.col("is_valid")), validated.filter(~F.col("is_valid"))
 
 
 def window_counts(valid: DataFrame, size: str = WINDOW, time_col: str = "event_time") -> DataFrame:

@@ -89,6 +89,8 @@ def sizing_conf(input_bytes: int, executors: int, cores_per_executor: int,
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.autoBroadcastJoinThreshold": "-1",
+        # measured shuffle stages may still be broadcast (unset, it would be -1 too)
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

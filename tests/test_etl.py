@@ -32,7 +32,7 @@ def test_changed_since_bound_inclusive(spark):
                                 (3, None), (4, dt.datetime(2024, 3, 10, 8))], "id int, updated_at timestamp")
     got = rows(E.changed_since(df, dt.date(2024, 3, 10), days=1), "id")
     assert got == [(1,), (4,)]
-    assert rows(E.unchanged_before(df, dt.date(2024, 3, 10), days=1), "id") == [(2,)]
+    assert rows(E.unchanged_before(df, dt.date(2024, 3, 10), days=1), "id") == [(2,), (3,)]
 
 
 def test_product_supplier_extract(spark):
