@@ -106,6 +106,14 @@ def q_grade_report(spark, sf):
     return analytics.grade_report(roles.students(spark, sf), roles.grades(spark))
 
 
+def q_price_bands(spark, sf):
+    """How many part price bands hold each account balance: many narrow bands,
+    a few very wide ones and some without an upper end (these hold nothing)."""
+    from sparkmart.operators.range_join import range_left_join
+    j = range_left_join(roles.accounts(spark, sf), "total_amount", roles.price_bands(spark, sf), "lo", "hi")
+    return j.groupBy("id").agg(F.count("band").alias("bands"), F.min("band").alias("first_band"))
+
+
 def q_extent_distance(spark, sf):
     return analytics.extent_distance(roles.station(spark, sf))
 
@@ -566,6 +574,7 @@ _QUERIES = {
         "fact_roundtrip": q_fact_roundtrip,
         "fact_from_csv": q_fact_from_csv,
         "grade_report": q_grade_report,
+        "price_bands": q_price_bands,
         "extent_distance": q_extent_distance,
         "top_competitors": q_top_competitors,
         "cheapest_per_group": q_cheapest_per_group,
@@ -636,76 +645,10 @@ def _oracle_sql() -> dict[str, str]:
               SELECT c_custkey, grade FROM customer, g WHERE c_acctbal >= min_mark AND c_acctbal <= max_mark)
             SELECT if(hit.grade > 7, c_name, NULL) AS name, hit.grade, c_acctbal AS marks
             FROM customer LEFT JOIN hit USING (c_custkey)""",
-        "extent_distance": q_extent_distance,
-        "top_competitors": q_top_competitors,
-        "cheapest_per_group": q_cheapest_per_group,
-        "contest_leaderboard": q_contest_leaderboard,
-        "stg_payment": q_stg_payment,
-        "int_customer_payment": q_int_customer_payment,
-        "mart_customer_revenue": q_mart_customer_revenue,
-        "quality_checks": q_quality_checks,
-        "incremental_extract": q_incremental_extract,
-        "product_supplier_extract": q_product_supplier_extract,
-        "transform_products": q_transform_products,
-        "transform_customers": q_transform_customers,
-        "transform_orders": q_transform_orders,
-        "negative_amounts": q_negative_amounts,
-        "upsert_orders": q_upsert_orders,
-        "upsert_customers": q_upsert_customers,
-        "upsert_products": q_upsert_products,
-        "price_with_tax": q_price_with_tax,
-        "parse_events": q_parse_events,
-        "late_events": q_late_events,
-        "validate_events": q_validate_events,
-        "dedup_events": q_dedup_events,
-        "valid_events": q_valid_events,
-        "dlq_events": q_dlq_events,
-        "window_counts": q_window_counts,
-        "stream_dedup": q_stream_dedup,
-        "stream_valid": q_stream_valid,
-        "stream_dlq": q_stream_dlq,
-        "stream_window_counts": q_stream_window_counts,
-        "stream_batch_totals": q_stream_batch_totals,
-        "key_event_counts": q_key_event_counts,
-        "key_running_count": q_key_running_count,
-        "key_partition_assignment": q_key_partition_assignment,
-        "key_event_counts_stream": q_key_event_counts_stream,
-}
-
-
-def _ts(sql: str, *cols: str) -> str:
-    """DATE columns of an oracle result as TIMESTAMP (see ``_comparable``)."""
-    rep = ", ".join(f"CAST({c} AS TIMESTAMP) AS {c}" for c in cols)
-    return f"SELECT * REPLACE ({rep}) FROM ({sql}) AS q"
-
-
-def oracle_sql() -> dict[str, str]:
-    sql = _oracle_sql()
-    for name in ("fact_transactions", "clean_orders", "fact_preview", "fact_roundtrip", "fact_from_csv",
-                 "incremental_extract", "transform_orders", "upsert_orders"):
-        sql[name] = _ts(sql[name], "order_date")
-    sql["stg_payment"] = _ts(sql["stg_payment"], "payment_date")
-    return sql | _MORE_ORACLES
-
-
-def _oracle_sql() -> dict[str, str]:
-    w = "WITH " + _ORDERS_SQL
-    return {
-        "fact_transactions": w + "SELECT * FROM fact",
-        "clean_orders": w + "SELECT * FROM co",
-        "clean_order_items": w + "SELECT * FROM ci",
-        "fact_preview": w + """SELECT * FROM fact ORDER BY order_id NULLS FIRST,
-            customer_id NULLS FIRST, order_date NULLS FIRST, product_id NULLS FIRST,
-            quantity NULLS FIRST, price NULLS FIRST, gmv NULLS FIRST LIMIT 5""",
-        "row_count_audit": w + """SELECT 'orders' AS stage, count(*) AS rows FROM co
-            UNION ALL SELECT 'order_items', count(*) FROM ci
-            UNION ALL SELECT 'joined', count(*) FROM fact""",
-        "fact_roundtrip": w + "SELECT * FROM fact",
-        "fact_from_csv": w + "SELECT * FROM fact",
-        "grade_report": "WITH " + _GRADES_SQL + """
-            SELECT CASE WHEN g.grade > 7 THEN s.c_name END AS name, g.grade, s.c_acctbal AS marks
-            FROM customer s LEFT JOIN g ON s.c_acctbal BETWEEN g.min_mark AND g.max_mark
-            ORDER BY g.grade DESC, s.c_name, g.grade""",
+        "price_bands": """WITH b AS (SELECT p_partkey AS band, p_retailprice AS lo, CASE WHEN p_partkey % 501 = 0 THEN NULL
+                WHEN p_partkey % 500 = 0 THEN p_retailprice + 1000000 ELSE p_retailprice + p_size / 8.0 END AS hi FROM part)
+            SELECT c_custkey AS id, count(band) AS bands, min(band) AS first_band
+            FROM customer LEFT JOIN b ON c_acctbal >= lo AND c_acctbal <= hi GROUP BY c_custkey""",
         "extent_distance": """SELECT ROUND(ABS(min(p_retailprice) - max(p_retailprice))
             + ABS(min(CAST(p_size AS DOUBLE)) - max(CAST(p_size AS DOUBLE))), 4) AS distance FROM part""",
         "top_competitors": "WITH " + _FULL_SCORES_SQL + """, wins AS (
@@ -720,160 +663,6 @@ def _oracle_sql() -> dict[str, str]:
             least AS (SELECT p_size, strength, min(l_extendedprice) AS price FROM usable GROUP BY ALL)
             SELECT l_orderkey AS id, p_size AS age, price AS coins_needed, strength AS power
             FROM usable JOIN least USING (p_size, strength) WHERE l_extendedprice = price""",
-        "contest_leaderboard": q_contest_leaderboard,
-        "stg_payment": q_stg_payment,
-        "int_customer_payment": q_int_customer_payment,
-        "mart_customer_revenue": q_mart_customer_revenue,
-        "quality_checks": q_quality_checks,
-        "incremental_extract": q_incremental_extract,
-        "product_supplier_extract": q_product_supplier_extract,
-        "transform_products": q_transform_products,
-        "transform_customers": q_transform_customers,
-        "transform_orders": q_transform_orders,
-        "negative_amounts": q_negative_amounts,
-        "upsert_orders": q_upsert_orders,
-        "upsert_customers": q_upsert_customers,
-        "upsert_products": q_upsert_products,
-        "price_with_tax": q_price_with_tax,
-        "parse_events": q_parse_events,
-        "late_events": q_late_events,
-        "validate_events": q_validate_events,
-        "dedup_events": q_dedup_events,
-        "valid_events": q_valid_events,
-        "dlq_events": q_dlq_events,
-        "window_counts": q_window_counts,
-        "stream_dedup": q_stream_dedup,
-        "stream_valid": q_stream_valid,
-        "stream_dlq": q_stream_dlq,
-        "stream_window_counts": q_stream_window_counts,
-        "stream_batch_totals": q_stream_batch_totals,
-        "key_event_counts": q_key_event_counts,
-        "key_running_count": q_key_running_count,
-        "key_partition_assignment": q_key_partition_assignment,
-        "key_event_counts_stream": q_key_event_counts_stream,
-}
-
-
-def _ts(sql: str, *cols: str) -> str:
-    """DATE columns of an oracle result as TIMESTAMP (see ``_comparable``)."""
-    rep = ", ".join(f"CAST({c} AS TIMESTAMP) AS {c}" for c in cols)
-    return f"SELECT * REPLACE ({rep}) FROM ({sql}) AS q"
-
-
-def oracle_sql() -> dict[str, str]:
-    sql = _oracle_sql()
-    for name in ("fact_transactions", "clean_orders", "fact_preview", "fact_roundtrip", "fact_from_csv",
-                 "incremental_extract", "transform_orders", "upsert_orders"):
-        sql[name] = _ts(sql[name], "order_date")
-    sql["stg_payment"] = _ts(sql["stg_payment"], "payment_date")
-    return sql | _MORE_ORACLES
-
-
-def _oracle_sql() -> dict[str, str]:
-    w = "WITH " + _ORDERS_SQL
-    return {
-        "fact_transactions": w + "SELECT * FROM fact",
-        "clean_orders": w + "SELECT * FROM co",
-        "clean_order_items": w + "SELECT * FROM ci",
-        "fact_preview": w + """SELECT * FROM fact ORDER BY order_id NULLS FIRST,
-            customer_id NULLS FIRST, order_date NULLS FIRST, product_id NULLS FIRST,
-            quantity NULLS FIRST, price NULLS FIRST, gmv NULLS FIRST LIMIT 5""",
-        "row_count_audit": w + """SELECT 'orders' AS stage, count(*) AS rows FROM co
-            UNION ALL SELECT 'order_items', count(*) FROM ci
-            UNION ALL SELECT 'joined', count(*) FROM fact""",
-        "fact_roundtrip": w + "SELECT * FROM fact",
-        "fact_from_csv": w + "SELECT * FROM fact",
-        "grade_report": "WITH " + _GRADES_SQL + """, hit AS (
-              SELECT c_custkey, grade FROM customer, g WHERE c_acctbal >= min_mark AND c_acctbal <= max_mark)
-            SELECT if(hit.grade > 7, c_name, NULL) AS name, hit.grade, c_acctbal AS marks
-            FROM customer LEFT JOIN hit USING (c_custkey)""",
-        "extent_distance": q_extent_distance,
-        "top_competitors": q_top_competitors,
-        "cheapest_per_group": q_cheapest_per_group,
-        "contest_leaderboard": q_contest_leaderboard,
-        "stg_payment": q_stg_payment,
-        "int_customer_payment": q_int_customer_payment,
-        "mart_customer_revenue": q_mart_customer_revenue,
-        "quality_checks": q_quality_checks,
-        "incremental_extract": q_incremental_extract,
-        "product_supplier_extract": q_product_supplier_extract,
-        "transform_products": q_transform_products,
-        "transform_customers": q_transform_customers,
-        "transform_orders": q_transform_orders,
-        "negative_amounts": q_negative_amounts,
-        "upsert_orders": q_upsert_orders,
-        "upsert_customers": q_upsert_customers,
-        "upsert_products": q_upsert_products,
-        "price_with_tax": q_price_with_tax,
-        "parse_events": q_parse_events,
-        "late_events": q_late_events,
-        "validate_events": q_validate_events,
-        "dedup_events": q_dedup_events,
-        "valid_events": q_valid_events,
-        "dlq_events": q_dlq_events,
-        "window_counts": q_window_counts,
-        "stream_dedup": q_stream_dedup,
-        "stream_valid": q_stream_valid,
-        "stream_dlq": q_stream_dlq,
-        "stream_window_counts": q_stream_window_counts,
-        "stream_batch_totals": q_stream_batch_totals,
-        "key_event_counts": q_key_event_counts,
-        "key_running_count": q_key_running_count,
-        "key_partition_assignment": q_key_partition_assignment,
-        "key_event_counts_stream": q_key_event_counts_stream,
-}
-
-
-def _ts(sql: str, *cols: str) -> str:
-    """DATE columns of an oracle result as TIMESTAMP (see ``_comparable``)."""
-    rep = ", ".join(f"CAST({c} AS TIMESTAMP) AS {c}" for c in cols)
-    return f"SELECT * REPLACE ({rep}) FROM ({sql}) AS q"
-
-
-def oracle_sql() -> dict[str, str]:
-    sql = _oracle_sql()
-    for name in ("fact_transactions", "clean_orders", "fact_preview", "fact_roundtrip", "fact_from_csv",
-                 "incremental_extract", "transform_orders", "upsert_orders"):
-        sql[name] = _ts(sql[name], "order_date")
-    sql["stg_payment"] = _ts(sql["stg_payment"], "payment_date")
-    return sql | _MORE_ORACLES
-
-
-def _oracle_sql() -> dict[str, str]:
-    w = "WITH " + _ORDERS_SQL
-    return {
-        "fact_transactions": w + "SELECT * FROM fact",
-        "clean_orders": w + "SELECT * FROM co",
-        "clean_order_items": w + "SELECT * FROM ci",
-        "fact_preview": w + """SELECT * FROM fact ORDER BY order_id NULLS FIRST,
-            customer_id NULLS FIRST, order_date NULLS FIRST, product_id NULLS FIRST,
-            quantity NULLS FIRST, price NULLS FIRST, gmv NULLS FIRST LIMIT 5""",
-        "row_count_audit": w + """SELECT 'orders' AS stage, count(*) AS rows FROM co
-            UNION ALL SELECT 'order_items', count(*) FROM ci
-            UNION ALL SELECT 'joined', count(*) FROM fact""",
-        "fact_roundtrip": w + "SELECT * FROM fact",
-        "fact_from_csv": w + "SELECT * FROM fact",
-        "grade_report": "WITH " + _GRADES_SQL + """
-            SELECT CASE WHEN g.grade > 7 THEN s.c_name END AS name, g.grade, s.c_acctbal AS marks
-            FROM customer s LEFT JOIN g ON s.c_acctbal BETWEEN g.min_mark AND g.max_mark
-            ORDER BY g.grade DESC, s.c_name, g.grade""",
-        "extent_distance": """SELECT ROUND(ABS(min(p_retailprice) - max(p_retailprice))
-            + ABS(min(CAST(p_size AS DOUBLE)) - max(CAST(p_size AS DOUBLE))), 4) AS distance FROM part""",
-        "top_competitors": "WITH " + _FULL_SCORES_SQL + """
-            SELECT ha.s_suppkey AS hacker_id, ha.s_name AS name
-            FROM lineitem sub JOIN supplier ha ON ha.s_suppkey = sub.l_suppkey
-            JOIN part ch ON ch.p_partkey = sub.l_partkey
-            JOIN d ON d.difficulty_level = ch.p_type
-            WHERE CAST(trunc(sub.l_quantity) AS INTEGER) = d.score
-            GROUP BY ha.s_suppkey, ha.s_name HAVING count(sub.l_suppkey) > 1
-            ORDER BY count(sub.l_suppkey) DESC, hacker_id""",
-        "cheapest_per_group": """WITH w AS (
-              SELECT l_orderkey AS id, p_size AS age, CAST(trunc(l_quantity) AS INTEGER) AS power,
-                     l_extendedprice AS coins_needed,
-                     MIN(l_extendedprice) OVER (PARTITION BY p_size, CAST(trunc(l_quantity) AS INTEGER)) AS coins_min
-              FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_type <> 'PROMO')
-            SELECT id, age, coins_needed, power FROM w WHERE coins_needed = coins_min
-            ORDER BY power DESC, age DESC""",
         "contest_leaderboard": """WITH m AS (
               SELECT c_custkey AS hacker_id, o_orderpriority AS challenge_id, c_name AS name,
                      MAX(o_totalprice) AS score

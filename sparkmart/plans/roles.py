@@ -209,6 +209,17 @@ def accounts(spark, sf_dir):
         F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("total_amount"))
 
 
+BAND_WIDE, BAND_OPEN = 500, 501  # parameters (ours): every n-th band is very wide, or has no upper end
+
+
+def price_bands(spark, sf_dir):
+    return load(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("band"), F.col("p_retailprice").alias("lo"),
+        F.when(_every("p_partkey", BAND_OPEN), F.lit(None).cast("double"))
+         .when(_every("p_partkey", BAND_WIDE), F.col("p_retailprice") + 1_000_000)
+         .otherwise(F.col("p_retailprice") + F.col("p_size") / 8.0).alias("hi"))
+
+
 def priced_items(spark, sf_dir):
     return load(spark, sf_dir, "part").select(
         F.col("p_name").alias("name"), F.col("p_retailprice").alias("price"))
