@@ -94,18 +94,19 @@ def main(argv: list[str] | None = None) -> int:
             result.show(50, truncate=False)
     elif args.job == "load":
         from sparkmart.plans import etl
-        from sparkmart.sinks.files import write_version
+        from sparkmart.sinks.files import commit_version, read_current, write_version
         import datetime as dt
         src = {t: spark.read.parquet(f"{args.source}/{t}")
                for t in ("customers", "products", "suppliers", "orders")}
-        targets = {t: spark.read.parquet(f"{args.target}/{t}")
+        targets = {t: read_current(spark, args.target, t)
                    for t in ("dim_customers", "dim_products", "fact_orders")}
         as_of = dt.date.fromisoformat(args.as_of) if args.as_of else None
         merged = etl.incremental_load(src["customers"], src["products"], src["suppliers"],
                                       src["orders"], targets, as_of)
-        version = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S")
-        print(json.dumps({t: write_version(df, f"{args.out}/{t}", version)
-                          for t, df in merged.items()}))
+        version = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
+        paths = {t: write_version(df, f"{args.out}/{t}", version) for t, df in merged.items()}
+        commit_version(spark, args.out, version)  # last: the three tables change together
+        print(json.dumps(paths))
     elif args.job == "models":
         from sparkmart.plans import models
         mart, checks = models.build(spark, spark.read.parquet(args.payment),

@@ -62,6 +62,19 @@ def test_load_job_writes_new_versions(spark):
     paths = json.loads(out.stdout.strip().splitlines()[-1])
     assert spark.read.parquet(paths["fact_orders"]).first()["status"] == "new"
     assert spark.read.parquet(paths["dim_customers"]).first()["phone"] == "(555) 123-4567"
+    # a second load takes the first one's output as its target
+    from sparkmart.sinks.files import read_current
+    spark.createDataFrame([(5, 1, dt.date(2024, 3, 10), "DONE", 4.0, t_new + dt.timedelta(hours=1)),
+                           (6, 1, dt.date(2024, 3, 10), "NEW", 1.0, t_new)], orders.schema) \
+        .write.mode("overwrite").parquet(f"{d}/src/orders")
+    out = subprocess.run(
+        [sys.executable, "-m", "sparkmart", "--local", "load", "--source", f"{d}/src",
+         "--target", f"{d}/out", "--out", f"{d}/out", "--as-of", "2024-03-10"],
+        cwd=ROOT, capture_output=True, text=True, timeout=600)
+    assert out.returncode == 0, out.stderr[-2000:]
+    now = read_current(spark, f"{d}/out", "fact_orders")
+    assert sorted((r["id"], r["status"], r["total_amount"]) for r in now.collect()) == [(5, "done", 4.0), (6, "new", 1.0)]
+    assert now.columns == orders.columns
 
 
 def test_models_job_with_a_schema_file(spark):
