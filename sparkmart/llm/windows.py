@@ -220,7 +220,7 @@ def removed_spans(df: DataFrame, unit: Unit, index: Callable, *, key: str, text:
     units, may overlap).  ``index(unit, rows)`` gets a shard's rows, a pandas frame
     with a, c, d, v, s, n, body in order of (d, v, s), and yields (row, lo, hi)."""
     src = _source(df, key, text, unique)
-    rows = _all_segments(src, unit)
+    rows = _all_segments(src, unit).repartition("a")   # serves the windows by (a, c) and by a
     # one exchange by anchor and one sort answer all that is asked of anchors and classes
     place = F.col("d"), F.col("v"), F.col("p")
     by_class, by_anchor = Window.partitionBy("a", "c").orderBy(*place), Window.partitionBy("a")
