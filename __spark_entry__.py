@@ -169,11 +169,14 @@ def q_mart_customer_revenue(spark, sf):
 
 
 def q_quality_checks(spark, sf):
-    from sparkmart.operators.quality import run_checks, unique
+    from sparkmart.operators.quality import accepted_values, not_null, run_checks, unique
     stg = models.stg_payment(roles.payment(spark, sf))
     lineitem = spark.read.parquet(f"{sf}/lineitem.parquet")
+    named = models.stg_payment(roles.named_payment(spark, sf))
     return run_checks(models.model_checks(stg, _mart(spark, sf)),
-                      unique(lineitem, ["l_orderkey", "l_linenumber"]))
+                      unique(lineitem, ["l_orderkey", "l_linenumber"]),
+                      not_null(named, "customer_id"),
+                      accepted_values(_mart(spark, sf), models.CATEGORY_COLUMN, ["HIGH"], "accepted_values(HIGH)"))
 
 
 _PAYMENT_SQL = """pay_all AS (SELECT o_orderkey AS payment_id, o_custkey AS customer_id,
@@ -259,11 +262,16 @@ def q_upsert_products(spark, sf):
 
 
 def q_price_with_tax(spark, sf):
-    return tasks.transform_task(roles.priced_items(spark, sf))
+    """The three tasks: extract, transform and the guarded load, read back."""
+    from sparkmart.session import scratch_dir
+    path = tasks.load_task(tasks.transform_task(roles.priced_items(spark, sf)), scratch_dir(spark, "priced"))
+    return spark.read.parquet(path)
 
 
 _ETL_SQL = r"""eo AS (SELECT o_orderkey AS id, o_custkey AS customer_id, CAST(o_orderdate AS DATE) AS order_date,
-        o_orderstatus AS status, o_totalprice AS total_amount, o_orderdate AS updated_at FROM orders),
+        CASE WHEN o_orderkey % 37 <> 0 THEN o_orderstatus END AS status,
+        CASE WHEN o_orderkey % 41 = 0 THEN NULL WHEN o_orderkey % 43 = 0 THEN -o_totalprice
+             ELSE o_totalprice END AS total_amount, o_orderdate AS updated_at FROM orders),
   eo_t AS (SELECT id, customer_id, order_date, lower(coalesce(status, '')) AS status,
         CASE WHEN coalesce(total_amount, 0) < 0 THEN 0 ELSE coalesce(total_amount, 0) END AS total_amount,
         updated_at FROM eo),
@@ -283,7 +291,9 @@ _ETL_SQL = r"""eo AS (SELECT o_orderkey AS id, o_custkey AS customer_id, CAST(o_
   ship AS (SELECT l_partkey, min(l_suppkey) AS supplier_id, max(l_shipdate) AS updated_at
         FROM lineitem GROUP BY 1),
   ep AS (SELECT p_partkey AS id, p_name AS product_name, lower(p_type) || ' ' || p_name AS category,
-        p_retailprice AS price, p_retailprice * (100 - p_size) / 100 AS cost, supplier_id, updated_at
+        CASE WHEN p_partkey % 97 = 0 THEN 0 ELSE p_retailprice END AS price,
+        p_retailprice * (100 - p_size) / 100 AS cost,
+        CASE WHEN p_partkey % 89 <> 0 THEN supplier_id END AS supplier_id, updated_at
         FROM part LEFT JOIN ship ON p_partkey = l_partkey),
   eps AS (SELECT p.id, product_name, category, price, cost, updated_at, s_name AS supplier_name
         FROM ep p JOIN supplier s ON p.supplier_id = s.s_suppkey),
@@ -439,6 +449,11 @@ def _activity(spark, sf):
     return activity.parse_activity(feed)
 
 
+def q_activity_events(spark, sf):
+    """Decoded messages with their record data and event time."""
+    return _ntz(_activity(spark, sf).select("key", "partition", "offset", "event_time", "action", "amount"), "event_time")
+
+
 def q_key_event_counts(spark, sf):
     return activity.key_event_counts(_activity(spark, sf))
 
@@ -605,6 +620,7 @@ _QUERIES = {
         "stream_dlq": q_stream_dlq,
         "stream_window_counts": q_stream_window_counts,
         "stream_batch_totals": q_stream_batch_totals,
+        "activity_events": q_activity_events,
         "key_event_counts": q_key_event_counts,
         "key_running_count": q_key_running_count,
         "key_partition_assignment": q_key_partition_assignment,
@@ -658,7 +674,8 @@ def _oracle_sql() -> dict[str, str]:
             SELECT s_suppkey AS hacker_id, s_name AS name FROM supplier, wins
             WHERE s_suppkey = l_suppkey AND n >= 2""",
         "cheapest_per_group": """WITH usable AS (
-              SELECT l_orderkey, l_extendedprice, p_size, CAST(trunc(l_quantity) AS INTEGER) AS strength
+              SELECT l_orderkey, floor(l_extendedprice / 1000) * 1000 AS l_extendedprice, p_size,
+                     CAST(trunc(l_quantity) AS INTEGER) AS strength
               FROM lineitem JOIN part ON p_partkey = l_partkey AND p_type != 'PROMO'),
             least AS (SELECT p_size, strength, min(l_extendedprice) AS price FROM usable GROUP BY ALL)
             SELECT l_orderkey AS id, p_size AS age, price AS coins_needed, strength AS power
@@ -685,7 +702,10 @@ def _oracle_sql() -> dict[str, str]:
             UNION ALL SELECT 'unique(l_orderkey,l_linenumber)', (SELECT count(*) FROM (
                    SELECT l_orderkey, l_linenumber FROM lineitem
                    WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL
-                   GROUP BY 1, 2 HAVING count(*) > 1))""",
+                   GROUP BY 1, 2 HAVING count(*) > 1))
+            UNION ALL SELECT 'not_null(customer_id)', count(*) FROM named WHERE customer_id IS NULL
+            UNION ALL SELECT 'accepted_values(HIGH)', count(DISTINCT kategori_customer) FROM mart
+                   WHERE kategori_customer <> 'HIGH'""",
         "incremental_extract": "WITH " + _ETL_SQL + """SELECT * FROM eo WHERE updated_at >=
             CAST(CAST((SELECT max(updated_at) FROM eo) AS DATE) - INTERVAL 1 DAY AS TIMESTAMP)""",
         "product_supplier_extract": "WITH " + _ETL_SQL + """SELECT * FROM eps WHERE updated_at >=
@@ -727,6 +747,9 @@ def _oracle_sql() -> dict[str, str]:
             count(*) OVER (PARTITION BY a.key ORDER BY kp.partition, a."offset"
                            RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running_count
             FROM act a JOIN key_part kp ON a.key = kp.key""",
+        "activity_events": _KEY_PARTITION_SQL + """SELECT act.key, kp.partition, act."offset",
+            date_trunc('second', e.ts) AS event_time, e.event_type AS action, CAST(floor(e.value) AS INTEGER) AS amount
+            FROM act JOIN events e ON e.event_id = act."offset" JOIN key_part kp ON kp.key = act.key""",
         "key_partition_assignment": _KEY_PARTITION_SQL + "SELECT key, partition FROM key_part",
         "key_event_counts_stream": "WITH " + _ACTIVITY_SQL + """SELECT key, count(*) AS event_count
             FROM act GROUP BY key""",

@@ -17,6 +17,8 @@ from sparkmart.sources.tables import load
 ORDER_USER_NULL, ORDER_USER_TEXT, ORDER_DATE_BAD, ORDER_USER_POINT, ORDER_ID_POINT = 97, 89, 83, 79, 71
 ITEM_QTY_ZERO, ITEM_QTY_FRACTION, ITEM_QTY_TEXT, ITEM_QTY_NULL, ITEM_QTY_NEG = 101, 103, 107, 109, 113
 EVENT_USER_NULL, EVENT_AMOUNT_TEXT, EVENT_TIME_BAD, EVENT_JUNK, EVENT_REDELIVERED = 17, 19, 31, 101, 53
+ETL_STATUS_NULL, ETL_AMOUNT_NULL, ETL_AMOUNT_NEG, PRODUCT_FREE, PRODUCT_NO_SUPPLIER = 37, 41, 43, 97, 89
+WAND_COIN_STEP = 1000  # coins in whole thousands, so that equal minima occur
 EVENT_LAG_STEPS = 7  # record time = event time + (event_id mod 7) minutes
 
 
@@ -108,7 +110,7 @@ def difficulty(spark):
 def wands(spark, sf_dir):
     return load(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("id"), F.col("l_partkey").alias("code"),
-        F.col("l_extendedprice").alias("coins_needed"),
+        (F.floor(F.col("l_extendedprice") / WAND_COIN_STEP) * WAND_COIN_STEP).cast("double").alias("coins_needed"),
         F.col("l_quantity").cast("int").alias("power"))
 
 
@@ -162,8 +164,10 @@ def etl_orders(spark, sf_dir):
     o = load(spark, sf_dir, "orders")
     return o.select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("customer_id"),
                     F.col("o_orderdate").cast("date").alias("order_date"),
-                    F.col("o_orderstatus").alias("status"),
-                    F.col("o_totalprice").alias("total_amount"),
+                    F.when(~_every("o_orderkey", ETL_STATUS_NULL), F.col("o_orderstatus")).alias("status"),
+                    F.when(_every("o_orderkey", ETL_AMOUNT_NULL), F.lit(None).cast("double"))
+                     .when(_every("o_orderkey", ETL_AMOUNT_NEG), -F.col("o_totalprice"))
+                     .otherwise(F.col("o_totalprice")).alias("total_amount"),
                     F.col("o_orderdate").alias("updated_at"))
 
 
@@ -190,13 +194,15 @@ def etl_products(spark, sf_dir):
     p = load(spark, sf_dir, "part")
     ship = load(spark, sf_dir, "lineitem").groupBy("l_partkey").agg(
         F.min("l_suppkey").alias("supplier_id"), F.max("l_shipdate").alias("updated_at"))
+    price = F.when(_every("p_partkey", PRODUCT_FREE), F.lit(0.0)).otherwise(F.col("p_retailprice"))
     return (p.join(ship, p["p_partkey"] == ship["l_partkey"], "left")
             .select(F.col("p_partkey").alias("id"), F.col("p_name").alias("product_name"),
                     F.concat(F.lower("p_type"), F.lit(" "), F.col("p_name")).alias("category"),
-                    F.col("p_retailprice").alias("price"),
+                    price.alias("price"),
                     (F.col("p_retailprice") * (F.lit(100) - F.col("p_size")) / F.lit(100))
                     .alias("cost"),
-                    "supplier_id", "updated_at"))
+                    F.when(~_every("p_partkey", PRODUCT_NO_SUPPLIER), F.col("supplier_id")).alias("supplier_id"),
+                    "updated_at"))
 
 
 def etl_suppliers(spark, sf_dir):
