@@ -168,6 +168,15 @@ def q_mart_customer_revenue(spark, sf):
     return _to_double(_mart(spark, sf), "total_amount")
 
 
+def q_layered_mart(spark, sf):
+    """The layers through a view and tables, the mart read back by its name."""
+    from sparkmart.session import scratch_dir
+    from sparkmart.sources.files import read_table
+    models.build(spark, roles.named_payment(spark, sf), roles.model_customer(spark, sf),
+                 scratch_dir(spark, "layers"), high=2_000_000, medium=1_000_000)
+    return _to_double(read_table(spark, "mart_customer_revenue"), "total_amount")
+
+
 def q_quality_checks(spark, sf):
     from sparkmart.operators.quality import accepted_values, not_null, run_checks, unique
     stg = models.stg_payment(roles.payment(spark, sf))
@@ -375,6 +384,24 @@ def q_dlq_events(spark, sf):
     return _ntz(transactions.split(_validated_events(spark, sf))[1], "event_time")
 
 
+def _messages(spark, sf, valid):
+    """The split's JSON messages, written as text and parsed again."""
+    from sparkmart.session import scratch_dir
+    from sparkmart.sources.kafka import as_messages
+    rows = transactions.split(_validated_events(spark, sf))[0 if valid else 1]
+    path = scratch_dir(spark, "messages")
+    as_messages(rows).write.text(path)
+    return _ntz(spark.read.text(path).select(F.from_json("value", rows.schema).alias("m")).select("m.*"), "event_time")
+
+
+def q_valid_messages(spark, sf):
+    return _messages(spark, sf, True)
+
+
+def q_dlq_messages(spark, sf):
+    return _messages(spark, sf, False)
+
+
 def q_window_counts(spark, sf):
     valid = transactions.split(_validated_events(spark, sf))[0]
     return _ntz(transactions.flat_windows(transactions.window_counts(valid)),
@@ -597,6 +624,7 @@ _QUERIES = {
         "stg_payment": q_stg_payment,
         "int_customer_payment": q_int_customer_payment,
         "mart_customer_revenue": q_mart_customer_revenue,
+        "layered_mart": q_layered_mart,
         "quality_checks": q_quality_checks,
         "incremental_extract": q_incremental_extract,
         "product_supplier_extract": q_product_supplier_extract,
@@ -614,6 +642,8 @@ _QUERIES = {
         "dedup_events": q_dedup_events,
         "valid_events": q_valid_events,
         "dlq_events": q_dlq_events,
+        "valid_messages": q_valid_messages,
+        "dlq_messages": q_dlq_messages,
         "window_counts": q_window_counts,
         "stream_dedup": q_stream_dedup,
         "stream_valid": q_stream_valid,
@@ -692,6 +722,8 @@ def _oracle_sql() -> dict[str, str]:
             CAST(total_amount AS DOUBLE) AS total_amount, total_transactions FROM base""",
         "mart_customer_revenue": "WITH " + _PAYMENT_SQL + """SELECT customer_id, nama_lengkap,
             CAST(total_amount AS DOUBLE) AS total_amount, total_transactions, kategori_customer FROM mart""",
+        "layered_mart": "WITH " + _PAYMENT_SQL + """SELECT customer_id, nama_lengkap,
+            CAST(total_amount AS DOUBLE) AS total_amount, total_transactions, kategori_customer FROM mart""",
         "quality_checks": "WITH " + _PAYMENT_SQL + """
             SELECT 'not_null(payment_id)' AS check_name,
                    CAST(count(*) FILTER (WHERE payment_id IS NULL) AS BIGINT) AS failures FROM stg
@@ -727,6 +759,8 @@ def _oracle_sql() -> dict[str, str]:
         "dedup_events": "WITH " + _EVENTS_SQL + "SELECT * EXCLUDE (is_late) FROM dd",
         "valid_events": "WITH " + _EVENTS_SQL + "SELECT * FROM (" + _validated_sql("dd") + ") WHERE is_valid",
         "dlq_events": "WITH " + _EVENTS_SQL + "SELECT * FROM (" + _validated_sql("dd") + ") WHERE NOT is_valid",
+        "valid_messages": "WITH " + _EVENTS_SQL + "SELECT * FROM (" + _validated_sql("dd") + ") WHERE is_valid",
+        "dlq_messages": "WITH " + _EVENTS_SQL + "SELECT * FROM (" + _validated_sql("dd") + ") WHERE NOT is_valid",
         "window_counts": "WITH " + _EVENTS_SQL + """, v AS (""" + _validated_sql("dd") + """)
             SELECT date_trunc('minute', event_time) AS window_start,
                    date_trunc('minute', event_time) + INTERVAL 1 MINUTE AS window_end,
