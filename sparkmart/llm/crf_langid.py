@@ -25,6 +25,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
@@ -42,13 +43,13 @@ WORD = re.compile(r"[^\W\d_]+")
 
 
 def features(word: str, lexicon: frozenset) -> list[int]:
-    """Hashed features of a lower-case word."""
-    w = f"^{word}$"
-    found = [f"p{w[:n]}" for n in (2, 3, 4)] + [f"s{w[-n:]}" for n in (2, 3, 4, 5)]
-    found += [w[i:i + n] for n in (2, 3) for i in range(len(w) - n + 1)]
+    """Hashed features of a lower-case word, cut from its UTF-8 bytes."""
+    w, crc = b"^" + word.encode() + b"$", zlib.crc32
+    found = [crc(w[:n], 1) for n in (2, 3, 4)] + [crc(w[-n:], 2) for n in (2, 3, 4, 5)]
+    found += [crc(w[i:i + n]) for n in (2, 3) for i in range(len(w) - n + 1)]
     if word in lexicon:
-        found.append(f"w{word}")
-    return [zlib.crc32(f.encode()) % BUCKETS for f in found]
+        found.append(crc(w, 3))
+    return [f % BUCKETS for f in found]
 
 
 def forward_backward(score: np.ndarray, begin: np.ndarray, size: np.ndarray, move: np.ndarray,
@@ -103,7 +104,7 @@ class Model:
         if not ids:
             return np.empty((0, len(self.labels)))
         n = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((x for i in ids for x in i), np.int64, int(n.sum()))
+        flat = np.fromiter(chain.from_iterable(ids), np.int64, int(n.sum()))
         return np.add.reduceat(self.weights[flat], np.cumsum(n) - n, 0)
 
 
