@@ -234,7 +234,8 @@ def held_out(key: str = "doc_id") -> Column:
 
 
 def identify(df: DataFrame, labelled: DataFrame | None = None, *, key: str = "doc_id", text: str = "text",
-             label: str = "lang") -> DataFrame:
-    """``label_words`` with a model fitted on ``labelled`` (default: ``df``) outside the held-out fold."""
+             label: str = "lang", row: str | None = None) -> DataFrame:
+    """``label_words`` with a model fitted on ``labelled`` (default: ``df``) outside the held-out fold;
+    ``row``: a column that is returned in place of the key."""
     train = (df if labelled is None else labelled).where(F.crc32(F.col(key).cast("string")) % 5 != 0)
-    return label_words(df, fit(sample(train, key=key, text=text, label=label)), key=key, text=text)
+    return label_words(df, fit(sample(train, key=key, text=text, label=label)), key=row or key, text=text)

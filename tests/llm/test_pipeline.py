@@ -107,3 +107,18 @@ def test_odd_rows(spark, sf, empty):
                              (8, 15, zlib.crc32(b"token: [SECRET]"))]
     assert got == sorted(want, key=repr)
     assert P.STAGES[-1][1](spark, docs, sf).count() == (0 if empty else 2 + -(-160_000 // 2048)) or not empty
+
+
+def test_decisions_by_row(spark, sf):
+    """Null and repeated keys: a hit, a copy or an empty text takes its own row only."""
+    item = spark.read.parquet(f"{sf}/benchmark.parquet").orderBy("item_id").first().text
+    clean = [f"clean text number {i} of its own alpha{i} beta{i} gamma{i} delta{i}" for i in range(8)]
+    rows = [(None, clean[0]), (None, clean[0]), (None, f"before {item} after"), (None, "123 456"), (None, None), (None, clean[1]),
+            (4, clean[2]), (4, clean[3]), (4, clean[2]), (4, f"some {item} more"), (4, "789"), (5, clean[3]), (3, clean[1]), (7, clean[4])]
+    docs = spark.createDataFrame([(d, t, "en", "s", 0, None, "x") for d, t in rows], SCHEMA)
+    key = lambda rows: sorted(rows, key=repr)
+    text = lambda df: key((r.doc_id, r.text) for r in df.collect())
+    assert text(P.language(spark, docs, sf)) == key(r for r in rows if r[1] and any(map(str.isalpha, r[1])))
+    assert text(P.benchmark(spark, docs, sf)) == key(r for r in rows if item not in (r[1] or ""))
+    assert text(P.near_copies(spark, docs, sf)) == key(
+        [(None, clean[0]), (None, "123 456"), (None, None), (3, clean[1]), (4, clean[2]), (4, clean[3]), rows[9], (4, "789"), (7, clean[4])])
