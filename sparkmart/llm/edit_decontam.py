@@ -13,7 +13,8 @@ a worker's memory.  An item shorter than ``LEAST`` characters must occur
 exactly and between non-letters.
 
 Defined cases: null or empty texts and items match nothing; null keys and
-repeated rows are reported row by row; repeated items one by one; an empty
+repeated rows are reported row by row; repeated items one by one, with their ids
+in the column's own type; items with a null id only if asked for; an empty
 table gives an empty result; other columns are not read.
 """
 from __future__ import annotations
@@ -64,7 +65,7 @@ def myers(pattern: str, text: str, budget: int) -> tuple[int, int] | None:
 class Matcher:
     """The piece automaton of a block of items (id, folded text)."""
 
-    def __init__(self, items: list[tuple[int, str]], rate: float):
+    def __init__(self, items: list[tuple[object, str]], rate: float):
         import ahocorasick
         self.items = [(i, t, int(rate * len(t)) if len(t) >= LEAST else 0) for i, t in items if t]
         places: dict[str, list] = {}
@@ -77,7 +78,7 @@ class Matcher:
         if places:
             self.automaton.make_automaton()
 
-    def __call__(self, text: str) -> list[tuple[int, int, int, int]]:
+    def __call__(self, text: str) -> list[tuple[object, int, int, int]]:
         """(item id, distance, length, end in the folded text) of every item that lies in ``text``."""
         if not self.items or not text:
             return []
@@ -110,17 +111,23 @@ class Matcher:
 
 
 def contaminated(df: DataFrame, benchmark: DataFrame, *, key: str = "doc_id", text: str = "text", item: str = "item_id",
-                 item_text: str = "text", rate: float = RATE, block: int = BLOCK) -> DataFrame:
+                 item_text: str = "text", rate: float = RATE, block: int = BLOCK,
+                 null_items: bool = False) -> DataFrame:
     """A row per document and item that lies in it: key, item, ``distance``,
-    ``n_chars`` (of the folded item) and ``end`` (in the folded text)."""
+    ``n_chars`` (of the folded item) and ``end`` (in the folded text).
+    ``null_items``: items without an id are matched too."""
+    from pyspark.sql.pandas.types import to_arrow_type
     kind = df.schema[key].dataType.simpleString()
     rows = benchmark.where(F.col(item_text).isNotNull()).select(
-        F.col(item).cast("long").alias("i"), F.col(item_text).cast("string").alias("t"))
+        F.col(item).alias("i"), F.col(item_text).cast("string").alias("t"))
+    if not null_items:
+        rows = rows.where(F.col("i").isNotNull())
+    ident = benchmark.schema[item].dataType
     total = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     blocks = max(1, -(-total // block))
     rows = rows.withColumn("b", F.pmod(F.xxhash64("i", "t"), F.lit(blocks)))
 
-    def scan(items: list[tuple[int, str]]) -> DataFrame:
+    def scan(items: list[tuple[object, str]]) -> DataFrame:
         def run(batches: Iterator) -> Iterator:
             import pyarrow as pa
             match = Matcher(items, rate)
@@ -131,16 +138,18 @@ def contaminated(df: DataFrame, benchmark: DataFrame, *, key: str = "doc_id", te
                     at += [n] * len(found)
                     got += found
                 cols = list(zip(*got)) if got else [[]] * 4
+                kinds = [to_arrow_type(ident), *[pa.int64()] * 3]
                 yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int64()))]
-                                                 + [pa.array(c, pa.int64()) for c in cols],
+                                                 + [pa.array(c, t) for c, t in zip(cols, kinds)],
                                                  names=[key, item, "distance", "n_chars", "end"])
 
         return df.select(F.col(key), F.col(text).cast("string")).mapInArrow(
-            run, f"`{key}` {kind}, `{item}` long, distance long, n_chars long, end long")
+            run, f"`{key}` {kind}, `{item}` {ident.simpleString()}, distance long, n_chars long, end long")
 
     out = None
     for b in range(blocks):   # a block of items at a time: `block` bytes
-        items = sorted((r.i, fold(r.t)) for r in rows.where(F.col("b") == b).collect() if r.i is not None)
+        items = sorted(((r.i, fold(r.t)) for r in rows.where(F.col("b") == b).collect()),
+                       key=lambda x: (x[0] is None, 0 if x[0] is None else x[0], x[1]))
         part = scan(items)
         out = part if out is None else out.unionByName(part)
     return out

@@ -29,7 +29,7 @@ def op2_minhash_forest(spark, sf):
 
 def op3_edit_decontam(spark, sf):
     from sparkmart.llm.edit_decontam import contaminated
-    got = contaminated(_read(spark, sf, "documents"), _read(spark, sf, "benchmark"))
+    got = contaminated(_read(spark, sf, "documents"), _read(spark, sf, "benchmark"), null_items=True)
     return got.select("doc_id", "item_id", "distance", "n_chars")
 
 

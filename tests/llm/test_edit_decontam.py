@@ -84,3 +84,17 @@ def test_edges_and_blocks(spark):
         got = sorted(((r.doc_id, r.item_id, r.distance) for r in contaminated(df, bench, block=block).collect()), key=repr)
         assert got == sorted(want, key=repr)
     assert contaminated(df.limit(0), bench).count() == 0 and contaminated(df, bench.limit(0)).count() == 0
+
+
+def test_items_keep_their_ids(spark, tmp_path):
+    """Null ids and ids that are no numbers: every item with a text is matched."""
+    item = "An item of ordinary length, which stands in the text"
+    bench = spark.createDataFrame([("q-1", item), (None, item), (None, ""), (None, None), ("x", "not in it at all")], "item_id string, text string")
+    df = spark.createDataFrame([(1, f"x {item} y", None, None), (2, "clean", None, None)], SCHEMA)
+    for block in (4 << 20, 20):
+        got = contaminated(df, bench, block=block, null_items=True)
+        assert sorted(((r.doc_id, r.item_id, r.distance) for r in got.collect()), key=repr) == [(1, "q-1", 0), (1, None, 0)]
+    assert [(r.doc_id, r.item_id) for r in contaminated(df, bench).collect()] == [(1, "q-1")]
+    df.select("doc_id", "text").write.parquet(f"{tmp_path}/documents.parquet")
+    bench.where("item_id IS NULL").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert [(r.doc_id, r.item_id) for r in QUERIES["op3_edit_decontam"](spark, str(tmp_path)).collect()] == [(1, None)]
