@@ -87,6 +87,12 @@ def op8_best_fit(spark, sf):
     return pack(token_pieces(_read(spark, sf, "documents"), tokenizer_path(), 2048), 2048)
 
 
+def op13_turn_repair(spark, sf):
+    from sparkmart.llm.turn_repair import damage, repair
+    conversations = _read(spark, sf, "conversations")
+    return repair(damage(conversations), conversations)
+
+
 def _shipped(f):
     def run(spark, sf):
         from sparkmart.llm.common import ship
@@ -96,8 +102,8 @@ def _shipped(f):
 
 
 QUERIES = {f.__name__: _shipped(f) for f in (
-    op1_hash_forest, op2_minhash_forest, op3_edit_decontam, op4_fm_substring, op5_ring_shards, op6_chat_hmm, op7_random_battery, op8_best_fit, op9_crf_langid,
-    op10_suffix_levels)}
+    op1_hash_forest, op2_minhash_forest, op3_edit_decontam, op4_fm_substring, op5_ring_shards, op6_chat_hmm, op7_random_battery,
+    op8_best_fit, op9_crf_langid, op10_suffix_levels, op13_turn_repair)}
 QUERIES["pipeline"] = corpus_pipeline.run
 
 # ------------------------------------------------------------------ DuckDB SQL

@@ -1,0 +1,147 @@
+"""Conversation repair: a plain search over all edits, blocks against the whole, edges."""
+import functools
+import hashlib
+import random
+import re
+import zlib
+
+import pytest
+from pyspark.sql import types as T
+
+from sparkmart.llm import turn_repair
+from sparkmart.llm.queries import QUERIES
+from sparkmart.llm.turn_repair import damage, repair
+
+SCHEMA = T.StructType([T.StructField("conv_id", T.LongType()), T.StructField("turn", T.LongType()),
+                       T.StructField("role", T.StringType()), T.StructField("text", T.StringType())])
+
+
+def hurt(rows):
+    """The stated damage, row by row."""
+    out = []
+    for conv, turn, role, text in rows:
+        say = [" " if v is None else str(v) for v in (conv, turn)]
+        kind = zlib.crc32(":".join(say).encode()) % 20
+        role, text = " " if role is None else role, " " if text is None else text
+        if kind == 0:
+            continue
+        text = "" if kind == 1 else re.sub("[.!?]", "", text) if kind == 2 else text
+        out += [(conv, turn, "user" if kind == 4 else role, text)] * (2 if kind == 3 else 1)
+    return out
+
+
+def brute(rows):
+    """What the contract says of one conversation's rows after damage, by plain recursion."""
+    rows = [(c, n, " " if r is None else r, " " if t is None else t) for c, n, r, t in rows]
+    rows.sort(key=lambda r: (r[1] is not None, r[1] or 0, r[2], hashlib.sha256(r[3].encode()).digest()))
+    faults, seen = [], set()
+    for _, _, role, text in rows:
+        solid = re.findall(r"[^\x20\x09-\x0D]", text)
+        fault = "blank" if not solid else "duplicate" if (role, text) in seen else "truncated" if solid[-1] not in ".!?" else ""
+        seen.add((role, text))
+        faults.append(fault)
+    turns = [r[1] for r in rows if r[1] is not None]
+    gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+    wrong = sum(a[2][:1] + b[2][:1] not in ("su", "ua", "au") for a, b in zip(rows, rows[1:]))
+
+    def after(state, letter):      # what is written so far is '', 's', 'u' or 'a' at its end
+        return letter if (state, letter) in {("", "s"), ("", "u"), ("s", "u"), ("u", "a"), ("a", "u")} else None
+
+    @functools.cache
+    def best(i, state, inserts):
+        """(cost, audit, lines) from here on."""
+        ways = [(0, "", ())] if i == len(rows) and state in ("", "a") else []
+        for to in "ua":
+            name = {"u": "user", "a": "assistant"}[to]
+            if after(state, to) and inserts < 4:
+                cost, audit, lines = best(i, to, inserts + 1)
+                ways.append((cost + 2, "I" + audit, (f"{name}:", *lines)))
+            if i < len(rows) and faults[i] in ("", "truncated") and after(state, to):
+                cost, audit, lines = best(i + 1, to, 0)
+                ways.append((cost + 2 + (faults[i] != ""), "R" + audit, (f"{name}:{rows[i][3]}", *lines)))
+        if i < len(rows):
+            cost, audit, lines = best(i + 1, state, 0)
+            ways.append((cost + 3, "D" + audit, lines))
+            to = rows[i][2][:1]
+            if faults[i] in ("", "truncated") and to and after(state, to):
+                cost, audit, lines = best(i + 1, to, 0)
+                ways.append((cost + (faults[i] != ""), "K" + audit, (f"{rows[i][2]}:{rows[i][3]}", *lines)))
+        return min(ways, default=(10 ** 9, "", ()))
+
+    cost, audit, lines = best(0, "", 0)
+    n = faults.count
+    return (gaps, n("blank"), n("duplicate"), n("truncated"), wrong, cost, audit,
+            hashlib.sha256("\n".join(lines).encode()).hexdigest())
+
+
+def wanted(rows, everyone):
+    by = {}
+    for r in rows:
+        by.setdefault(r[0], []).append(r)
+    return {c: brute(by.get(c, [])) for c in everyone}
+
+
+def got(df):
+    rows = [tuple(r) for r in df.collect()]
+    assert len({r[0] for r in rows}) == len(rows)
+    return {r[0]: r[1:] for r in rows}
+
+
+def random_rows(seed, conversations=60, long=0):
+    rng = random.Random(seed)
+    say = ["Yes.", "No!", "Why?", "cut off", "", " \t", "So it is. ", None, "é."]
+    rows = []
+    for c in range(conversations):
+        for i in range(long if long and c == 0 else rng.randint(0, 7)):
+            turn = None if rng.random() < .05 else i + rng.choice([0, 0, 0, 1, 3])
+            role = rng.choice(["user", "assistant"] * 4 + ["system", "tool", None, ""])
+            rows.append((None if c == 1 else c, turn, role, rng.choice(say) if rng.random() < .6 else f"Text {rng.randint(0, 99)}."))
+    return rows
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_random_conversations(spark, seed):
+    rows = random_rows(seed)
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert got(repair(df)) == wanted(rows, {r[0] for r in rows})
+    assert got(repair(damage(df), df)) == wanted(hurt(rows), {r[0] for r in rows})
+
+
+def test_blocks_do_not_show(spark, monkeypatch):
+    rows = random_rows(7, 12, long=150)
+    monkeypatch.setattr(turn_repair, "BLOCK", 8)
+    monkeypatch.setattr(turn_repair, "NODES", 200)
+    assert got(repair(spark.createDataFrame(rows, SCHEMA))) == wanted(rows, {r[0] for r in rows})
+
+
+def test_whole_table(spark, sf):
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    want = wanted(hurt(rows), {r[0] for r in rows})
+    assert got(QUERIES["op13_turn_repair"](spark, sf)) == want
+    assert any(set(w[6]) >= set("DIK") for w in want.values())
+
+
+def test_edges(spark):
+    none = hashlib.sha256().hexdigest()
+    empty = spark.createDataFrame([], SCHEMA)
+    assert repair(empty).collect() == [] and repair(damage(empty), empty).collect() == []
+    extra = T.StructType([*SCHEMA, *(T.StructField(n, T.StringType()) for n in ("c", "h", "at", "code", "_k", "audit", "U"))])
+    long = "x. " * 400_000
+    rows = [(1, None, "user", None), (2, 0, "system", "Be brief."), (3, 5, "user", long), (3, 5, "user", long), (3, 9, "assistant", "cut"),
+            (4, 1, "user", "Hi."), (4, 1, "user", "Hi."), (4, 1, "assistant", "Ho.")]
+    df = spark.createDataFrame([(*r, *"abcdefg") for r in rows], extra)
+    other = spark.createDataFrame([(i,) for i in (1, 2, 3, 4, 8, None)], "conv_id long")
+    res = got(repair(df, other))
+    assert res == wanted(rows, {1, 2, 3, 4, 8, None})
+    assert res[8] == res[None] == (0, 0, 0, 0, 0, 0, "", none)
+    assert res[1][6:] == ("D", none) and res[2][5:7] == (3, "D") and res[3][:7] == (3, 0, 1, 1, 1, 4, "KDK")
+    assert res[4][:3] == (0, 0, 1)
+
+
+def test_least_paths_takes_the_later_letters_into_account():
+    # two arcs of one letter cannot be told apart by it: the ranks behind them decide
+    import numpy as np
+    target = np.full((6, 5), -1)
+    target[0, 3], target[1, 4], target[2, 1], target[3, 2] = 2, 2, 4, 5
+    letter, hops = turn_repair.least_paths(target)
+    assert letter.tolist() == [3, 4, 1, 2, 0, 0] and hops[-1].tolist() == [4, 4, 4, 5, 4, 5]
