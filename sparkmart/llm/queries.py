@@ -87,6 +87,16 @@ def op8_best_fit(spark, sf):
     return pack(token_pieces(_read(spark, sf, "documents"), tokenizer_path(), 2048), 2048)
 
 
+def op11_pii_crf(spark, sf):
+    from sparkmart.llm.pii_crf import KINDS, find
+    got = find(_read(spark, sf, "documents"))
+    name = lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])
+    count = lambda kind: F.size(F.filter("base", lambda x: F.startswith(x, F.lit(kind)))).cast("long")
+    return got.select("doc_id", *(count(k).alias(f"n_{k}") for k in KINDS),
+                      F.sha2(F.array_join("base", ","), 256).alias("base_sha256"),
+                      F.array_join(F.transform("spans", name), ",").alias("spans"))
+
+
 def op12_va_clusters(spark, sf):
     from sparkmart.llm.va_clusters import cluster, summary
     return summary(*cluster(_read(spark, sf, "embeddings")))
@@ -108,7 +118,7 @@ def _shipped(f):
 
 QUERIES = {f.__name__: _shipped(f) for f in (
     op1_hash_forest, op2_minhash_forest, op3_edit_decontam, op4_fm_substring, op5_ring_shards, op6_chat_hmm, op7_random_battery,
-    op8_best_fit, op9_crf_langid, op10_suffix_levels, op12_va_clusters, op13_turn_repair)}
+    op8_best_fit, op9_crf_langid, op10_suffix_levels, op11_pii_crf, op12_va_clusters, op13_turn_repair)}
 QUERIES["pipeline"] = corpus_pipeline.run
 
 # ------------------------------------------------------------------ DuckDB SQL

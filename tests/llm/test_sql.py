@@ -14,4 +14,4 @@ def test_query_matches_sql(spark, sf, name):
 
 def test_all_operators_are_registered():
     assert set(QUERIES) <= set(E.queries())
-    assert {int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")} == set(range(1, 11)) and "pipeline" in QUERIES
+    assert {int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")} == set(range(1, 14)) and "pipeline" in QUERIES
