@@ -438,17 +438,129 @@ def q_stream_dedup(spark, sf):
     return _ntz(_first_records(spark, sf).select("user_id", "amount", "timestamp", "source", "event_time"), "event_time")
 
 
-def _stream_records(spark, sf, valid):
-    rows = transactions.validate(_first_records(spark, sf), _event_rules()).select(*transactions.OUTPUT_COLUMNS)
-    return _ntz(transactions.split(rows)[0 if valid else 1], "event_time")
+# record times are cut into so many segments, and the queries restarted between them
+LOG_SEGMENTS = 2
+# a gap that no key of the feed outlives: as the original, which never forgets one
+NEVER = "3650 days"
+# what must pass after the last record until sessions of a gap are closed
+CLOSING = {NEVER: "3651 days", transactions.SESSION_GAP: "2 hours"}
+
+
+def _transactions_log(spark, sf):
+    return roles.transactions_feed(spark.read.parquet(f"{sf}/events.parquet"))
+
+
+def _replayed(spark, feed, order, run, closing=None):
+    from sparkmart.session import scratch_dir
+    from sparkmart.streaming.replay import replay
+    replay(feed, scratch_dir(spark, "log"), order, LOG_SEGMENTS, run, closing)
+
+
+def _stream_messages(spark, sf, valid):
+    """Deduplicated, validated and split in the stream, appended as JSON messages, read back."""
+    from sparkmart.session import scratch_dir
+    from sparkmart.streaming import transactions as ST
+    out, ck, feed = scratch_dir(spark, "messages_out"), scratch_dir(spark, "messages_ck"), _transactions_log(spark, sf)
+
+    def run(stream):
+        _run(ST.start_message_sink(ST.session_validated_stream(stream, _event_rules(), gap=NEVER), valid, out, ck, "availableNow"))
+
+    _replayed(spark, feed, "timestamp", run, CLOSING[NEVER])
+    schema = transactions.validate_batch(feed, _event_rules()).schema
+    return _ntz(ST.read_messages(spark, out, schema), "event_time")
 
 
 def q_stream_valid(spark, sf):
-    return _stream_records(spark, sf, True)
+    return _stream_messages(spark, sf, True)
 
 
 def q_stream_dlq(spark, sf):
-    return _stream_records(spark, sf, False)
+    return _stream_messages(spark, sf, False)
+
+
+def q_stream_session_dedup(spark, sf):
+    """First records of sessions, whose state ends; all rows, validated, as the stream appended them."""
+    from sparkmart.session import scratch_dir
+    from sparkmart.streaming import transactions as ST
+    out, ck = scratch_dir(spark, "session_out"), scratch_dir(spark, "session_ck")
+
+    def run(stream):
+        rows = ST.session_validated_stream(stream, _event_rules()).select(*transactions.OUTPUT_COLUMNS)
+        _run(ST.start_rows(rows, out, ck, "availableNow"))
+
+    _replayed(spark, _transactions_log(spark, sf), "timestamp", run, CLOSING[transactions.SESSION_GAP])
+    return _ntz(spark.read.parquet(out), "event_time")
+
+
+class _FailsOnce:
+    """A ``foreachBatch`` sink that runs one batch through, so that its state is committed, and
+    then fails before anything is written; the next time it works."""
+
+    def __init__(self, sink, batch_id):
+        self.sink, self.batch_id = sink, batch_id
+
+    def __call__(self, batch, batch_id):
+        if batch_id == self.batch_id:
+            self.batch_id = None
+            batch.write.format("noop").mode("overwrite").save()
+            raise RuntimeError("the sink is away")
+        self.sink(batch, batch_id)
+
+
+def q_stream_supervised(spark, sf):
+    """Valid messages, dead letters and the window report in one application; the report's sink
+    fails once, all three stop and go on from their checkpoints."""
+    from sparkmart.session import scratch_dir
+    from sparkmart.streaming import transactions as ST
+    from sparkmart.streaming.sinks import WindowReport, read_windows
+    from sparkmart.streaming.supervisor import run_with_restarts
+    root, feed = scratch_dir(spark, "supervised"), _transactions_log(spark, sf)
+    report = _FailsOnce(WindowReport(f"{root}/report"), 1)
+    failures = []
+
+    def run(stream):
+        def messages(name, valid):
+            v = ST.session_validated_stream(stream, _event_rules())
+            return lambda: ST.start_message_sink(v, valid, f"{root}/{name}", f"{root}/ck_{name}", "availableNow")
+
+        failures.extend(run_with_restarts({
+            "valid": messages("valid", True), "dlq": messages("dlq", False),
+            "report": lambda: ST.start_window_report(ST.validated_stream(stream, _event_rules()), f"{root}/report", f"{root}/ck_report",
+                                                     trigger="availableNow", report=report)[0]}))
+
+    _replayed(spark, feed, "timestamp", run, CLOSING[transactions.SESSION_GAP])
+    if [f.name for f in failures] != ["report"]:
+        raise RuntimeError(f"failures: {failures}")
+    schema = transactions.validate_batch(feed, _event_rules()).schema
+    count = F.count(F.lit(1)).alias("n")
+    parts = [ST.read_messages(spark, f"{root}/{name}", schema).groupBy(F.lit(name).alias("output"), F.col(label).alias("label")).agg(count)
+             for name, label in (("valid", "source"), ("dlq", "error_reason"))]
+    windows = _ntz(read_windows(spark, f"{root}/report"), "window_start")
+    parts.append(windows.select(F.lit("report").alias("output"), F.date_format("window_start", "yyyy-MM-dd HH:mm").alias("label"),
+                                F.col("running_total").alias("n")))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def q_stream_row_counts(spark, sf):
+    """Rows read, kept, valid, dead and dropped behind the watermark, counted while the stream runs."""
+    from sparkmart.session import scratch_dir
+    from sparkmart.streaming import transactions as ST
+    from sparkmart.streaming.counts import BatchCounts, counted, total_counts
+    from sparkmart.streaming.replay import HEARTBEAT_USER
+    root = scratch_dir(spark, "counted")
+
+    def run(stream):
+        parsed = transactions.flag_late(transactions.parse_events(stream))
+        read = counted(parsed, "before", read=~F.col("user_id").eqNullSafe(HEARTBEAT_USER))
+        v = transactions.validate(transactions.first_per_session(read), _event_rules())
+        rows = counted(v, "after", kept=F.lit(True), valid=F.col("is_valid"), dead_letters=~F.col("is_valid"))
+        query = ST.start_rows(rows.select(*transactions.OUTPUT_COLUMNS), f"{root}/out", f"{root}/ck", "availableNow", name="transactions")
+        _run(query)
+        counts.wait(query)
+
+    with BatchCounts(spark, f"{root}/counts") as counts:
+        _replayed(spark, _transactions_log(spark, sf), "timestamp", run, CLOSING[transactions.SESSION_GAP])
+    return total_counts(spark, f"{root}/counts").select("name", "rows")
 
 
 def _window_report(spark, sf):
@@ -502,6 +614,35 @@ def q_key_event_counts_stream(spark, sf):
     return SA.read_key_counts(spark, out)
 
 
+def q_key_running_count_stream(spark, sf):
+    """The count after each event, from state that outlives restarts."""
+    from sparkmart.session import scratch_dir
+    from sparkmart.streaming import activity as SA
+    out, ck = scratch_dir(spark, "running_out"), scratch_dir(spark, "running_ck")
+    feed = roles.activity_feed(spark.read.parquet(f"{sf}/events.parquet"))
+    _replayed(spark, feed, "offset", lambda stream: _run(SA.start_running_counts(stream, out, ck, "availableNow")))
+    return spark.read.parquet(out)
+
+
+def q_key_counts_after_crash(spark, sf):
+    """Counts by key, from the sink and from the state, of a stream stopped between the commit of
+    its state and that of its sink, and resumed."""
+    from sparkmart.session import scratch_dir
+    from sparkmart.streaming import activity as SA
+    from sparkmart.streaming.sinks import BatchFolderSink
+    from sparkmart.streaming.supervisor import run_with_restarts
+    out, ck = scratch_dir(spark, "crash_out"), scratch_dir(spark, "crash_ck")
+    feed = roles.activity_feed(spark.read.parquet(f"{sf}/events.parquet"))
+    sink = _FailsOnce(BatchFolderSink(out), 1)
+
+    def run(stream):
+        run_with_restarts({"counts": lambda: SA.start_key_counts(stream, out, ck, "availableNow", sink=sink)})
+
+    _replayed(spark, feed, "offset", run)
+    state = SA.read_state_counts(spark, ck).select("key", F.col("event_count").alias("state_count"))
+    return SA.read_key_counts(spark, out).withColumnRenamed("event_count", "sink_count").join(state, "key", "full")
+
+
 _EVENTS_SQL = """feed AS (
     SELECT e.event_id, e.ts, e.user_id AS uid, e.event_type, e.value, c.copy
     FROM events e JOIN (SELECT 0 AS copy UNION ALL SELECT 1 AS copy) c
@@ -527,6 +668,13 @@ _EVENTS_SQL = """feed AS (
            ORDER BY kafka_ts, kafka_partition, kafka_offset) AS rn FROM late) WHERE rn = 1)
 """
 
+# the first record of each session: a key's records not more than an hour apart
+_SESSIONS_SQL = """,
+  sd AS (SELECT * EXCLUDE (before) FROM (
+    SELECT *, lag(kafka_ts) OVER (PARTITION BY user_id, timestamp ORDER BY kafka_ts, kafka_partition, kafka_offset) AS before FROM late)
+    WHERE before IS NULL OR kafka_ts - before > INTERVAL 1 HOUR)
+"""
+
 
 def _validated_sql(src):
     return f"""SELECT *, error_reason IS NULL AS is_valid FROM (
@@ -599,7 +747,9 @@ def _wrap(fn):
 
 try:  # the training-data subpackage can be left out
     from sparkmart.llm.queries import ORACLES as _MORE_ORACLES, QUERIES as _MORE
-except ImportError:
+except ModuleNotFoundError as e:   # its own modules only: a broken install must show
+    if e.name not in ("sparkmart.llm", "sparkmart.llm.queries", "corpus_pipeline"):
+        raise
     _MORE, _MORE_ORACLES = {}, {}
 
 
@@ -648,6 +798,9 @@ _QUERIES = {
         "stream_dedup": q_stream_dedup,
         "stream_valid": q_stream_valid,
         "stream_dlq": q_stream_dlq,
+        "stream_session_dedup": q_stream_session_dedup,
+        "stream_supervised": q_stream_supervised,
+        "stream_row_counts": q_stream_row_counts,
         "stream_window_counts": q_stream_window_counts,
         "stream_batch_totals": q_stream_batch_totals,
         "activity_events": q_activity_events,
@@ -655,6 +808,8 @@ _QUERIES = {
         "key_running_count": q_key_running_count,
         "key_partition_assignment": q_key_partition_assignment,
         "key_event_counts_stream": q_key_event_counts_stream,
+        "key_running_count_stream": q_key_running_count_stream,
+        "key_counts_after_crash": q_key_counts_after_crash,
 }
 
 
@@ -787,4 +942,20 @@ def _oracle_sql() -> dict[str, str]:
         "key_partition_assignment": _KEY_PARTITION_SQL + "SELECT key, partition FROM key_part",
         "key_event_counts_stream": "WITH " + _ACTIVITY_SQL + """SELECT key, count(*) AS event_count
             FROM act GROUP BY key""",
+        "key_counts_after_crash": "WITH " + _ACTIVITY_SQL + """SELECT key, count(*) AS sink_count, count(*) AS state_count
+            FROM act GROUP BY key""",
+        "key_running_count_stream": _KEY_PARTITION_SQL + """SELECT a.key, kp.partition, a."offset",
+            count(*) OVER (PARTITION BY a.key ORDER BY kp.partition, a."offset"
+                           RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running_count
+            FROM act a JOIN key_part kp ON a.key = kp.key""",
+        "stream_session_dedup": "WITH " + _EVENTS_SQL + _SESSIONS_SQL + _validated_sql("sd"),
+        "stream_supervised": "WITH " + _EVENTS_SQL + _SESSIONS_SQL + ", v AS (" + _validated_sql("sd") + "), w AS (" + _validated_sql("dd") + """)
+            SELECT 'valid' AS output, source AS label, count(*) AS n FROM v WHERE is_valid GROUP BY source
+            UNION ALL SELECT 'dlq', error_reason, count(*) FROM v WHERE NOT is_valid GROUP BY error_reason
+            UNION ALL SELECT 'report', strftime(date_trunc('minute', event_time), '%Y-%m-%d %H:%M'), count(*) FROM w
+            WHERE is_valid GROUP BY 2""",
+        "stream_row_counts": "WITH " + _EVENTS_SQL + _SESSIONS_SQL + ", v AS (" + _validated_sql("sd") + """)
+            SELECT 'read' AS name, count(*) AS rows FROM feed UNION ALL SELECT 'kept', count(*) FROM v
+            UNION ALL SELECT 'valid', count(*) FROM v WHERE is_valid UNION ALL SELECT 'dead_letters', count(*) FROM v WHERE NOT is_valid
+            UNION ALL SELECT 'dropped_by_watermark', 0""",
     }

@@ -27,6 +27,7 @@ MIN_AMOUNT, MAX_AMOUNT = 1, 10_000_000
 LATE_AFTER_SECONDS = 180
 WATERMARK = "3 minutes"
 WINDOW = "1 minute"
+SESSION_GAP = "1 hour"      # ours: a key unheard of for so long may come again
 DEDUP_KEYS = ("user_id", "timestamp")
 REASONS = ("missing_user_id", "missing_amount", "invalid_timestamp",
            "amount_out_of_range", "unknown_source", "late_event")
@@ -153,6 +154,25 @@ def dedup_stream_bounded(df: DataFrame, keys: Sequence[str] = DEDUP_KEYS,
     return good.unionByName(bad)
 
 
+def first_per_session(df: DataFrame, keys: Sequence[str] = DEDUP_KEYS, gap: str = SESSION_GAP,
+                      delay: str = WATERMARK) -> DataFrame:
+    """Duplicate removal whose state ends: of a key's records that follow each other
+    within ``gap`` of record time, the first by (time, partition, offset).
+
+    Batch and stream alike.  In a stream a session's record goes out, once, when
+    the watermark on *record* time has passed the session's end, and its state
+    goes with it; a key that never falls silent is one row of state.  Events that
+    are late by their own time are on time by record time, so they still reach
+    validation.  The sessions of a task are merged before the shuffle
+    (``spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition``), so
+    a key that many messages share, such as the NULL key of junk, is a row or so
+    per task.  Records without a record time count as of 1970."""
+    payload = [c for c in df.columns if c not in keys]
+    timed = df.withColumn("__at", F.coalesce("kafka_ts", F.timestamp_seconds(F.lit(0)))).withWatermark("__at", delay)
+    first = F.min_by(F.struct(*payload), F.struct("kafka_ts", "kafka_partition", "kafka_offset"))
+    return timed.groupBy(*keys, F.session_window("__at", gap).alias("__session")).agg(first.alias("r")).select(*keys, "r.*")
+
+
 def split(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
     return validated.filter(F.col("is_valid")), validated.filter(~F.col("is_valid"))
 

@@ -45,6 +45,8 @@ def build_session(master: str = "local[*]", app: str = "sparkmart",
         .config("spark.sql.streaming.stateStore.providerClass",
                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
         .config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+        # sessions of one key are merged in each task before they are shuffled
+        .config("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
         .config("spark.driver.memory", _driver_memory())
         # checkpoint files of collected DataFrames are removed, not left behind
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
@@ -94,6 +96,7 @@ def sizing_conf(input_bytes: int, executors: int, cores_per_executor: int,
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     }
 
 

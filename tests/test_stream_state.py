@@ -1,0 +1,220 @@
+"""Streams over several segments with restarts between: sessions whose state ends, running
+counts, several queries in one application, counts by batch."""
+import datetime as dt
+import random
+import tempfile
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows
+from events_fixture import SCHEMA, T0, iso, msg
+from sparkmart.plans import activity as A
+from sparkmart.plans import transactions as T
+from sparkmart.streaming import activity as SA
+from sparkmart.streaming import transactions as ST
+from sparkmart.streaming.counts import BatchCounts, counted, read_counts, total_counts
+from sparkmart.streaming.replay import HEARTBEAT_USER, heartbeat, replay, segments
+from sparkmart.streaming.sinks import BatchFolderSink, read_windows
+from sparkmart.streaming.supervisor import StreamFailed, run_together, run_with_restarts
+
+M, S = dt.timedelta(minutes=1), dt.timedelta(seconds=1)
+KEYED = "key string, value string, topic string, partition int, offset long, timestamp timestamp"
+
+
+@pytest.fixture()
+def root():
+    return tempfile.mkdtemp(prefix="stream-")
+
+
+def ended(query):
+    query.awaitTermination()
+    return query
+
+
+def sessions(messages, gap):
+    """First of each key's records that follow each other within ``gap``."""
+    by = {}
+    for m in messages:
+        by.setdefault(m["k"], []).append((m["at"], m["offset"]))
+    out = set()
+    for k, seen in by.items():
+        before = None
+        for at, offset in sorted(seen):
+            if before is None or at - before > gap:
+                out.add(offset)
+            before = at
+    return out
+
+
+def random_feed(seed, n=120):
+    rng, at, feed, plain = random.Random(seed), T0, [], []
+    for i in range(n):
+        at += rng.choice([0, 5, 20, 45, 90]) * M
+        user, ts = rng.choice([("S1", iso(T0)), ("S2", iso(T0)), ("S1", "INVALID"), (None, "INVALID")])
+        feed.append(msg(i, at, user, 10, ts=ts))
+        plain.append({"k": (user, ts), "at": at, "offset": i})
+    return feed, plain
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_sessions_in_batch_and_stream(spark, root, seed):
+    feed, plain = random_feed(seed)
+    want = sessions(plain, 60 * M)
+    df = spark.createDataFrame(feed, SCHEMA)
+    parsed = T.parse_events(df)
+    assert {r[0] for r in T.first_per_session(parsed).select("kafka_offset").collect()} == want
+    states = []
+
+    def run(stream):
+        q = ended(ST.start_rows(T.first_per_session(T.parse_events(stream)), f"{root}/out", f"{root}/ck", "availableNow"))
+        states.extend(p.stateOperators[0].numRowsTotal for p in q.recentProgress if p.stateOperators)
+        assert not any(o.numRowsDroppedByWatermark for p in q.recentProgress for o in p.stateOperators)
+
+    replay(df, f"{root}/log", "timestamp", 3, run, closing="2 hours")
+    got = [r[0] for r in spark.read.parquet(f"{root}/out").select("kafka_offset").collect()]
+    assert sorted(got) == sorted(want)                  # each once, over all restarts
+    assert max(states) > states[-1] == 1                # only the heartbeat's session is left
+
+
+def test_late_events_still_reach_the_dead_letters(spark, root):
+    """Ten minutes behind by event time, on time by record time."""
+    feed = [msg(1, T0, "S1", 10), msg(2, T0 + 30 * M, "S2", 10), msg(3, T0 + 31 * M, "S3", 10, ts=iso(T0 + 20 * M)),
+            msg(4, T0 + 32 * M, "S1", 10, ts=iso(T0))]       # the first key again, within the hour
+    out = {}
+    for valid in (True, False):
+        def run(stream, valid=valid):
+            ended(ST.start_message_sink(ST.session_validated_stream(stream), valid, f"{root}/{valid}", f"{root}/ck{valid}", "availableNow"))
+        replay(spark.createDataFrame(feed, SCHEMA), f"{root}/log{valid}", "timestamp", 2, run, closing="2 hours")
+        schema = T.validate_batch(spark.createDataFrame(feed, SCHEMA)).schema
+        out[valid] = rows(ST.read_messages(spark, f"{root}/{valid}", schema), "user_id", "error_reason")
+    assert out == {True: [("S1", None), ("S2", None)], False: [("S3", "late_event")]}
+
+
+def test_messages_are_json_lines(spark, root):
+    feed = spark.createDataFrame([msg(1, T0, "S1", 10), msg(2, T0, None, 5)], SCHEMA)
+    replay(feed, f"{root}/log", "timestamp", 1, lambda s: ended(ST.start_message_sink(
+        ST.session_validated_stream(s), False, f"{root}/out", f"{root}/ck", "availableNow")), closing="2 hours")
+    line, = spark.read.text(f"{root}/out").collect()
+    assert '"error_reason":"missing_user_id"' in line.value and '"user_id"' not in line.value
+
+
+def _events(keys):
+    return [(k, '{"timestamp":1,"action":"x","amount":1}', "t", 0 if k == "a" else 1, i, T0 + i * S) for i, k in enumerate(keys)]
+
+
+def test_running_counts_over_restarts(spark, root):
+    keys = [random.Random(5).choice(["a", "b", "c", None]) for _ in range(200)]
+    feed = spark.createDataFrame(_events(keys), KEYED)
+    replay(feed, f"{root}/log", "offset", 4, lambda s: ended(SA.start_running_counts(s, f"{root}/out", f"{root}/ck", "availableNow")))
+    got = spark.read.parquet(f"{root}/out")
+    assert rows(got) == rows(A.key_running_count(A.parse_activity(feed)).select(*got.columns))
+    state = spark.read.format("statestore").option("stateVarName", "seen").load(f"{root}/ck")
+    assert dict(state.select("key.key", "value.n").collect()) == {k: keys.count(k) for k in set(keys)}
+
+
+class Broken:
+    """Fails at the given batches, the state being committed, each time it is told to."""
+
+    def __init__(self, sink, times):
+        self.sink, self.times = sink, times
+
+    def __call__(self, batch, batch_id):
+        if self.times and batch_id == 1:
+            self.times -= 1
+            batch.write.format("noop").mode("overwrite").save()
+            raise RuntimeError("broken")
+        self.sink(batch, batch_id)
+
+
+@pytest.mark.parametrize("times", [1, 2])
+def test_crash_between_state_and_sink(spark, root, times):
+    keys = list("abcab" * 20)
+    sink = Broken(BatchFolderSink(f"{root}/out"), times)
+    failures = []
+
+    def run(stream):
+        failures.extend(run_with_restarts({"counts": lambda: SA.start_key_counts(stream, f"{root}/out", f"{root}/ck", "availableNow", sink=sink)},
+                                          restarts=2))
+
+    replay(spark.createDataFrame(_events(keys), KEYED), f"{root}/log", "offset", 3, run)
+    want = [("a", 40), ("b", 40), ("c", 20)]
+    assert rows(SA.read_key_counts(spark, f"{root}/out"), "key", "event_count") == want
+    assert rows(SA.read_state_counts(spark, f"{root}/ck"), "key", "event_count") == want
+    assert [f.name for f in failures] == ["counts"] * times and "broken" in str(failures[0])
+
+
+def _rate(spark):
+    return spark.readStream.format("rate-micro-batch").option("rowsPerBatch", 5).load()
+
+
+def _plain(spark, root, name, sink):
+    return lambda: _rate(spark).writeStream.foreachBatch(sink).option("checkpointLocation", f"{root}/{name}").trigger(processingTime="0 seconds").start()
+
+
+def test_one_failure_stops_all(spark, root):
+    def bad(batch, batch_id):
+        raise ValueError("no")
+
+    with pytest.raises(StreamFailed) as e:
+        run_together({"good": _plain(spark, root, "good", lambda b, i: None), "bad": _plain(spark, root, "bad", bad)})
+    assert e.value.name == "bad" and "no" in str(e.value) and e.value.__cause__ is not None
+    assert not spark.streams.active
+    with pytest.raises(StreamFailed):
+        run_with_restarts({"bad": _plain(spark, root, "bad2", bad)}, restarts=1)
+
+    def unstartable():
+        raise OSError("no source")
+
+    with pytest.raises(StreamFailed, match="late: no source"):
+        run_together({"good": _plain(spark, root, "good2", lambda b, i: None), "late": unstartable})
+    assert not spark.streams.active
+
+
+def test_until_any_has_ended(spark, root):
+    feed = spark.createDataFrame([msg(1, T0, "S1", 10)], SCHEMA)
+    feed.write.parquet(f"{root}/log")
+    once = lambda: ST.start_rows(T.parse_events(spark.readStream.schema(SCHEMA).parquet(f"{root}/log")), f"{root}/out", f"{root}/ck", "availableNow")
+    run_together({"good": _plain(spark, root, "good", lambda b, i: None), "once": once}, until_any=True)
+    assert not spark.streams.active and spark.read.parquet(f"{root}/out").count() == 1
+
+
+def test_counts_by_batch(spark, root):
+    feed, plain = random_feed(3)
+    batches = []
+
+    def run(stream):
+        read = counted(T.parse_events(stream), "before", read=~F.col("user_id").eqNullSafe(HEARTBEAT_USER), nobody=F.col("user_id").isNull())
+        q = ST.start_rows(counted(T.first_per_session(read), "after", kept=F.lit(True)), f"{root}/out", f"{root}/ck", "availableNow", name="tx")
+        ended(q)
+        counts.wait(q)
+        batches.extend(p.batchId for p in q.recentProgress)
+
+    with BatchCounts(spark, f"{root}/counts") as counts:
+        replay(spark.createDataFrame(feed, SCHEMA), f"{root}/log", "timestamp", 3, run, closing="2 hours")
+    table = read_counts(spark, f"{root}/counts")
+    assert sorted(r.batch_id for r in table.collect()) == sorted(set(batches)) and table.agg(F.sum("input")).first()[0] == len(feed) + 1
+    assert rows(total_counts(spark, f"{root}/counts"), "name", "rows") == [
+        ("dropped_by_watermark", 0), ("kept", len(sessions(plain, 60 * M))), ("nobody", sum(p["k"][0] is None for p in plain)), ("read", len(feed))]
+
+
+def test_segments_hold_every_row_once(spark):
+    df = spark.createDataFrame([(i, i % 7) for i in range(50)] + [(99, None)], "id long, o long")
+    parts = [[r.id for r in p.collect()] for p in segments(df, "o", 3)]
+    assert sorted(sum(parts, [])) == [*range(50), 99] and all(parts) and 99 in parts[0]
+    one = spark.createDataFrame([(1, 5), (2, 5)], "id long, o long")
+    assert [p.count() for p in segments(one, "o", 2)] == [2, 0]
+    empty = spark.createDataFrame([], SCHEMA)
+    assert [p.count() for p in segments(empty, "timestamp", 2)] == [0] and heartbeat(empty, "1 hour").count() == 0
+
+
+def test_report_is_stamped(spark, root):
+    """the time of the report stands beside its windows."""
+    begun = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    replay(spark.createDataFrame([msg(1, T0, "S1", 10)], SCHEMA), f"{root}/log", "timestamp", 1,
+           lambda s: ended(ST.start_window_report(ST.validated_stream(s), f"{root}/out", f"{root}/ck", trigger="availableNow")[0]))
+    stamp = spark.read.parquet(f"{root}/out").select(F.col("timestamp").cast("long")).first()[0]
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    epoch = dt.datetime(1970, 1, 1)
+    assert int((begun - epoch).total_seconds()) <= stamp <= (now - epoch).total_seconds()
+    assert read_windows(spark, f"{root}/out").count() == 1
