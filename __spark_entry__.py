@@ -27,6 +27,10 @@ from sparkmart.plans import activity, analytics, batch_fact, etl, models, roles,
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
+#: buckets of the tables that the queries store
+BUCKETS = 8
+
+
 # ---------------------------------------------------------------- batch fact
 
 def _clean_orders(spark, sf):
@@ -61,6 +65,36 @@ def q_fact_from_csv(spark, sf):
                                  batch_fact.clean_order_items(read_csv_strings(spark, paths[1]), key_type="bigint"))
 
 
+def q_csv_bad_lines(spark, sf):
+    """Orders from CSV files whose headers differ in order, with lines that are broken by key: the
+    cleaned rows, and the broken lines as they stand."""
+    from sparkmart.session import scratch_dir
+    from sparkmart.sources.files import read_csv_checked
+    path = scratch_dir(spark, "csv_mixed")
+    key = F.floor(F.col("order_id").cast("double")).cast("long")
+    user = F.when(key % 37 == 0, "x,y").when(key % 41 == 0, '"abc').otherwise(F.col("user_id"))
+    orders = roles.csv_orders(spark, sf).withColumn("user_id", user)
+    for i, columns in enumerate((batch_fact.ORDER_COLUMNS, ("total_amount", "order_date", "user_id", "order_id"))):
+        # lines as they stand, so a comma in a cell makes one cell too many, and a quote is never closed
+        line = F.concat_ws(",", *(F.coalesce(c, F.lit("")) for c in columns)).alias(",".join(columns))
+        orders.where(key % 2 == i).select(line).write.mode("append").option("header", True).option("sep", "\a").option("quote", "").csv(path)
+    rows, rejected = read_csv_checked(spark, path, batch_fact.ORDER_COLUMNS)
+    return batch_fact.clean_orders(rows, key_type="bigint").unionByName(rejected, allowMissingColumns=True)
+
+
+def q_fact_bucketed(spark, sf):
+    """The fact from tables that are stored in buckets of their join key."""
+    return batch_fact.build_fact(*_stored(spark, "order_id", orders=_clean_orders(spark, sf), items=_clean_items(spark, sf)))
+
+
+def _stored(spark, key, **tables_by_name):
+    import uuid
+    from sparkmart.session import scratch_dir
+    from sparkmart.sinks.tables import write_bucketed
+    run = uuid.uuid4().hex[:12]
+    return [write_bucketed(df, f"{name}_{run}", [key], BUCKETS, scratch_dir(spark, name)) for name, df in tables_by_name.items()]
+
+
 def q_fact_roundtrip(spark, sf):
     from sparkmart.sinks.files import write_parquet
     path = write_parquet(q_fact_transactions(spark, sf), spark, "fact_transactions")
@@ -109,9 +143,11 @@ def q_grade_report(spark, sf):
 def q_price_bands(spark, sf):
     """How many part price bands hold each account balance: many narrow bands,
     a few very wide ones and some without an upper end (these hold nothing)."""
-    from sparkmart.operators.range_join import range_left_join
-    j = range_left_join(roles.accounts(spark, sf), "total_amount", roles.price_bands(spark, sf), "lo", "hi")
-    return j.groupBy("id").agg(F.count("band").alias("bands"), F.min("band").alias("first_band"))
+    from sparkmart.operators.range_sweep import range_summary
+    accounts = roles.accounts(spark, sf)
+    held = range_summary(accounts, "total_amount", roles.price_bands(spark, sf), "lo", "hi", "band")
+    return accounts.join(held, "total_amount", "left") \
+        .select("id", F.coalesce("bands", F.lit(0).cast("long")).alias("bands"), "first_band")
 
 
 def q_extent_distance(spark, sf):
@@ -177,6 +213,14 @@ def q_layered_mart(spark, sf):
     return _to_double(read_table(spark, "mart_customer_revenue"), "total_amount")
 
 
+def q_mart_bucketed(spark, sf):
+    """The mart from payments and customers that are stored in buckets of the customer."""
+    payment, customer = _stored(spark, "customer_id", payment=models.stg_payment(roles.named_payment(spark, sf)),
+                                customer=roles.model_customer(spark, sf))
+    mart = models.mart_customer_revenue(models.int_customer_payment(payment, customer), high=2_000_000, medium=1_000_000)
+    return _to_double(mart, "total_amount")
+
+
 def q_quality_checks(spark, sf):
     from sparkmart.operators.quality import accepted_values, not_null, run_checks, unique
     stg = models.stg_payment(roles.payment(spark, sf))
@@ -253,6 +297,21 @@ def q_upsert_orders(spark, sf):
     return etl.load_dimension(target, updates, "id", ["updated_at"])
 
 
+def q_upsert_orders_buckets(spark, sf):
+    """The same upsert into a kept table: two batches of updates, each its own commit, which
+    rewrite the buckets that they touch."""
+    from sparkmart.session import scratch_dir
+    from sparkmart.sinks.buckets import BucketedTable
+    o = roles.etl_orders(spark, sf)
+    as_of = _as_of(o)
+    kept = BucketedTable(spark, scratch_dir(spark, "orders_buckets"), ["id"], BUCKETS)
+    kept.create(etl.unchanged_before(o, as_of, days=90), "1")
+    changed = etl.transform_orders(etl.changed_since(o, as_of, days=180))
+    for version, batch in (("2", etl.unchanged_before(changed, as_of, days=30)), ("3", etl.changed_since(changed, as_of, days=30))):
+        kept.upsert(batch, ["updated_at"], version)
+    return kept.read()
+
+
 def q_upsert_customers(spark, sf):
     c = roles.etl_customers(spark, sf)
     as_of = _as_of(c)
@@ -765,6 +824,8 @@ _QUERIES = {
         "row_count_audit": q_row_count_audit,
         "fact_roundtrip": q_fact_roundtrip,
         "fact_from_csv": q_fact_from_csv,
+        "fact_bucketed": q_fact_bucketed,
+        "csv_bad_lines": q_csv_bad_lines,
         "grade_report": q_grade_report,
         "price_bands": q_price_bands,
         "extent_distance": q_extent_distance,
@@ -775,6 +836,7 @@ _QUERIES = {
         "int_customer_payment": q_int_customer_payment,
         "mart_customer_revenue": q_mart_customer_revenue,
         "layered_mart": q_layered_mart,
+        "mart_bucketed": q_mart_bucketed,
         "quality_checks": q_quality_checks,
         "incremental_extract": q_incremental_extract,
         "product_supplier_extract": q_product_supplier_extract,
@@ -783,6 +845,7 @@ _QUERIES = {
         "transform_orders": q_transform_orders,
         "negative_amounts": q_negative_amounts,
         "upsert_orders": q_upsert_orders,
+        "upsert_orders_buckets": q_upsert_orders_buckets,
         "upsert_customers": q_upsert_customers,
         "upsert_products": q_upsert_products,
         "price_with_tax": q_price_with_tax,
@@ -821,8 +884,8 @@ def _ts(sql: str, *cols: str) -> str:
 
 def oracle_sql() -> dict[str, str]:
     sql = _oracle_sql()
-    for name in ("fact_transactions", "clean_orders", "fact_preview", "fact_roundtrip", "fact_from_csv",
-                 "incremental_extract", "transform_orders", "upsert_orders"):
+    for name in ("fact_transactions", "clean_orders", "fact_preview", "fact_roundtrip", "fact_from_csv", "fact_bucketed",
+                 "csv_bad_lines", "incremental_extract", "transform_orders", "upsert_orders", "upsert_orders_buckets"):
         sql[name] = _ts(sql[name], "order_date")
     sql["stg_payment"] = _ts(sql["stg_payment"], "payment_date")
     return sql | _MORE_ORACLES
@@ -842,6 +905,17 @@ def _oracle_sql() -> dict[str, str]:
             UNION ALL SELECT 'joined', count(*) FROM fact""",
         "fact_roundtrip": w + "SELECT * FROM fact",
         "fact_from_csv": w + "SELECT * FROM fact",
+        "fact_bucketed": w + "SELECT * FROM fact",
+        "csv_bad_lines": w + """, bad AS (
+              SELECT CASE WHEN o_orderkey % 71 = 0 THEN o_orderkey || '.0' ELSE CAST(o_orderkey AS VARCHAR) END AS id,
+                     CASE WHEN o_orderkey % 37 = 0 THEN 'x,y' ELSE '"abc' END AS usr,
+                     CASE WHEN o_orderkey % 83 = 0 THEN strftime(o_orderdate, '%d/%m/%Y')
+                          ELSE strftime(o_orderdate, '%Y-%m-%d') END AS day,
+                     CAST(o_totalprice AS VARCHAR) AS price, o_orderkey % 2 AS file
+              FROM orders WHERE o_orderkey % 37 = 0 OR o_orderkey % 41 = 0)
+            SELECT order_id, customer_id, order_date, NULL AS line FROM co WHERE order_id % 37 <> 0 AND order_id % 41 <> 0
+            UNION ALL SELECT NULL, NULL, NULL, CASE WHEN file = 0 THEN concat_ws(',', id, usr, day, price)
+              ELSE concat_ws(',', price, day, usr, id) END FROM bad""",
         "grade_report": "WITH " + _GRADES_SQL + """, hit AS (
               SELECT c_custkey, grade FROM customer, g WHERE c_acctbal >= min_mark AND c_acctbal <= max_mark)
             SELECT if(hit.grade > 7, c_name, NULL) AS name, hit.grade, c_acctbal AS marks
@@ -879,6 +953,8 @@ def _oracle_sql() -> dict[str, str]:
             CAST(total_amount AS DOUBLE) AS total_amount, total_transactions, kategori_customer FROM mart""",
         "layered_mart": "WITH " + _PAYMENT_SQL + """SELECT customer_id, nama_lengkap,
             CAST(total_amount AS DOUBLE) AS total_amount, total_transactions, kategori_customer FROM mart""",
+        "mart_bucketed": "WITH " + _PAYMENT_SQL + """SELECT customer_id, nama_lengkap,
+            CAST(total_amount AS DOUBLE) AS total_amount, total_transactions, kategori_customer FROM mart""",
         "quality_checks": "WITH " + _PAYMENT_SQL + """
             SELECT 'not_null(payment_id)' AS check_name,
                    CAST(count(*) FILTER (WHERE payment_id IS NULL) AS BIGINT) AS failures FROM stg
@@ -902,6 +978,7 @@ def _oracle_sql() -> dict[str, str]:
         "transform_orders": "WITH " + _ETL_SQL + "SELECT * FROM eo_t",
         "negative_amounts": "SELECT c_custkey AS id, c_acctbal AS total_amount FROM customer WHERE c_acctbal < 0",
         "upsert_orders": "WITH " + _ETL_SQL + "," + _upsert_sql("eo", "eo_t", 90, 180),
+        "upsert_orders_buckets": "WITH " + _ETL_SQL + "," + _upsert_sql("eo", "eo_t", 90, 180),
         "upsert_customers": "WITH " + _ETL_SQL + "," + _upsert_sql("ec", "ec_t", 365, 730),
         "upsert_products": "WITH " + _ETL_SQL + "," + _upsert_sql(
             "eps", "eps_t", 365, 730, "eps.*, CAST(NULL AS DOUBLE) AS margin_pct"),
