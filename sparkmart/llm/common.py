@@ -10,7 +10,7 @@ from __future__ import annotations
 import json
 import tempfile
 import zipfile
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from pathlib import Path
 
 import numpy as np
@@ -105,6 +105,30 @@ def slices(sizes: Sequence[int], most: int = CHUNK_BYTES) -> Iterator[tuple[int,
         yield lo, len(sizes)
 
 
+def tidy(run: Callable) -> Callable:
+    """``run``, for mapInArrow, whose worker gives its memory back at the end: idle
+    workers wait for later stages and would hold what they once needed."""
+    def lean(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return lean
+
+
+def release() -> None:
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)    # glibc only
+    if trim is not None:
+        trim(0)
+
+
 # ---------------------------------------------------------------- hashing
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -132,25 +156,67 @@ _SPACE[[9, 10, 11, 12, 13, 32]] = True          # fixed: \x20 and \x09-\x0D part
 _BYTE = np.random.Generator(np.random.PCG64(11)).integers(0, 1 << 64, 256, dtype=np.uint64) | np.uint64(1)
 _FOLD = _BYTE.copy()
 _FOLD[65:91] = _BYTE[97:123]                    # A-Z hash like a-z
-_BASE = 0x9E3779B97F4A7C15 | 1
-_POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+# Two polynomials modulo the prime 2**31 - 1: unlike one modulo 2**64, they have no texts that
+# collide for every base (Thue-Morse words), and products of two residues fit 64 bits.
+_PRIME = (1 << 31) - 1
+_BASES = (1_566_083_941, 822_752_021)
+#: bytes of a word hashed at a time; bounds the tables of powers too
+HASH_BYTES = 1 << 17
+_POWERS: list[np.ndarray] = []
+
+
+def _folded(x: np.ndarray) -> np.ndarray:
+    return (x & np.uint64(_PRIME)) + (x >> np.uint64(31))
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers 0..n-1 of a fixed odd base modulo 2**64, and their inverses."""
-    if len(_POWERS[0]) < n:
-        for i, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
-            p = np.full(n, base, np.uint64)
-            p[0] = 1
-            _POWERS[i] = np.cumprod(p, dtype=np.uint64)
-    return _POWERS[0][:n], _POWERS[1][:n]
+def _residue(x: np.ndarray) -> np.ndarray:
+    x = _folded(_folded(x))
+    return np.minimum(x, x - np.uint64(_PRIME))    # below the prime it wraps to something huge
+
+
+def powers(n: int) -> list[np.ndarray]:
+    """Powers 0..n-1 of each base and of its inverse (32 bits each)."""
+    if not _POWERS or len(_POWERS[0]) < n:
+        _POWERS.clear()
+        for base in (x for b in _BASES for x in (b, pow(b, -1, _PRIME))):
+            p, k = np.ones(n, np.uint64), 1
+            while k < n:
+                m = min(k, n - k)
+                p[k:k + m] = _residue(p[:m] * np.uint64(pow(base, k, _PRIME)))
+                k += m
+            _POWERS.append(p.astype(np.uint32))
+    return [p[:n] for p in _POWERS]
+
+
+def _span_sums(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
+    """The two polynomials over values[start:end] for each span."""
+    up1, down1, up2, down2 = powers(len(values) + 1)
+    out = []
+    for v, up, down in ((values >> np.uint64(33), up1, down1), (values & np.uint64(_PRIME), up2, down2)):
+        total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_folded(v * up[:-1]), dtype=np.uint64)))
+        out.append(_residue(_residue(total[ends] - total[starts]) * down[starts]))
+    return out
+
+
+def _joined(one: np.ndarray, two: np.ndarray, size: np.ndarray) -> np.ndarray:
+    return mix(((one << np.uint64(31)) | two) + size.astype(np.uint64) * _M2)
 
 
 def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of values[start:end] for each span: equal content, equal hash, wherever it stands."""
-    up, down = powers(len(values) + 1)
-    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values * up[:-1], dtype=np.uint64)))
-    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64) * _M2)
+    """Hash (62 bits, mixed to 64) of values[start:end] for each span: equal content, equal hash,
+    wherever it stands."""
+    return _joined(*_span_sums(values, starts, ends), ends - starts)
+
+
+def _long_hash(kind: np.ndarray, data: np.ndarray) -> np.ndarray:
+    """``span_hashes`` of all of ``data``, piece by piece."""
+    total, none = [0, 0], np.zeros(1, np.int64)
+    for lo in range(0, len(data), HASH_BYTES):
+        part = kind[data[lo:lo + HASH_BYTES]]
+        for j, s in enumerate(_span_sums(part, none, none + len(part))):
+            total[j] = (total[j] + int(s[0]) * pow(_BASES[j], lo, _PRIME)) % _PRIME
+    return _joined(*(np.array([t], np.uint64) for t in total), np.array([len(data)]))
 
 
 def word_spans(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -167,9 +233,12 @@ def word_hashes(raw: bytes, fold: bool = False) -> tuple[np.ndarray, np.ndarray,
     if not len(starts):
         return np.empty(0, np.uint64), starts, ends
     kind, data, parts = _FOLD if fold else _BYTE, np.frombuffer(raw, np.uint8), []
-    for lo, hi in slices(ends - starts + 1):      # bounded arrays for very long texts
+    for lo, hi in slices(ends - starts + 1, HASH_BYTES):      # bounded arrays for very long texts
         a, b = starts[lo], ends[hi - 1]
-        parts.append(span_hashes(kind[data[a:b]], starts[lo:hi] - a, ends[lo:hi] - a))
+        if b - a > HASH_BYTES:
+            parts.append(_long_hash(kind, data[a:b]))         # one word
+        else:
+            parts.append(span_hashes(kind[data[a:b]], starts[lo:hi] - a, ends[lo:hi] - a))
     return np.concatenate(parts), starts, ends
 
 
