@@ -20,10 +20,12 @@ All of it is DataFrame and SQL functions.  Positions come from splitting a
 text at its marked matches and summing piece lengths per document.
 
 Defined cases: a null or empty text has no spans and the hash of the empty
-string; offsets are code points; U+0001 in a text counts as one character;
-rows with null or repeated keys are reported row by row; ``redact`` drops the
-noncharacters U+FDD0 and U+FDD1 from texts that hold an assignment; an empty table gives
-an empty result; other columns are not read.
+string; offsets are code points; U+0001 in a text counts as one character; a
+very long text or token is tested whole, in time linear in its length;
+rows with null or repeated keys are reported row by row; spans that start together
+stand in the order of kinds; digits alone are never a candidate; ``redact`` drops the
+noncharacters U+FDD0 and U+FDD1 from texts that hold an assignment, and works beside
+columns of any name; an empty table gives an empty result; ``scan`` reads no other columns.
 """
 from __future__ import annotations
 
@@ -47,14 +49,17 @@ KEEP = 0.001
 GRID, GRID_END = 4, 400
 
 _LOWER, _UPPER, _DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
-#: (test, alphabet), the narrowest first; letters of one case or digits alone are no encoding
+#: (test, alphabet), the narrowest first; digits alone are no encoding
 ENCODINGS = (
-    ("^([0-9]+|[a-z]+|[A-Z]+|[A-Za-z]+|[A-Za-z_/+-]+)$", None),
+    ("^[0-9]+$", None),
     ("^[0-9a-f]+$", _DIGITS + "abcdef"),
     ("^[0-9A-F]+$", _DIGITS + "ABCDEF"),
+    ("^[a-z]+$", _LOWER),
+    ("^[A-Z]+$", _UPPER),
     ("^[A-Z2-7]+$", _UPPER + "234567"),
     ("^[0-9a-z]+$", _DIGITS + _LOWER),
     ("^[0-9A-Z]+$", _DIGITS + _UPPER),
+    ("^[A-Za-z]+$", _UPPER + _LOWER),
     ("^[0-9A-Za-z]+$", _DIGITS + _UPPER + _LOWER),
     ("^[0-9A-Za-z+/]+$", _UPPER + _LOWER + _DIGITS + "+/"),
     ("^[0-9A-Za-z_-]+$", _UPPER + _LOWER + _DIGITS + "-_"),
@@ -170,8 +175,14 @@ def scan(df: DataFrame, *, key: str = "doc_id", text: str = "text", fdr: float =
                       F.transform("all", lambda s: s["name"]).alias("spans"))
 
 
+def _free(name: str, taken: list[str]) -> str:
+    while name.lower() in (c.lower() for c in taken):
+        name += "_"
+    return name
+
+
 def redact(df: DataFrame, *, text: str = "text", mark: str = "[SECRET]", fdr: float = FDR) -> DataFrame:
-    """``df`` with its secrets replaced: matches of the fixed patterns (an
+    """``df`` with its secrets replaced, each where it stands: matches of the fixed patterns (an
     assignment keeps its name) and the tokens that the battery reports."""
     tokens = F.regexp_extract_all(F.col(text), F.lit(CANDIDATE), F.lit(0))
     words = df.select(tokens.alias("_w")).where(F.size("_w") > 0).select(F.inline(battery("_w")))
@@ -191,11 +202,12 @@ def redact(df: DataFrame, *, text: str = "text", mark: str = "[SECRET]", fdr: fl
     if not steps:
         return df.withColumn(text, t)
     least = F.create_map(*[F.lit(x) for kv in steps.items() for x in kv])
-    d = df.withColumn("_text", t)
-    d = d.withColumn("_w", F.array_distinct(F.regexp_extract_all(F.col("_text"), F.lit(CANDIDATE), F.lit(0))))
-    bad = F.filter(battery("_w"), lambda e: e["band"].isNotNull() & (grid_step(e["p_text"]) >= least[e["band"]])
-                   & (e["p_random"] >= KEEP))
-    # longest first: a token may be part of another
-    bad = F.array_sort(F.transform(bad, lambda e: F.struct((-F.length(e["token"])).alias("n"), e["token"].alias("t"))))
-    clean = F.aggregate(bad, F.col("_text"), lambda out, e: F.replace(out, e["t"], F.lit(mark)))
-    return d.withColumn(text, F.when(F.size("_w") > 0, clean).otherwise(F.col("_text"))).drop("_text", "_w")
+    part, word = _free("_part", df.columns), _free("_word", df.columns)
+    # the text's pieces between its candidates, one more than these
+    cut = df.withColumn(text, t).withColumns({
+        part: F.split(F.col(text), CANDIDATE, -1), word: F.regexp_extract_all(F.col(text), F.lit(CANDIDATE), F.lit(0))})
+    bad = lambda e: (e["band"].isNotNull() & (grid_step(e["p_text"]) >= least[e["band"]]) & (e["p_random"] >= KEEP))
+    kept = F.transform(battery(f"`{word}`"), lambda e: F.when(bad(e), F.lit(mark)).otherwise(e["token"]))
+    rest = F.zip_with(kept, F.slice(F.col(part), F.lit(2), F.size(word)), lambda a, b: F.concat(a, b))
+    clean = F.concat(F.get(F.col(part), F.lit(0)), F.array_join(rest, ""))
+    return cut.withColumn(text, F.when(F.size(word) > 0, clean).otherwise(F.col(text))).drop(part, word)

@@ -77,3 +77,74 @@ def test_whole_length_of_a_long_token(spark):
     t = "".join(random.Random(1).choice("0123456789abcdef") for _ in range(50_000))
     r = scan(spark.createDataFrame([(1, t, None, None)], SCHEMA)).first()
     assert r.base == ["hex:0:50000"]
+
+
+def test_letters_alone(spark):
+    """Random keys without a digit are found; words of many letters are not."""
+    rng = random.Random(9)
+    lower, mixed = "abcdefghijklmnopqrstuvwxyz", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    keys = ["".join(rng.choice(lower) for _ in range(60)) for _ in range(40)] + ["".join(rng.choice(mixed) for _ in range(40)) for _ in range(40)]
+    syllables = "the an er in tion ment ver lich schaft con pre able ness und de la ci".split()
+    words = ["".join(rng.choice(syllables) for _ in range(14)) for _ in range(300)]
+    words += ["".join(rng.choice(syllables).title() for _ in range(12)) for _ in range(100)]
+    df = spark.createDataFrame([(i, t, None, None) for i, t in enumerate(keys + words)], SCHEMA)
+    hit = {r.doc_id for r in scan(df).collect() if any(s.startswith("random") for s in r.spans)}
+    assert len([i for i in hit if i < 40]) >= 30 and len([i for i in hit if 40 <= i < 80]) >= 36
+    assert len([i for i in hit if i >= 80]) <= 2
+
+
+def test_redact_replaces_spans_only(spark):
+    """A token goes where it stands, not where its letters stand in a longer one; columns keep their names."""
+    rng = random.Random(2)
+    keys = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(40)) for _ in range(30)]
+    inside = keys[0] + "=" + "the-words-of-this-long-identifier-are-plain-" * 3
+    texts = [f"a {k}, b \x01 {k}" for k in keys] + [inside]
+    schema = T.StructType([*SCHEMA, T.StructField("_W", T.StringType()), T.StructField("_text", T.StringType()), T.StructField("_part", T.StringType())])
+    df = spark.createDataFrame([(i, t, None, None, "w", "t", "p") for i, t in enumerate(texts)], schema)
+    got = {r.doc_id: r for r in redact(df).collect()}
+    spans = {r.doc_id: [s.split(":") for s in r.spans] for r in scan(df).collect()}
+    assert redact(df).columns == df.columns and all((r["_W"], r["_text"], r["_part"]) == ("w", "t", "p") for r in got.values())
+    assert sum(got[i].text == "a [SECRET], b \x01 [SECRET]" for i in range(30)) >= 27
+    for i, t in enumerate(texts):
+        out = t
+        for _, a, z in reversed(spans[i]):
+            out = out[:int(a)] + "[SECRET]" + out[int(z):]
+        assert got[i].text == out
+
+
+def test_p_values_and_false_discoveries_by_hand(spark):
+    """The battery's numbers from its definitions, and Benjamini-Hochberg by sorting p-values."""
+    import math
+    from pyspark.sql import functions as F
+    from sparkmart.llm import random_battery as R
+    rng = random.Random(3)
+    tokens = ["".join(rng.choice("0123456789abcdef") for _ in range(rng.choice([24, 40, 70]))) for _ in range(60)]
+    tokens += ["theresthat" * rng.randint(2, 6) + str(i) for i in range(200)]
+    df = spark.createDataFrame([(t,) for t in tokens], "t string")
+    got = df.select(F.array("t").alias("w")).select(F.inline(battery("w"))).collect()
+    tail = lambda z: 1 / (1 + math.exp(min(700, 1.5976 * z + 0.07056 * z ** 3)))
+    for r in got:
+        letters = next(a for test, a in R.ENCODINGS if re.search(test, r.token))
+        x, k, n = [letters.index(c) for c in r.token], len(letters), len(r.token)
+        chi = k / n * sum(x.count(i) ** 2 for i in range(k)) - n
+        hi = [v >= k / 2 for v in x]
+        up, runs = sum(hi), 1 + sum(a != b for a, b in zip(hi, hi[1:]))
+        mean = 2 * up * (n - up)
+        z = [abs((chi - (k - 1)) / math.sqrt(2 * (k - 1) * (n - 1) / n)),
+             abs((runs - 1 - mean / n) / math.sqrt(mean * (mean - n) / (n * n * (n - 1)))) if mean > n else 9,
+             abs(sum((a - (k - 1) / 2) * (b - (k - 1) / 2) for a, b in zip(x, x[1:])) / ((k * k - 1) / 12 * math.sqrt(n - 1)))]
+        half = -sum(math.log(max(1e-12, 2 * tail(v))) for v in z)
+        assert math.isclose(r.p_random, math.exp(-half) * (1 + half + half * half / 2), rel_tol=1e-6)
+        d = max(1, k * R.TEXT_INDEX - 1)
+        assert math.isclose(r.p_text, max(1e-90, tail(((k - 1) + n * d - chi) / math.sqrt(2 * (k - 1) + 4 * n * d))), rel_tol=1e-6)
+        assert r.band == int(math.log2(n))
+    tested = spark.createDataFrame([(r.token, r.p_random, r.p_text, r.band) for r in got], "token string, p_random double, p_text double, band int")
+    marked = {r.token for r in R.judged(tested, R.thresholds(tested)).where("is_random").collect()}
+    want = set()
+    for band in {r.band for r in got}:
+        mine = sorted((r for r in got if r.band == band), key=lambda r: r.p_text)
+        # p-values count as the upper end of their grid step
+        p = [math.exp(-min(R.GRID_END, math.floor(-math.log(r.p_text) * R.GRID)) / R.GRID) for r in mine]
+        good = [i for i in range(len(mine)) if p[i] <= R.FDR * sum(q <= p[i] for q in p) / len(mine)]
+        want |= {r.token for i, r in enumerate(mine) if good and p[i] <= p[max(good)] and r.p_random >= R.KEEP}
+    assert marked == want and 10 < len(want) <= 61
