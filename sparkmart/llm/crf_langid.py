@@ -7,16 +7,18 @@ forward-backward gives every word's language probabilities, so a text may
 switch languages.  A document's language is the one with the largest share of
 probability over all its words; its score is that share.
 
-The model is fitted on a bounded sample: of each label value the
-``PER_LABEL`` documents with the least key hashes, ``TRAIN_WORDS`` words of
-each.  Segments of different documents are strung together, so transitions are
-learned from text that switches.  Everything else runs over all rows and
-whole texts, next to the scan, without a shuffle.
+The model is fitted on a bounded sample: of each of the ``LABELS`` commonest label
+values ``PER_LABEL`` whole documents with the least hashes, those of up to
+``LONGEST`` characters first, and ``CHARACTERS`` of them in all (one at least).  Segments
+of different documents are strung together, so transitions are learned from text
+that switches.  Everything else runs over all rows and whole texts, next to the
+scan, without a shuffle.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0;
-without labelled documents everything is ``und``; null keys and repeated rows
-are labelled like any other; an empty table gives an empty result; only key,
-text and (for the fit) label are read.
+without labelled documents everything is ``und``; of equally likely languages the
+first in the order of labels is taken; a very long text is labelled whole, about 100
+bytes a word; null keys and repeated rows are labelled like any other; an empty
+table gives an empty result; only key, text and (for the fit) label are read.
 """
 from __future__ import annotations
 
@@ -31,13 +33,13 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkmart.llm.common import CHUNK_BYTES, slices
+from sparkmart.llm.common import CHUNK_BYTES, slices, tidy
 
 #: the bound of the training sample, and the size of the model
-PER_LABEL, TRAIN_WORDS, BUCKETS = 150, 200, 1 << 16
+LABELS, PER_LABEL, LONGEST, CHARACTERS, BUCKETS = 256, 150, 1500, 1 << 20, 1 << 16
 EPOCHS, RATE, SEQUENCE = 6, 0.5, 60
 #: words whose scores a worker remembers at most
-CACHE_WORDS = 500_000
+CACHE_WORDS = 200_000
 
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -112,7 +114,7 @@ def fit(rows: list[tuple[str, str]], seed: int = 5) -> Model:
     """A model from (label, text) rows, by AdaGrad on the chains' likelihood."""
     rows = sorted(rows)
     labels = sorted({lab for lab, _ in rows})
-    docs = [(labels.index(lab), WORD.findall(text.lower())[:TRAIN_WORDS]) for lab, text in rows]
+    docs = [(labels.index(lab), WORD.findall(text.lower())) for lab, text in rows]
     counts = Counter(w for _, words in docs for w in words)
     lexicon = frozenset(w for w, n in counts.items() if n > 1)
     model = Model(labels, np.zeros((BUCKETS, len(labels))), np.zeros((len(labels),) * 2), lexicon)
@@ -166,13 +168,21 @@ def fit(rows: list[tuple[str, str]], seed: int = 5) -> Model:
 
 
 def sample(df: DataFrame, *, key: str, text: str, label: str, per_label: int = PER_LABEL) -> list[tuple[str, str]]:
-    """At most ``per_label`` rows of each label value, least key hashes first."""
-    w = Window.partitionBy("_l").orderBy("_h", "_t")
-    # a word has a letter and a gap at least; TRAIN_WORDS words of usual length
+    """At most ``per_label`` rows of each label value, as the module's docstring says."""
     rows = df.where(F.col(text).isNotNull() & F.col(label).isNotNull()).select(
-        F.col(label).cast("string").alias("_l"), F.substring(F.col(text), 1, 20 * TRAIN_WORDS).alias("_t"),
-        F.xxhash64(F.col(key)).alias("_h"))
-    got = rows.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= per_label).select("_l", "_t").collect()
+        F.col(label).cast("string").alias("_l"), F.col(text).cast("string").alias("_t"),
+        F.xxhash64(F.col(key), F.col(text)).alias("_h"))
+    common = rows.groupBy("_l").count().orderBy(F.desc("count"), "_l").limit(LABELS).collect()
+    if not common:
+        return []
+    # a share of each label's hashes that holds several times as many rows as are wanted
+    share = F.create_map(*[F.lit(x) for r in common for x in (r["_l"], min(1.0, 8 * per_label / r["count"]))])
+    some = rows.where(F.col("_l").isin([r["_l"] for r in common])) \
+        .where(F.pmod("_h", F.lit(1 << 30)) < F.element_at(share, F.col("_l")) * (1 << 30))
+    some = some.groupBy("_l", "_h").agg(F.min("_t").alias("_t"))     # repeated rows count once
+    w = Window.partitionBy("_l").orderBy(F.length("_t") > LONGEST, "_h", "_t")
+    some = some.withColumns({"_n": F.row_number().over(w), "_c": F.sum(F.length("_t")).over(w)})
+    got = some.where((F.col("_n") <= per_label) & ((F.col("_c") <= CHARACTERS) | (F.col("_n") == 1))).select("_l", "_t").collect()
     return [(r[0], r[1]) for r in got if WORD.search(r[1])]
 
 
@@ -224,7 +234,7 @@ def label_words(df: DataFrame, model: Model, *, key: str = "doc_id", text: str =
                      pa.array(size, pa.int64()), pa.array(parts, part)], names=[key, "lang", "score", "words", "parts"])
 
     return df.select(F.col(key), F.col(text).cast("string")).mapInArrow(
-        run, f"`{key}` {kind}, lang string, score double, words long, "
+        tidy(run), f"`{key}` {kind}, lang string, score double, words long, "
              "parts array<struct<first: long, words: long, lang: string>>")
 
 

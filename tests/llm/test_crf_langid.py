@@ -60,3 +60,16 @@ def test_code_switched_text_and_edges(spark):
     assert label_words(df.limit(0), model).count() == 0
     unlabelled = df.withColumn("lang", df["lang"].substr(9, 1)).where("doc_id = 2")
     assert [r.lang for r in identify(df, unlabelled).collect()] == ["und"] * len(rows)
+
+
+def test_sample_takes_whole_texts(spark):
+    """Repeated rows count once, short texts come first, a label of long texts only is still learned."""
+    from sparkmart.llm.crf_langid import LONGEST, sample
+    long = " ".join(DE.split() * 60)
+    assert len(long) > LONGEST
+    rows = [(i, EN + f" {chr(97 + i % 26)}x", "en", None) for i in range(50)] + [(5, EN, "en", None)] * 200
+    rows += [(100, EN + " " + long, "en", None), (101, long, "de", None), (102, long + " so", "de", None)]
+    got = sample(spark.createDataFrame(rows, SCHEMA), key="doc_id", text="text", label="lang", per_label=51)
+    assert sorted(t for lab, t in got if lab == "de") == sorted([long, long + " so"])
+    assert len([t for lab, t in got if lab == "en"]) == 51 and all(len(t) <= LONGEST for lab, t in got if lab == "en")
+    assert sample(spark.createDataFrame([], SCHEMA), key="doc_id", text="text", label="lang") == []
