@@ -8,11 +8,14 @@ in one pass over the text, each hit fixes the neighbourhood where the item would
 lie, and Myers' bit-parallel distance verifies the neighbourhood.
 
 Documents are only scanned, never shuffled.  Items travel with the tasks in
-blocks of ``BLOCK`` bytes, one scan per block, so their number is not bounded by
-a worker's memory.  An item shorter than ``LEAST`` characters must occur
-exactly and between non-letters.
-
-Defined cases: null or empty texts and items match nothing; null keys and
+blocks of ``BLOCK`` bytes.  A benchmark of one block is one scan; a larger one is
+worked off block by block, each with its scan and its written result, so driver and
+workers hold one block at a time.  An item shorter than ``LEAST`` characters must
+occur exactly and between non-letters.
+
+Defined cases: null or empty texts and items match nothing; a very long text is
+matched whole, in one pass; an item that lies in a text several times is reported once,
+at its least distance, the first of equal ones; null keys and
 repeated rows are reported row by row; repeated items one by one, with their ids
 in the column's own type; items with a null id only if asked for; an empty
 table gives an empty result; other columns are not read.
@@ -24,6 +27,8 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkmart.llm.common import table, tidy
+
 RATE, LEAST, BLOCK = 0.05, 24, 4 << 20
 
 
@@ -144,12 +149,12 @@ def contaminated(df: DataFrame, benchmark: DataFrame, *, key: str = "doc_id", te
                                                  names=[key, item, "distance", "n_chars", "end"])
 
         return df.select(F.col(key), F.col(text).cast("string")).mapInArrow(
-            run, f"`{key}` {kind}, `{item}` {ident.simpleString()}, distance long, n_chars long, end long")
+            tidy(run), f"`{key}` {kind}, `{item}` {ident.simpleString()}, distance long, n_chars long, end long")
 
     out = None
     for b in range(blocks):   # a block of items at a time: `block` bytes
         items = sorted(((r.i, fold(r.t)) for r in rows.where(F.col("b") == b).collect()),
                        key=lambda x: (x[0] is None, 0 if x[0] is None else x[0], x[1]))
-        part = scan(items)
+        part = scan(items) if blocks == 1 else table(scan(items), "block")
         out = part if out is None else out.unionByName(part)
     return out

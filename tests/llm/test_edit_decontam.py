@@ -98,3 +98,12 @@ def test_items_keep_their_ids(spark, tmp_path):
     df.select("doc_id", "text").write.parquet(f"{tmp_path}/documents.parquet")
     bench.where("item_id IS NULL").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert [(r.doc_id, r.item_id) for r in QUERIES["op3_edit_decontam"](spark, str(tmp_path)).collect()] == [(1, None)]
+
+
+def test_very_long_text(spark):
+    """A million characters in one row: found at its end, and at its least distance."""
+    item = "An item of ordinary length, which stands in the text"
+    text = "clean words only " * 60_000 + item.replace("ordinary", "ordinry") + " and " + item
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    r, = contaminated(spark.createDataFrame([(1, text, None, None)], SCHEMA), bench).collect()
+    assert (r.distance, r.end) == (0, len(fold(text)))
