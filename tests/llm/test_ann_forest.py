@@ -81,3 +81,33 @@ def test_edges_and_hot_copies(spark):
         (400, 1, 299), (400, 2, 500), (500, 1, 299), (500, 2, 400)]
     assert search(df.limit(0), F.lit(True)).count() == 0
     assert wanted(0) == 0 and wanted(5) == 5
+
+
+def shapes(seed):
+    rng = np.random.default_rng(seed)
+    n = 4000
+    yield "centred", rng.normal(size=(n, 64))
+    yield "shifted", rng.normal(size=(n, 64)) + 5
+    yield "norms", (rng.normal(size=(n, 64)) + 2) * np.exp(rng.normal(size=(n, 1)) / 2)
+    yield "clustered", rng.normal(size=(60, 64))[rng.integers(0, 60, n)] * 3 + rng.normal(size=(n, 64))
+    low = rng.normal(size=(n, 12)) @ rng.normal(size=(12, 256))
+    yield "256 components", low + rng.normal(size=(n, 256)) * .1
+    yield "768 components", rng.normal(size=(n // 4, 10)) @ rng.normal(size=(10, 768)) + 1
+
+
+@pytest.mark.parametrize("name,x", list(shapes(1)), ids=lambda v: v if isinstance(v, str) else "")
+def test_recall_on_shapes(name, x):
+    """Recall of queries that did not settle the number of candidates, and the share measured."""
+    from sparkmart.llm.ann_forest import SAMPLE, enough, _nearest_of
+    q = x[:SAMPLE + 60]
+    ascents = list(Forest(x).ascents(q))
+    least = enough(x, q[:SAMPLE], ascents[:SAMPLE], 11)
+    hit, share = 0, 0.0
+    for row, ascent in zip(q[SAMPLE:], ascents[SAMPLE:]):
+        found = ascent(least)
+        want = np.sort(np.sqrt(((x - row) ** 2).sum(1)))[10]
+        hit += int((_nearest_of(x, row, found, 11)[1] <= want).sum())
+        share += len(found) / len(x) / 60
+    print(name, hit / 660, share)
+    assert hit >= 0.9 * 660
+    assert share < {"clustered": .1, "256 components": .35, "768 components": .5}.get(name, 1)
