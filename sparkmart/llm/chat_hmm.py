@@ -8,17 +8,28 @@ how it ends.  Viterbi recovers the likeliest states of all lines, and the turns
 are rendered in one canonical form.
 
 The model's tables are counted, with add-one smoothing, on a bounded sample of
-transcripts whose roles are known.  Parsing runs row by row next to the scan,
-all transcripts of a batch advancing together; nothing is shuffled.
+transcripts whose roles are known.  Transcripts in one row each are parsed next
+to the scan, all of a batch advancing together; nothing is shuffled.
 
-Defined cases: a null or blank text has no turns and renders empty; a text
-without any marker is parsed by its other features; null keys and repeated rows
-are parsed like any other; an empty table gives an empty result; other columns
-are not read.
+A long transcript may come in parts, a row each (``part``).  Its parts are parsed
+as one: each part's best score from every first to every last state (a 6 x 6
+table, products over max and plus) goes to its transcript, where a chain over
+these tables fixes the parts' first and last states; then each part finds its best
+path between them.  So no task holds more text than a part, and cutting changes
+nothing.
+
+Defined cases: a null or blank text has no turns and renders empty; a very long text in
+one row is parsed whole by one task, about 200 bytes a line; a text
+without any marker is parsed by its other features; of equally likely paths the one
+whose last states come first in the order of states is taken; null keys and repeated rows
+are parsed like any other, but parts of a null key are texts of their own; of rows that
+repeat a key and a part each is a text of its own too; an empty table gives an empty
+result; other columns are not read.
 """
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,7 +37,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkmart.llm.common import CHUNK_BYTES, slices
+from sparkmart.llm.common import CHUNK_BYTES, slices, table, tidy
 
 ROLES = ("system", "user", "assistant")
 #: names that speakers go by (ours), by role
@@ -95,17 +106,20 @@ def fit(transcripts: list[list[tuple[str, str]]]) -> Model:
                      [np.log(e / e.sum(1, keepdims=True)) for e in emit])
 
 
-def viterbi(score: np.ndarray, begin: np.ndarray, size: np.ndarray, start: np.ndarray, move: np.ndarray) -> np.ndarray:
-    """The likeliest state of every row; chain i is rows begin[i] .. begin[i] + size[i]."""
+def viterbi(score: np.ndarray, begin: np.ndarray, size: np.ndarray, start: np.ndarray, move: np.ndarray,
+            last: np.ndarray | None = None) -> np.ndarray:
+    """The likeliest state of every row; chain i is rows begin[i] .. begin[i] + size[i].  ``start``:
+    log scores of first states, of all chains or of each; ``last``: each chain's last state, if fixed."""
     order = np.argsort(-size, kind="stable")
     begin, size = begin[order], size[order]
+    start = np.broadcast_to(start, (len(order), score.shape[1]))[order] if start.ndim > 1 else start
     longest = int(size[0]) if len(size) else 0
     active = np.searchsorted(-size, -np.arange(longest), "left")
     best, back = np.empty_like(score), np.zeros(score.shape, np.int64)
     for i in range(longest):
         at = begin[:active[i]] + i
         if i == 0:
-            best[at] = start + score[at]
+            best[at] = (start[:active[0]] if start.ndim > 1 else start) + score[at]
         else:
             way = best[at - 1][:, :, None] + move[None]
             back[at] = way.argmax(1)
@@ -113,52 +127,151 @@ def viterbi(score: np.ndarray, begin: np.ndarray, size: np.ndarray, start: np.nd
     out = np.zeros(len(score), np.int64)
     for i in range(longest - 1, -1, -1):
         at = begin[:active[i]] + i
-        last = size[:active[i]] == i + 1
+        end = size[:active[i]] == i + 1
         nxt = np.minimum(at + 1, len(score) - 1)
-        out[at] = np.where(last, best[at].argmax(1), back[nxt, out[nxt]])
+        final = best[at].argmax(1) if last is None else last[order][:active[i]]
+        out[at] = np.where(end, final, back[nxt, out[nxt]])
+    return out
+
+
+def spans_score(score: np.ndarray, begin: np.ndarray, size: np.ndarray, move: np.ndarray) -> np.ndarray:
+    """Chain x first state x last state: the best score of a path between these."""
+    order = np.argsort(-size, kind="stable")
+    begin, size = begin[order], size[order]
+    active = np.searchsorted(-size, -np.arange(int(size[0]) if len(size) else 0), "left")
+    m = np.where(np.eye(score.shape[1], dtype=bool), score[np.minimum(begin, max(0, len(score) - 1))][:, None, :], -np.inf)
+    for i in range(1, len(active)):
+        n = active[i]
+        m[:n] = (m[:n, :, :, None] + move).max(2) + score[begin[:n] + i][:, None, :]
+    out = np.empty_like(m)
+    out[order] = m
     return out
 
 
-def parse(df: DataFrame, model: Model, *, key: str = "conv_id", text: str = "text") -> DataFrame:
-    """A row per row of ``df``: key, ``turns`` (role, text) and ``rendered``."""
+def _lines(column) -> tuple[list[list[Line]], np.ndarray, np.ndarray, list[Line]]:
+    found = [read_lines(t) for t in column.to_pylist()]
+    size = np.array([len(f) for f in found], np.int64)
+    return found, np.cumsum(size) - size, size, [x for f in found for x in f]
+
+
+def _turns(lines: list[Line], states: np.ndarray) -> list[dict]:
+    got: list[dict] = []
+    for line, s in zip(lines, states):
+        if s % 2 == 0 or not got:
+            got.append({"role": ROLES[s // 2], "text": [], "goes_on": bool(s % 2)})
+        if line[0]:
+            got[-1]["text"].append(line[0])
+    return [t | {"text": "\n".join(t["text"])} for t in got]
+
+
+TURNS = "array<struct<role: string, text: string, goes_on: boolean>>"
+
+
+def parse(df: DataFrame, model: Model, *, key: str = "conv_id", text: str = "text", part: str | None = None) -> DataFrame:
+    """A row per row of ``df``: key (and ``part``), ``turns`` (role, text, and whether it goes on from
+    the part before) and ``rendered``.  With ``part``, a number, rows of one key are one transcript
+    in its order, and their ``rendered`` texts follow each other."""
     kind = df.schema[key].dataType.simpleString()
+    texts = df.select(F.col(key).alias("k"), *([F.col(part).cast("long").alias("p")] if part else []), F.col(text).cast("string").alias("t"))
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
         import pyarrow.compute as pc
-        turn = pa.list_(pa.struct([("role", pa.string()), ("text", pa.string())]))
-        for b in batches:
-            sizes = pc.fill_null(pc.binary_length(b.column(1)), 0).to_pylist()
+        turn = pa.list_(pa.struct([("role", pa.string()), ("text", pa.string()), ("goes_on", pa.bool_())]))
+        names = [key, *([part] if part else []), "turns", "rendered"]
+        for whole in batches:
+            sizes = pc.fill_null(pc.binary_length(whole.column("t")), 0).to_pylist()
+            for lo, hi in slices(sizes, CHUNK_BYTES):
+                b = whole.slice(lo, hi - lo)
+                found, begin, size, lines = _lines(b.column("t"))
+                start, last, more = model.start, None, [False] * b.num_rows
+                if part:
+                    first, last, after = (b.column(c).fill_null(-1).to_numpy() for c in ("first", "last", "after"))
+                    start = np.where(np.arange(STATES) == first[:, None], 0, -np.inf)
+                    more = after % 2 == 1       # the next part goes on with this one's turn
+                state = viterbi(model.scores(lines), begin, size, start, model.move, last) if lines else np.empty(0, np.int64)
+                turns = [_turns(f, state[at:at + len(f)]) for f, at in zip(found, begin)]
+                keys = [b.column(c) for c in (["k", "p"] if part else ["k"])]
+                text_out = [render(t, bool(m)) for t, m in zip(turns, more)]
+                yield pa.RecordBatch.from_arrays([*keys, pa.array(turns, turn), pa.array(text_out, pa.string())], names=names)
+
+    if not part:
+        return texts.mapInArrow(tidy(run), f"`{key}` {kind}, turns {TURNS}, rendered string")
+    texts = table(texts.withColumn("i", F.monotonically_increasing_id()), "parts")
+    ways = texts.join(_chained(_part_scores(texts, model), model), "i", "left")
+    return ways.select("k", "p", "t", "first", "last", "after") \
+        .mapInArrow(tidy(run), f"`{key}` {kind}, `{part}` long, turns {TURNS}, rendered string")
+
+
+def _part_scores(texts: DataFrame, model: Model) -> DataFrame:
+    """(i, k, p, m): the table of each part that has lines."""
+    kind = texts.schema["k"].dataType.simpleString()
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        for whole in batches:
+            sizes = pc.fill_null(pc.binary_length(whole.column("t")), 0).to_pylist()
             for lo, hi in slices(sizes, CHUNK_BYTES):
-                found = [read_lines(t) for t in b.column(1).slice(lo, hi - lo).to_pylist()]
-                size = np.array([len(f) for f in found])
-                begin, lines = np.cumsum(size) - size, [x for f in found for x in f]
-                state = viterbi(model.scores(lines), begin, size, model.start, model.move) if lines else []
-                turns = []
-                for f, at in zip(found, begin):
-                    got: list[list] = []
-                    for line, s in zip(f, state[at:at + len(f)]):
-                        if s % 2 == 0:
-                            got.append([ROLES[s // 2], []])
-                        if line[0]:
-                            got[-1][1].append(line[0])
-                    turns.append([{"role": r, "text": "\n".join(x)} for r, x in got])
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(lo, hi - lo), pa.array(turns, turn), pa.array(list(map(render, turns)), pa.string())],
-                    names=[key, "turns", "rendered"])
-
-    return df.select(F.col(key), F.col(text).cast("string")).mapInArrow(
-        run, f"`{key}` {kind}, turns array<struct<role: string, text: string>>, rendered string")
-
-
-def render(turns: list[dict]) -> str:
-    return "".join(f"<|im_start|>{t['role']}\n{t['text']}<|im_end|>\n" for t in turns)
+                b = whole.slice(lo, hi - lo)
+                _, begin, size, lines = _lines(b.column("t"))
+                if lines:
+                    have = np.flatnonzero(size)
+                    m = spans_score(model.scores(lines), begin[have], size[have], model.move).reshape(len(have), -1)
+                    at = pa.array(have)
+                    yield pa.RecordBatch.from_arrays([b.column(c).take(at) for c in "ikp"] + [pa.array(list(m), pa.list_(pa.float64()))],
+                                                     names=["i", "k", "p", "m"])
+
+    return texts.select("i", "k", "p", "t").mapInArrow(tidy(run), f"i long, k {kind}, p long, m array<double>")
+
+
+def _single(parts: list[dict]) -> list[list[dict]]:
+    """The chains among parts in order: repeated ones each alone, and the others."""
+    times = Counter(x["p"] for x in parts)
+    rest = [x for x in parts if times[x["p"]] == 1]
+    return [[x] for x in parts if times[x["p"]] > 1] + ([rest] if rest else [])
+
+
+def _chained(parts: DataFrame, model: Model) -> DataFrame:
+    """(i, first, last, after): the first and last state of each part, and the first of the part after."""
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        for b in batches:
+            out: list[tuple] = []
+            for chain in (c for parts in b.column(0).to_pylist() for c in _single(parts)):
+                tables = [np.array(x["m"]).reshape(STATES, STATES) for x in chain]
+                score, ways = model.start, []
+                for n, m in enumerate(tables):
+                    enter = score if n == 0 else (score[:, None] + model.move).max(0)
+                    source = np.zeros(STATES, np.int64) if n == 0 else (score[:, None] + model.move).argmax(0)
+                    total = enter[:, None] + m
+                    ways.append((total.argmax(0), source))
+                    score = total.max(0)
+                last, after = int(score.argmax()), 0
+                for x, (first_of, source) in zip(reversed(chain), reversed(ways)):
+                    first = int(first_of[last])
+                    out.append((x["i"], first, last, after))
+                    last, after = int(source[first]), first
+            cols = list(zip(*out)) if out else [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), *[pa.int32()] * 3))],
+                                             names=["i", "first", "last", "after"])
+
+    # a transcript's parts, 36 numbers each; null keys and parts stand alone
+    rows = parts.withColumn("alone", F.when(F.col("k").isNull() | F.col("p").isNull(), F.col("i")))
+    chains = rows.groupBy("k", "alone").agg(F.sort_array(F.collect_list(F.struct("p", "i", "m"))).alias("c"))
+    return chains.select("c").mapInArrow(tidy(run), "i long, first int, last int, after int")
+
+
+def render(turns: list[dict], more: bool = False) -> str:
+    """``more``: the last turn goes on in the next part, which closes it."""
+    out = "".join((f"\n{t['text']}" if t["goes_on"] else f"<|im_start|>{t['role']}\n{t['text']}") + "<|im_end|>\n" for t in turns)
+    return out.removesuffix("<|im_end|>\n") if more else out
 
 
 #: ways to open a turn, by role in the order of ROLES; one is chosen per conversation
 STYLES = (("System: ", "User: ", "Assistant: "), ("Instruction: ", "Human: ", "AI: "), ("Note: ", "Q: ", "A: "),
           ("### System\n", "### User\n", "### Assistant\n"), ("<system> ", "<user> ", "<bot> "))
-#: one turn in so many is left unmarked, and turns of a part (a transcript row) at most
+#: one turn in so many is left unmarked, and turns of a part (a row, so that no row grows with a conversation)
 UNMARKED, PART = 8, 64
 
 

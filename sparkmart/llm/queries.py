@@ -68,10 +68,10 @@ def op6_chat_hmm(spark, sf):
     from sparkmart.llm.chat_hmm import as_transcripts, parse, train
     from sparkmart.llm.common import table
     raw = table(as_transcripts(_read(spark, sf, "conversations")), "transcripts")
-    named = raw.select(F.struct("conv_id", "part").alias("id"), "text")
-    got = parse(named, train(raw), key="id")
-    return got.select("id.conv_id", "id.part", F.size("turns").alias("n_turns"),
-                      F.array_join(F.transform("turns", lambda t: t["role"]), ",").alias("roles"), "rendered")
+    got = parse(raw, train(raw), part="part")
+    opened = F.filter("turns", lambda t: ~t["goes_on"])
+    return got.select("conv_id", "part", F.size(opened).alias("n_turns"),
+                      F.array_join(F.transform(opened, lambda t: t["role"]), ",").alias("roles"), "rendered")
 
 
 def op7_random_battery(spark, sf):
@@ -175,8 +175,57 @@ SELECT vec_id, CAST(best.i AS INTEGER) AS cluster, best.d AS distance, CAST(sum(
 FROM a{rounds} JOIN c{rounds} ON c{rounds}.i = best.i"""
 
 
+# Conversation repair: CRC-32 by a table made bit by bit; the cheapest edits from a conversation's
+# end on, for each of four states (1 start, 2 after system, 3 after user, 4 after assistant) the
+# least (cost, audit); then the audit replayed.  x marks a state or edit that cannot be.
+_OP13 = r"""WITH RECURSIVE
+  crc AS (SELECT list(list_reduce(list_concat([n], CAST(range(8) AS UBIGINT[])), lambda c, k:
+            CASE WHEN c & 1 = 1 THEN xor(CAST(3988292384 AS UBIGINT), c >> 1) ELSE c >> 1 END) ORDER BY n) AS t
+          FROM (SELECT CAST(unnest(range(256)) AS UBIGINT) AS n)),
+  keyed AS (SELECT coalesce('=' || conv_id, '') AS c, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+              coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+  kinds AS (SELECT c, turn, role, text, xor(list_reduce(list_concat([CAST(4294967295 AS UBIGINT)],
+              list_transform(string_split(k, ''), lambda x: CAST(ascii(x) AS UBIGINT))),
+              lambda a, b: xor(t[CAST(xor(a, b) & 255 AS BIGINT) + 1], a >> 8)), CAST(4294967295 AS UBIGINT)) % 20 AS f FROM keyed, crc),
+  hurt AS (SELECT c, turn, if(f = 4, 'user', role) AS role,
+             CASE f WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+           FROM kinds, range(2) copy(j) WHERE f <> 0 AND (j = 0 OR f = 3)),
+  rows AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, sha256(text)) AS i, left(role, 1) AS ini,
+             regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS mark FROM hurt),
+  told AS (SELECT *, mark = '' AS blank, mark <> '' AND row_number() OVER (PARTITION BY c, role, text ORDER BY i) > 1 AS copy,
+             coalesce(lag(ini) OVER (PARTITION BY c ORDER BY i) || ini NOT IN ('su', 'ua', 'au'), false) AS wrong FROM rows),
+  turns AS (SELECT *, NOT blank AND NOT copy AND mark NOT IN ('.', '!', '?') AS cut FROM told),
+  sums AS (SELECT c, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+             count(*) FILTER (copy) AS duplicate, count(*) FILTER (cut) AS truncated, count(*) FILTER (wrong) AS illegal FROM turns GROUP BY c),
+  best(c, i, b) AS (
+    SELECT c, n + 1, [{'p': 0, 'a': ''}, {'p': 4, 'a': 'II'}, {'p': 2, 'a': 'I'}, {'p': 0, 'a': ''}] FROM sums
+    UNION ALL SELECT c, i, list_transform([1, 2, 3, 4], lambda q: list_min([m2[q], {'p': m2[[3, 3, 4, 3][q]].p + 2, 'a': 'I' || m2[[3, 3, 4, 3][q]].a}]))
+    FROM (SELECT *, list_transform([1, 2, 3, 4], lambda q: list_min([m1[q], {'p': m1[[3, 3, 4, 3][q]].p + 2, 'a': 'I' || m1[[3, 3, 4, 3][q]].a}])) AS m2
+    FROM (SELECT *, list_transform([1, 2, 3, 4], lambda q: list_min([m[q], {'p': m[[3, 3, 4, 3][q]].p + 2, 'a': 'I' || m[[3, 3, 4, 3][q]].a}])) AS m1
+    FROM (SELECT t.c, t.i, list_transform([1, 2, 3, 4], lambda q: list_min(list_filter([
+            {'p': b[q].p + 3, 'a': 'D' || b[q].a},
+            {'p': if(blank OR copy, NULL, b[[3, 3, 4, 3][q]].p + 2 + CAST(cut AS INTEGER)), 'a': 'R' || b[[3, 3, 4, 3][q]].a},
+            {'p': CASE WHEN blank OR copy THEN NULL WHEN ini = 's' AND q = 1 THEN b[2].p WHEN ini = 'u' AND q <> 3 THEN b[3].p
+                       WHEN ini = 'a' AND q = 3 THEN b[4].p END + CAST(cut AS INTEGER),
+             'a': 'K' || CASE ini WHEN 's' THEN b[2].a WHEN 'u' THEN b[3].a ELSE b[4].a END}], lambda x: x.p IS NOT NULL))) AS m
+          FROM best JOIN turns t ON t.c = best.c AND t.i = best.i - 1)))),
+  way AS (SELECT c, CAST(b[1].p AS BIGINT) AS cost, b[1].a AS audit FROM best WHERE i = 1),
+  told_again(c, k, i, q, lines) AS (
+    SELECT c, 0, 1, 1, CAST([] AS VARCHAR[]) FROM way
+    UNION ALL SELECT c, k + 1, if(e = 'I', i, i + 1),
+      CASE WHEN e = 'D' THEN q WHEN e = 'K' THEN CASE ini WHEN 's' THEN 2 WHEN 'u' THEN 3 ELSE 4 END WHEN q = 3 THEN 4 ELSE 3 END,
+      CASE WHEN e = 'D' THEN lines WHEN e = 'K' THEN list_append(lines, role || ':' || text)
+           ELSE list_append(lines, if(q = 3, 'assistant:', 'user:') || if(e = 'R', text, '')) END
+    FROM (SELECT p.*, substr(w.audit, p.k + 1, 1) AS e, t.role, t.text, t.ini FROM told_again p JOIN way w ON w.c = p.c AND p.k < length(w.audit)
+          LEFT JOIN turns t ON t.c = p.c AND t.i = p.i)),
+  texts AS (SELECT p.c, array_to_string(lines, chr(10)) AS text FROM told_again p JOIN way w ON w.c = p.c AND k = length(audit))
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(texts.text, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN sums ON sums.c = coalesce('=' || o.conv_id, '')
+  LEFT JOIN way ON way.c = sums.c LEFT JOIN texts ON texts.c = sums.c"""
+
 #: The others are beyond SQL (search with a recall, edit distance, tokens, models, CRC-32) or
 #: too slow in it (a window per byte); tests/llm holds them against brute force.
-ORACLES: dict[str, str] = {"op2_minhash_forest": _OP2, "op4_fm_substring": _OP4, "op12_va_clusters": _op12()}
+ORACLES: dict[str, str] = {"op2_minhash_forest": _OP2, "op4_fm_substring": _OP4, "op12_va_clusters": _op12(), "op13_turn_repair": _OP13}
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

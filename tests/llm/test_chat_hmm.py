@@ -64,6 +64,52 @@ def test_lines_and_edges(spark):
     assert fit([]).move.shape == (STATES, STATES)
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_parts_are_parsed_as_one(spark, seed):
+    """A transcript cut anywhere between lines gives the same turns and the same rendering."""
+    rng = np.random.default_rng(seed)
+    model = fit(TURNS)
+    texts, cut = {}, []
+    for k in range(12):
+        lines = [str(rng.choice(["User: why?", "Assistant: so.", "and more", "It is.", "what?", "Note: x", "", "### User"])) for _ in range(rng.integers(1, 60))]
+        texts[k] = "\n".join(lines)
+        at = 0
+        for p in range(20):
+            n = int(rng.integers(0, 9)) if p < 19 else len(lines)
+            cut.append((k, p, "\n".join(lines[at:at + n])))
+            at += n
+    # a part's first line counts as standing behind a blank line, so the whole is read part by part too
+    score = {k: [x for kk, _, t in cut if kk == k for x in read_lines(t)] for k in texts}
+    got = parse(spark.createDataFrame(cut, "conv_id long, part int, text string"), model, part="part").collect()
+    for k, lines in score.items():
+        rows = sorted((r for r in got if r.conv_id == k), key=lambda r: r.part)
+        want = [] if not lines else viterbi(model.scores(lines), np.array([0]), np.array([len(lines)]), model.start, model.move)
+        turns, opens = [], 0
+        for line, s in zip(lines, want):
+            if s % 2 == 0:
+                turns.append([s // 2, []])
+            turns[-1][1] += [line[0]] if line[0] else []
+        merged = []
+        for r in rows:
+            for t in r.turns:
+                if t.goes_on:
+                    merged[-1][1] += "\n" + t.text
+                else:
+                    merged.append([["system", "user", "assistant"].index(t.role), t.text])
+        assert [(a, b.strip("\n")) for a, b in merged] == [(a, "\n".join(b)) for a, b in turns]
+        text = "".join(r.rendered for r in rows)
+        assert text.count("<|im_start|>") == text.count("<|im_end|>") == len(turns)
+
+
+def test_parts_without_key_or_twice(spark):
+    model = fit(TURNS)
+    rows = [(None, 0, "User: a?"), (None, 0, "Assistant: b."), (1, 0, "User: a?"), (1, 0, "User: a?"), (1, 1, "Assistant: c."), (2, None, "User: z?"), (3, 5, None)]
+    got = parse(spark.createDataFrame(rows, "conv_id long, part int, text string"), model, part="part").collect()
+    assert len(got) == len(rows) and sorted(len(r.turns) for r in got) == [0] + [1] * 6
+    empty = spark.createDataFrame([], "conv_id long, part int, text string")
+    assert parse(empty, model, part="part").count() == 0
+
+
 def test_transcripts_of_odd_tables(spark):
     schema = "conv_id long, turn int, role string, text string, part string"
     rows = [(1, 1, "assistant", "b", None), (1, 0, "user", "a", None), (1, 0, "user", "a", None), (None, 0, "user", "x", None),
