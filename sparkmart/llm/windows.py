@@ -12,14 +12,21 @@ Frame of the two substring-dedup operators; each brings its own index.
    passage that a third of the documents share sends a row or so per task.
 3. Where an anchor has several classes, the classes' first members are sent,
    with their content, to shards by anchor, and a shard's index tells which of
-   their windows stand earlier in another.  An anchor with more than
-   ``HOT_CLASSES`` classes is split further: its windows are grouped one by
-   one by their own hash, which is exact and combines before the shuffle.
+   their windows stand earlier in another.  Anchors of very many classes go
+   another way, which is exact too and has no group by anchor: their windows are
+   grouped one by one by their own hash, which combines before the shuffle.  Such are
+   anchors of which any task sees more than ``CROWD`` classes among ``FLUSH`` segments
+   (a line in a third of all documents; they are told before anything is grouped by
+   anchor, so a group holds at most ``CROWD`` in ``FLUSH`` of all segments), and those
+   with more than ``HOT_CLASSES`` classes or ``SHARD_WINDOWS`` windows.
 4. The removed spans return to their documents.
 
-Content hashes have 64 bits under a 64-bit anchor.  A null key stands before
-all others.  Rows that repeat a key and a text are the same document; rows that
-repeat a key with another text are told apart, and ordered, by text hash.
+Content hashes have 62 bits, modulo primes, under a 64-bit anchor.  A null key stands
+before all others.  Rows that repeat a key and a text are the same document; rows that
+repeat a key with another text are told apart, and ordered, by text hash.  Windows that
+start in documents of one key do not count against each other.  A text is cut into
+slices of ``SLICE`` units, so a very long one takes memory for its own bytes and a
+slice; a shard's index holds ``SHARD_WINDOWS`` windows, twice as many at most.
 """
 from __future__ import annotations
 
@@ -30,12 +37,14 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkmart.llm.common import grams, mix, runs, sliding_min, span_hashes, table, word_hashes, _BYTE
+from sparkmart.llm.common import grams, mix, release, runs, sliding_min, small, span_hashes, table, tidy, word_hashes, _BYTE
 
 #: units of a document handled at a time, and windows of a segment at most
 SLICE, SEGMENT = 1 << 19, 256   # a segment's windows fit 10 bits
 #: windows per shard (memory bound of an index task), classes of an anchor that go to one shard
 SHARD_WINDOWS, HOT_CLASSES = 250_000, 20_000
+#: classes of one anchor that a task may see among FLUSH segments
+CROWD = 64
 #: document keys that are broadcast at most (16 bytes each); beyond, a shuffle join
 BROADCAST_KEYS = 2_000_000
 
@@ -114,7 +123,7 @@ FLUSH = 500_000
 def _all_segments(src: DataFrame, unit: Unit) -> DataFrame:
     """Segments as a, c, d, v and p: start * 4096 + windows * 4 + f * 2 + w, where f: the
     anchor stands there twice, w: settled (removed whole, as its content stands earlier in
-    the task; its anchor is then a number of its own)."""
+    the task; its anchor is then a number of its own); and h: the anchor has a crowd of classes."""
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
         out, rows = [], 0
@@ -138,6 +147,9 @@ def _all_segments(src: DataFrame, unit: Unit) -> DataFrame:
         head = np.concatenate(([True], (a[order][1:] != a[order][:-1]) | (c[order][1:] != c[order][:-1])))
         lead = np.empty(len(a), np.int64)
         lead[order] = order[np.flatnonzero(head)[np.cumsum(head) - 1]]
+        first, size = runs(a[order])
+        crowd = np.empty(len(a), bool)
+        crowd[order] = np.repeat(np.add.reduceat(head, first) > CROWD, size)
         w = d > d[lead]
         if unit.inside:
             w |= (d == d[lead]) & ((v > v[lead]) | (v == v[lead]) & (s > s[lead]))
@@ -145,9 +157,9 @@ def _all_segments(src: DataFrame, unit: Unit) -> DataFrame:
         a = np.where(w, mix((d * 1_000_003 + s).astype(np.uint64)).view(np.int64), a)
         p = s * 4096 + n * 4 + f * 2 + w
         return pa.RecordBatch.from_arrays([pa.array(a), pa.array(np.where(w, 0, c)), pa.array(d, pa.int64()),
-                                           pa.array(v, pa.int64()), pa.array(p)], names=["a", "c", "d", "v", "p"])
+                                           pa.array(v, pa.int64()), pa.array(p), pa.array(crowd & ~w)], names=["a", "c", "d", "v", "p", "h"])
 
-    return src.select("d", "v", "t").mapInArrow(run, "a long, c long, d long, v long, p long")
+    return src.select("d", "v", "t").mapInArrow(tidy(run), "a long, c long, d long, v long, p long, h boolean")
 
 
 def _with_keys(src: DataFrame, lists: DataFrame, how: str = "inner") -> DataFrame:
@@ -189,7 +201,7 @@ def _bodies(src: DataFrame, wanted: DataFrame, unit: Unit) -> DataFrame:
 
     lists = table(wanted.groupBy("d", "v").agg(F.collect_list(F.struct("s", "n", "a", "c")).alias("w")), "wanted")
     return _with_keys(src, lists).select("d", "v", "t", "w").mapInArrow(
-        run, "a long, c long, d long, v long, s long, n long, body binary")
+        tidy(run), "a long, c long, d long, v long, s long, n long, body binary")
 
 
 def _hot(src: DataFrame, wanted: DataFrame, unit: Unit) -> DataFrame:
@@ -206,7 +218,7 @@ def _hot(src: DataFrame, wanted: DataFrame, unit: Unit) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(h), full(a), full(c), full(d), full(v), full(s), pa.array(at)],
                                                  names=["h", "a", "c", "d", "v", "s", "o"])
 
-    win = table(_bodies(src, wanted, unit).mapInArrow(run, "h long, a long, c long, d long, v long, s long, o long"), "hot")
+    win = table(_bodies(src, wanted, unit).mapInArrow(tidy(run), "h long, a long, c long, d long, v long, s long, o long"), "hot")
     first = win.groupBy("h", "a").agg(F.min(F.struct("d", "v", "s", "o")).alias("first"))
     me = F.struct("d", "v", "s", "o")
     later = (F.col("first") < me) if unit.inside else (F.col("first.d") < F.col("d"))
@@ -220,30 +232,39 @@ def removed_spans(df: DataFrame, unit: Unit, index: Callable, *, key: str, text:
     units, may overlap).  ``index(unit, rows)`` gets a shard's rows, a pandas frame
     with a, c, d, v, s, n, body in order of (d, v, s), and yields (row, lo, hi)."""
     src = _source(df, key, text, unique)
-    rows = _all_segments(src, unit).repartition("a")   # serves the windows by (a, c) and by a
+    found = table(_all_segments(src, unit), "segments")
+    crowds = table(found.where("h").select("a").distinct(), "crowds")
+    crowded = crowds.limit(1).count() > 0
     # one exchange by anchor and one sort answer all that is asked of anchors and classes
     place = F.col("d"), F.col("v"), F.col("p")
     by_class, by_anchor = Window.partitionBy("a", "c").orderBy(*place), Window.partitionBy("a")
-    rows = rows.withColumns({"r": F.rank().over(by_class), "d0": F.first("d").over(by_class)})
-    rows = rows.withColumns({"m": F.count(F.when(F.col("r") == 1, 1)).over(by_anchor),
-                             "f": F.max(F.col("p").bitwiseAND(2)).over(by_anchor) > 0})
+    firsts = {"r": F.rank().over(by_class), "d0": F.first("d").over(by_class)}
+    rows = (found.join(small(crowds), "a", "left_anti") if crowded else found).drop("h").repartition("a")
+    rows = rows.withColumns(firsts)
+    lead = F.when(F.col("r") == 1, F.shiftright("p", 2).bitwiseAND(1023))
+    rows = rows.withColumns({"m": F.count(lead).over(by_anchor), "f": F.max(F.col("p").bitwiseAND(2)).over(by_anchor) > 0,
+                             "hot": (F.count(lead).over(by_anchor) > hot_classes) | (F.sum(lead).over(by_anchor) > shard_windows)})
+    if crowded:     # all of a crowd's classes go the other way
+        more = found.join(small(crowds), "a", "left_semi").drop("h").repartition("a", "c").withColumns(firsts)
+        rows = rows.unionByName(more.withColumns({"m": F.lit(2).cast("long"), "f": F.lit(True), "hot": F.lit(True)}))
     settled = F.col("p").bitwiseAND(1) == 1
     later = ((F.col("r") > 1) if unit.inside else (F.col("d") > F.col("d0"))) | settled
     # a settled row's anchor is random: should it meet another there, that one is checked in vain
     rows = rows.withColumn("whole", later).where(F.col("whole") | (F.col("m") > 1) | F.col("f"))
     name = lambda c: F.when(~F.col("whole"), F.col(c)).alias(c)
     members = table(rows.select(
-        name("a"), name("c"), name("r"), name("m"), "d", "v", "whole", F.shiftright("p", 12).alias("s"),
+        name("a"), name("c"), name("r"), "hot", "d", "v", "whole", F.shiftright("p", 12).alias("s"),
         F.shiftright("p", 2).bitwiseAND(1023).alias("n")), "members")
     leads = members.where("r = 1")
-    most, total = leads.agg(F.max("m"), F.sum("n")).first()
+    total, heated = leads.agg(F.sum(F.when(~F.col("hot"), F.col("n"))), F.count(F.when(F.col("hot"), 1))).first()
     shards = max(1, -(-(total or 0) // shard_windows))
-    hot, leads = leads.where(F.col("m") > hot_classes), leads.where(F.col("m") <= hot_classes)
+    hot, leads = leads.where("hot"), leads.where("NOT hot")
     cool = _bodies(src, leads, unit) \
         .withColumn("shard", F.pmod(F.xxhash64("a"), F.lit(shards)))
 
     def run(pdf):
         import pandas as pd
+        release()                         # what the shard before has left
         pdf = pdf.drop_duplicates(["a", "c"]).sort_values(["d", "v", "s"], kind="stable", ignore_index=True)
         got = list(index(unit, pdf))
         row = np.concatenate([g[0] for g in got]) if got else np.empty(0, np.int64)
@@ -252,7 +273,7 @@ def removed_spans(df: DataFrame, unit: Unit, index: Callable, *, key: str, text:
                              "hi": np.concatenate([g[2] for g in got]) if got else row})
 
     part = cool.groupBy("shard").applyInPandas(run, "a long, c long, lo long, hi long")
-    if (most or 0) > hot_classes:
+    if heated:
         part = part.unionByName(_hot(src, hot, unit))
     part = part.join(members.where(~F.col("whole")), ["a", "c"]) \
         .select("d", "v", (F.col("s") + F.col("lo")).alias("lo"), (F.col("s") + F.col("hi")).alias("hi"))
@@ -313,4 +334,4 @@ def apply_cuts(df: DataFrame, cuts: DataFrame, unit: Unit, *, key: str, text: st
                     at, units, spans, kept, size = [], [], [], [], 0
 
     return _with_keys(src, cuts, "left").select("_key", "t", "cuts").mapInArrow(
-        run, f"`{key}` {kind}, n_units long, spans array<struct<start: long, end: long>>, kept binary")
+        tidy(run), f"`{key}` {kind}, n_units long, spans array<struct<start: long, end: long>>, kept binary")
