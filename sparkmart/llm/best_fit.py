@@ -12,7 +12,8 @@ the pieces in one distributed join on the length, on ranks that a range sort
 gave.  The result is that of best-fit decreasing over all documents.
 
 Defined cases: a null text is empty; an empty document is the closing id
-alone; null keys and repeated rows pack like others; an empty table gives an
+alone; a very long text is tokenised whole by one task and cut into pieces; pieces of one
+length are ranked by their CRC, then their other columns, and equal ones in any order; null keys and repeated rows pack like others; an empty table gives an
 empty result; other columns are not read.
 """
 from __future__ import annotations
@@ -28,10 +29,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkmart.llm.common import CHUNK_BYTES, literal_table, positioned, slices, table
+from sparkmart.llm.common import CHUNK_BYTES, literal_table, positioned, slices, table, tidy
 
-#: chunk -> ids cached per Python worker (about 100 MB when full; emptied then)
-CACHE_ENTRIES = 800_000
+#: chunk -> ids cached per Python worker (about 50 MB when full; emptied then)
+CACHE_ENTRIES = 400_000
 #: chunks longer than this are encoded anew each time
 CACHE_CHUNK = 64
 
@@ -161,7 +162,7 @@ def token_pieces(df: DataFrame, tokenizer: str, capacity: int = 2048, *, key: st
                  pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())],
                 names=[key, "piece", "start", "length", "ids_crc32"])
 
-    return df.select(F.col(key), F.col(text).cast("string").alias(text)).mapInArrow(run, out)
+    return df.select(F.col(key), F.col(text).cast("string").alias(text)).mapInArrow(tidy(run), out)
 
 
 def best_fit_steps(counts: dict[int, int], capacity: int) -> list[dict]:

@@ -10,7 +10,9 @@ the match is ``k`` long it is held at ``k`` by widening to the rows that agree
 on k words.  So the matching statistics, cut at ``k``, come at one step per
 word, and each full-length match gives the smallest key in its interval.
 
-Defined cases: see ``windows``; a null or empty text has no words; an empty
+Defined cases (very long texts and repeated keys: see ``windows``): of equal windows the
+one in the document with the least key stays, ties within it stay too; a null or empty
+text has no words; an empty
 table gives an empty result; other columns are not read.
 """
 from __future__ import annotations

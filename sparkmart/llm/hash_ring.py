@@ -17,8 +17,9 @@ positive slack each shard takes up to (1 + slack) times its share and fewer
 rows move when a shard is added.
 
 Defined cases: a null key hashes like a value of its own (its rows sit at one
-slot and overflow clockwise); a null text has size ``overhead`` and CRC 0;
-repeated rows each get a slot; an empty table gives an empty result; columns
+slot and overflow clockwise); a null text has size ``overhead`` and CRC 0; a very long
+text is measured where it is read and does not travel; rows of one key stand in the order of
+their sorted columns, equal ones in any; repeated rows each get a slot; an empty table gives an empty result; columns
 of the input other than the key and the text do not matter.
 """
 from __future__ import annotations

@@ -46,7 +46,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkmart.llm.common import CHUNK_BYTES, slices
+from sparkmart.llm.common import CHUNK_BYTES, slices, tidy
 
 # fixed values: kinds in their order, characters of words and local parts, and patterns
 KINDS = ("email", "ip", "card", "phone")
@@ -450,4 +450,4 @@ def find(df: DataFrame, model: Model | None = None, *, key: str = "doc_id", text
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(base, pa.list_(pa.string())), pa.array(spans, struct)],
                                                  names=[key, "base", "spans"])
 
-    return df.select(F.col(key), F.col(text).cast("string")).mapInArrow(run, f"`{key}` {kind}, base array<string>, spans {SPANS}")
+    return df.select(F.col(key), F.col(text).cast("string")).mapInArrow(tidy(run), f"`{key}` {kind}, base array<string>, spans {SPANS}")

@@ -42,7 +42,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkmart.llm.common import positioned, small, table
+from sparkmart.llm.common import positioned, small, table, tidy
 
 #: rows of a block, and nodes that a task works on at a time
 BLOCK, NODES = 4096, 1 << 18
@@ -202,7 +202,7 @@ def _block_costs(blocks: DataFrame) -> DataFrame:
                                               pa.array([int(c[-1]) for c in initials], pa.int32()), pa.array(wrong, pa.int64())],
                                              names=["c", "b", "m", "first", "last", "illegal"])
 
-    return blocks.mapInArrow(run, "c string, b long, m array<long>, first int, last int, illegal long")
+    return blocks.mapInArrow(tidy(run), "c string, b long, m array<long>, first int, last int, illegal long")
 
 
 def illegal(initials: np.ndarray) -> int:
@@ -228,7 +228,7 @@ def _behind(costs: DataFrame) -> DataFrame:
 
     # of a conversation, 17 numbers for every BLOCK rows
     parts = costs.groupBy("c").agg(F.sort_array(F.collect_list(F.struct("b", "m"))).alias("p"))
-    return parts.mapInArrow(run, "c string, b long, close array<long>, end boolean")
+    return parts.mapInArrow(tidy(run), "c string, b long, close array<long>, end boolean")
 
 
 def _block_audits(blocks: DataFrame) -> DataFrame:
@@ -248,7 +248,7 @@ def _block_audits(blocks: DataFrame) -> DataFrame:
                      pa.array(leave.tolist(), pa.list_(pa.int32())), pa.array(cost[:, START], pa.int64())],
                     names=["c", "b", "audits", "leave", "cost"])
 
-    return blocks.mapInArrow(run, "c string, b long, audits array<string>, leave array<int>, cost long")
+    return blocks.mapInArrow(tidy(run), "c string, b long, audits array<string>, leave array<int>, cost long")
 
 
 def _strung(parts: DataFrame) -> DataFrame:
@@ -271,7 +271,7 @@ def _strung(parts: DataFrame) -> DataFrame:
 
     fields = F.struct("b", "audits", "leave", "cost", "first", "last", "illegal")
     got = parts.groupBy("c").agg(F.sort_array(F.collect_list(fields)).alias("p"))   # an audit's letters, as the result
-    return got.mapInArrow(run, "c string, cost long, audit string, illegal long")
+    return got.mapInArrow(tidy(run), "c string, cost long, audit string, illegal long")
 
 
 class _Writer:
@@ -328,7 +328,7 @@ def _hashes(rows: DataFrame, edits: DataFrame) -> DataFrame:
     both = edits.select("c", "audit").unionByName(rows.select("c", "turn", "role", "text", "h"), allowMissingColumns=True)
     order = ["c", F.col("audit").isNull(), F.asc_nulls_first("turn"), "role", "h"]
     return both.repartition("c").sortWithinPartitions(*order).select("c", "audit", "role", "text") \
-        .mapInArrow(run, "c string, repaired_sha256 string")
+        .mapInArrow(tidy(run), "c string, repaired_sha256 string")
 
 
 def _key(c: Column) -> Column:

@@ -40,7 +40,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkmart.llm.common import small, table
+from sparkmart.llm.common import small, table, tidy
 
 #: bits of a cell, rows that a task looks up at a time, and integers per unit of a component
 BITS, ROWS, SCALE = 6, 4096, 1024
@@ -156,7 +156,7 @@ def _approximated(rows: DataFrame, centroids: np.ndarray, edges: np.ndarray, bit
         yield pa.RecordBatch.from_arrays([pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.int32()),
                                           *change.columns()], names=names)
 
-    return rows.select("r", "v").mapInArrow(run, "r long, cells binary, was int, " + _Change.SCHEMA)
+    return rows.select("r", "v").mapInArrow(tidy(run), "r long, cells binary, was int, " + _Change.SCHEMA)
 
 
 def _looked_up(va: DataFrame, centroids: np.ndarray, edges: np.ndarray, bits: int) -> DataFrame:
@@ -174,7 +174,7 @@ def _looked_up(va: DataFrame, centroids: np.ndarray, edges: np.ndarray, bits: in
                                                   pa.array(may.argmax(1).astype(np.int32), mask=may.sum(1) > 1)],
                                                  names=["r", "cells", "was", "now"])
 
-    return va.select("r", "cells", "was").mapInArrow(run, "r long, cells binary, was int, now int")
+    return va.select("r", "cells", "was").mapInArrow(tidy(run), "r long, cells binary, was int, now int")
 
 
 def _fetched(seen: DataFrame, vectors: DataFrame, centroids: np.ndarray) -> DataFrame:
@@ -196,7 +196,7 @@ def _fetched(seen: DataFrame, vectors: DataFrame, centroids: np.ndarray) -> Data
 
     wanted = seen.where("now IS NULL OR now <> was").select("r", "was", "now")
     got = vectors.select("r", "v").join(small(wanted), "r").select("r", "was", "now", "v")
-    return got.mapInArrow(run, "r long, new int, " + _Change.SCHEMA)
+    return got.mapInArrow(tidy(run), "r long, new int, " + _Change.SCHEMA)
 
 
 def _start(rows: DataFrame, clusters: int, seed: str) -> np.ndarray:
@@ -250,7 +250,7 @@ def cluster(df: DataFrame, *, key: str = "vec_id", vector: str = "embedding", si
                 d = ((x - centroids[now]) ** 2).sum(1)
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(now, pa.int32()), pa.array(d)], names=[key, "cluster", "distance"])
 
-    return rows.select("k", "v").mapInArrow(measure, schema), centroids
+    return rows.select("k", "v").mapInArrow(tidy(measure), schema), centroids
 
 
 def summary(clustered: DataFrame, centroids: np.ndarray) -> DataFrame:

@@ -77,3 +77,10 @@ def test_edges(spark):
     assert all(sorted(v) == list(range(len(v))) for v in load.values())
     assert {(r.size, r.text_crc32) for r in got} == {(16, 0), (18, zlib.crc32("é".encode()))}
     assert shard_rows(spark.createDataFrame([], schema), 4).collect() == []
+
+
+def test_very_long_text(spark):
+    text = "é" * 1_500_000
+    got = shard_rows(spark.createDataFrame([(1, text), (2, "a"), (2, "a")], "doc_id long, text string"), 2).collect()
+    long = next(r for r in got if r.doc_id == 1)
+    assert (long.size, long.text_crc32) == (3_000_016, zlib.crc32(text.encode())) and len({(r.shard, r.slot) for r in got}) == 3
