@@ -10,9 +10,9 @@ def _c(c) -> Column:
 
 
 def try_int(c, type_name: str = "int") -> Column:
-    """'12' and '12.0' -> 12, 'x' / overflow -> NULL.  Goes through a wide decimal
-    (not double), so a 19-digit key stays exact."""
-    return _c(c).try_cast("decimal(38,18)").try_cast(type_name)
+    """'12' and '12.0' -> 12, 'x' / overflow -> NULL.  What is no whole number as it stands goes
+    through a wide decimal (not double), so a 19-digit key stays exact."""
+    return F.coalesce(_c(c).try_cast(type_name), _c(c).try_cast("decimal(38,18)").try_cast(type_name))
 
 
 def try_double(c) -> Column:
