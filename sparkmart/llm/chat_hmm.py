@@ -15,8 +15,8 @@ A long transcript may come in parts, a row each (``part``).  Its parts are parse
 as one: each part's best score from every first to every last state (a 6 x 6
 table, products over max and plus) goes to its transcript, where a chain over
 these tables fixes the parts' first and last states; then each part finds its best
-path between them.  So no task holds more text than a part, and cutting changes
-nothing.
+path between them.  So no task holds more text than a part, and cutting changes no
+line's role or turn.  A piece that goes on with a turn is rendered from a new line on.
 
 Defined cases: a null or blank text has no turns and renders empty; a very long text in
 one row is parsed whole by one task, about 200 bytes a line; a text
@@ -264,7 +264,7 @@ def _chained(parts: DataFrame, model: Model) -> DataFrame:
 
 def render(turns: list[dict], more: bool = False) -> str:
     """``more``: the last turn goes on in the next part, which closes it."""
-    out = "".join((f"\n{t['text']}" if t["goes_on"] else f"<|im_start|>{t['role']}\n{t['text']}") + "<|im_end|>\n" for t in turns)
+    out = "".join((t["text"] and f"\n{t['text']}" if t["goes_on"] else f"<|im_start|>{t['role']}\n{t['text']}") + "<|im_end|>\n" for t in turns)
     return out.removesuffix("<|im_end|>\n") if more else out
 
 

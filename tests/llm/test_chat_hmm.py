@@ -66,9 +66,10 @@ def test_lines_and_edges(spark):
 
 @pytest.mark.parametrize("seed", range(3))
 def test_parts_are_parsed_as_one(spark, seed):
-    """A transcript cut anywhere between lines gives the same turns and the same rendering."""
+    """A transcript cut anywhere between lines gives the same turns."""
     rng = np.random.default_rng(seed)
     model = fit(TURNS)
+    model.emit = [e + rng.normal(size=e.shape) / 100 for e in model.emit]       # no two paths are equally likely
     texts, cut = {}, []
     for k in range(12):
         lines = [str(rng.choice(["User: why?", "Assistant: so.", "and more", "It is.", "what?", "Note: x", "", "### User"])) for _ in range(rng.integers(1, 60))]
@@ -84,7 +85,7 @@ def test_parts_are_parsed_as_one(spark, seed):
     for k, lines in score.items():
         rows = sorted((r for r in got if r.conv_id == k), key=lambda r: r.part)
         want = [] if not lines else viterbi(model.scores(lines), np.array([0]), np.array([len(lines)]), model.start, model.move)
-        turns, opens = [], 0
+        turns = []
         for line, s in zip(lines, want):
             if s % 2 == 0:
                 turns.append([s // 2, []])
@@ -92,11 +93,10 @@ def test_parts_are_parsed_as_one(spark, seed):
         merged = []
         for r in rows:
             for t in r.turns:
-                if t.goes_on:
-                    merged[-1][1] += "\n" + t.text
-                else:
-                    merged.append([["system", "user", "assistant"].index(t.role), t.text])
-        assert [(a, b.strip("\n")) for a, b in merged] == [(a, "\n".join(b)) for a, b in turns]
+                if not t.goes_on:
+                    merged.append([["system", "user", "assistant"].index(t.role), []])
+                merged[-1][1] += [t.text] if t.text else []
+        assert [(a, "\n".join(b)) for a, b in merged] == [(a, "\n".join(b)) for a, b in turns]
         text = "".join(r.rendered for r in rows)
         assert text.count("<|im_start|>") == text.count("<|im_end|>") == len(turns)
 
