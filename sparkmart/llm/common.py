@@ -26,10 +26,18 @@ CHUNK_BYTES = 1 << 20
 _SHIPPED: dict[str, str] = {}
 
 
+#: rows of an Arrow batch: texts travel whole, and both sides hold a batch of them
+ARROW_ROWS = 1500
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def ship(spark: SparkSession) -> None:
-    """The package's source to the executors' Python, once per application.
+    """The package's source to the executors' Python, once per application, and Arrow
+    batches that are small enough for texts (a session that asks for smaller ones keeps its own).
     Spark's own file distribution carries the zip; workers need no shared path."""
     sc = spark.sparkContext
+    if not 0 < int(spark.conf.get(_BATCH, "10000")) <= ARROW_ROWS:
+        spark.conf.set(_BATCH, str(ARROW_ROWS))
     if sc.applicationId in _SHIPPED:
         return
     package = Path(__file__).resolve().parent.parent
