@@ -17,7 +17,7 @@ Frame of the two substring-dedup operators; each brings its own index.
    grouped one by one by their own hash, which combines before the shuffle.  Such are
    anchors of which any task sees more than ``CROWD`` classes among ``FLUSH`` segments
    (a line in a third of all documents; they are told before anything is grouped by
-   anchor, so a group holds at most ``CROWD`` in ``FLUSH`` of all segments), and those
+   anchor, so a group holds at most ``CROWD`` rows a task and ``FLUSH`` segments), and those
    with more than ``HOT_CLASSES`` classes or ``SHARD_WINDOWS`` windows.
 4. The removed spans return to their documents.
 
@@ -43,8 +43,8 @@ from sparkmart.llm.common import grams, mix, release, runs, sliding_min, small,
 SLICE, SEGMENT = 1 << 19, 256   # a segment's windows fit 10 bits
 #: windows per shard (memory bound of an index task), classes of an anchor that go to one shard
 SHARD_WINDOWS, HOT_CLASSES = 250_000, 20_000
-#: classes of one anchor that a task may see among FLUSH segments
-CROWD = 64
+#: classes of one anchor that a task may see among FLUSH segments, or all of its own if these are fewer
+CROWD = 1024
 #: document keys that are broadcast at most (16 bytes each); beyond, a shuffle join
 BROADCAST_KEYS = 2_000_000
 

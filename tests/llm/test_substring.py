@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import types as T
 
+from sparkmart.llm import windows
 from sparkmart.llm.fm_substring import FMIndex, dedup_words, matches
 from sparkmart.llm.queries import QUERIES
 from sparkmart.llm.suffix_levels import Levels, dedup_bytes
@@ -85,8 +86,9 @@ def fixture(seed, words):
     return docs
 
 
-@pytest.mark.parametrize("seed,hot", [(1, 20_000), (2, 1), (3, 3)])
-def test_fixtures(spark, seed, hot):
+@pytest.mark.parametrize("seed,hot,crowd", [(1, 20_000, 1024), (2, 1, 1024), (3, 3, 1024), (1, 20_000, 1), (4, 20_000, 3)])
+def test_fixtures(spark, monkeypatch, seed, hot, crowd):
+    monkeypatch.setattr(windows, "CROWD", crowd)
     words = ["a", "b", "cc", "É", "the"] if seed < 3 else [f"w{i}" for i in range(40)]
     docs = fixture(seed, words)
     df = spark.createDataFrame([(*r, None, None) for r in docs], SCHEMA)
@@ -135,3 +137,16 @@ def test_levels_grow_geometrically():
         n += 50
     assert sum(map(len, family.levels)) == n and len(family.levels) <= 8
     assert family.holds(np.array([b"00000", b"06349", b"06350"], "S5")).tolist() == [True, True, False]
+
+
+def test_texts_built_to_collide(spark):
+    """Two Thue-Morse words have one hash under every polynomial modulo 2**64."""
+    one = "".join("ab"[i.bit_count() % 2] for i in range(1024))
+    two = one.translate(str.maketrans("ab", "ba"))
+    words = " ".join(f"w{i}" for i in range(30))
+    docs = [(1, f"{words} {one} {words}"), (2, f"{words} {two} {words}")]
+    df = spark.createDataFrame([(*r, None, None) for r in docs], SCHEMA)
+    assert [bytes(r.kept).decode() for r in dedup_words(df, 50).orderBy("doc_id").collect()] == [t for _, t in docs]
+    got = {r.doc_id: bytes(r.kept) for r in dedup_bytes(df, 100).collect()}
+    for (d, _), (raw, gone) in zip(docs, brute_bytes(docs, 100)):
+        assert got[d] == bytes(b for b, g in zip(raw, gone) if not g)
