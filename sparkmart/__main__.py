@@ -72,6 +72,7 @@ def main(argv: list[str] | None = None) -> int:
     t.add_argument("--servers", required=True)
     t.add_argument("--checkpoint", required=True)
     t.add_argument("--report", required=True)
+    t.add_argument("--restarts", type=int, default=0, help="failures after which all three queries go on from their checkpoints")
     a = sub.add_parser("activity")
     a.add_argument("--servers", required=True)
     a.add_argument("--checkpoint", required=True)
@@ -121,9 +122,10 @@ def main(argv: list[str] | None = None) -> int:
         failed = checks.filter("failures > 0").count()
         return 1 if failed else 0
     elif args.job == "transactions":
-        from sparkmart.streaming import apps, transactions
-        apps.transaction_app(spark, args.servers, args.checkpoint, args.report)
-        transactions.await_any(spark)
+        from sparkmart.streaming import apps
+        from sparkmart.streaming.supervisor import run_with_restarts
+        starters = apps.transaction_starters(spark, args.servers, args.checkpoint, args.report)
+        run_with_restarts(starters, args.restarts, until_any=True)   # as the original: one ends, all end
     elif args.job == "activity":
         from sparkmart.streaming import apps
         apps.activity_app(spark, args.servers, args.checkpoint, args.counts).awaitTermination()

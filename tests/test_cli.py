@@ -95,3 +95,28 @@ def test_models_job_with_a_schema_file(spark):
         cwd=ROOT, capture_output=True, text=True, timeout=600)
     assert out.returncode == 0, out.stderr[-2000:]
     assert "stg_payment.unique(payment_id)" in out.stdout
+
+
+def test_transactions_job_stops_and_restarts_all(spark, monkeypatch, tmp_path):
+    """The three queries over a file log in place of topics; the dead-letter topic is away at first."""
+    from events_fixture import SCHEMA, T0, msg
+    from sparkmart.sources.kafka import as_messages
+    from sparkmart.streaming import apps
+    spark.createDataFrame([msg(1, T0, "S1", 10), msg(2, T0, None, 10)], SCHEMA).write.parquet(f"{tmp_path}/log")
+    tries = []
+
+    def write(df, servers, topic, checkpoint, **_):
+        tries.append(topic)
+        if topic == "transactions_dlq" and tries.count(topic) == 1:
+            raise OSError("no such topic")
+        return as_messages(df).writeStream.format("text").option("path", f"{tmp_path}/{topic}") \
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+    monkeypatch.setattr(apps, "read_kafka_stream", lambda *a: spark.readStream.schema(SCHEMA).parquet(f"{tmp_path}/log"))
+    monkeypatch.setattr(apps, "write_kafka_stream", write)
+    from sparkmart.streaming.supervisor import run_with_restarts
+    starters = apps.transaction_starters(spark, "nowhere", f"{tmp_path}/ck", f"{tmp_path}/report", trigger="availableNow")
+    failures = run_with_restarts(starters, restarts=1)
+    assert [f.name for f in failures] == ["dlq"] and tries == ["transactions_valid", "transactions_dlq"] * 2
+    assert spark.read.text(f"{tmp_path}/transactions_valid").count() == spark.read.text(f"{tmp_path}/transactions_dlq").count() == 1
+    assert not spark.streams.active
