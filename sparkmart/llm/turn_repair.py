@@ -371,11 +371,11 @@ def repair(df: DataFrame, everyone: DataFrame | None = None, *, key: str = "conv
     ways = _block_audits(block.join(_behind(costs), ["c", "b"]).select("c", "b", "codes", "close", "end"))
     edits = table(_strung(ways.join(costs.drop("m"), ["c", "b"])), "edits")
     out = found.join(edits, "c").join(_hashes(rows, edits), "c")
-    keys = (df if everyone is None else everyone).select(F.col(key)).distinct().withColumn("c", _key(F.col(key)))
+    keys = (df if everyone is None else everyone).select(F.col(key).alias("id")).distinct().withColumn("c", _key(F.col("id")))
     none = hashlib.sha256().hexdigest()
     zero = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(c)
     return keys.join(out, "c", "left").select(
-        key, *map(zero, ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")),
+        F.col("id").alias(key), *map(zero, ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")),
         F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.lit(none)).alias("repaired_sha256"))
 
 

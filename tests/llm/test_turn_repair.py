@@ -136,6 +136,8 @@ def test_edges(spark):
     assert res[8] == res[None] == (0, 0, 0, 0, 0, 0, "", none)
     assert res[1][6:] == ("D", none) and res[2][5:7] == (3, "D") and res[3][:7] == (3, 0, 1, 1, 1, 4, "KDK")
     assert res[4][:3] == (0, 0, 1)
+    named = spark.createDataFrame(rows, SCHEMA).toDF("c", "h", "id", "at")
+    assert got(repair(named, key="c", turn="h", role="id", text="at")) == wanted(rows, {1, 2, 3, 4})
 
 
 def test_least_paths_takes_the_later_letters_into_account():
