@@ -137,6 +137,17 @@ def release() -> None:
         trim(0)
 
 
+def clean(spark: SparkSession) -> None:
+    """Lets Spark drop what is out of use.  Its cleaner removes broadcasts and shuffles from the
+    executors when the driver's JVM finds them unreferenced, which an idle driver does every half
+    hour only; until then they fill the executors' memory and disks."""
+    import gc
+    gc.collect()
+    jvm = getattr(spark, "_jvm", None)      # none in a Connect session
+    if jvm is not None:
+        jvm.java.lang.System.gc()
+
+
 # ---------------------------------------------------------------- hashing
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
