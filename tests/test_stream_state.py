@@ -113,6 +113,20 @@ def test_running_counts_over_restarts(spark, root):
     assert dict(state.select("key.key", "value.n").collect()) == {k: keys.count(k) for k in set(keys)}
 
 
+def test_running_counts_where_the_session_names_another_store(spark, root):
+    feed = spark.createDataFrame(_events("abcab" * 4), KEYED)
+    before = spark.conf.get(SA.STORE)
+    other = before.replace("RocksDB", "HDFSBacked")
+    spark.conf.set(SA.STORE, other)
+    try:
+        replay(feed, f"{root}/log", "offset", 2, lambda s: ended(SA.start_running_counts(s, f"{root}/out", f"{root}/ck", "availableNow")))
+        assert spark.conf.get(SA.STORE) == other
+    finally:
+        spark.conf.set(SA.STORE, before)
+    got = spark.read.parquet(f"{root}/out")
+    assert rows(got) == rows(A.key_running_count(A.parse_activity(feed)).select(*got.columns))
+
+
 class Broken:
     """Fails at the given batches, the state being committed, each time it is told to."""
 
