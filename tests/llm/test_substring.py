@@ -101,6 +101,28 @@ def test_fixtures(spark, monkeypatch, seed, hot, crowd):
         assert sum(s.end - s.start for s in got[d].spans) == sum(gone)
 
 
+@pytest.mark.parametrize("dedup,k", [(dedup_words, 9), (dedup_bytes, 40)])
+def test_a_crowds_neighbouring_windows_are_one_row(spark, monkeypatch, dedup, k):
+    monkeypatch.setattr(windows, "CROWD", 1)
+    seen, hot = [], windows._hot
+    monkeypatch.setattr(windows, "_hot", lambda *a: seen.append(hot(*a)) or seen[-1])
+    rng = random.Random(6)
+    line = " ".join(f"c{i}" for i in range(40))
+    docs = [(i, f"{rng.random()} {rng.random()} {line} {rng.random()}") for i in range(30)]
+    docs.append((3, docs[3][1]))                                          # a key and a text that stand twice
+    df = spark.createDataFrame([(*r, None, None) for r in docs], SCHEMA)
+    got = [(r.doc_id, bytes(r.kept)) for r in dedup(df, k).collect()]
+    if dedup is dedup_words:
+        want = [(d, b" ".join(x for x, g in zip(w, gone) if not g)) for (d, _), (w, gone) in zip(docs, brute_words(docs, k))]
+    else:
+        want = [(d, bytes(b for b, g in zip(raw, gone) if not g)) for (d, _), (raw, gone) in zip(docs, brute_bytes(docs, k))]
+    assert sorted(got) == sorted(want)
+    spans = {}
+    for a, c, lo, hi in seen[0].collect():
+        spans.setdefault((a, c), []).append((lo, hi - k))
+    assert spans and all(z + 1 < y for s in spans.values() for (_, z), (y, _) in zip(sorted(s), sorted(s)[1:]))
+
+
 def test_null_and_repeated_rows(spark):
     t = " ".join(f"w{i}" for i in range(30))
     docs = [(None, t), (None, t), (4, t), (4, t), (5, "z " + t), (5, None)]
