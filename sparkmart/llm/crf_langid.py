@@ -40,6 +40,8 @@ LABELS, PER_LABEL, LONGEST, CHARACTERS, BUCKETS = 256, 150, 1500, 1 << 20, 1 <<
 EPOCHS, RATE, SEQUENCE = 6, 0.5, 60
 #: words whose scores a worker remembers at most
 CACHE_WORDS = 200_000
+#: words whose features stand side by side
+SCORED = 1 << 14
 
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -54,6 +56,58 @@ def features(word: str, lexicon: frozenset) -> list[int]:
     return [f % BUCKETS for f in found]
 
 
+def _crc_table() -> np.ndarray:
+    c = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        c = np.where(c & 1, c >> 1 ^ np.uint32(0xEDB88320), c >> 1).astype(np.uint32)
+    return c
+
+
+_CRC = _crc_table()
+
+
+def _crc(c: np.ndarray, byte: np.ndarray) -> np.ndarray:
+    """The running (inverted) crc32 ``c`` with another byte."""
+    return _CRC[(c ^ byte) & 255] ^ (c >> np.uint32(8))
+
+
+def all_features(words: list[str], lexicon: frozenset) -> tuple[np.ndarray, np.ndarray]:
+    """``features`` of at least one word, one after the other, and how many each word has.  Words hold neither ^ nor $."""
+    data = np.frombuffer(f"^{'$^'.join(words)}$".encode(), np.uint8).astype(np.uint32)
+    start = np.flatnonzero(data == ord("^"))
+    end = np.append(start[1:], len(data))
+    size = end - start                                         # 3 at least
+    inside = [w in lexicon for w in words]
+    n = 2 * size + 4 + inside
+    at = np.cumsum(n) - n
+    out = np.empty(int(n.sum()), np.uint32)
+    c = np.full(len(start), 1 ^ 0xFFFFFFFF, np.uint32)
+    for i in range(4):                                         # beginnings of 2, 3, 4 bytes; the whole, where it is shorter
+        c = np.where(size > i, _crc(c, data[np.minimum(start + i, end - 1)]), c)
+        if i:
+            out[at + i - 1] = c
+    whole = None
+    for k in range(2, 6):                                      # ends
+        c = np.full(len(start), 2 ^ 0xFFFFFFFF, np.uint32)
+        for i in range(k):
+            c = _crc(c, data[np.maximum(end - k + i, start)])
+        whole = c if whole is None else np.where(size >= k, c, whole)
+        out[at + 1 + k] = whole
+    two = _crc(_crc(np.uint32(0xFFFFFFFF), data[:-1]), data[1:])
+    three = _crc(two[:-1], data[2:])
+    word = np.repeat(np.arange(len(start)), size)
+    place = np.arange(len(data)) - start[word]
+    head = at[word] + 7 + place
+    left = size[word] - place                                  # bytes from here to the word's end
+    two_at, three_at = np.flatnonzero(left >= 2), np.flatnonzero(left >= 3)
+    out[head[two_at]] = two[two_at]
+    out[head[three_at] + size[word[three_at]] - 1] = three[three_at]
+    out = ~out
+    for i in np.flatnonzero(inside):
+        out[at[i] + n[i] - 1] = zlib.crc32(b"^" + words[i].encode() + b"$", 3)
+    return (out % np.uint32(BUCKETS)).astype(np.int64), n
+
+
 def forward_backward(score: np.ndarray, begin: np.ndarray, size: np.ndarray, move: np.ndarray,
                      pairs: bool = False) -> tuple[np.ndarray, np.ndarray | None]:
     """Label probabilities of every element of several chains at once.
@@ -63,33 +117,39 @@ def forward_backward(score: np.ndarray, begin: np.ndarray, size: np.ndarray, mov
     number of transitions.  Chains advance together, the longest first."""
     order = np.argsort(-size, kind="stable")
     begin, size = begin[order], size[order]
-    e = np.exp(score - score.max(1, keepdims=True))
-    t = np.exp(move - move.max())
-    alpha, out = np.empty_like(e), np.empty_like(e)
     longest = int(size[0]) if len(size) else 0
     active = np.searchsorted(-size, -np.arange(longest), "left")  # chains longer than step
+    # rows by step, then chain: a step's rows are neighbours
+    lead = np.cumsum(active) - active
+    step = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+    source, place = np.repeat(begin, size) + step, np.repeat(np.arange(len(size)), size)
+    place += lead[step]
+    e, t = np.empty((len(source), score.shape[1])), np.exp(move - move.max())
+    e[place] = np.exp(score - score.max(1, keepdims=True))[source]
+    alpha, beta = np.empty_like(e), np.empty_like(e)
     a = None
-    for i in range(longest):
-        n = active[i]
-        at = begin[:n] + i
-        a = e[at] if a is None else (a[:n] @ t) * e[at]
-        a /= a.sum(1, keepdims=True)
-        alpha[at] = a
+    for lo, n in zip(lead.tolist(), active.tolist()):
+        a = e[:n] if a is None else (a[:n] @ t) * e[lo:lo + n]
+        a = np.divide(a, a.sum(1, keepdims=True), out=alpha[lo:lo + n])
     both = np.zeros_like(t)
     b = np.ones((0, e.shape[1]))
     for i in range(longest - 1, -1, -1):
-        n = active[i]
-        b = np.concatenate((b, np.ones((n - len(b), e.shape[1]))))  # chains that end here
-        at = begin[:n] + i
-        p = alpha[at] * b
-        out[at] = p / p.sum(1, keepdims=True)
+        lo, n = int(lead[i]), int(active[i])
+        if n > len(b):
+            b = np.concatenate((b, np.ones((n - len(b), e.shape[1]))))  # chains that end here
+        beta[lo:lo + n] = b
         if i:
-            eb = e[at] * b
+            eb = e[lo:lo + n] * b
             if pairs:
-                x = alpha[at - 1][:, :, None] * t[None] * eb[:, None, :]
+                before = alpha[lead[i - 1]:lead[i - 1] + n]
+                x = before[:, :, None] * t[None] * eb[:, None, :]
                 both += (x / x.sum((1, 2), keepdims=True)).sum(0)
             b = eb @ t.T
             b /= b.sum(1, keepdims=True)
+    alpha *= beta
+    alpha /= alpha.sum(1, keepdims=True)
+    out = np.empty(score.shape)
+    out[source] = alpha[place]
     return out, both if pairs else None
 
 
@@ -102,12 +162,11 @@ class Model:
 
     def scores(self, words: list[str]) -> np.ndarray:
         """Emission scores of distinct words."""
-        ids = [features(w, self.lexicon) for w in words]
-        if not ids:
-            return np.empty((0, len(self.labels)))
-        n = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter(chain.from_iterable(ids), np.int64, int(n.sum()))
-        return np.add.reduceat(self.weights[flat], np.cumsum(n) - n, 0)
+        parts = [np.empty((0, len(self.labels)), self.weights.dtype)]
+        for lo in range(0, len(words), SCORED):
+            flat, n = all_features(words[lo:lo + SCORED], self.lexicon)
+            parts.append(np.add.reduceat(self.weights[flat], np.cumsum(n) - n, 0))
+        return np.concatenate(parts)
 
 
 def fit(rows: list[tuple[str, str]], seed: int = 5) -> Model:
@@ -211,14 +270,15 @@ def label_words(df: DataFrame, model: Model, *, key: str = "doc_id", text: str =
                 cache.update(zip(new, range(len(cache), len(cache) + len(new))))
                 stock = np.concatenate((stock, model.scores(new)))
                 # numerals such as superscripts match WORD but are no letters
-                letter = np.fromiter((any(map(str.isalpha, w)) for w in distinct), bool, len(distinct))
+                letter = np.fromiter((w.isalpha() or any(map(str.isalpha, w)) for w in distinct), bool, len(distinct))
                 at = coded.indices.to_numpy()
                 doc = np.repeat(np.arange(len(found)), [len(f) for f in found])
                 keep = letter[at] if len(at) else np.empty(0, bool)
                 at, doc = at[keep], doc[keep]
                 size = np.bincount(doc, minlength=len(found))
                 begin = np.cumsum(size) - size
-                lang, score, parts = ["und"] * len(found), [0.0] * len(found), [[] for _ in found]
+                lang, score = ["und"] * len(found), [0.0] * len(found)
+                first = count = tongue = held = np.empty(0, np.int64)
                 if len(at) and names:
                     row = np.fromiter((cache[w] for w in distinct), np.int64, len(distinct))
                     p, _ = forward_backward(stock[row[at]], begin[size > 0], size[size > 0], model.move)
@@ -227,11 +287,15 @@ def label_words(df: DataFrame, model: Model, *, key: str = "doc_id", text: str =
                     for i, s in zip(np.flatnonzero(size), share):
                         lang[i], score[i] = names[int(s.argmax())], min(1.0, float(s.max()))
                     cut = np.flatnonzero(np.concatenate(([True], (best[1:] != best[:-1]) | (doc[1:] != doc[:-1]))))
-                    for c, n in zip(cut, np.diff(np.append(cut, len(best)))):
-                        parts[doc[c]].append({"first": int(c - begin[doc[c]]), "words": int(n), "lang": names[best[c]]})
+                    held, tongue = doc[cut], best[cut]
+                    first, count = cut - begin[held], np.diff(np.append(cut, len(best)))
+                spans = pa.StructArray.from_arrays(
+                    [pa.array(first), pa.array(count), pa.array(names, pa.string()).take(pa.array(tongue))], fields=list(part.value_type))
+                bounds = np.searchsorted(held, np.arange(len(found) + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(lo, hi - lo), pa.array(lang), pa.array(score, pa.float64()),
-                     pa.array(size, pa.int64()), pa.array(parts, part)], names=[key, "lang", "score", "words", "parts"])
+                     pa.array(size, pa.int64()), pa.ListArray.from_arrays(pa.array(bounds), spans, type=part)],
+                    names=[key, "lang", "score", "words", "parts"])
 
     return df.select(F.col(key), F.col(text).cast("string")).mapInArrow(
         tidy(run), f"`{key}` {kind}, lang string, score double, words long, "

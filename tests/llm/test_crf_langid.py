@@ -5,7 +5,8 @@ import numpy as np
 import pytest
 from pyspark.sql import types as T
 
-from sparkmart.llm.crf_langid import fit, forward_backward, identify, label_words
+from sparkmart.llm import crf_langid
+from sparkmart.llm.crf_langid import all_features, features, fit, forward_backward, identify, label_words
 from sparkmart.llm.queries import QUERIES
 
 
@@ -28,6 +29,20 @@ def test_forward_backward_is_the_sum_over_paths(seed):
     assert np.allclose(p, want) and np.allclose(pairs, want_pairs)
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_features_of_many_words_are_those_of_each(monkeypatch, seed):
+    rng = np.random.default_rng(seed)
+    words = ["".join(rng.choice(list("abcé日𝒳²"), rng.integers(1, 12))) for _ in range(400)] + ["a", "é", "日", "𝒳"]
+    lexicon = frozenset(words[::3])
+    flat, n = all_features(words, lexicon)
+    assert [x.tolist() for x in np.split(flat, np.cumsum(n)[:-1])] == [features(w, lexicon) for w in words]
+    weights = rng.normal(size=(crf_langid.BUCKETS, 3)).astype(np.float32)
+    model = crf_langid.Model(["x", "y", "z"], weights, np.zeros((3, 3)), lexicon)
+    monkeypatch.setattr(crf_langid, "SCORED", 7)                         # block by block
+    np.testing.assert_allclose(model.scores(words), [weights[features(w, lexicon)].sum(0) for w in words], rtol=1e-4, atol=1e-4)
+    assert model.scores([]).shape == (0, 3)
+
+
 def test_held_out_accuracy(spark, sf):
     docs = {r.doc_id: r for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
     got = QUERIES["op9_crf_langid"](spark, "/root/testdata/sf0.01").collect()
