@@ -27,7 +27,7 @@ from sparkmart.plans import activity, analytics, batch_fact, etl, models, roles,
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
-#: buckets of the tables that the queries store
+#: buckets of the tables that the queries store, at least
 BUCKETS = 8
 
 
@@ -90,9 +90,9 @@ def q_fact_bucketed(spark, sf):
 def _stored(spark, key, **tables_by_name):
     import uuid
     from sparkmart.session import scratch_dir
-    from sparkmart.sinks.tables import write_bucketed
-    run = uuid.uuid4().hex[:12]
-    return [write_bucketed(df, f"{name}_{run}", [key], BUCKETS, scratch_dir(spark, name)) for name, df in tables_by_name.items()]
+    from sparkmart.sinks.tables import bucket_count, write_bucketed
+    run, buckets = uuid.uuid4().hex[:12], bucket_count(*tables_by_name.values(), least=BUCKETS)
+    return [write_bucketed(df, f"{name}_{run}", [key], buckets, scratch_dir(spark, name)) for name, df in tables_by_name.items()]
 
 
 def q_fact_roundtrip(spark, sf):

@@ -11,6 +11,7 @@ from sparkmart.operators.range_join import range_left_join
 from sparkmart.operators.range_sweep import covering, range_summary
 from sparkmart.operators.upsert import upsert
 from sparkmart.plans import batch_fact, models
+from sparkmart.sinks import tables
 from sparkmart.sinks.buckets import BUCKET, BucketedTable
 from sparkmart.sinks.tables import write_bucketed
 from sparkmart.sources.files import csv_headers, read_csv_checked
@@ -111,6 +112,19 @@ def test_bucketed_joins_need_no_exchange(spark, root):
     assert "Exchange" not in plan(base)
 
 
+def test_buckets_grow_with_the_tables(spark, monkeypatch):
+    import __spark_entry__ as E
+    monkeypatch.setattr(tables, "BUCKET_BYTES", 1 << 10)
+    orders = spark.createDataFrame([(i, i % 7, None) for i in range(500)], "order_id long, customer_id long, order_date date")
+    items = spark.createDataFrame([(i % 450, i, 2, 1.5) for i in range(900)], "order_id long, product_id long, quantity int, price double")
+    assert tables.bucket_count(orders, items, least=8) == -(-900 * 40 // 1024)      # of the larger one
+    assert tables.bucket_count(orders.limit(3), items.limit(0), least=8) == 8
+    stored = E._stored(spark, "order_id", orders=orders, items=items)
+    assert all(len(t.inputFiles()) > 8 for t in stored)
+    fact = batch_fact.build_fact(*stored)
+    assert rows(fact) == rows(batch_fact.build_fact(orders, items)) and "Exchange" not in plan(fact)
+
+
 # ---- CSV
 
 def write(root, name, *lines):
