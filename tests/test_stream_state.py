@@ -127,6 +127,13 @@ def test_running_counts_where_the_session_names_another_store(spark, root):
     assert rows(got) == rows(A.key_running_count(A.parse_activity(feed)).select(*got.columns))
 
 
+def test_running_counts_of_events_that_stand_twice(spark, root):
+    feed = spark.createDataFrame([e for i, e in enumerate(_events(["a", "b", None] * 8)) for _ in range(1 + (i % 4 == 0))], KEYED)
+    replay(feed, f"{root}/log", "offset", 2, lambda s: ended(SA.start_running_counts(s, f"{root}/out", f"{root}/ck", "availableNow")))
+    got = spark.read.parquet(f"{root}/out")
+    assert rows(got) == rows(A.key_running_count(A.parse_activity(feed)).select(*got.columns))
+
+
 class Broken:
     """Fails at the given batches, the state being committed, each time it is told to."""
 
