@@ -1,21 +1,27 @@
 """Streams over several segments with restarts between: sessions whose state ends, running
 counts, several queries in one application, counts by batch."""
 import datetime as dt
+import glob
+import json
 import random
 import tempfile
 
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from conftest import rows
 from events_fixture import SCHEMA, T0, iso, msg
 from sparkmart.plans import activity as A
+from sparkmart.plans import roles
 from sparkmart.plans import transactions as T
+from sparkmart.session import scratch_dir
 from sparkmart.streaming import activity as SA
 from sparkmart.streaming import transactions as ST
 from sparkmart.streaming.counts import BatchCounts, counted, read_counts, total_counts
 from sparkmart.streaming.replay import HEARTBEAT_USER, heartbeat, replay, segments
 from sparkmart.streaming.sinks import BatchFolderSink, read_windows
+from sparkmart.streaming.state import ON_DISK, PARTITIONS, STORES, state_kept, state_on_disk
 from sparkmart.streaming.supervisor import StreamFailed, run_together, run_with_restarts
 
 M, S = dt.timedelta(minutes=1), dt.timedelta(seconds=1)
@@ -192,6 +198,37 @@ def test_one_failure_stops_all(spark, root):
     assert not spark.streams.active
 
 
+def test_supervised_state_is_on_disk_where_the_session_names_another_store(spark, root):
+    """On the heap, the state of three queries ends an executor; and a store by shuffle partition takes MBs each."""
+    events = [(i, T0.replace(tzinfo=None) + (i // 2 * 37) * S, i // 2 % 11, entry.EVENT_SOURCES[i % len(entry.EVENT_SOURCES)], 10.5 + i) for i in range(600)]
+    spark.createDataFrame(events, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double").write.parquet(f"{root}/events.parquet")
+    other = {SA.STORE: ON_DISK[SA.STORE].replace("RocksDB", "HDFSBacked"), PARTITIONS: str(STORES + 40)}
+    checkpoints = f"{scratch_dir(spark, 'supervised').rpartition('/')[0].removeprefix('file:')}/*/ck_*/offsets/*"
+    old = set(glob.glob(checkpoints))
+    with state_kept(spark, other):
+        got = rows(entry.q_stream_supervised(spark, root).where("output <> 'report'"), "output", "label", "n")
+        assert {k: spark.conf.get(k) for k in other} == other
+    batches = set(glob.glob(checkpoints)) - old
+    assert {f.split("/ck_")[1].split("/")[0] for f in batches} == {"valid", "dlq", "report"}
+    for f in batches:
+        conf = json.loads(open(f).read().splitlines()[1])["conf"]
+        assert conf[SA.STORE] == ON_DISK[SA.STORE] and int(conf[PARTITIONS]) <= max(STORES, 2 * spark.sparkContext.defaultParallelism)
+    first = T.first_per_session(T.flag_late(T.parse_events(roles.transactions_feed(spark.read.parquet(f"{root}/events.parquet")))))
+    want = T.validate(first, entry._event_rules()).selectExpr(
+        "if(is_valid, 'valid', 'dlq') output", "if(is_valid, source, error_reason) label").groupBy("output", "label").agg(F.count(F.lit(1)).alias("n"))
+    assert got == rows(want, "output", "label", "n") and {g[0] for g in got} == {"valid", "dlq"}
+
+
+def test_options_of_started_queries_are_put_back(spark):
+    before = {k: spark.conf.get(k, None) for k in ON_DISK}
+    options = state_on_disk(spark)
+    assert options.items() >= ON_DISK.items() and int(options[PARTITIONS]) <= int(spark.conf.get(PARTITIONS))
+    with pytest.raises(ValueError), state_kept(spark, options):
+        assert {k: spark.conf.get(k) for k in options} == options
+        raise ValueError
+    assert {k: spark.conf.get(k, None) for k in ON_DISK} == before
+
+
 def test_until_any_has_ended(spark, root):
     feed = spark.createDataFrame([msg(1, T0, "S1", 10)], SCHEMA)
     feed.write.parquet(f"{root}/log")
